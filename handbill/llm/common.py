@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -33,10 +34,17 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it back: cuts the lineage and survives lost executors."""
-    path = f"{shared_dir(df.sparkSession)}/handbill-{name}-{uuid.uuid4().hex}"
+    """Write df to the shared folder and read it back: cuts the lineage and survives lost executors.
+
+    Spark drops shuffle files once the driver has collected the plans that made them; what has been written needs
+    them no more, so the driver is asked to collect now rather than at some later time.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/handbill-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def text_or_empty(col: str = "text") -> Column:

@@ -14,7 +14,7 @@ from handbill.llm.common import arrow_map, materialise, prepare, text_or_empty,
 #: Words of an anchor: of the runs of that many words in a window, the one with the least hash.
 ANCHOR = 6
 #: Bytes of text in a home, the group of documents that is read together again, and in a block of texts hashed at once.
-HOME_BYTES, BLOCK_BYTES = 4 << 20, 1 << 20
+HOME_BYTES, BLOCK_BYTES = 4 << 20, 1 << 18
 #: Occurrences of an anchor beyond which its distinct segments are taken apart into windows.
 HOT = 1_000
 #: Odd multipliers for hashes over bytes and words, and constants of the SplitMix64 finaliser.
@@ -28,7 +28,7 @@ _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """base**i and base**-i modulo 2**64 for i < n, at least."""
     if base not in _powers or len(_powers[base][0]) < n:
-        size = 1 << max(21, (n - 1).bit_length())
+        size = 1 << max(19, (n - 1).bit_length())
         both = []
         for b in (base, pow(base, -1, 2**64)):
             x = np.full(size, b, U64)
@@ -245,14 +245,21 @@ def by_document(table: pa.Table) -> dict[tuple, np.ndarray]:
     return {k: np.array(v) for k, v in rows.items()}
 
 
+def once(own: pa.Table) -> pa.Table:
+    """doc_id, _tie and text of the first of the rows that repeat in both."""
+    own = own.select(["doc_id", "_tie", "text"])
+    first = by_document(own.select(["doc_id", "_tie"]).rename_columns(["doc_id", "tie"])).values()
+    return own.take(pa.array([x[0] for x in first], pa.int64()))
+
+
 def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
     """docs with n_words, n_removed and kept: the words that no repeated window covers, joined by one space.
 
     A window of `window` words is a repeat if its words also start earlier: in a smaller doc_id or earlier in the same
     document. Windows meet by anchors, runs of words chosen by their content. Anchors that occur once are left out
     after a count. Of the others, segments (runs of windows of one anchor) that are equal are brought together by
-    sums; the distinct ones go to shards by anchor, each with one FM-index, in which all their windows are
-    searched. Anchors of over HOT occurrences may have as many distinct segments, such as a passage in ever
+    sums; where an anchor has several distinct ones, these go to shards by anchor, each with one FM-index, in
+    which all their windows are searched. Anchors of over HOT occurrences may have as many distinct segments, such as a passage in ever
     other surroundings: their distinct segments are taken apart, and equal windows brought together by sums.
 
     Null texts have no words. Documents without doc_id come after all others; documents of one doc_id are ordered by a
@@ -288,11 +295,11 @@ def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
     shared = materialise(seen.join(often, "anchor").select("home", "anchor", (F.col("n") > HOT).alias("hot")), "shared")
 
     def segments_of(own: pa.Table, anchor: pa.Table) -> pa.Table:
+        """Every segment of a home's documents whose anchor is shared."""
         wanted, at = np.unique(anchor["anchor"].to_numpy(), return_index=True)
         hot = anchor["hot"].to_numpy()[at]
-        first_row = [x[0] for x in by_document(own.rename_columns(["tie" if c == "_tie" else c for c in own.column_names])).values()]
-        own = own.take(pa.array(first_row, pa.int64()))
-        texts, found = utf8(own["text"].combine_chunks()), []
+        own = once(own)
+        ids, texts, found = own.select(["doc_id", "_tie"]), utf8(own["text"].combine_chunks()), []
         for a, b in blocks(texts):
             w = Words(texts[a:b])
             first, count, h = w.segments(window)
@@ -300,21 +307,38 @@ def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
             place = np.minimum(np.searchsorted(wanted, h), max(0, len(wanted) - 1))
             hit = np.flatnonzero(wanted[place] == h) if len(wanted) else np.zeros(0, np.int64)
             first, count, h, place = first[hit], count[hit], h[hit], place[hit]
-            end = first + count + window - 1
-            row = own.take(pa.array(a + w.of[first]))
-            words = [w.joined(x, y) for x, y in zip(first.tolist(), end.tolist(), strict=True)]
-            columns = [row["doc_id"], row["_tie"], pa.array(first - w.first[w.of[first]]), pa.array(count), pa.array(h), pa.array(hot[place]), pa.array(w.runs(first, end).view(np.int64)), pa.array(words, pa.binary())]
-            found.append(pa.table(columns, SEGMENT))
-        return pa.concat_tables(found) if found else own.select(["doc_id"]).slice(0, 0)
-
-    segment_schema = f"doc_id {kind}, tie bigint, start bigint, windows bigint, anchor bigint, hot boolean, segment bigint, words binary"
-    occurrences = homed.groupBy("_home").cogroup(shared.groupBy("home")).applyInArrow(segments_of, segment_schema)
+            row = ids.take(pa.array(a + w.of[first]))
+            segment = w.runs(first, first + count + window - 1).view(np.int64)
+            found.append(pa.table([row["doc_id"], row["_tie"], pa.array(first - w.first[w.of[first]]), pa.array(count), pa.array(h), pa.array(hot[place]), pa.array(segment)], SEGMENT))
+        return pa.concat_tables(found) if found else pa.table({"doc_id": ids["doc_id"].slice(0, 0)} | {c: pa.array([], pa.bool_() if c == "hot" else pa.int64()) for c in SEGMENT[1:]})
+
+    def words_of(own: pa.Table, part: pa.Table) -> pa.Table:
+        """part with the words of its segments."""
+        own = once(own)
+        texts = utf8(own["text"].combine_chunks())
+        of = by_document(part)
+        start, windows_ = part["start"].to_numpy(), part["windows"].to_numpy()
+        rows, words = [], []
+        for text, key in zip(texts, zip(own["doc_id"].to_pylist(), own["_tie"].to_pylist(), strict=True), strict=True):
+            if key in of:
+                split = text.split()
+                rows += of[key].tolist()
+                words += [b" ".join(split[start[i] : start[i] + windows_[i] + window - 1]) for i in of[key]]
+        return part.select(["anchor", "hot", "doc_id", "tie", "start"]).take(pa.array(rows, pa.int64())).append_column("words", pa.array(words, pa.binary()))
+
+    segment_schema = f"doc_id {kind}, tie bigint, start bigint, windows bigint, anchor bigint, hot boolean, segment bigint"
+    occurrences = materialise(homed.groupBy("_home").cogroup(shared.groupBy("home")).applyInArrow(segments_of, segment_schema), "segments")
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "tie", "start")
-    parts = occurrences.groupBy("anchor", "segment", "hot").agg(F.min(place).alias("at"), F.min("words").alias("words"))
-    parts = parts.select("anchor", "segment", "hot", "at", "at.doc_id", "at.tie", "at.start", "words")
+    parts = occurrences.groupBy("anchor", "segment", "hot").agg(F.min(F.struct(place.alias("at"), "windows")).alias("x")).select("anchor", "segment", "hot", "x.at", "x.windows")
+
+    # only an anchor with several distinct segments can have windows that some of them share
+    several = parts.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
+    distinct = parts.join(several, "anchor").select("anchor", "hot", "at.doc_id", "at.tie", "at.start", "windows").withColumn("home", home("tie"))
+    worded = homed.groupBy("_home").cogroup(distinct.groupBy("home")).applyInArrow(words_of, f"anchor bigint, hot boolean, doc_id {kind}, tie bigint, start bigint, words binary")
+    worded = materialise(worded, "words")
 
     shards = max(8, homes // 2)
-    cold = parts.where("NOT hot").select(F.pmod(F.xxhash64("anchor"), F.lit(shards)).cast("int").alias("shard"), "doc_id", "tie", "start", "words")
+    cold = worded.where("NOT hot").select(F.pmod(F.xxhash64("anchor"), F.lit(shards)).cast("int").alias("shard"), "doc_id", "tie", "start", "words")
     span_schema = f"doc_id {kind}, tie bigint, start bigint, end bigint"
     partly = cold.groupBy("shard").applyInArrow(lambda x: repeated_windows(x, window), span_schema)
 
@@ -328,12 +352,12 @@ def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
 
         return of_batch
 
-    apart = arrow_map(parts.where("hot").select("anchor", "doc_id", "tie", "start", "words"), f"anchor bigint, doc_id {kind}, tie bigint, start bigint, window bigint", windows)
+    apart = arrow_map(worded.where("hot").select("anchor", "doc_id", "tie", "start", "words"), f"anchor bigint, doc_id {kind}, tie bigint, start bigint, window bigint", windows)
     earliest = apart.groupBy("anchor", "window").agg(F.min(place).alias("at"))
     split = apart.join(earliest, ["anchor", "window"]).where(place != F.col("at")).select("doc_id", "tie", "start", (F.col("start") + window).alias("end"))
 
     # a segment that equals an earlier one is a repeat as a whole
-    later = occurrences.select("doc_id", "tie", "start", "windows", "anchor", "segment").join(parts.select("anchor", "segment", "at"), ["anchor", "segment"])
+    later = occurrences.join(parts.select("anchor", "segment", "at"), ["anchor", "segment"])
     wholly = later.where(place != F.col("at")).select("doc_id", "tie", "start", (F.col("start") + F.col("windows") + window - 1).alias("end"))
     spans = wholly.unionByName(partly).unionByName(split).withColumn("home", home("tie"))
 
@@ -351,4 +375,4 @@ def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
     return homed.groupBy("_home").cogroup(spans.groupBy("home")).applyInArrow(cut, schema)
 
 
-SEGMENT = ["doc_id", "tie", "start", "windows", "anchor", "hot", "segment", "words"]
+SEGMENT = ["doc_id", "tie", "start", "windows", "anchor", "hot", "segment"]
