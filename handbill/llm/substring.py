@@ -245,6 +245,22 @@ def by_document(table: pa.Table) -> dict[tuple, np.ndarray]:
     return {k: np.array(v) for k, v in rows.items()}
 
 
+def shared_segments(texts: list[bytes], wanted: np.ndarray, window: int) -> tuple[np.ndarray, ...]:
+    """Segments of texts whose anchor is in the sorted `wanted`: (text, first word, windows, place in wanted, hash)."""
+    out: list[list[np.ndarray]] = [[np.zeros(0, np.int64)] for _ in range(5)]
+    for a, b in blocks(texts) if len(wanted) else []:
+        w = Words(texts[a:b])
+        first, count, h = w.segments(window)
+        h = h.view(np.int64)
+        place = np.minimum(np.searchsorted(wanted, h), len(wanted) - 1)
+        hit = np.flatnonzero(wanted[place] == h)
+        first, count = first[hit], count[hit]
+        segment = w.runs(first, first + count + window - 1).view(np.int64)
+        for x, y in zip(out, (a + w.of[first], first - w.first[w.of[first]], count, place[hit], segment), strict=True):
+            x.append(y)
+    return tuple(np.concatenate(x) for x in out)
+
+
 def once(own: pa.Table) -> pa.Table:
     """doc_id, _tie and text of the first of the rows that repeat in both."""
     own = own.select(["doc_id", "_tie", "text"])
@@ -299,18 +315,9 @@ def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
         wanted, at = np.unique(anchor["anchor"].to_numpy(), return_index=True)
         hot = anchor["hot"].to_numpy()[at]
         own = once(own)
-        ids, texts, found = own.select(["doc_id", "_tie"]), utf8(own["text"].combine_chunks()), []
-        for a, b in blocks(texts):
-            w = Words(texts[a:b])
-            first, count, h = w.segments(window)
-            h = h.view(np.int64)
-            place = np.minimum(np.searchsorted(wanted, h), max(0, len(wanted) - 1))
-            hit = np.flatnonzero(wanted[place] == h) if len(wanted) else np.zeros(0, np.int64)
-            first, count, h, place = first[hit], count[hit], h[hit], place[hit]
-            row = ids.take(pa.array(a + w.of[first]))
-            segment = w.runs(first, first + count + window - 1).view(np.int64)
-            found.append(pa.table([row["doc_id"], row["_tie"], pa.array(first - w.first[w.of[first]]), pa.array(count), pa.array(h), pa.array(hot[place]), pa.array(segment)], SEGMENT))
-        return pa.concat_tables(found) if found else pa.table({"doc_id": ids["doc_id"].slice(0, 0)} | {c: pa.array([], pa.bool_() if c == "hot" else pa.int64()) for c in SEGMENT[1:]})
+        row, start, count, place, segment = shared_segments(utf8(own["text"].combine_chunks()), wanted, window)
+        ids = own.select(["doc_id", "_tie"]).take(pa.array(row))
+        return pa.table([ids["doc_id"], ids["_tie"], pa.array(start), pa.array(count), pa.array(wanted[place]), pa.array(hot[place]), pa.array(segment)], SEGMENT)
 
     def words_of(own: pa.Table, part: pa.Table) -> pa.Table:
         """part with the words of its segments."""
@@ -327,13 +334,14 @@ def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
         return part.select(["anchor", "hot", "doc_id", "tie", "start"]).take(pa.array(rows, pa.int64())).append_column("words", pa.array(words, pa.binary()))
 
     segment_schema = f"doc_id {kind}, tie bigint, start bigint, windows bigint, anchor bigint, hot boolean, segment bigint"
-    occurrences = materialise(homed.groupBy("_home").cogroup(shared.groupBy("home")).applyInArrow(segments_of, segment_schema), "segments")
+    occurrences = homed.groupBy("_home").cogroup(shared.groupBy("home")).applyInArrow(segments_of, segment_schema)
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "tie", "start")
-    parts = occurrences.groupBy("anchor", "segment", "hot").agg(F.min(F.struct(place.alias("at"), "windows")).alias("x")).select("anchor", "segment", "hot", "x.at", "x.windows")
+    first = occurrences.groupBy("anchor", "segment", "hot").agg(F.min(F.struct(place.alias("at"), "windows")).alias("x"))
+    parts = materialise(first.select("anchor", "hot", "x.at.doc_id", "x.at.tie", "x.at.start", "x.windows"), "parts")
 
     # only an anchor with several distinct segments can have windows that some of them share
     several = parts.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
-    distinct = parts.join(several, "anchor").select("anchor", "hot", "at.doc_id", "at.tie", "at.start", "windows").withColumn("home", home("tie"))
+    distinct = parts.join(several, "anchor").withColumn("home", home("tie"))
     worded = homed.groupBy("_home").cogroup(distinct.groupBy("home")).applyInArrow(words_of, f"anchor bigint, hot boolean, doc_id {kind}, tie bigint, start bigint, words binary")
     worded = materialise(worded, "words")
 
@@ -356,23 +364,41 @@ def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
     earliest = apart.groupBy("anchor", "window").agg(F.min(place).alias("at"))
     split = apart.join(earliest, ["anchor", "window"]).where(place != F.col("at")).select("doc_id", "tie", "start", (F.col("start") + window).alias("end"))
 
-    # a segment that equals an earlier one is a repeat as a whole
-    later = occurrences.join(parts.select("anchor", "segment", "at"), ["anchor", "segment"])
-    wholly = later.where(place != F.col("at")).select("doc_id", "tie", "start", (F.col("start") + F.col("windows") + window - 1).alias("end"))
-    spans = wholly.unionByName(partly).unionByName(split).withColumn("home", home("tie"))
-
-    def cut(own: pa.Table, gone: pa.Table) -> pa.Table:
-        ranges = np.stack([gone["start"].to_numpy(), gone["end"].to_numpy()], axis=1)
-        of = by_document(gone)
-        done = [
-            keep(x, ranges[of[key]] if (key := (doc, tie)) in of else None)
-            for x, doc, tie in zip(utf8(own["text"].combine_chunks()), own["doc_id"].to_pylist(), own["_tie"].to_pylist(), strict=True)
-        ]
-        n, removed, left = zip(*done, strict=True) if done else ((), (), ())
+    # what the last look at a home's documents needs: its shared anchors, the first places of segments, other spans
+    def facts(df: DataFrame, what: int, **has: Column) -> DataFrame:
+        columns = {"anchor": "bigint", "doc_id": kind, "tie": "bigint", "start": "bigint", "end": "bigint"}
+        own = [has[c].alias(c) if c in has else F.lit(None).cast(t).alias(c) for c, t in columns.items()]
+        return df.select((has["home"] if "home" in has else home("tie")).alias("home"), F.lit(what).cast("tinyint").alias("what"), *own)
+
+    at_place = {c: F.col(c) for c in ("doc_id", "tie", "start")}
+    spans = partly.unionByName(split)
+    known = facts(shared, 0, home=F.col("home"), anchor=F.col("anchor")).unionByName(facts(parts, 1, **at_place)).unionByName(facts(spans, 2, end=F.col("end"), **at_place))
+
+    def cut(own: pa.Table, right: pa.Table) -> pa.Table:
+        what = right["what"].to_numpy()
+        wanted = np.unique(right.filter(pa.array(what == 0))["anchor"].to_numpy())
+        single = once(own)
+        keys = {k: i for i, k in enumerate(zip(single["doc_id"].to_pylist(), single["_tie"].to_pylist(), strict=True))}
+        texts = utf8(single["text"].combine_chunks())
+        row, start, count, _, _ = shared_segments(texts, wanted, window)
+
+        def place_of(table: pa.Table) -> np.ndarray:
+            return np.array([keys[k] for k in zip(table["doc_id"].to_pylist(), table["tie"].to_pylist(), strict=True)], np.int64)
+
+        # a segment that isn't the first of its like is a repeat as a whole
+        firsts, more = right.filter(pa.array(what == 1)), right.filter(pa.array(what == 2))
+        again = ~np.isin(row << 32 | start, place_of(firsts) << 32 | firsts["start"].to_numpy())
+        row = np.concatenate([row[again], place_of(more)])
+        start, end = np.concatenate([start[again], more["start"].to_numpy()]), np.concatenate([(start + count + window - 1)[again], more["end"].to_numpy()])
+        order = np.argsort(row, kind="stable")
+        ranges, bounds = np.stack([start, end], axis=1)[order], np.searchsorted(row[order], np.arange(len(texts) + 1))
+        done = [keep(x, ranges[a:b] if b > a else None) for x, a, b in zip(texts, bounds, bounds[1:], strict=False)]
+        rows = [done[keys[k]] for k in zip(own["doc_id"].to_pylist(), own["_tie"].to_pylist(), strict=True)]
+        n, removed, left = zip(*rows, strict=True) if rows else ((), (), ())
         return own.drop_columns(["_tie", "_home"]).append_column("n_words", pa.array(n, pa.int64())).append_column("n_removed", pa.array(removed, pa.int64())).append_column("kept", pa.array(left, pa.string()))
 
     schema = T.StructType([*(docs.schema[c] for c in kept_columns), *(T.StructField(c, T.LongType()) for c in ("n_words", "n_removed")), T.StructField("kept", T.StringType())])
-    return homed.groupBy("_home").cogroup(spans.groupBy("home")).applyInArrow(cut, schema)
+    return homed.groupBy("_home").cogroup(known.groupBy("home")).applyInArrow(cut, schema)
 
 
 SEGMENT = ["doc_id", "tie", "start", "windows", "anchor", "hot", "segment"]
