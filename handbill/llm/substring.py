@@ -15,8 +15,9 @@ from handbill.llm.common import arrow_map, materialise, prepare, text_or_empty,
 ANCHOR = 6
 #: Bytes of text in a home, the group of documents that is read together again, and in a block of texts hashed at once.
 HOME_BYTES, BLOCK_BYTES = 4 << 20, 1 << 18
-#: Occurrences of an anchor beyond which its distinct segments are taken apart into windows.
-HOT = 1_000
+#: Occurrences of an anchor beyond which its distinct segments are taken apart into windows: up to that many still
+#: fit one shard's index beside others.
+HOT = 10_000
 #: Odd multipliers for hashes over bytes and words, and constants of the SplitMix64 finaliser.
 BASE_BYTE, BASE_WORD = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 MIX = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
@@ -296,19 +297,23 @@ def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
 
     def anchors():
         def of_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
-            texts, home_of, out, at = utf8(batch.column(1)), batch.column(0).to_numpy(), [], []
+            texts, home_of, found = utf8(batch.column(1)), batch.column(0).to_numpy(), []
             for a, b in blocks(texts):
                 w = Words(texts[a:b])
                 first, _, h = w.segments(window)
-                out.append(h.view(np.int64))
-                at.append(home_of[a:b][w.of[first]])
-            return pa.record_batch([pa.array(np.concatenate(at)), pa.array(np.concatenate(out))], ["home", "anchor"])
+                found.append(np.stack([home_of[a:b][w.of[first]].astype(np.int64), h.view(np.int64)]))
+            # repetitive texts have one anchor very often: counted here, not after a shuffle
+            home, anchor = np.concatenate(found, axis=1)
+            order = np.lexsort((home, anchor))
+            home, anchor = home[order], anchor[order]
+            new = np.flatnonzero(np.concatenate([[True], (home[1:] != home[:-1]) | (anchor[1:] != anchor[:-1])])[: len(home)])
+            return pa.record_batch([pa.array(home[new].astype(np.int32)), pa.array(anchor[new]), pa.array(np.diff(np.append(new, len(home))))], ["home", "anchor", "n"])
 
         return of_batch
 
-    seen = materialise(arrow_map(homed.select("_home", "text"), "home int, anchor bigint", anchors), "anchors")
-    often = seen.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = materialise(seen.join(often, "anchor").select("home", "anchor", (F.col("n") > HOT).alias("hot")), "shared")
+    seen = materialise(arrow_map(homed.select("_home", "text"), "home int, anchor bigint, n bigint", anchors), "anchors")
+    often = seen.groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1")
+    shared = materialise(seen.drop("n").join(often, "anchor").select("home", "anchor", (F.col("n") > HOT).alias("hot")), "shared")
 
     def segments_of(own: pa.Table, anchor: pa.Table) -> pa.Table:
         """Every segment of a home's documents whose anchor is shared."""
