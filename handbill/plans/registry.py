@@ -1,10 +1,293 @@
-"""All queries by name, and the SQL that says what they return."""
+"""All queries by name, and the SQL that says what they return.
+
+Inputs are event records, pages and search results that Spark derives from the driver's tables; the SQL derives the same.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
-from pyspark.sql import DataFrame, SparkSession
+from handbill.functions import datetimes, geometry, jsons, schema, text
+from handbill.operators import blocks, events
 
+TODAY = date(2026, 3, 15)
+TIMES = ["7 pm", "5 - 8:30 pm", "19:00", "noon", "7:30 pm – 9 pm", "12 am", "doors 7pm", "25 - 7 pm"]
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql.replace("{raw}", RAW)
+        return f
+
+    return add
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event records with noisy names, dates and times: forty in a run."""
+    o, p, s = (table(spark, sf_dir, t) for t in ("orders", "part", "supplier"))
+    k = F.col("o_orderkey")
+    name = (
+        F.when(k % 35 == 4, F.lit(None)).when(k % 5 == 0, F.col("p_name")).when(k % 5 == 1, F.upper("p_name")).when(k % 5 == 2, F.concat("p_name", F.lit("!")))
+        .when(k % 5 == 3, F.concat(F.lit("  "), F.replace("p_name", F.lit(" "), F.lit("-")))).otherwise(F.concat(F.lit("the "), F.col("p_name")))
+    )
+    return (
+        o.join(p, F.col("p_partkey") == k % 200)
+        .join(s, F.col("s_suppkey") == F.col("o_custkey") % 10)
+        .select(
+            F.floor(k / 40).cast("bigint").alias("run_id"),
+            k.alias("ordinal"),
+            name.alias("event_name"),
+            F.col("s_name").alias("venue"),
+            F.when(k % 3 != 0, F.date_format("o_orderdate", "yyyy-MM-dd")).alias("date"),
+            F.element_at(F.array(*map(F.lit, TIMES)), (k % 8 + 1).cast("int")).alias("time"),
+            F.when(k % 4 == 0, F.col("o_orderpriority")).alias("recurring"),
+        )
+    )
+
+
+RAW = f"""raw AS (SELECT o_orderkey // 40 AS run_id, o_orderkey AS ordinal,
+  CASE WHEN o_orderkey % 35 = 4 THEN NULL WHEN o_orderkey % 5 = 0 THEN p_name WHEN o_orderkey % 5 = 1 THEN upper(p_name)
+       WHEN o_orderkey % 5 = 2 THEN p_name || '!' WHEN o_orderkey % 5 = 3 THEN '  ' || replace(p_name, ' ', '-') ELSE 'the ' || p_name END AS event_name,
+  s_name AS venue, CASE WHEN o_orderkey % 3 <> 0 THEN strftime(o_orderdate, '%Y-%m-%d') END AS date,
+  {TIMES!r}[(o_orderkey % 8 + 1)::INT] AS time, CASE WHEN o_orderkey % 4 = 0 THEN o_orderpriority END AS recurring
+  FROM orders JOIN part ON p_partkey = o_orderkey % 200 JOIN supplier ON s_suppkey = o_custkey % 10)"""
+NORM = "trim(regexp_replace(lower(coalesce({}, '')), '[^a-z0-9]+', ' ', 'g'))"
+
+
+@query(r"""WITH noisy AS (SELECT doc_id, chr(160) || replace(text, '. ', '.' || chr(13) || ' ' || chr(9)) || chr(10) || ' ' AS t FROM documents),
+  lines AS (SELECT doc_id, list_transform(string_split(replace(replace(t, chr(160), ' '), chr(13), chr(10)), chr(10)), lambda x: trim(x, ' ' || chr(9))) AS l FROM noisy)
+SELECT doc_id, array_to_string(list_filter(l, lambda x: x <> ''), chr(10)) AS cleaned FROM lines""")
+def clean_text(spark, sf_dir):
+    noisy = F.concat(F.lit(" "), F.replace("text", F.lit(". "), F.lit(".\r \t")), F.lit("\n "))
+    return table(spark, sf_dir, "documents").select("doc_id", text.clean_text(noisy).alias("cleaned"))
+
+
+@query(f"WITH {{raw}} SELECT ordinal, {NORM.format('event_name')} AS norm FROM raw")
+def norm_name(spark, sf_dir):
+    return raw_events(spark, sf_dir).select("ordinal", text.norm_name(F.col("event_name")).alias("norm"))
+
+
+@query("WITH s AS (SELECT event_id, 'out' || (event_id % 7) || '_' || event_id AS stem FROM events) SELECT event_id, try_cast(regexp_extract(stem, '(\\d+)$', 1) AS BIGINT) AS suffix, try_cast(regexp_replace(stem, '\\D', '', 'g') AS BIGINT) AS digits, 'root/targets/target' || event_id || '.json' AS target FROM s")
+def path_projection(spark, sf_dir):
+    rows = table(spark, sf_dir, "events").withColumn("stem", F.concat(F.lit("out"), (F.col("event_id") % 7).cast("string"), F.lit("_"), F.col("event_id").cast("string")))
+    paths = text.sibling_paths(F.lit("root"), text.numeric_suffix(F.col("stem")))
+    return rows.select("event_id", text.numeric_suffix(F.col("stem")).cast("bigint").alias("suffix"), text.digits(F.col("stem")).alias("digits"), paths["target"].alias("target"))
+
+
+@query("SELECT l_orderkey, l_linenumber, l_partkey, count(*)::BIGINT AS n, sum(greatest(0, least(1000, round_even(1000 * l_extendedprice / 60000.0, 0)))::BIGINT)::BIGINT AS x, sum(greatest(0, least(1000, round_even(1000 * (l_quantity - 5) / 37.0, 0)))::BIGINT)::BIGINT AS y FROM lineitem GROUP BY ALL")
+def bbox_1000(spark, sf_dir):
+    x, y = geometry.to_thousand(F.col("l_extendedprice"), F.lit(60000.0)), geometry.to_thousand(F.col("l_quantity") - 5, F.lit(37.0))
+    rows = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber", "l_partkey")
+    return rows.agg(F.count(F.lit(1)).alias("n"), F.sum(x).alias("x"), F.sum(y).alias("y"))
+
+
+@query("SELECT l_orderkey, min(l_quantity)::BIGINT AS x1, min(l_partkey)::BIGINT AS y1, max(l_quantity)::BIGINT AS x2, max(l_partkey)::BIGINT AS y2 FROM lineitem GROUP BY l_orderkey")
+def poly_bbox(spark, sf_dir):
+    points = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.collect_list(F.array(F.col("l_quantity"), F.col("l_partkey").cast("double"))).alias("points"))
+    box = geometry.box_of(F.col("points"))
+    return points.withColumn("box", box).select("l_orderkey", *[F.get("box", F.lit(k)).cast("bigint").alias(c) for k, c in enumerate(("x1", "y1", "x2", "y2"))])
+
+
+def noisy_json() -> F.Column:
+    k = F.col("event_id") % 6
+    p = F.col("props")
+    return F.when(k == 0, p).when(k == 1, F.concat(F.lit("```json "), p, F.lit(" ```"))).when(k == 2, F.concat(F.lit('{"events":['), p, F.lit("]}"))).when(k == 3, F.concat(F.lit("["), p, F.lit(","), p, F.lit("]"))).when(k == 4, F.concat(p, F.lit(" trailing"))).otherwise(F.lit("nonsense"))
+
+
+NOISY = """noisy AS (SELECT event_id, CASE event_id % 6 WHEN 0 THEN props WHEN 1 THEN '```json ' || props || ' ```' WHEN 2 THEN '{"events":[' || props || ']}'
+  WHEN 3 THEN '[' || props || ',' || props || ']' WHEN 4 THEN props || ' trailing' ELSE 'nonsense' END AS t FROM events)"""
+
+
+@query(f"WITH {NOISY} SELECT event_id, json_valid(t) AS strict, CASE event_id % 6 WHEN 2 THEN 1 WHEN 3 THEN 2 END::BIGINT AS n_events, event_id % 6 IN (0, 1, 2, 4) AS is_object, CASE event_id % 6 WHEN 2 THEN 'object' WHEN 3 THEN 'array' WHEN 5 THEN NULL ELSE 'object' END AS any_kind FROM noisy")
+def dirty_json(spark, sf_dir):
+    rows = table(spark, sf_dir, "events").withColumn("t", noisy_json())
+    t = F.col("t")
+    return rows.select("event_id", jsons.strict_json(t).isNotNull().alias("strict"), F.nullif(F.size(jsons.extract_events(t)).cast("bigint"), F.lit(-1)).alias("n_events"), jsons.extract_object(t).isNotNull().alias("is_object"), jsons.kind(jsons.extract_any(t)).alias("any_kind"))
+
+
+@query("SELECT o_orderkey, coalesce(nullif(trim(CASE WHEN o_orderkey % 3 = 0 THEN '  ' ELSE ' ' || o_orderpriority || ' ' END), ''), 'NOVALUE') AS value FROM orders")
+def coerce_fields(spark, sf_dir):
+    raw = F.when(F.col("o_orderkey") % 3 == 0, F.lit(" \t")).otherwise(F.concat(F.lit(" "), "o_orderpriority", F.lit(" ")))
+    return table(spark, sf_dir, "orders").select("o_orderkey", text.coerce_novalue(raw).alias("value"))
+
+
+@query(r"WITH {raw} SELECT run_id, arg_min(y, ordinal)::BIGINT AS first_year FROM (SELECT run_id, ordinal, try_cast(regexp_extract(date, '\b(19\d{2}|20\d{2})\b', 1) AS INT) AS y FROM raw) WHERE y IS NOT NULL GROUP BY run_id")
+def first_year_hint(spark, sf_dir):
+    rows = raw_events(spark, sf_dir).withColumn("y", datetimes.year_hint(F.col("date"))).where("y IS NOT NULL")
+    return rows.groupBy("run_id").agg(F.min_by("y", "ordinal").cast("bigint").alias("first_year"))
+
+
+@query("""WITH {raw} SELECT ordinal, CASE ordinal % 8 WHEN 0 THEN '19:00' WHEN 1 THEN '17:00' WHEN 2 THEN '19:00' WHEN 3 THEN 'NOVALUE' WHEN 4 THEN '19:30' WHEN 5 THEN '00:00' WHEN 6 THEN '19:00' ELSE 'NOVALUE' END AS start_time,
+  CASE ordinal % 8 WHEN 1 THEN '20:30' WHEN 4 THEN '21:00' ELSE 'NOVALUE' END AS end_time FROM raw""")
+def normalize_time(spark, sf_dir):
+    return raw_events(spark, sf_dir).withColumn("t", datetimes.normalize_time(F.col("time"))).select("ordinal", "t.*")
+
+
+@query("""WITH d AS (SELECT o_orderkey, month(o_orderdate) AS m, day(o_orderdate) AS d FROM orders),
+  t AS (SELECT *, try_cast('2026-' || lpad(m::VARCHAR, 2, '0') || '-' || lpad(d::VARCHAR, 2, '0') AS DATE) AS this, try_cast('2027-' || lpad(m::VARCHAR, 2, '0') || '-' || lpad(d::VARCHAR, 2, '0') AS DATE) AS following FROM d)
+SELECT o_orderkey, CASE WHEN this IS NULL THEN NULL WHEN this - DATE '2026-03-15' >= -30 THEN this ELSE following END::VARCHAR AS upcoming FROM t""")
+def nearest_upcoming(spark, sf_dir):
+    d = F.col("o_orderdate")
+    return table(spark, sf_dir, "orders").select("o_orderkey", datetimes.nearest_upcoming(F.month(d), F.dayofmonth(d), TODAY).cast("string").alias("upcoming"))
+
+
+@query()
+def normalize_date(spark, sf_dir):
+    """Dates as free text; ISO ones never reach the parser, of the others each distinct text and hint is parsed once."""
+    k = F.col("ordinal") % 4
+    day = F.to_date("date")
+    free = F.when(k == 0, F.date_format(day, "MMM dd")).when(k == 1, F.col("date")).when(k == 2, F.date_format(day, "dd MMMM yyyy")).otherwise(F.lit("tbd"))
+    rows = raw_events(spark, sf_dir).where("date IS NOT NULL").withColumn("free", free).withColumn("hint", datetimes.year_hint(F.col("free")))
+    iso = rows.withColumn("iso", datetimes.iso_date(F.col("free")))
+    parsed = iso.where("iso IS NULL").select("free", "hint").distinct().withColumn("parsed", datetimes.free_date(TODAY)("free", "hint"))
+    found = iso.join(parsed.withColumnsRenamed({"free": "f", "hint": "h"}), F.col("free").eqNullSafe(F.col("f")) & F.col("hint").eqNullSafe(F.col("h")), "left")
+    return found.select("ordinal", "free", F.coalesce("iso", "parsed").alias("start_date"))
+
+
+@query(r"""WITH {raw}, e AS (SELECT ordinal, trim(coalesce(event_name, '')) AS n, trim(venue) AS v, coalesce(date, '') AS d, time AS t FROM raw),
+  q AS (SELECT ordinal, list_filter([CASE WHEN n <> '' THEN n || ' ' || v ELSE v END, CASE WHEN n <> '' THEN n || ' tickets ' || v END, CASE WHEN n <> '' THEN n || ' reservation ' || v END,
+    CASE WHEN n <> '' THEN n || ' hours admission ' || v END, CASE WHEN d <> '' THEN CASE WHEN n <> '' THEN n || ' ' || v ELSE v END || ' ' || d END, CASE WHEN n <> '' THEN n || ' ' || v ELSE v END || ' ' || t], lambda x: x IS NOT NULL) AS l FROM e)
+SELECT ordinal, len(l)::BIGINT AS n_queries, array_to_string(list_transform(l, lambda x: regexp_replace(x, '\s+', ' ', 'g')), '|') AS queries FROM q""")
+def build_queries(spark, sf_dir):
+    made = text.build_queries(*map(F.col, ("event_name", "venue", "date", "time")))
+    return raw_events(spark, sf_dir).withColumn("q", made).select("ordinal", F.size("q").cast("bigint").alias("n_queries"), F.array_join("q", "|").alias("queries"))
+
+
+@query("""WITH {raw}, k AS (SELECT DISTINCT sha256(lower(trim(event_name)) || '|' || venue) AS cache_key, lower(trim(event_name)) || '|' || venue AS q FROM raw WHERE event_name IS NOT NULL),
+  c AS (SELECT DISTINCT sha256(lower(trim(event_name)) || '|' || venue) AS cache_key FROM raw WHERE event_name IS NOT NULL AND ordinal % 2 = 0)
+SELECT k.cache_key, k.q, c.cache_key IS NOT NULL AS hit FROM k LEFT JOIN c USING (cache_key)""")
+def cache_lookup(spark, sf_dir):
+    named = raw_events(spark, sf_dir).where("event_name IS NOT NULL").withColumn("q", F.concat_ws("|", F.lower(F.trim("event_name")), "venue")).withColumn("cache_key", F.sha2("q", 256))
+    cached = named.where("ordinal % 2 = 0").select("cache_key").distinct().withColumn("hit", F.lit(True))
+    return named.select("cache_key", "q").distinct().join(cached, "cache_key", "left").withColumn("hit", F.coalesce("hit", F.lit(False)))
+
+
+@query("""WITH r AS (SELECT user_id, event_id % 3 AS query_no, event_id AS place, CASE WHEN event_id % 11 = 0 THEN '' ELSE 'u' || (event_id % 17) END AS url FROM events),
+  f AS (SELECT user_id, url, min(struct_pack(q := query_no, p := place)) AS seen FROM r WHERE url <> '' GROUP BY ALL)
+SELECT user_id, rank, url FROM (SELECT user_id, url, row_number() OVER (PARTITION BY user_id ORDER BY seen, url) AS rank FROM f) WHERE rank <= 3""")
+def evidence_topk(spark, sf_dir):
+    e = F.col("event_id")
+    url = F.when(e % 11 == 0, F.lit("")).otherwise(F.concat(F.lit("u"), (e % 17).cast("string")))
+    found = events.top_evidence(table(spark, sf_dir, "events").select("user_id", (e % 3).alias("query_no"), e.alias("place"), url.alias("url")), "user_id", 3)
+    return found.withColumn("rank", F.col("rank").cast("bigint"))
+
+
+@query("WITH {raw}, v AS (UNPIVOT (SELECT run_id, ordinal, event_name, venue, date, time, recurring FROM raw) ON event_name, venue, date, time, recurring INTO NAME field VALUE value),"
+       " c AS (SELECT run_id, field, value, count(*) AS n, min(ordinal) AS f FROM v WHERE value <> '' GROUP BY ALL),"
+       " b AS (SELECT run_id, field, value, row_number() OVER (PARTITION BY run_id, field ORDER BY n DESC, length(value) DESC, f) AS r FROM c)"
+       " SELECT run_id, (SELECT count(*) FROM raw x WHERE x.run_id = b.run_id)::BIGINT AS n_events, max(value) FILTER (field = 'event_name') AS event_name, max(value) FILTER (field = 'venue') AS venue, max(value) FILTER (field = 'date') AS date, max(value) FILTER (field = 'time') AS time, max(value) FILTER (field = 'recurring') AS recurring FROM b WHERE r = 1 GROUP BY run_id")
+def mode_tiebreak(spark, sf_dir):
+    return events.merge_clusters(raw_events(spark, sf_dir), ["run_id"])
+
+
+@query(f"WITH {{raw}}, n AS (SELECT *, {NORM.format('event_name')} AS norm FROM raw WHERE nullif(trim(event_name), '') IS NOT NULL) SELECT run_id, min(ordinal) AS root, count(*)::BIGINT AS n_events FROM n GROUP BY run_id, norm")
+def exact_dedupe(spark, sf_dir):
+    """Thresholds of one: clusters are equal normal names, so SQL can say what they are."""
+    return events.dedupe(raw_events(spark, sf_dir), 1.0, 1.0).select("run_id", "root", "n_events")
+
+
+@query()
+def fuzzy_pairs(spark, sf_dir):
+    return events.match_edges(raw_events(spark, sf_dir))
+
+
+@query()
+def fuzzy_dedupe(spark, sf_dir):
+    return events.dedupe(raw_events(spark, sf_dir))
+
+
+def record_json() -> F.Column:
+    k = F.col("p_partkey")
+    links = F.concat(F.lit('{"website":"'), F.col("p_brand"), F.lit('","other":[" a ","a",1,"b","c","d"]}'))
+    return F.concat(F.lit('{"type":"'), F.element_at(F.array(*map(F.lit, ("event", "attraction", "concert"))), (k % 3 + 1).cast("int")), F.lit('","title":" '), F.col("p_name"), F.lit(' ","links":'), links, F.lit(',"event":{"start_date":"2026-04-04"}}'))
+
+
+@query("""SELECT p_partkey, CASE p_partkey % 3 WHEN 1 THEN 'attraction' ELSE 'event' END AS type, p_name AS title, 'NOVALUE' AS venue, p_brand AS website, 'a,b,c' AS other, CASE p_partkey % 3 WHEN 1 THEN 'NOVALUE' ELSE '2026-04-04' END AS start_date,
+  'missing keys: address, description, venue' AS fault FROM part""")
+def ensure_schema(spark, sf_dir):
+    rows = table(spark, sf_dir, "part").withColumn("v", jsons.strict_json(record_json())).withColumn("r", schema.ensure_schema(F.col("v")))
+    return rows.select("p_partkey", "r.type", "r.title", "r.venue", "r.links.website", F.array_join("r.links.other", ",").alias("other"), "r.event.start_date", schema.validate(F.col("v")).alias("fault"))
+
+
+@query("""SELECT doc_id, list_filter(['annotation', 'target'], lambda x: (x = 'annotation' AND e.vec_id IS NULL) OR (x = 'target' AND l.doc_id IS NULL)).array_to_string(',') AS missing
+FROM documents d LEFT JOIN (SELECT DISTINCT vec_id FROM embeddings) e ON e.vec_id = d.doc_id LEFT JOIN (SELECT DISTINCT doc_id FROM labels) l USING (doc_id)""")
+def missing_report(spark, sf_dir):
+    """What keeps an image from being a training sample."""
+    has_a = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("doc_id")).distinct().withColumn("a", F.lit("annotation"))
+    has_t = table(spark, sf_dir, "labels").select("doc_id").distinct().withColumn("t", F.lit("target"))
+    rows = table(spark, sf_dir, "documents").select("doc_id").join(has_a, "doc_id", "left").join(has_t, "doc_id", "left")
+    return rows.select("doc_id", F.array_join(F.array_compact(F.array(F.when(F.col("a").isNull(), F.lit("annotation")), F.when(F.col("t").isNull(), F.lit("target")))), ",").alias("missing"))
+
+
+@query("SELECT d.doc_id, d.n_chars FROM documents d ANTI JOIN labels l USING (doc_id)")
+def skip_existing(spark, sf_dir):
+    return table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left_anti").select("doc_id", "n_chars")
+
+
+@query("SELECT user_id, floor(epoch(ts) / 3600)::BIGINT AS bucket, arg_min(event_id, ts)::BIGINT AS first_event, count(*)::BIGINT AS n FROM (SELECT * FROM events ORDER BY event_id) GROUP BY ALL")
+def stride_sample(spark, sf_dir):
+    rows = table(spark, sf_dir, "events").withColumn("bucket", F.floor(F.unix_timestamp(F.col("ts").cast("timestamp")) / 3600).cast("bigint"))
+    return rows.groupBy("user_id", "bucket").agg(F.min_by("event_id", F.struct("ts", "event_id")).alias("first_event"), F.count(F.lit(1)).alias("n"))
+
+
+@query("WITH v AS (SELECT p_partkey, (p_size * 100)::BIGINT AS total FROM part) SELECT p_partkey, sec::BIGINT AS sec, greatest(0, least(total - 1, round_even(sec * 29.97, 0)))::BIGINT AS frame FROM v, LATERAL (SELECT unnest(range(0, floor(total / 29.97)::BIGINT + 1, 2)) AS sec)")
+def sample_plan(spark, sf_dir):
+    videos = table(spark, sf_dir, "part").select("p_partkey", (F.col("p_size") * 100).cast("bigint").alias("total"), F.lit(29.97).alias("fps"))
+    return geometry.sample_plan(videos, 2.5).select("p_partkey", F.col("sec").cast("bigint").alias("sec"), "frame")
+
+
+@query("SELECT page_id, 'data:image/png;base64,' || base64(encode(html)) AS url FROM pages")
+def data_url(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", geometry.data_url(F.encode("html", "UTF-8")).alias("url"))
+
+
+def page_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations as pages: a turn is an item, some without text, some without an order."""
+    t = F.col("turn").cast("double")
+    return table(spark, sf_dir, "conversations").select(
+        F.col("conv_id").alias("image"), F.col("turn").alias("pos"), F.when(F.col("turn") % 4 == 1, F.lit(" ")).otherwise(F.col("text")).alias("text"),
+        (t * 10).alias("x1"), (t * 20).alias("y1"), (t * 10 + 300).alias("x2"), (t * 20 + 33).alias("y2"), F.when(F.col("turn") % 3 != 0, -F.col("turn")).alias("order"), F.lit(1920.0).alias("width"), F.lit(1080.0).alias("height"),
+    )
+
+
+BLOCKS = """kept AS (SELECT conv_id AS image, turn AS pos, CASE WHEN turn % 3 <> 0 THEN -turn END AS ord, turn FROM conversations WHERE turn % 4 <> 1 AND trim(text) <> ''),
+  dense AS (SELECT *, row_number() OVER (PARTITION BY image ORDER BY pos) - 1 AS id FROM kept)
+SELECT image, row_number() OVER (PARTITION BY image ORDER BY ord ASC NULLS LAST, {0}) AS place, {0}::BIGINT AS id,
+  concat_ws(',', least(1000, round_even(1000 * turn * 10 / 1920.0, 0))::BIGINT, least(1000, round_even(1000 * turn * 20 / 1080.0, 0))::BIGINT, least(1000, round_even(1000 * (turn * 10 + 300) / 1920.0, 0))::BIGINT, least(1000, round_even(1000 * (turn * 20 + 33) / 1080.0, 0))::BIGINT) AS box FROM dense"""
+
+
+@query("WITH " + BLOCKS.format("id"))
+def block_build_dense(spark, sf_dir):
+    return blocks.build_blocks(page_items(spark, sf_dir)).select("image", "place", "id", F.array_join("box", ",").alias("box"))
+
+
+@query("WITH " + BLOCKS.format("pos"))
+def block_build_raw(spark, sf_dir):
+    return blocks.build_blocks(page_items(spark, sf_dir), dense=False).select("image", "place", "id", F.array_join("box", ",").alias("box"))
+
+
+@query()
+def prompt_blocks(spark, sf_dir):
+    return blocks.prompt_blocks(blocks.build_blocks(page_items(spark, sf_dir)))
+
+
+@query("WITH b AS (SELECT conv_id, turn, turn * 7 % 50 AS x, turn * 11 % 30 AS y FROM conversations) SELECT a.conv_id, a.turn, count(b.turn)::BIGINT AS n_overlaps FROM b a LEFT JOIN b ON a.conv_id = b.conv_id AND b.turn < a.turn AND a.x <= b.x + 9 AND b.x <= a.x + 9 AND a.y <= b.y + 9 AND b.y <= a.y + 9 GROUP BY ALL")
+def badge_overlap(spark, sf_dir):
+    """How many earlier badges of its page each badge meets."""
+    x, y = F.col("turn") * 7 % 50, F.col("turn") * 11 % 30
+    badges = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.array(x, y, x + 9, y + 9).alias("box"))
+    before = F.collect_list("box").over(Window.partitionBy("conv_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, -1))
+    hits = F.filter("before", lambda b: geometry.overlap(F.col("box"), b))
+    return badges.withColumn("before", before).select("conv_id", "turn", F.size(hits).cast("bigint").alias("n_overlaps"))
