@@ -106,8 +106,11 @@ def joined(parts: list[np.ndarray], most: int = 512) -> list[np.ndarray]:
     return out + ([np.concatenate(held)] if held else [])
 
 
-def fit(texts: list[bytes], labels: np.ndarray, epochs: int = EPOCHS, seed: int = 1, batch_chunks: int = 512) -> Network:
-    """Adam on log loss, classes weighed alike at half strength; gradients go through where each maximum was."""
+def fit(texts: list[bytes], labels: np.ndarray, epochs: int = EPOCHS, seed: int = 1, steps: int = 64) -> Network:
+    """Adam on log loss, classes weighed alike at half strength; gradients go through where each maximum was.
+
+    An epoch has about `steps` batches, of 16 to 512 chunks.
+    """
     net, r = Network.fresh(seed), np.random.default_rng(seed)
     if len(texts) == 0 or len(set(labels.tolist())) < 2:
         net.out[:] = 0
@@ -116,6 +119,7 @@ def fit(texts: list[bytes], labels: np.ndarray, epochs: int = EPOCHS, seed: int
     m, v, t = [np.zeros_like(p) for p in net.params()], [np.zeros_like(p) for p in net.params()], 0
     weight = np.where(labels == 1, 1, np.sqrt((labels == 1).sum() / (labels == 0).sum())).astype(np.float32)
     total = epochs * sum(len(x) for x in texts)
+    batch_chunks = min(512, max(16, total // epochs // STEP // steps))
     seen = 0
     for _ in range(epochs):
         order, at = r.permutation(len(texts)), 0

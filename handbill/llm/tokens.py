@@ -81,7 +81,7 @@ def by_size(texts: list[str], most: int = GROUP_CHARS) -> list[list[str]]:
     out: list[list[str]] = []
     held = most
     for x in texts:
-        if held + len(x) > most:
+        if not out or held + len(x) > most:
             out.append([])
             held = 0
         out[-1].append(x)
