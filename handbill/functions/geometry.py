@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 def to_thousand(value: Column, size: Column) -> Column:
     """A coordinate on a scale of 0 to 1000, rounded half to even; null without a size."""
-    return F.greatest(F.lit(0), F.least(F.lit(1000), F.rint(F.try_divide(F.lit(1000) * value, size)))).cast("int")
+    scaled = F.rint(F.try_divide(F.lit(1000) * value, size))
+    return F.when(scaled.isNotNull(), F.greatest(F.lit(0), F.least(F.lit(1000), scaled))).cast("int")
 
 
 def box_of(polygon: Column) -> Column:

@@ -9,6 +9,7 @@ from difflib import SequenceMatcher
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from handbill.functions.text import coerce, norm_name
 
@@ -17,7 +18,7 @@ FIELDS = ("event_name", "venue", "date", "time", "recurring")
 STRONG, WEAK = 0.84, 0.72
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def similarity(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     """Ratcliff-Obershelp ratio of two names, the later first."""
     for later, earlier in pairs:
