@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from handbill.llm.common import arrow_map, numbered, prepare, ranks
-from handbill.llm.tokens import Encoder, byte_bpe_path
+from handbill.llm.tokens import byte_bpe_path, encoder_of
 
 #: Patterns that pricing may make for the linear program.
 ROUNDS = 400
@@ -142,7 +142,7 @@ def pieces(docs: DataFrame, path: str, capacity: int, end: int) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def make():
-        encoder = Encoder(path)
+        encoder = encoder_of(path)
         last = np.array([end], "<u4").tobytes()
 
         def cut(batch: pa.RecordBatch) -> pa.RecordBatch:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Callable
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -18,7 +20,7 @@ RUNS = re.compile(r"\s\s")
 #: Safe boundaries: before a single space or line feed between two other characters.
 CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
 #: Characters (with 100 for the overhead of each part) whose ids an encoder keeps before it forgets all.
-KEPT_CHARS = 80_000_000
+KEPT_CHARS = 60_000_000
 #: Characters of text that are encoded together.
 GROUP_CHARS = 1 << 20
 
@@ -38,6 +40,7 @@ class Encoder:
     """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark already runs a worker for each core
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
@@ -76,6 +79,12 @@ class Encoder:
         return out
 
 
+@lru_cache(maxsize=1)
+def encoder_of(path: str) -> Encoder:
+    """A worker process's encoder, which later tasks find filled."""
+    return Encoder(path)
+
+
 def by_size(texts: list[str], most: int = GROUP_CHARS) -> list[list[str]]:
     """texts in runs that hold about as many characters each: under `most`, or a single text."""
     out: list[list[str]] = []
@@ -101,7 +110,7 @@ def token_counts(docs: DataFrame, path: str | None = None, limit: int = 1024) ->
     path = path or byte_bpe_path()
 
     def make():
-        encoder = Encoder(path)
+        encoder = encoder_of(path)
 
         def counts(batch: pa.RecordBatch) -> pa.RecordBatch:
             lengths = [len(x) // 4 for x in encoder.encode(batch.column(1).to_pylist())]
