@@ -15,10 +15,12 @@ from pyspark.sql import functions as F
 
 from handbill.llm.common import arrow_map, prepare
 
-#: Two white-space characters in a row.
-RUNS = re.compile(r"\s\s")
+#: Two white-space characters in a row, or a comma or full stop after anything but a letter or digit.
+RUNS = re.compile(r"\s\s|[\W_][,.]")
 #: Safe boundaries: before a single space or line feed between two other characters.
 CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
+#: What opens a part without a space before it.
+OPENING = ("\n", ",", ".")
 #: Characters (with 100 for the overhead of each part) whose ids an encoder keeps before it forgets all.
 KEPT_CHARS = 60_000_000
 #: Characters of text that are encoded together.
@@ -35,8 +37,8 @@ class Encoder:
     """A library's ids of whole texts, as little-endian 32-bit numbers, from ids of parts.
 
     The byte-level pre-tokenizer never joins what stands on both sides of a safe boundary: the space goes with
-    what follows it, the line feed stands alone. Special strings hold no white space, so no boundary
-    falls into one. The library thus encodes each distinct part once, and ids of parts are joined.
+    what follows it, the line feed stands alone, and letters or digits end before a comma or full stop. Special
+    strings hold none of these, so no boundary falls into one. The library thus encodes each distinct part once, and ids of parts are joined.
     """
 
     def __init__(self, path: str):
@@ -66,14 +68,14 @@ class Encoder:
 
     def group(self, texts: list[str]) -> list[bytes]:
         odd = {i: CUT.split(x) for i, x in enumerate(texts) if RUNS.search(x)}
-        even = {i: x.replace("\n", " \n").split(" ") for i, x in enumerate(texts) if i not in odd}
+        even = {i: x.replace("\n", " \n").replace(",", " ,").replace(".", " .").split(" ") for i, x in enumerate(texts) if i not in odd}
         out = [b""] * len(texts)
         self.learn({*chain.from_iterable(odd.values()), *(x[0] for x in even.values())}, self.plain, lambda x: x)
         for i, x in odd.items():
             out[i] = b"".join(map(self.plain.__getitem__, x))
         for i, x in even.items():
             out[i] = self.plain[x[0]]
-        self.learn(set(chain.from_iterable(x[1:] for x in even.values())), self.spaced, lambda x: x if x[:1] == "\n" else f" {x}")
+        self.learn(set(chain.from_iterable(x[1:] for x in even.values())), self.spaced, lambda x: x if x[:1] in OPENING else f" {x}")
         for i, x in even.items():
             out[i] += b"".join(map(self.spaced.__getitem__, x[1:]))
         return out
