@@ -21,6 +21,10 @@ RUNS = re.compile(r"\s\s|[\W_][,.]")
 CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
 #: What opens a part without a space before it.
 OPENING = ("\n", ",", ".")
+#: Parts with safe boundaries on both sides wherever they stand in a row of such parts.
+CHAINED = re.compile(r"[ \n]\S(?:.*\S)?", re.DOTALL)
+#: Characters of parts that are encoded as one text.
+CHAIN_CHARS = 1 << 16
 #: Characters (with 100 for the overhead of each part) whose ids an encoder keeps before it forgets all.
 KEPT_CHARS = 60_000_000
 #: Characters of text that are encoded together.
@@ -48,6 +52,9 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
+        self.n_bytes = np.zeros(self.library.get_vocab_size(), np.int64)  # of each id: the vocabulary writes a byte as a character
+        for token, i in self.library.get_vocab().items():
+            self.n_bytes[i] = len(token)
         self.plain: dict[str, bytes] = {}  # of a part as it stands
         self.spaced: dict[str, bytes] = {}  # of a part without the space that opens it
         self.held = 0
@@ -59,9 +66,26 @@ class Encoder:
             self.spaced.clear()
             self.held, fresh = 0, parts
         self.held += more
-        for group in by_size(sorted(fresh)):
-            ids = self.library.encode_batch([opening(x) for x in group], add_special_tokens=False)
-            known.update((x, np.asarray(y.ids, dtype="<u4").tobytes()) for x, y in zip(group, ids, strict=True))
+        chained, alone = [], []
+        for x in sorted(fresh):
+            (chained if CHAINED.fullmatch(y := opening(x)) else alone).append((x, y))
+        for own, together in ((chained, self.together), (alone, self.one_by_one)):
+            for group in by_size(own, CHAIN_CHARS, lambda x: len(x[1])):
+                known.update(zip([x for x, _ in group], together([y for _, y in group]), strict=True))
+
+    def one_by_one(self, parts: list[str]) -> list[bytes]:
+        return [np.asarray(x.ids, dtype="<u4").tobytes() for x in self.library.encode_batch_fast(parts, add_special_tokens=False)]
+
+    def together(self, parts: list[str]) -> list[bytes]:
+        """Ids of parts as one text, which is faster; the bytes of ids say where a part ends. Without an end there, one by one."""
+        (whole,) = self.library.encode_batch_fast(["".join(parts)], add_special_tokens=False)
+        ids = np.asarray(whole.ids, dtype="<u4")
+        reached, ends = np.cumsum(self.n_bytes[ids]), np.cumsum([len(x.encode()) for x in parts])
+        at = np.searchsorted(reached, ends)
+        if at[-1] != len(ids) - 1 or (reached[at] != ends).any():
+            return self.one_by_one(parts)
+        raw, cuts = ids.tobytes(), (4 * (at + 1)).tolist()
+        return [raw[a:b] for a, b in zip([0, *cuts], cuts, strict=False)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         return list(chain.from_iterable(map(self.group, by_size(texts))))
@@ -87,16 +111,16 @@ def encoder_of(path: str) -> Encoder:
     return Encoder(path)
 
 
-def by_size(texts: list[str], most: int = GROUP_CHARS) -> list[list[str]]:
+def by_size(texts: list, most: int = GROUP_CHARS, size: Callable[..., int] = len) -> list[list]:
     """texts in runs that hold about as many characters each: under `most`, or a single text."""
-    out: list[list[str]] = []
+    out: list[list] = []
     held = most
     for x in texts:
-        if not out or held + len(x) > most:
+        if not out or held + size(x) > most:
             out.append([])
             held = 0
         out[-1].append(x)
-        held += len(x)
+        held += size(x)
     return out
 
 
