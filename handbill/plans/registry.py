@@ -165,6 +165,16 @@ def build_queries(spark, sf_dir):
     return raw_events(spark, sf_dir).withColumn("q", made).select("ordinal", F.size("q").cast("bigint").alias("n_queries"), F.array_join("q", "|").alias("queries"))
 
 
+@query(r"""WITH {raw}, b AS (SELECT ordinal, trim(coalesce(event_name, '') || ' ' || venue) AS base, coalesce(event_name, '') <> '' AS named, event_name AS n, venue AS v, date AS d, time AS t FROM raw),
+  q AS (SELECT ordinal, list_filter([base, CASE WHEN named THEN n || ' tickets ' || v END, CASE WHEN named THEN n || ' reservation ' || v END, CASE WHEN named THEN n || ' hours admission ' || v END, base || ' ' || d, base || ' ' || t], lambda x: x IS NOT NULL) AS l FROM b)
+SELECT ordinal, i::BIGINT AS query_no, trim(regexp_replace(l[i], '\s+', ' ', 'g')) AS search FROM q, LATERAL (SELECT unnest(range(1, len(l) + 1)) AS i)""")
+def query_explode(spark, sf_dir):
+    """A row for each search query of each event, numbered from 1."""
+    made = text.build_queries(*map(F.col, ("event_name", "venue", "date", "time")))
+    rows = raw_events(spark, sf_dir).select("ordinal", F.posexplode(made).alias("query_no", "search"))
+    return rows.withColumn("query_no", (F.col("query_no") + 1).cast("bigint"))
+
+
 @query("""WITH {raw}, k AS (SELECT DISTINCT sha256(lower(trim(event_name)) || '|' || venue) AS cache_key, lower(trim(event_name)) || '|' || venue AS q FROM raw WHERE event_name IS NOT NULL),
   c AS (SELECT DISTINCT sha256(lower(trim(event_name)) || '|' || venue) AS cache_key FROM raw WHERE event_name IS NOT NULL AND ordinal % 2 = 0)
 SELECT k.cache_key, k.q, c.cache_key IS NOT NULL AS hit FROM k LEFT JOIN c USING (cache_key)""")
