@@ -13,13 +13,16 @@ def build_blocks(items: DataFrame, dense: bool = True) -> DataFrame:
     """(image, id, text, box, order) of items(image, pos, text, x1, y1, x2, y2, order, width, height), in reading order.
 
     Items without text or with a box that isn't whole are left out. Ids count the items that are left
-    (dense), or are their places among all. Blocks without an order come last.
+    (dense), or are their places among all. Blocks without an order come last, but where a column order_missing
+    says that none was given the id is the order.
     """
     box = F.array(*[to_thousand(F.col(c), F.col(s)) for c, s in (("x1", "width"), ("y1", "height"), ("x2", "width"), ("y2", "height"))])
     kept = items.withColumn("text", clean_text(F.col("text"))).withColumn("box", box)
     kept = kept.where((F.col("text") != "") & F.forall("box", lambda x: x.isNotNull()))
     number = F.row_number().over(Window.partitionBy("image").orderBy("pos")) - 1 if dense else F.col("pos")
     placed = kept.withColumn("id", number.cast("bigint"))
+    if "order_missing" in items.columns:
+        placed = placed.withColumn("order", F.when(F.col("order_missing"), F.col("id")).otherwise(F.col("order")))
     reading = F.row_number().over(Window.partitionBy("image").orderBy(F.col("order").asc_nulls_last(), "id"))
     return placed.withColumn("place", reading.cast("bigint")).select("image", "place", "id", "text", "box", "order")
 
