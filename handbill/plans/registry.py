@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from handbill.functions import datetimes, geometry, jsons, schema, text
-from handbill.operators import blocks, events
+from handbill.operators import blocks, events, layout, records
+from handbill.sources import files, search, sinks
 
 TODAY = date(2026, 3, 15)
 TIMES = ["7 pm", "5 - 8:30 pm", "19:00", "noon", "7:30 pm – 9 pm", "12 am", "doors 7pm", "25 - 7 pm"]
@@ -301,3 +302,94 @@ def badge_overlap(spark, sf_dir):
     before = F.collect_list("box").over(Window.partitionBy("conv_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, -1))
     hits = F.filter("before", lambda b: geometry.overlap(F.col("box"), b))
     return badges.withColumn("before", before).select("conv_id", "turn", F.size(hits).cast("bigint").alias("n_overlaps"))
+
+
+def prediction_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs as the JSON files that a model leaves: events under prediction.events, with a stray text among them."""
+    e = F.to_json(F.struct("event_name", "venue", "date", "time", "recurring"))
+    own = raw_events(spark, sf_dir).groupBy("run_id").agg(F.array_sort(F.collect_list(F.struct("ordinal", e.alias("e")))).alias("all"))
+    body = F.concat(F.lit('{"prediction":{"events":["stray",'), F.array_join(F.transform("all", lambda x: x["e"]), ","), F.lit("]}}"))
+    name = F.concat(F.lit("prediction"), F.col("run_id").cast("string"), F.lit(".json"))
+    return own.select("run_id", name.alias("file_name"), body.alias("body")).withColumn("v", jsons.strict_json(F.col("body")))
+
+
+@query("""WITH {raw} SELECT 'prediction' || run_id || '.json' AS source, row_number() OVER (PARTITION BY run_id ORDER BY ordinal) AS pos,
+  nullif(trim(event_name), '') AS event_name, venue, date, time, recurring FROM raw""")
+def prediction_events(spark, sf_dir):
+    rows = files.prediction_events(prediction_files(spark, sf_dir))
+    return rows.select("source", F.col("pos").cast("bigint").alias("pos"), "event_name", "venue", "date", "time", "recurring")
+
+
+@query("""WITH {raw} SELECT 'enriched_' || run_id || '.json' AS file_name, string_agg(coalesce(trim(event_name), '-'), '|' ORDER BY ordinal) AS titles FROM raw GROUP BY run_id""")
+def result_files(spark, sf_dir):
+    """Names of result files and the titles in each, in order."""
+    made = prediction_files(spark, sf_dir)
+    kept = sinks.per_file(files.prediction_events(made), made, "enriched_", F.coalesce("event_name", F.lit("-")))
+    return kept.select("file_name", F.array_join("items", "|").alias("titles"))
+
+
+@query()
+def normalize_when(spark, sf_dir):
+    """Dates and times of all events; a file's first year stands in for a missing one."""
+    return records.normalize_when(files.prediction_events(prediction_files(spark, sf_dir)).drop("ordinal"), TODAY)
+
+
+def annotation_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as the JSON that layout analysis leaves: boxes or polygons, an order or none."""
+    t = F.col("turn").cast("double")
+    x1, y1, x2, y2 = t * 10, t * 20, t * 10 + 300, t * 20 + 33
+    odd = F.col("turn") % 2 == 1
+    text_ = F.when(F.col("turn") % 4 == 1, F.lit(" ")).otherwise(F.col("text"))
+    order = F.when(F.col("turn") % 3 != 0, -F.col("turn"))
+    item = F.struct(text_.alias("block_content"), F.when(~odd, F.array(x1, y1, x2, y2)).alias("block_bbox"), F.when(odd, F.array(F.array(x1, y1), F.array(x2, y1), F.array(x2, y2), F.array(x1, y2))).alias("block_poly"), order.alias("block_order"))
+    body = F.to_json(item, {"ignoreNullFields": "false"})
+    own = table(spark, sf_dir, "conversations").groupBy(F.col("conv_id").alias("idx")).agg(F.array_sort(F.collect_list(F.struct("turn", body.alias("e")))).alias("all"))
+    whole = F.concat(F.lit('{"width":1920,"height":1080,"parsing_res_list":['), F.array_join(F.transform("all", lambda x: x["e"]), ","), F.lit("]}"))
+    return own.select("idx", jsons.strict_json(whole).alias("v"))
+
+
+@query("WITH " + BLOCKS.format("id"))
+def annotation_blocks(spark, sf_dir):
+    made = blocks.build_blocks(files.annotation_items(annotation_files(spark, sf_dir)))
+    return made.select("image", "place", "id", F.array_join("box", ",").alias("box"))
+
+
+def page_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = F.col("turn").cast("double")
+    where = [(t * 37 % 1500).alias("x1"), (t * 53 % 900).alias("y1"), (t * 37 % 1500 + 420).alias("x2"), (t * 53 % 900 + 160).alias("y2")]
+    return table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("image"), F.col("turn").alias("place"), F.col("turn").alias("id"), text.clean_text(F.col("text")).alias("text"), *where, F.lit(1920).alias("width"), F.lit(1080).alias("height"))
+
+
+@query()
+def badge_place(spark, sf_dir):
+    return layout.place_badges(layout.badge_size(layout.clamp_boxes(page_boxes(spark, sf_dir))))
+
+
+@query()
+def canvas_svg(spark, sf_dir):
+    return layout.canvas(page_boxes(spark, sf_dir))
+
+
+@query("""WITH {raw}, n AS (SELECT ordinal, row_number() OVER () AS i, event_name, venue FROM raw)
+SELECT ordinal, CASE WHEN ordinal % 5 = 0 THEN 0 WHEN ordinal % 3 = 0 THEN 1 ELSE 2 END::BIGINT AS n_results, CASE WHEN ordinal % 5 <> 0 THEN venue END AS first_title FROM n""")
+def search_evidence(spark, sf_dir):
+    """Evidence read from raw answers: results without a link don't count, two are kept."""
+    k = F.col("ordinal")
+    links = F.when(k % 3 == 0, F.lit('"","http://b"')).otherwise(F.lit('"http://a","http://b"'))
+    result = F.transform(F.split(F.translate(links, '"', ""), ","), lambda u: F.struct(F.concat(F.lit(" "), F.col("venue")).alias("title"), F.lit("s").alias("snippet"), u.alias("link")))
+    raw = F.when(k % 5 == 0, F.lit("no json")).otherwise(F.to_json(F.struct(result.alias("organic"))))
+    rows = raw_events(spark, sf_dir).withColumn("found", search.evidence(raw, 2))
+    return rows.select("ordinal", F.size("found").cast("bigint").alias("n_results"), F.get("found", F.lit(0))["title"].alias("first_title"))
+
+
+@query("""SELECT d.doc_id AS idx, CASE WHEN l.doc_id IS NULL OR l.toxic = 1 THEN 'target' ELSE '' END AS missing,
+  CASE WHEN l.doc_id IS NOT NULL AND l.toxic <> 1 THEN '{"events":["' || coalesce(l.quality, -1) || '"]}' END AS target FROM documents d LEFT JOIN labels l USING (doc_id)""")
+def training_samples(spark, sf_dir):
+    """Chat samples of images, canvases, prompts and targets; bare lists and objects are targets, other values are none."""
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("idx"))
+    quality = F.concat(F.lit('["'), F.coalesce(F.col("quality").cast("string"), F.lit("-1")), F.lit('"]'))
+    body = F.when(F.col("toxic") == 1, F.lit('"none"')).when(F.col("doc_id") % 2 == 0, quality).otherwise(F.concat(F.lit('{"events":'), quality, F.lit(',"more":1}')))
+    targets = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("idx"), jsons.strict_json(body).alias("v"))
+    paths = text.sibling_paths(F.lit("root"), F.col("idx"))
+    made = records.training_samples(docs.withColumn("path", paths["image"]), docs.withColumn("path", paths["canvas"]), docs.withColumn("prompt", F.lit("[]")), targets)
+    return made.select("idx", F.array_join("missing", ",").alias("missing"), F.get("messages", F.lit(1))["content"][0]["text"].alias("target"))
