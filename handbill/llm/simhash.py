@@ -195,7 +195,12 @@ def near_duplicates(docs: DataFrame, words: int = 3, within: int = 3) -> DataFra
     """
     rows = materialise(fingerprints(docs, words), "fingerprints")
     nodes = materialise(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
-    roots = components(links(nodes, nodes.count(), within)).withColumnRenamed("node", "fp")
+    return grouped(rows, nodes, links(nodes, nodes.count(), within))
+
+
+def grouped(rows: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """rows with component_id: the smallest of nodes(fp, least) in the component that edges(a, b) make."""
+    roots = components(edges).withColumnRenamed("node", "fp")
     nodes = nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     found = nodes.groupBy("root").agg(F.min("least").alias("component_id"))
     return rows.join(nodes.join(found, "root").select("fp", "component_id"), "fp")
@@ -206,7 +211,11 @@ def deduplicate(docs: DataFrame, **options) -> DataFrame:
 
     Rows that repeat in doc_id and text count as one.
     """
-    found = near_duplicates(docs, **options)
+    return keep_least(docs, near_duplicates(docs, **options))
+
+
+def keep_least(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """The documents with the smallest doc_id of each component of found, which near_duplicates() returns."""
     least = F.min(F.struct("doc_id", "text_hash"))
     with_root = found.withColumn("group", F.when(F.col("component_id").isNull(), F.struct(F.col("fp").alias("k"), F.lit(0).alias("z"))).otherwise(F.struct(F.col("component_id").alias("k"), F.lit(1).alias("z"))))
     keep = with_root.groupBy("group").agg(least.alias("kept")).select("kept.*")
