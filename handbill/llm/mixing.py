@@ -11,9 +11,10 @@ from handbill.llm.common import WORD
 WEIGHTS = (3, 1, 2)
 
 
-def coin(seed: str = "mix", doc_id: str = "doc_id") -> Column:
-    """A number in [0, 1) that only the seed and the document decide: 52 bits of an MD5."""
-    text = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(doc_id).cast("string"), F.lit("null")))
+def coin(seed: str = "mix", doc_id: str = "doc_id", *more: Column) -> Column:
+    """A number in [0, 1) that only the seed, the document and what is given besides decide: 52 bits of an MD5."""
+    parts = [F.coalesce(F.col(doc_id).cast("string"), F.lit("null")), *(c.cast("string") for c in more)]
+    text = F.concat(F.lit(f"{seed}:"), F.concat_ws(":", *parts))
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, 13), 16, 10).cast("bigint") / F.lit(float(2**52))
 
 
@@ -73,6 +74,30 @@ def mix(docs: DataFrame, seed: str = "mix", **options) -> DataFrame:
     )
 
 
+def mix_apart(docs: DataFrame, seed: str = "mix", **options) -> DataFrame:
+    """As mix(), but each row tosses a coin of its own: doc_id, the text's hash and a rank among equal rows decide it.
+
+    Equal rows come as one, with their copies summed, so a source meets its target whatever its ids are. mix() keeps
+    to the coin that SQL states.
+    """
+    sized = docs.groupBy(*docs.columns).agg(F.count(F.lit(1)).alias("equal"))
+    sized = sized.withColumn("size", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint"))
+    targets = source_targets(sized.select("source", (F.col("size") * F.col("equal")).alias("size")), **options)
+    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
+    tossed = F.aggregate(
+        F.sequence(F.lit(1), F.col("equal").cast("int")),
+        F.lit(0),
+        lambda n, i: n + (coin(seed, "doc_id", F.xxhash64("text"), i) < F.col("rate") - F.floor("rate")).cast("int"),
+    )
+    return (
+        sized.join(targets, F.col("source").eqNullSafe(F.col("mix_source")))
+        .drop("mix_source")
+        .withColumn("rate", rate)
+        .withColumn("copies", (F.col("equal") * F.floor("rate") + tossed).cast("bigint"))
+        .drop("equal")
+    )
+
+
 def emit(mixed: DataFrame, columns: list[str]) -> DataFrame:
     """Each document of mix() as many times as its copies say."""
     return mixed.withColumn("copy", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))).select(*columns)
