@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -25,28 +25,61 @@ def prepare(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a fresh local one where it is unset."""
+    """This application's part of the folder that driver and executors share, which spark.checkpoint.dir names.
+
+    Where that is unset, a fresh local folder serves a local master, as in tests; on a cluster it is an error.
+    """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="handbill-")
         spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
+    return f"{found.rstrip('/')}/handbill-{spark.sparkContext.applicationId}"
+
+
+@contextmanager
+def settings(spark: SparkSession, **values: str) -> Iterator[None]:
+    """Session settings (dots as two underscores) that hold inside the block only."""
+    before = {k.replace("__", "."): spark.conf.get(k.replace("__", "."), None) for k in values}
+    try:
+        for k, v in values.items():
+            spark.conf.set(k.replace("__", "."), v)
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write df to the shared folder and read it back: cuts the lineage and survives lost executors.
 
-    Spark drops shuffle files once the driver has collected the plans that made them; what has been written needs
-    them no more, so the driver is asked to collect now rather than at some later time.
+    Shuffle files of the job that writes go when it ends: what has been written needs them no more.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/handbill-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    with settings(spark, spark__sql__classic__shuffleDependency__fileCleanup__enabled="true"):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name like `name` that df doesn't have, whatever the case of its letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def others(df: DataFrame, *names: str) -> list[str]:
+    """df's columns but for those named like one of names: what passes through beside new columns of those names."""
+    new = {n.lower() for n in names}
+    return [c for c in df.columns if c.lower() not in new]
+
+
 def text_or_empty(col: str = "text") -> Column:
     return F.coalesce(F.col(col), F.lit(""))
 
