@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import zlib
 from bisect import bisect_left, insort
+from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -13,92 +15,97 @@ from pyspark.sql import functions as F
 from handbill.llm.common import arrow_map, numbered, prepare, ranks
 from handbill.llm.tokens import byte_bpe_path, encoder_of
 
-#: Patterns that pricing may make for the linear program.
-ROUNDS = 400
+#: Share of the pieces that the program's patterns place, at least; best-fit has the rest.
+PLACED = 0.9
+#: Settings that are tried in turn until a plan is as good as any known: how hard lengths that lag pull; how much more a long
+#: piece is worth than short ones of the same sum; how far under the best value a pattern may be to be taken for being
+#: fuller; the share of what is left that a pattern may take at once; whether a length is used once a round.
+SETTINGS = ((0.05, 4.0, 0.01, 0.97, False), (0.2, 1.0, 0.5, 0.5, True), (0.0, 4.0, 0.02, 0.9, False), (0.2, 4.0, 0.02, 0.9, False))
 
+Pattern = tuple[tuple[int, int], ...]  # (length, copies), longest first
 
-def price(value: np.ndarray, capacity: int) -> dict[int, int]:
-    """The pattern {length: copies} of most value under capacity: unbounded knapsack by dynamic programming.
 
-    value[l - 1] is what one piece of length l is worth.
+def price(worth: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """Unbounded knapsack by dynamic programming: the most value of exactly c (-inf: no such sum), and a length in that.
+
+    worth[l] is what one piece of length l is worth, 0 if there is none.
     """
-    lengths = np.flatnonzero(value > 0) + 1
-    worth = value[lengths - 1]
-    best = np.zeros(capacity + 1)
-    took = np.zeros(capacity + 1, np.int64)
+    lengths = np.flatnonzero(worth[: capacity + 1] > 0)
+    each, below = worth[lengths], np.searchsorted(lengths, np.arange(capacity + 1), "right")
+    value, took = np.full(capacity + 1, -np.inf), np.zeros(capacity + 1, np.int64)
+    value[0] = 0
     for c in range(1, capacity + 1):
-        best[c] = best[c - 1]
-        n = np.searchsorted(lengths, c, "right")
-        if n:
-            total = best[c - lengths[:n]] + worth[:n]
+        if n := below[c]:
+            total = value[c - lengths[:n]] + each[:n]
             i = int(total.argmax())
-            if total[i] > best[c]:
-                best[c], took[c] = total[i], lengths[i]
-    pattern: dict[int, int] = {}
-    c = capacity
-    while c > 0:
-        if took[c]:
-            pattern[int(took[c])] = pattern.get(int(took[c]), 0) + 1
-            c -= int(took[c])
-        else:
-            c -= 1
-    return pattern
+            value[c], took[c] = total[i], lengths[i]
+    return value, took
+
 
+def lower_bound(counts: np.ndarray, worth: np.ndarray, value: np.ndarray) -> float:
+    """What the dual solution worth / (most value of a pattern) proves: no packing, not even a fractional one, has fewer sequences."""
+    return float((counts * worth[1:]).sum() / value.max())
 
-def fractional(counts: np.ndarray, capacity: int, rounds: int = ROUNDS, rate: float = 0.35) -> dict[tuple, float]:
-    """A covering of counts by patterns, by multiplicative weights.
 
-    A length's weight falls by exp(-rate * share) as its pieces are covered; each round adds the best-priced
-    pattern until some length in it has had another tenth of its pieces.
+def program(counts: np.ndarray, capacity: int, pull: float, bias: float, slack: float, share: float, once: bool) -> Iterator[tuple[dict[Pattern, int], np.ndarray, float]]:
+    """The configuration program by multiplicative weights, in whole patterns: (patterns so far, pieces left, bound) after each round.
+
+    A length's weight falls by exp(-pull) as its pieces are covered. A round prices all patterns by one dynamic program,
+    then takes, for each length from the longest down, the fullest pattern through it whose value is within slack of the
+    best. Where a round finds none, the slack doubles. Ends when all pieces are covered.
     """
-    need = counts.astype(float)
-    have = np.flatnonzero(counts)
-    x: dict[tuple, float] = {}
-    covered = np.zeros(capacity)
-    weight = np.where(counts > 0, 1.0, 0.0)
+    need, left, chosen = counts.astype(float), counts.astype(np.int64).copy(), {}
     size = np.arange(1, capacity + 1) / capacity
-    for _ in range(rounds):
-        if not len(have) or covered[have].min() >= 1:
-            break
-        weight[covered >= 1] = 0
-        pattern = price(weight * size, capacity)
-        if not pattern:
-            break
-        step = max(1.0, min(max(0.1 * need[n - 1], 1.0) / k for n, k in pattern.items()))
-        key = tuple(sorted(pattern.items(), reverse=True))
-        x[key] = x.get(key, 0.0) + step
-        for n, k in pattern.items():
-            covered[n - 1] += step * k / need[n - 1]
-            weight[n - 1] *= np.exp(-rate * step * k / need[n - 1])
-    return x
-
+    bound = max(float((counts * size).sum()), float(counts[capacity // 2 :].sum()))
+    while left.any():
+        lengths = np.flatnonzero(left) + 1
+        lag = left[lengths - 1] / need[lengths - 1]
+        worth = np.zeros(capacity + 1)
+        worth[lengths] = size[lengths - 1] * (1 + bias * size[lengths - 1]) * np.exp(pull * (lag - lag.min()))
+        value, took = price(worth, capacity)
+        if len(lengths) == np.count_nonzero(counts):
+            bound = max(bound, lower_bound(counts, worth, value))
+        enough, used, moved = (1 - slack) * value.max(), set(), False
+        for length in lengths[::-1].tolist():
+            if once and length in used:
+                continue
+            near = np.flatnonzero(worth[length] + value[: capacity - length + 1] >= enough)
+            if not len(near):
+                continue
+            held, c = {length: 1}, int(near[-1])
+            while c:
+                held[int(took[c])] = held.get(int(took[c]), 0) + 1
+                c -= int(took[c])
+            if slack >= 1:  # nothing else moves: as many copies as there are
+                held = {n: min(k, int(left[n - 1])) for n, k in held.items() if left[n - 1]}
+            if any(k > left[n - 1] for n, k in held.items()) or length not in held or (once and used & held.keys()):
+                continue
+            times = max(1, int(min(share * left[n - 1] / k for n, k in held.items())))
+            pattern = tuple(sorted(held.items(), reverse=True))
+            chosen[pattern] = chosen.get(pattern, 0) + times
+            for n, k in held.items():
+                left[n - 1] -= k * times
+            used |= held.keys()
+            moved = True
+        if moved:
+            yield chosen, left, bound
+        else:
+            slack = min(1.0, 2 * slack)
 
-def plan(counts: np.ndarray, capacity: int) -> list[tuple[tuple, int]]:
-    """(pattern, how often) that hold exactly counts[l - 1] pieces of each length l.
 
-    Rounds the fractional covering down, as far as pieces last; what is left over goes best-fit, longest first,
-    into the gaps of what there is, then into new sequences. Works on the histogram alone, so its time and its
-    size depend on the capacity, not on the number of documents.
-    """
-    left = counts.astype(np.int64).copy()
-    groups: list[list] = []  # [free, pattern, times]
-    for pattern, times in fractional(left, capacity).items():
-        n = min([int(times), *(int(left[length - 1]) // k for length, k in pattern)])
-        if n > 0:
-            groups.append([capacity - sum(length * k for length, k in pattern), dict(pattern), n])
-            for length, k in pattern:
-                left[length - 1] -= n * k
-    by_free: dict[int, list[list]] = {}
+def best_fit(chosen: dict[Pattern, int], left: np.ndarray, capacity: int) -> list[tuple[Pattern, int]]:
+    """chosen with the pieces that are left: longest first, each into the least gap that holds it, else into a new sequence."""
+    by_free: dict[int, list[tuple[dict, int]]] = {}
     free: list[int] = []
 
     def put(gap: int, pattern: dict, times: int) -> None:
         if gap not in by_free:
             by_free[gap] = []
             insort(free, gap)
-        by_free[gap].append([pattern, times])
+        by_free[gap].append((pattern, times))
 
-    for gap, pattern, times in groups:
-        put(gap, pattern, times)
+    for pattern, times in chosen.items():
+        put(capacity - sum(length * k for length, k in pattern), dict(pattern), times)
     for length in range(capacity, 0, -1):
         n = int(left[length - 1])
         while n:
@@ -116,10 +123,52 @@ def plan(counts: np.ndarray, capacity: int) -> list[tuple[tuple, int]]:
                 put(gap, pattern, times - used)
             put(gap - k * length, {**pattern, length: pattern.get(length, 0) + k}, used)
             n -= k * used
-    return [(tuple(sorted(p.items(), reverse=True)), t) for gap in by_free.values() for p, t in gap if t]
+    return [(tuple(sorted(p.items(), reverse=True)), t) for gap in by_free.values() for p, t in gap]
+
+
+@dataclass
+class Plan:
+    """(pattern, how often) that hold exactly the pieces there are; the share of them that the program placed; a lower bound."""
+
+    patterns: list[tuple[Pattern, int]]
+    placed: float
+    bound: float
+
+    @property
+    def sequences(self) -> int:
+        return sum(times for _, times in self.patterns)
+
+
+def plan(counts: np.ndarray, capacity: int) -> Plan:
+    """The fewest sequences found for counts[l - 1] pieces of each length l.
+
+    For each setting the program runs until its patterns place PLACED of the pieces and a little more; of its last states
+    the one is kept that best-fit completes with the fewest sequences. Settings are tried until a plan reaches the bound
+    or best-fit's number. Best-fit's own patterns are columns of the program too: they stand only where pricing
+    under every setting has found no plan of as few sequences (placed is then 0).
+    Works on the histogram alone, so time and size depend on the capacity, not on the number of documents.
+    """
+    counts = counts.astype(np.int64)
+    total = int(counts.sum())
+    plain = Plan(best_fit({}, counts, capacity), 0.0, 0.0)
+    best, bound = None, 0.0
+    for setting in SETTINGS if total else ():
+        for chosen, left, proved in program(counts, capacity, *setting):
+            bound, placed = max(bound, proved), 1 - int(left.sum()) / total
+            if placed >= PLACED:
+                done = Plan(best_fit(chosen, left, capacity), placed, 0.0)
+                if best is None or done.sequences < best.sequences:
+                    best = done
+            if placed >= PLACED + 0.05:
+                break
+        if best.sequences <= max(plain.sequences, int(np.ceil(bound - 1e-6))):
+            break
+    if best is None or best.sequences > plain.sequences:
+        best = plain
+    return Plan(best.patterns, best.placed, bound)
 
 
-def table(patterns: list[tuple[tuple, int]]) -> np.ndarray:
+def table(patterns: list[tuple[Pattern, int]]) -> np.ndarray:
     """Rows of (length, first rank, copies a sequence, first sequence, offset in it), sorted: which sequence takes a rank."""
     taken: dict[int, int] = {}
     rows, sequence = [], 0
@@ -171,7 +220,7 @@ def pack(docs: DataFrame, path: str | None = None, capacity: int = 1024, end: in
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset for every piece of every document.
 
     The histogram of lengths (capacity numbers) goes to the driver, which solves the configuration linear
-    program by multiplicative weights with knapsack pricing and rounds it to whole patterns. A piece's
+    program by multiplicative weights with knapsack pricing, in whole patterns, and completes it by best-fit. A piece's
     rank among those of its length says which sequence of which pattern takes it.
 
     Null texts count as empty: one piece that holds the end id alone. Rows that repeat, doc_id null or not, are packed
@@ -182,7 +231,7 @@ def pack(docs: DataFrame, path: str | None = None, capacity: int = 1024, end: in
     counts = np.zeros(capacity, np.int64)
     for r in rows.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect():
         counts[r["length"] - 1] = r["n"]
-    where = table(plan(counts, capacity))
+    where = table(plan(counts, capacity).patterns)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def make():
