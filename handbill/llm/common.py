@@ -10,6 +10,7 @@ from contextlib import contextmanager
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Java's spelling of the word pattern that every contract here uses.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -111,7 +112,7 @@ def ranks(rows: DataFrame, key: str) -> DataFrame:
     )
 
 
-def arrow_map(df: DataFrame, schema: str, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | None]]) -> DataFrame:
+def arrow_map(df: DataFrame, schema: str | StructType, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | None]]) -> DataFrame:
     """mapInArrow with a function made once for each task, which turns one batch into one batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 import struct
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from handbill.llm.common import arrow_map, prepare, utf8
+from handbill.llm.common import arrow_map, others, prepare, utf8
 
-#: Samples of a payload in a row of blocks, and the rows that a JPEG's 16-bit height allows.
-ROW, MOST_ROWS = 192, 65_535 // 8
+#: Samples that a payload is filled up to multiples of; blocks in a row are such a multiple too. Blocks that a JPEG's 16-bit
+#: width and height allow.
+ROW, MOST_BLOCKS = 192, 65_535 // 8
 #: Samples that are coded together.
 GROUP = 1 << 20
 
@@ -23,7 +25,9 @@ DC_BITS = (0, 1, 5, 1, 1, 1, 1, 1, 1, 0, 0, 0, 0, 0, 0, 0)
 DC_SYMBOLS = tuple(range(12))
 AC_BITS = (1, 0, 0, 0, 0, 0, 0, 0, 0, 0, 0, 0, 0, 0, 0, 0)
 AC_SYMBOLS = (0,)
-SOI, EOI, SOF0, DHT, DQT, DRI, SOS, RST0 = 0xD8, 0xD9, 0xC0, 0xC4, 0xDB, 0xDD, 0xDA, 0xD0
+SOI, EOI, SOF0, DHT, DQT, DRI, SOS, RST0, COM = 0xD8, 0xD9, 0xC0, 0xC4, 0xDB, 0xDD, 0xDA, 0xD0, 0xFE
+#: Opens the comment that says how many samples an image holds; those after them fill up its last row.
+HELD = b"samples "
 
 
 def codes(bits: tuple[int, ...], symbols: tuple[int, ...]) -> list[tuple[int, int, int]]:
@@ -50,18 +54,19 @@ def segment(marker: int, body: bytes) -> bytes:
     return struct.pack(">BBH", 0xFF, marker, len(body) + 2) + body
 
 
-def header(rows: int) -> bytes:
-    """Up to the scan: one component of ROW x rows blocks, all quantisers 8, a restart after each row of blocks.
+def header(samples: int, width: int) -> bytes:
+    """Up to the scan: one component of one block a sample, `width` in a row, all quantisers 8, a restart after each row.
 
     With those, a block's DC coefficient is its sample less 128, so samples come back as they were.
     """
     return b"".join([
         bytes([0xFF, SOI]),
+        segment(COM, HELD + b"%d" % samples),
         segment(DQT, bytes([0]) + bytes([8]) * 64),
-        segment(SOF0, struct.pack(">BHHB", 8, rows * 8, ROW * 8, 1) + bytes([1, 0x11, 0])),
+        segment(SOF0, struct.pack(">BHHB", 8, -(-samples // width) * 8, width * 8, 1) + bytes([1, 0x11, 0])),
         segment(DHT, bytes([0x00, *DC_BITS, *DC_SYMBOLS])),
         segment(DHT, bytes([0x10, *AC_BITS, *AC_SYMBOLS])),
-        segment(DRI, struct.pack(">H", ROW)),
+        segment(DRI, struct.pack(">H", width)),
         segment(SOS, bytes([1, 1, 0x00, 0, 63, 0])),
     ])
 
@@ -82,7 +87,7 @@ VALUE, COUNT = difference_codes()
 
 
 def scans(samples: np.ndarray, image_rows: list[int]) -> list[bytes]:
-    """Entropy-coded scans of images that stand one after the other in samples (rows x ROW)."""
+    """Entropy-coded scans of images of one width that stand one after the other in samples (rows x width)."""
     d = samples.astype(np.int16)
     d[:, 1:] -= samples[:, :-1]
     d[:, 0] -= 128
@@ -120,31 +125,52 @@ def scans(samples: np.ndarray, image_rows: list[int]) -> list[bytes]:
     return [out[a:b].tobytes() for a, b in zip([0, *cut[:-1]], cut, strict=True)]
 
 
+def width_of(samples: int) -> int:
+    """Samples in a row: ROW, or as many times that as make the image low enough."""
+    return ROW * min(MOST_BLOCKS // ROW, max(1, -(-samples // (ROW * MOST_BLOCKS))))
+
+
 def encode(payloads: list[bytes]) -> list[bytes]:
-    """A JPEG file of each payload, whose length is a multiple of ROW; of one too high for a file, several in a row."""
-    cuts = [[p[a : a + ROW * MOST_ROWS] for a in range(0, len(p), ROW * MOST_ROWS)] for p in payloads]
-    flat = [x for own in cuts for x in own]
-    rows = [len(x) // ROW for x in flat]
-    coded = scans(np.frombuffer(b"".join(flat), np.uint8).reshape(-1, ROW), rows)
-    files = iter([header(n) + x + bytes([0xFF, EOI]) for n, x in zip(rows, coded, strict=True)])
-    return [b"".join(next(files) for _ in own) for own in cuts]
+    """A JPEG file of each payload. One of over 66 million samples, the most that the format holds, is several in a row."""
+    most = MOST_BLOCKS // ROW * ROW * MOST_BLOCKS
+    parts = [(i, p[a : a + most]) for i, p in enumerate(payloads) for a in range(0, len(p), most)]
+    out: list[list[bytes]] = [[] for _ in payloads]
+    coded: dict[int, bytes] = {}
+    by_width: dict[int, list[int]] = {}
+    for k, (_, p) in enumerate(parts):
+        by_width.setdefault(width_of(len(p)), []).append(k)
+    for width, own in by_width.items():
+        full = [parts[k][1] + b" " * (-len(parts[k][1]) % width) for k in own]
+        coded |= zip(own, scans(np.frombuffer(b"".join(full), np.uint8).reshape(-1, width), [len(x) // width for x in full]), strict=True)
+    for k, (i, p) in enumerate(parts):
+        out[i].append(header(len(p), width_of(len(p))) + coded[k] + bytes([0xFF, EOI]))
+    return [b"".join(x) for x in out]
 
 
 @dataclass
 class Image:
-    """What the markers of one baseline image say."""
+    """What the markers of one baseline image say, and its scan of the first component: the luminance."""
 
     width: int = 0
     height: int = 0
-    components: list[list[int]] = field(default_factory=list)  # id, across, down, quantiser, dc table, ac table
+    held: int | None = None  # samples, of images that encode() made
+    components: list[tuple[int, int, int, int]] = field(default_factory=list)  # id, across, down, quantiser
     quantisers: dict[int, int] = field(default_factory=dict)  # of the DC coefficient
     tables: dict[int, tuple] = field(default_factory=dict)
     interval: int = 0
+    scan: tuple = ()  # (component, its DC table, its AC table) of each component of the scan
     data: tuple[int, int] = (0, 0)
 
 
 def parse(file: bytes, at: int = 0) -> tuple[Image, int]:
-    """The image that begins at `at`, and where it ends."""
+    """The image that begins at `at`, and where it ends. Anything but a whole baseline image is a ValueError."""
+    try:
+        return markers(file, at)
+    except (IndexError, KeyError, struct.error) as broken:
+        raise ValueError("a marker is cut off or refers to nothing") from broken
+
+
+def markers(file: bytes, at: int) -> tuple[Image, int]:
     image = Image()
     if file[at : at + 2] != bytes([0xFF, SOI]):
         raise ValueError("no JPEG begins here")
@@ -153,14 +179,20 @@ def parse(file: bytes, at: int = 0) -> tuple[Image, int]:
         while file[at + 1] == 0xFF:
             at += 1
         marker = file[at + 1]
+        if marker == EOI:
+            raise ValueError("no scan of the first component")
         (size,) = struct.unpack_from(">H", file, at + 2)
         body = file[at + 4 : at + 2 + size]
         at += 2 + size
         if marker == SOF0 or marker == 0xC1:
-            _, image.height, image.width, n = struct.unpack_from(">BHHB", body)
-            image.components = [[body[6 + 3 * i], body[7 + 3 * i] >> 4, body[7 + 3 * i] & 15, body[8 + 3 * i], 0, 0] for i in range(n)]
+            depth, image.height, image.width, n = struct.unpack_from(">BHHB", body)
+            image.components = [(body[6 + 3 * i], body[7 + 3 * i] >> 4, body[7 + 3 * i] & 15, body[8 + 3 * i]) for i in range(n)]
+            if depth != 8 or not image.height or not image.width or not n or any(not 1 <= x <= 4 for c in image.components for x in c[1:3]):
+                raise ValueError("not an image of 8-bit samples and known size")
         elif 0xC2 <= marker <= 0xCF and marker not in (DHT, 0xC8, 0xCC):
             raise ValueError("not a baseline JPEG")
+        elif marker == COM and body.startswith(HELD):
+            image.held = int(body[len(HELD) :])
         elif marker == DQT:
             while body:
                 wide = body[0] >> 4
@@ -169,23 +201,38 @@ def parse(file: bytes, at: int = 0) -> tuple[Image, int]:
         elif marker == DHT:
             while body:
                 bits = tuple(body[1:17])
-                image.tables[body[0]] = (bits, tuple(body[17 : 17 + sum(bits)]))
+                image.tables = image.tables | {body[0]: (bits, tuple(body[17 : 17 + sum(bits)]))}
                 body = body[17 + sum(bits) :]
         elif marker == DRI:
             (image.interval,) = struct.unpack(">H", body)
         elif marker == SOS:
-            order = {body[1 + 2 * i]: body[2 + 2 * i] for i in range(body[0])}
-            for c in image.components:
-                c[4], c[5] = order[c[0]] >> 4, order[c[0]] & 15
+            number = {c[0]: i for i, c in enumerate(image.components)}
+            scan = tuple((number[body[1 + 2 * i]], body[2 + 2 * i] >> 4, 16 + (body[2 + 2 * i] & 15)) for i in range(body[0]))
             end = at
             while True:  # the first marker that is neither a stuffed byte nor a restart
                 end = file.index(0xFF, end)
                 if file[end + 1] and not RST0 <= file[end + 1] < RST0 + 8:
                     break
                 end += 2
-            image.data = (at, end)
-            at = file.index(bytes([0xFF, EOI]), end) + 2
-            return image, at
+            if scan[0][0] == 0:  # components come in their order, in each scan too
+                image.quantisers = {k: image.quantisers[k] for k in (image.components[0][3],)}
+                tables = {k: image.tables[k] for _, *own in scan for k in own}
+                return replace(image, scan=scan, data=(at, end), tables=tables), end_of(file, end)
+            at = end
+
+
+def end_of(file: bytes, at: int) -> int:
+    """Where the image ends whose scan ends at `at`: later scans and tables are read over."""
+    while file[at + 1] != EOI:
+        if file[at + 1] == 0xFF:
+            at += 1
+            continue
+        (size,) = struct.unpack_from(">H", file, at + 2)
+        scan = file[at + 1] == SOS
+        at += 2 + size
+        while scan and (file[at] != 0xFF or not file[at + 1] or RST0 <= file[at + 1] < RST0 + 8):
+            at = file.index(0xFF, at + 1 + (file[at] == 0xFF))
+    return at + 2
 
 
 def lanes(scan: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -245,8 +292,8 @@ def luminance(data: np.ndarray, begin: np.ndarray, units: np.ndarray, order: lis
     return out
 
 
-def thumbnails(files: list[bytes]) -> list[list[np.ndarray]]:
-    """For each file its images' luminance thumbnails, one sample a block; images of one kind are decoded together."""
+def thumbnails(files: list[bytes]) -> list[list[tuple[Image, np.ndarray]]]:
+    """For each file its images, each with its luminance, one sample a block; images of one kind are decoded together."""
     images, at_file = [], []
     for i, file in enumerate(files):
         at = 0
@@ -256,49 +303,72 @@ def thumbnails(files: list[bytes]) -> list[list[np.ndarray]]:
             at_file.append(i)
     kinds: dict[tuple, list[int]] = {}
     for i, m in enumerate(images):
-        kinds.setdefault((tuple(map(tuple, m.components)), tuple(sorted(m.tables.items()))), []).append(i)
+        kinds.setdefault((tuple(m.components), m.scan, tuple(sorted(m.tables.items()))), []).append(i)
     shown: list[np.ndarray] = [np.zeros((0, 0), np.uint8)] * len(images)
     for own in kinds.values():
         first = images[own[0]]
-        single = len(first.components) == 1
-        across, down = (1, 1) if single else (max(c[1] for c in first.components), max(c[2] for c in first.components))
-        tables = {k: lookup(*v) for k, v in first.tables.items()}
+        across, down = (max(c[k] for c in first.components) for k in (1, 2))
+        _, h, v, quantiser = first.components[0]
+        alone = len(first.scan) == 1  # then a unit is one block of this component, else one of all of them
+        tables = {k: lookup(*t) for k, t in first.tables.items()}
         order, spot = [], []
-        for c, (_, h, v, _, dc, ac) in enumerate(first.components):
-            for y in range(1 if single else v):
-                for x in range(1 if single else h):
-                    order.append((c, tables[dc], tables[16 + ac]))
+        for c, dc, ac in first.scan:
+            for y in range(1 if alone else first.components[c][2]):
+                for x in range(1 if alone else first.components[c][1]):
+                    order.append((c, tables[dc], tables[ac]))
                     spot.append((c, y, x))
-        data, begin, units, held = [], [], [], 0
-        shape = []
+        data, begin, units, held, shape = [], [], [], 0, []
         for i in own:
             m = images[i]
             bytes_, starts = lanes(np.frombuffer(files[at_file[i]], np.uint8)[m.data[0] : m.data[1]])
-            wide, high = -(-m.width // (8 * across)), -(-m.height // (8 * down))
+            blocks_wide, blocks_high = -(-(-(-m.width * h // across)) // 8), -(-(-(-m.height * v // down)) // 8)
+            wide, high = (blocks_wide, blocks_high) if alone else (-(-m.width // (8 * across)), -(-m.height // (8 * down)))
             n = wide * high
             each = m.interval or n
+            if len(starts) < -(-n // each):
+                raise ValueError("a restart is missing")
             data.append(bytes_)
             begin.append(starts[: -(-n // each)] + held)
             units.append(np.minimum(each, n - each * np.arange(-(-n // each))))
             held += len(bytes_)
-            shape.append((wide, high, len(units[-1])))
+            shape.append((wide, high, blocks_wide, blocks_high, len(units[-1])))
         decoded = luminance(np.concatenate(data), np.concatenate(begin), np.concatenate(units), order)
         counts, lane = np.concatenate(units), 0
-        h, v, quantiser = (1, 1, first.components[0][3]) if single else (first.components[0][1], first.components[0][2], first.components[0][3])
-        for i, (wide, high, n) in zip(own, shape, strict=True):
-            m = images[i]
-            grid = np.zeros((high * v, wide * h), np.int64)
+        for i, (wide, high, blocks_wide, blocks_high, n) in zip(own, shape, strict=True):
+            grid = np.zeros((high, wide) if alone else (high * v, wide * h), np.int64)
             mask = np.arange(decoded[0].shape[1])[None, :] < counts[lane : lane + n, None]
             for k, (c, y, x) in enumerate(spot):
                 if c == 0:
-                    grid[y::v, x::h] = decoded[k][lane : lane + n][mask].reshape(high, wide)
+                    (grid if alone else grid[y::v, x::h])[:] = decoded[k][lane : lane + n][mask].reshape(high, wide)
             lane += n
-            grid = np.clip(np.rint(grid * m.quantisers[quantiser] / 8).astype(np.int64) + 128, 0, 255).astype(np.uint8)
-            shown[i] = grid[: -(-m.height // 8), : -(-m.width // 8)]
-            m.components = m.components[:1]
-    out: list[list[np.ndarray]] = [[] for _ in files]
-    for i, image in zip(at_file, shown, strict=True):
-        out[i].append(image)
+            grid = np.clip(np.rint(grid * images[i].quantisers[quantiser] / 8).astype(np.int64) + 128, 0, 255).astype(np.uint8)
+            shown[i] = grid[:blocks_high, :blocks_wide]
+    out: list[list[tuple[Image, np.ndarray]]] = [[] for _ in files]
+    for i, image, grid in zip(at_file, images, shown, strict=True):
+        out[i].append((image, grid))
+    return out
+
+
+def samples(shown: list[tuple[Image, np.ndarray]]) -> bytes:
+    """The samples of a file's images, without those that fill up a last row."""
+    return b"".join(x.tobytes() if m.held is None else x.tobytes()[: m.held] for m, x in shown)
+
+
+def read_or_error(files: list[bytes]) -> list[tuple]:
+    """(width, height, thumbnail, thumbnail_hash, error) of each file; one that can't be read has the error alone."""
+    try:
+        found = thumbnails(files)
+    except ValueError as broken:
+        if len(files) == 1:
+            return [(None, None, None, None, str(broken))]
+        return [x for file in files for x in read_or_error([file])]
+    out = []
+    for shown in found:
+        if not shown:
+            out.append((None, None, None, None, "no JPEG begins here"))
+            continue
+        image, grid = shown[0]
+        out.append((image.width, image.height, samples(shown), f"{average_hash(grid):016x}", None))
     return out
 
 
@@ -338,7 +408,7 @@ def groups(parts: list[bytes]) -> list[list[bytes]]:
     out: list[list[bytes]] = []
     held = GROUP
     for x in parts:
-        if held + len(x) > GROUP:
+        if not out or held + len(x) > GROUP:
             out.append([])
             held = 0
         out[-1].append(x)
@@ -347,32 +417,27 @@ def groups(parts: list[bytes]) -> list[list[bytes]]:
 
 
 def described(media: DataFrame) -> DataFrame:
-    """media's rows with width, height, thumbnail (its samples) and thumbnail_hash, from the stored bytes alone.
+    """media's rows with width, height, thumbnail (its samples), thumbnail_hash and error, from the stored bytes alone.
 
-    Of several images in a row, width and height are the first's; thumbnail holds the samples of all.
-    Null media has null in all four. Any baseline JPEG will do; another file is an error.
+    Any baseline JPEG will do, in one scan or several, of one component or more; another file has null in all but error.
+    Of several images in a row, width, height and hash are the first's; thumbnail holds the samples of all. Null media has null
+    in all five. Other columns pass through, but for those named like a new one.
     """
+    kept = [c for c in others(media, "width", "height", "thumbnail", "thumbnail_hash", "error")]
+
     def make():
         def read(batch: pa.RecordBatch) -> pa.RecordBatch:
             files = batch.column(batch.schema.get_field_index("media")).to_pylist()
-            there = [x for x in files if x is not None]
-            shown = iter([x for group in groups(there) for x in thumbnails(group)])
-            rows = []
-            for x in files:
-                if x is None:
-                    rows.append((None,) * 4)
-                    continue
-                images = next(shown)
-                image, _ = parse(x)
-                whole = images[0] if len(images) == 1 else np.concatenate(images)
-                rows.append((image.width, image.height, whole.tobytes(), f"{average_hash(whole):016x}"))
-            width, height, samples, hashed = zip(*rows, strict=True)
-            columns = [pa.array(width, pa.int32()), pa.array(height, pa.int32()), pa.array(samples, pa.binary()), pa.array(hashed, pa.string())]
-            return pa.record_batch([*batch.columns, *columns], [*batch.schema.names, "width", "height", "thumbnail", "thumbnail_hash"])
+            shown = iter([x for group in groups([x for x in files if x is not None]) for x in read_or_error(group)])
+            width, height, samples_, hashed, error = zip(*[(None,) * 5 if x is None else next(shown) for x in files], strict=True)
+            columns = [pa.array(width, pa.int32()), pa.array(height, pa.int32()), pa.array(samples_, pa.binary()), pa.array(hashed, pa.string()), pa.array(error, pa.string())]
+            return pa.record_batch([*batch.columns, *columns], [*batch.schema.names, "width", "height", "thumbnail", "thumbnail_hash", "error"])
 
         return read
 
-    return arrow_map(media, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in media.schema) + ", width int, height int, thumbnail binary, thumbnail_hash string", make)
+    new = [("width", T.IntegerType()), ("height", T.IntegerType()), ("thumbnail", T.BinaryType()), ("thumbnail_hash", T.StringType()), ("error", T.StringType())]
+    rows = media.select(*kept)
+    return arrow_map(rows, T.StructType([*rows.schema.fields, *(T.StructField(n, t) for n, t in new)]), make)
 
 
 def media_columns(docs: DataFrame) -> DataFrame:

@@ -5,19 +5,39 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from handbill.llm.common import WORD
+from handbill.llm.common import WORD, fresh, materialise, others
 
 #: Of the sources in code-point order, repeating.
 WEIGHTS = (3, 1, 2)
 
 
-def coin(seed: str = "mix", doc_id: str = "doc_id", *more: Column) -> Column:
-    """A number in [0, 1) that only the seed, the document and what is given besides decide: 52 bits of an MD5."""
-    parts = [F.coalesce(F.col(doc_id).cast("string"), F.lit("null")), *(c.cast("string") for c in more)]
-    text = F.concat(F.lit(f"{seed}:"), F.concat_ws(":", *parts))
+def coin(seed: str, *parts: Column) -> Column:
+    """A number in [0, 1) that only the seed and the parts decide (null as "null"): 52 bits of an MD5."""
+    text = F.concat_ws(":", F.lit(seed), *(F.coalesce(c.cast("string"), F.lit("null")) for c in parts))
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, 13), 16, 10).cast("bigint") / F.lit(float(2**52))
 
 
+def words(text: str = "text") -> Column:
+    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")
+
+
+def text_md5(text: str = "text") -> Column:
+    return F.md5(F.col(text).cast("binary"))
+
+
+def copies(rate: Column, seed: str, doc_id: Column, source: Column, digest: Column, rank: Column) -> Column:
+    """floor(rate) copies, and one more if the coin of this row falls under the rate's fraction."""
+    return (F.floor(rate) + (coin(seed, doc_id, source, digest, rank) < rate - F.floor(rate)).cast("int")).cast("bigint")
+
+
+def rated(sized: DataFrame, size: Column, **options) -> DataFrame:
+    """sized(source, ...) with source_size, target and rate: target by source_size, 0 for a source without words."""
+    targets = source_targets(sized.select("source", size.alias("size")), **options)
+    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
+    joined = sized.join(targets, F.col("source").eqNullSafe(F.col("mix_source")))
+    return joined.select(*sized.columns, "source_size", "target", rate.alias("rate"))
+
+
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, percent: int = 150, most: int = 2) -> DataFrame:
     """One row for each source of sizes(source, size): mix_source, source_size, target.
 
@@ -56,60 +76,46 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, percent
 
 
 def mix(docs: DataFrame, seed: str = "mix", **options) -> DataFrame:
-    """docs with size, source_size, target, rate and copies.
-
-    A document is emitted floor(rate) times, plus once more if its coin is under the rate's fraction; rate is
-    target / source_size, 0 for a source without words. Null texts have no words; null sources form one
-    source, the last; documents with the same doc_id toss the same coin, and so do documents without one.
-    An empty table gives an empty table; other columns pass through.
-    """
-    sized = docs.withColumn("size", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint"))
-    targets = source_targets(sized.select("source", "size"), **options)
-    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    return (
-        sized.join(targets, F.col("source").eqNullSafe(F.col("mix_source")))
-        .drop("mix_source")
-        .withColumn("rate", rate)
-        .withColumn("copies", (F.floor("rate") + (coin(seed) < F.col("rate") - F.floor("rate")).cast("int")).cast("bigint"))
-    )
-
-
-def mix_apart(docs: DataFrame, seed: str = "mix", **options) -> DataFrame:
-    """As mix(), but each row tosses a coin of its own: doc_id, the text's hash and a rank among equal rows decide it.
+    """docs with size, source_size, target, rate and copies; equal rows come as one, with their copies summed.
 
-    Equal rows come as one, with their copies summed, so a source meets its target whatever its ids are. mix() keeps
-    to the coin that SQL states.
+    A row is emitted floor(rate) times, plus once more if its coin is under the rate's fraction. doc_id, source, the
+    text's MD5 and a rank among equal rows decide a coin, so a source meets its target whatever its ids are, and reruns
+    agree. Null texts have no words; null sources form one source, the last. An empty table gives an empty
+    table; other columns pass through, but for those named like a new one; maps can't be compared and aren't taken.
     """
-    sized = docs.groupBy(*docs.columns).agg(F.count(F.lit(1)).alias("equal"))
-    sized = sized.withColumn("size", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint"))
-    targets = source_targets(sized.select("source", (F.col("size") * F.col("equal")).alias("size")), **options)
-    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    tossed = F.aggregate(
-        F.sequence(F.lit(1), F.col("equal").cast("int")),
-        F.lit(0),
-        lambda n, i: n + (coin(seed, "doc_id", F.xxhash64("text"), i) < F.col("rate") - F.floor("rate")).cast("int"),
-    )
-    return (
-        sized.join(targets, F.col("source").eqNullSafe(F.col("mix_source")))
-        .drop("mix_source")
-        .withColumn("rate", rate)
-        .withColumn("copies", (F.col("equal") * F.floor("rate") + tossed).cast("bigint"))
-        .drop("equal")
-    )
+    kept = others(docs, "size", "source_size", "target", "rate", "copies")
+    equal = fresh(docs, "equal_rows")
+    grouped = docs.groupBy(*kept).agg(F.count(F.lit(1)).alias(equal)).select(F.struct(*kept).alias("own_row"), F.col(equal).alias("n"))
+    source, digest = F.col("own_row.source"), text_md5("own_row.text")
+    sized = grouped.select("own_row", "n", source.alias("source"), words("own_row.text").alias("size"))
+    found = rated(sized, F.col("size") * F.col("n"), **options)
+    each = F.transform(F.sequence(F.lit(1), F.col("n").cast("int")), lambda i: copies(F.col("rate"), seed, F.col("own_row.doc_id"), source, digest, i))
+    taken = F.aggregate(each, F.lit(0).cast("bigint"), lambda n, x: n + x)
+    return found.withColumn("copies", taken).select("own_row.*", "size", "source_size", "target", "rate", "copies")
 
 
 def emit(mixed: DataFrame, columns: list[str]) -> DataFrame:
-    """Each document of mix() as many times as its copies say."""
-    return mixed.withColumn("copy", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))).select(*columns)
+    """Each row of mix() as many times as its copies say, in those columns; null or no copies: not at all."""
+    return mixed.select(F.explode(F.array_repeat(F.struct(*columns), F.coalesce("copies", F.lit(0)).cast("int"))).alias("row")).select("row.*")
 
 
-def words_taken(docs: DataFrame) -> DataFrame:
-    return mix(docs).select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+def words_taken(docs: DataFrame, seed: str = "mix", **options) -> DataFrame:
+    """doc_id, size, source_size, target, taken of every row, by the coins of mix(); texts are read once and not shuffled.
+
+    Null texts have no words and take none; rows that repeat give rows that repeat, each with a coin of its own; an
+    empty table gives an empty table; other columns are not read.
+    """
+    rows = docs.select("doc_id", "source", words().alias("size"), text_md5().alias("digest"))
+    sized = materialise(rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("n")), "sizes")
+    found = rated(sized, F.col("size") * F.col("n"), **options).withColumn("rank", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))))
+    taken = copies(F.col("rate"), seed, F.col("doc_id"), F.col("source"), F.col("digest"), F.col("rank")) * F.col("size")
+    return found.select("doc_id", "size", "source_size", "target", taken.alias("taken"))
 
 
 SQL = r"""
 WITH sized AS (
-  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
+  SELECT doc_id, source, md5(text) AS digest, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+         row_number() OVER (PARTITION BY doc_id, source, text) AS rank FROM documents),
 sources AS (
   SELECT source, sum(size)::BIGINT AS source_size,
          row_number() OVER (ORDER BY source ASC NULLS LAST) AS place FROM sized GROUP BY source),
@@ -126,10 +132,11 @@ targets AS (
               ELSE (s.w * l.num)::DOUBLE / l.den::DOUBLE END AS target
   FROM weighed s LEFT JOIN level l ON true),
 rated AS (
-  SELECT d.doc_id, d.size, t.source_size, t.target,
+  SELECT d.doc_id, d.source, d.digest, d.rank, d.size, t.source_size, t.target,
          CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0.0::DOUBLE END AS rate
   FROM sized d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, size, source_size, target,
-       ((floor(rate)::BIGINT + (('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, 'null')), 1, 13))::BIGINT
+       ((floor(rate)::BIGINT + (('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, 'null') || ':' || coalesce(source, 'null')
+          || ':' || coalesce(digest, 'null') || ':' || rank), 1, 13))::BIGINT
           / 4503599627370496.0::DOUBLE < rate - floor(rate))::BIGINT) * size)::BIGINT AS taken
 FROM rated"""

@@ -167,13 +167,15 @@ def fit(texts: list[bytes], labels: np.ndarray, epochs: int = EPOCHS, seed: int
 def sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column, most: int) -> tuple[list[bytes], np.ndarray]:
     """Texts and labels of about `most` documents for the driver, by a hash of doc_id, of those that `learn` allows.
 
-    Labels that are null or neither 0 nor 1 aren't used; of a doc_id labelled twice, the greater label.
+    Labels that are null or neither 0 nor 1 aren't used; of a doc_id labelled twice, the greater label; of several
+    documents of one doc_id, the one whose text has the least hash, so no repeats reach the driver.
     """
     own = labels.where(F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.max(label).alias("y")).where(learn)
     n = own.count()
     h = F.pmod(F.shiftright(F.xxhash64(F.lit(9), "doc_id"), 11), F.lit(2**53)) / F.lit(float(2**53))
     chosen = own.where(h < min(1.0, most / max(1, n)))
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "y").toArrow()
+    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "y")
+    rows = found.agg(F.min_by("text", F.xxhash64("text")).alias("text")).toArrow()
     order = np.argsort(rows["doc_id"].to_numpy(), kind="stable")
     texts = utf8(rows["text"].combine_chunks())
     return [texts[i] for i in order], rows["y"].to_numpy()[order].astype(np.int64)

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from handbill.llm.common import arrow_map, materialise, prepare, utf8
+from handbill.llm.common import arrow_map, fresh, materialise, prepare, utf8
 from handbill.llm.graph import components
 
 #: Fingerprints, at about that many, from which the driver lays out the top of the tree.
@@ -209,7 +209,8 @@ def grouped(rows: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFrame:
 def deduplicate(docs: DataFrame, **options) -> DataFrame:
     """One document of each group of near duplicates: the one with the smallest doc_id (null before all), whole.
 
-    Rows that repeat in doc_id and text count as one.
+    Rows that repeat in doc_id and text count as one, of which any stays. Null, empty and blank texts are near duplicates
+    of each other. An empty table gives an empty table; other columns pass through, whatever their names.
     """
     return keep_least(docs, near_duplicates(docs, **options))
 
@@ -219,7 +220,7 @@ def keep_least(docs: DataFrame, found: DataFrame) -> DataFrame:
     least = F.min(F.struct("doc_id", "text_hash"))
     with_root = found.withColumn("group", F.when(F.col("component_id").isNull(), F.struct(F.col("fp").alias("k"), F.lit(0).alias("z"))).otherwise(F.struct(F.col("component_id").alias("k"), F.lit(1).alias("z"))))
     keep = with_root.groupBy("group").agg(least.alias("kept")).select("kept.*")
-    kept = docs.withColumn("text_hash", F.xxhash64("text")).alias("d").join(
-        keep.select(F.col("doc_id").alias("kept_id"), F.col("text_hash").alias("kept_hash")), F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("text_hash") == F.col("kept_hash"))
-    )
-    return kept.dropDuplicates(["kept_id", "kept_hash"]).select(*docs.columns)
+    ours, theirs, hashed = fresh(docs, "own_hash"), fresh(docs, "kept_id"), fresh(docs, "kept_hash")
+    keep = keep.select(F.col("doc_id").alias(theirs), F.col("text_hash").alias(hashed))
+    kept = docs.withColumn(ours, F.xxhash64("text")).join(keep, F.col("doc_id").eqNullSafe(F.col(theirs)) & (F.col(ours) == F.col(hashed)))
+    return kept.dropDuplicates([theirs, hashed]).select(*docs.columns)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from handbill.llm.common import arrow_map, materialise, prepare, text_or_empty, utf8
+from handbill.llm.common import arrow_map, materialise, others, prepare, text_or_empty, utf8
 
 #: Words of an anchor: of the runs of that many words in a window, the one with the least hash.
 ANCHOR = 6
@@ -287,12 +287,13 @@ def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
     size = docs.select(F.sum(F.octet_length("text"))).first()[0] or 0
     homes = int(size // HOME_BYTES) + 8
-    kept_columns = [c for c in docs.columns if c not in ("n_words", "n_removed", "kept")]
+    kept_columns = others(docs, "n_words", "n_removed", "kept")
+    inside = {c: c if c in ("doc_id", "text") else f"column{i}" for i, c in enumerate(kept_columns)}  # names that clash with none
 
     def home(tie) -> Column:
         return F.pmod(F.xxhash64("doc_id", tie), F.lit(homes)).cast("int")
 
-    homed = docs.select(*kept_columns, F.xxhash64(text_or_empty()).alias("_tie"))
+    homed = docs.select(*(F.col(c).alias(n) for c, n in inside.items()), F.xxhash64(text_or_empty()).alias("_tie"))
     homed = homed.withColumn("_home", home("_tie"))
 
     def anchors():
@@ -402,8 +403,9 @@ def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
         n, removed, left = zip(*rows, strict=True) if rows else ((), (), ())
         return own.drop_columns(["_tie", "_home"]).append_column("n_words", pa.array(n, pa.int64())).append_column("n_removed", pa.array(removed, pa.int64())).append_column("kept", pa.array(left, pa.string()))
 
-    schema = T.StructType([*(docs.schema[c] for c in kept_columns), *(T.StructField(c, T.LongType()) for c in ("n_words", "n_removed")), T.StructField("kept", T.StringType())])
-    return homed.groupBy("_home").cogroup(known.groupBy("home")).applyInArrow(cut, schema)
+    schema = T.StructType([*(T.StructField(n, docs.schema[c].dataType) for c, n in inside.items()), *(T.StructField(c, T.LongType()) for c in ("n_words", "n_removed")), T.StructField("kept", T.StringType())])
+    done = homed.groupBy("_home").cogroup(known.groupBy("home")).applyInArrow(cut, schema)
+    return done.toDF(*kept_columns, "n_words", "n_removed", "kept")
 
 
 SEGMENT = ["doc_id", "tie", "start", "windows", "anchor", "hot", "segment"]

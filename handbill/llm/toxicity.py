@@ -19,18 +19,22 @@ TOKEN = re.compile(r"[^\W\d_]+")
 #: What ends a sentence, and other ASCII characters that are no letters, as spaces; characters beyond ASCII that are no letters.
 STOPS, ODD = b".!?\n", re.compile(r"(?:[^\w\x00-\x7f]|(?![\x00-\x7f])\d)")
 PLAIN_TEXT = bytes(10 if i in STOPS else i if i >= 128 or chr(i).isalpha() else 32 for i in range(256))
-#: Tokens of a sequence: sentences that are longer are cut there.
-LONGEST = 64
+#: Tokens up to which sequences are tagged side by side, and of a block of a longer one; sentences are learnt from in
+#: pieces of at most so many tokens.
+BLOCK = 64
 #: The most labelled documents that are fitted, about.
 SAMPLE = 2_500
-#: Sequences without a marked token that are learnt from, for each document.
-PLAIN = 5
 #: Distinct tokens whose features a worker keeps.
 KEPT = 300_000
 
 
+def lowered(token: bytes) -> bytes:
+    return token.lower() if token.isascii() else token.decode().lower().encode()
+
+
 def features(token: bytes) -> list[bytes]:
-    """The token, its beginnings and its end, in bytes."""
+    """The token in lower case, its beginnings and its end, in bytes."""
+    token = lowered(token)
     out = [b"w:" + token]
     out += [b"%d:" % k + token[:k] for k in (3, 4, 5, 6) if len(token) > k]
     if len(token) > 3:
@@ -38,7 +42,15 @@ def features(token: bytes) -> list[bytes]:
     return out
 
 
-def suspicious(docs: list[list[bytes]], toxic: np.ndarray, least: int = 6, purity: float = 0.93) -> set[bytes]:
+class Known(dict):
+    """Features by token, worked out when a token is first seen."""
+
+    def __missing__(self, token: bytes) -> list[bytes]:
+        out = self[token] = features(token)
+        return out
+
+
+def suspicious(docs: list[list[bytes]], toxic: np.ndarray, known: Known, least: int = 6, purity: float = 0.93) -> set[bytes]:
     """Features that mark a token of a toxic document as toxic.
 
     Labels are given for documents; this is how tokens get theirs. A feature marks if `purity` of its documents are
@@ -48,8 +60,8 @@ def suspicious(docs: list[list[bytes]], toxic: np.ndarray, least: int = 6, purit
     bad, after = Counter(), set()
     for tokens, y in zip(docs, toxic, strict=True):
         if y:
-            bad.update({f for t in set(tokens) for f in features(t)})
-            after.update((before, f) for before, t in set(zip([b"", *tokens], tokens, strict=False)) for f in features(t))
+            bad.update({f for t in set(tokens) for f in known[t]})
+            after.update((before, f) for before, t in set(zip([b"", *tokens], tokens, strict=False)) for f in known[t])
     varied = Counter(f for _, f in after)
     likely = {f for f, n in varied.items() if n >= least}
     of_token: dict[bytes, list[bytes]] = {}
@@ -59,33 +71,33 @@ def suspicious(docs: list[list[bytes]], toxic: np.ndarray, least: int = 6, purit
             own: set[bytes] = set()
             for t in set(tokens):
                 if (fs := of_token.get(t)) is None:
-                    fs = of_token[t] = [f for f in features(t) if f in likely]
+                    fs = of_token[t] = [f for f in known[t] if f in likely]
                 own.update(fs)
             good.update(own)
     return {f for f in likely if bad[f] >= purity * (bad[f] + good[f])}
 
 
-def forward_backward(score: np.ndarray, step: np.ndarray, length: np.ndarray, weigh: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def forward_backward(emission: np.ndarray, step: np.ndarray, length: np.ndarray, weigh: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Marginals of a two-state chain: P(tag 1) of each token, and expected pairs of tags, sequences weighed.
 
-    score: sequences x tokens x 2; step[i, j]: from tag i to tag j; sequences are padded beyond their length.
+    emission: sequences x tokens, of tag 1 (tag 0: 0); step[i, j]: from tag i to tag j; sequences are padded beyond
+    their length. Works in odds of tag 1 against tag 0: up to a token, and after it.
     """
-    n, most, _ = score.shape
-    alpha, beta = np.zeros_like(score), np.zeros_like(score)
-    alpha[:, 0] = score[:, 0]
+    e, m = np.exp(np.clip(emission, -30, 30)).T, np.exp(step)
+    most, n = e.shape
+    inside = np.arange(most)[:, None] < length
+    ahead, back = np.empty((most, n)), np.ones((most, n))
+    ahead[0] = e[0]
     for t in range(1, most):
-        a = np.logaddexp(alpha[:, t - 1, 0, None] + step[0], alpha[:, t - 1, 1, None] + step[1]) + score[:, t]
-        alpha[:, t] = np.where((t < length)[:, None], a, alpha[:, t - 1])
-    z = np.logaddexp(alpha[:, -1, 0], alpha[:, -1, 1])
+        ahead[t] = e[t] * (m[0, 1] + m[1, 1] * ahead[t - 1]) / (m[0, 0] + m[1, 0] * ahead[t - 1])
     for t in range(most - 2, -1, -1):
-        ahead = score[:, t + 1] + beta[:, t + 1]
-        b = np.logaddexp(step[:, 0] + ahead[:, None, 0], step[:, 1] + ahead[:, None, 1])
-        beta[:, t] = np.where((t + 1 < length)[:, None], b, 0)
-    inside = np.arange(most) < length[:, None]
-    p = np.where(inside, np.exp(np.minimum(alpha[:, :, 1] + beta[:, :, 1] - z[:, None], 0)), 0)
-    joint = alpha[:, :-1, :, None] + step + (score + beta)[:, 1:, None, :] - z[:, None, None, None]
-    pairs = (np.exp(np.minimum(joint, 0)) * (inside[:, 1:] * weigh[:, None])[:, :, None, None]).sum((0, 1))
-    return p, pairs
+        x = e[t + 1] * back[t + 1]
+        back[t] = np.where(inside[t + 1], (m[1, 0] + m[1, 1] * x) / (m[0, 0] + m[0, 1] * x), 1)
+    odds = ahead * back
+    a, x = ahead[:-1], (e * back)[1:]
+    some = np.where(inside[1:], weigh, 0) / (m[0, 0] + m[0, 1] * x + m[1, 0] * a + m[1, 1] * a * x)
+    pairs = m * [[some.sum(), (some * x).sum()], [(some * a).sum(), (some * a * x).sum()]]
+    return np.where(inside, odds / (1 + odds), 0).T, pairs
 
 
 class Emissions(dict):
@@ -120,7 +132,10 @@ class Tagger:
         for own, most in buckets(size):
             inside = np.arange(most) < size[own][:, None]
             at = first[own][:, None] + np.minimum(np.arange(most), size[own][:, None] - 1)
-            out[at[inside]] = chain(flat[at], self.step, size[own])[inside]
+            out[at[inside]] = forward_backward(flat[at], self.step, size[own], np.ones(len(own)))[0][inside]
+        if len(own := np.flatnonzero(size > BLOCK)):
+            at = np.repeat(first[own] - np.cumsum(size[own]) + size[own], size[own]) + np.arange(size[own].sum())
+            out[at] = long_chains(flat[at], self.step, size[own])
         ends = np.concatenate([[0], np.cumsum(size)])
         return out, ends[np.cumsum([0, *map(len, docs)])]
 
@@ -131,9 +146,9 @@ class Tagger:
 
 
 def buckets(size: np.ndarray, most: int = 16_384) -> list[tuple[np.ndarray, int]]:
-    """Sequences of like length, the longest of each lot, in lots that bound the memory."""
+    """Sequences of up to BLOCK tokens, of like length, the longest of each lot, in lots that bound the memory."""
     out = []
-    for lo, hi in ((0, 4), (4, 8), (8, 12), (12, 16), (16, 24), (24, 32), (32, LONGEST)):
+    for lo, hi in ((0, 4), (4, 8), (8, 12), (12, 16), (16, 24), (24, 32), (32, BLOCK)):
         own = np.flatnonzero((size > lo) & (size <= hi))
         out += [(x := own[a : a + most], int(size[x].max())) for a in range(0, len(own), most)]
     return out
@@ -145,31 +160,51 @@ def evidence(p: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return np.minimum(12.0, np.maximum(0.0, total[bounds[1:]] - total[bounds[:-1]]))
 
 
-def chain(emission: np.ndarray, step: np.ndarray, length: np.ndarray) -> np.ndarray:
-    """P(tag 1) by forward-backward in odds: tag 0 emits 0, tag 1 emits `emission`."""
-    e, m = np.exp(np.clip(emission, -30, 30)), np.exp(step)
-    n, most = e.shape
-    # the odds of tag 1 against tag 0, up to a token and after it
-    ahead, back = np.empty((most, n)), np.ones((most, n))
-    e = np.ascontiguousarray(e.T)
-    ahead[0] = e[0]
-    for t in range(1, most):
-        ahead[t] = e[t] * (m[0, 1] + m[1, 1] * ahead[t - 1]) / (m[0, 0] + m[1, 0] * ahead[t - 1])
-    for t in range(most - 2, -1, -1):
-        x = e[t + 1] * back[t + 1]
-        back[t] = np.where(t + 1 < length, (m[1, 0] + m[1, 1] * x) / (m[0, 0] + m[0, 1] * x), 1)
-    odds = ahead * back
-    return (odds / (1 + odds)).T
+def long_chains(emission: np.ndarray, step: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """P(tag 1), as of forward_backward(), for sequences of any length that stand one after the other.
+
+    Their blocks go side by side, each sequence's joined by products of their matrices.
+    """
+    n, m = -(-length // BLOCK), np.exp(step)
+    first, start = np.cumsum(n) - n, np.cumsum(length) - length
+    total = int(n.sum())
+    spot = np.arange(len(emission)) + np.repeat(first * BLOCK - start, length)
+    e = np.exp(np.clip(emission, -30, 30))
+    a = np.empty((total * BLOCK, 2, 2))  # from the tag of the token before, times what the own tag emits
+    a[:] = np.eye(2)
+    a[spot, :, 0], a[spot, :, 1] = m[:, 0], m[:, 1] * e[:, None]
+    a[first * BLOCK, :, 0], a[first * BLOCK, :, 1] = 1, e[start][:, None]
+    a = a.reshape(total, BLOCK, 2, 2)
+    whole = np.broadcast_to(np.eye(2), (total, 2, 2))
+    for j in range(BLOCK):
+        whole = whole @ a[:, j]
+        whole /= whole.sum((1, 2), keepdims=True)
+    ahead, back = np.empty((total, 2)), np.empty((total, 2))
+    for lo, hi in zip(first.tolist(), (first + n).tolist(), strict=True):
+        v = w = np.array([0.5, 0.5])
+        for b in range(lo, hi):
+            ahead[b], v = v, v @ whole[b]
+            v = v / v.sum()
+        for b in range(hi - 1, lo - 1, -1):
+            back[b], w = w, whole[b] @ w
+            w = w / w.sum()
+    before, after = np.empty((total, BLOCK, 2)), np.empty((total, BLOCK, 2))
+    for j in range(BLOCK):
+        ahead = (ahead[:, None, :] @ a[:, j])[:, 0]
+        before[:, j] = ahead = ahead / ahead.sum(1, keepdims=True)
+    for j in range(BLOCK - 1, -1, -1):
+        after[:, j] = back
+        back = (a[:, j] @ back[:, :, None])[:, :, 0]
+        back /= back.sum(1, keepdims=True)
+    p = before * after
+    return (p[:, :, 1] / p.sum(2)).ravel()[spot]
 
 
 def sequences_of(text: str) -> list[list[bytes]]:
-    """Sentences as lower-case words in UTF-8; long ones cut at LONGEST words."""
-    text = text.lower()
+    """Sentences as words in UTF-8, as they stand: TOKEN finds the same ones in the text."""
     if not text.isascii():
         text = ODD.sub(" ", text)
     found = [s.split() for s in text.encode("utf-8", "replace").translate(PLAIN_TEXT).split(b"\n")]
-    if max(map(len, found)) > LONGEST:
-        found = [s[a : a + LONGEST] for s in found for a in range(0, len(s), LONGEST)]
     return [s for s in found if s]
 
 
@@ -178,59 +213,57 @@ def fit(texts: list[bytes], toxic: np.ndarray, rounds: int = 40, decay: float =
 
     Without labels of both kinds there is nothing to tag: every score is then 0.5 (no labels) or near the only one.
     """
-    docs = [sequences_of(t.decode("utf-8", "replace")) for t in texts]
+    docs = [[[lowered(w) for w in s] for s in sequences_of(t.decode("utf-8", "replace"))] for t in texts]
     flat = [[w for s in d for w in s] for d in docs]
-    marks = suspicious(flat, toxic)
-    # every sequence with a marked token; of each document's others a few, which stand for all of them
-    marked: dict[bytes, int] = {w: int(not marks.isdisjoint(features(w))) for d, y in zip(flat, toxic, strict=True) if y for w in set(d)}
-    chosen, labels, weigh = [], [], []
+    known = Known()
+    marks = suspicious(flat, toxic, known)
+    # every sequence, equal ones once and weighed
+    marked: dict[bytes, int] = {w: int(not marks.isdisjoint(known[w])) for d, y in zip(flat, toxic, strict=True) if y for w in set(d)}
+    tagged: Counter = Counter()
     for d, y in zip(docs, toxic, strict=True):
-        plain = []
         for s in d:
-            tags = [marked[w] for w in s] if y else []
-            if any(tags):
-                chosen.append(s)
-                labels.append(tags)
-                weigh.append(1.0)
-            else:
-                plain.append(s)
-        some = plain[:: -(-len(plain) // PLAIN)] if plain else []
-        chosen += some
-        labels += [[0] * len(s) for s in some]
-        weigh += [len(plain) / max(1, len(some))] * len(some)
+            for a in range(0, len(s), BLOCK):
+                piece = tuple(s[a : a + BLOCK])
+                tagged[piece, tuple(marked[w] for w in piece) if y else (0,) * len(piece)] += 1
+    chosen, labels, weigh = [s for s, _ in tagged], [t for _, t in tagged], list(tagged.values())
     tagger = Tagger({}, -6.0, np.zeros((2, 2)))
     n_toxic = int(toxic.sum())
     if not len(toxic) or n_toxic in (0, len(toxic)) or not chosen:
         tagger.calibration = (0.0 if not len(toxic) else 4.0 if n_toxic else -4.0, 0.0)
         return tagger
-    count = Counter(f for s in chosen for w in s for f in features(w))
-    number = {f: i for i, f in enumerate(sorted(f for f, n in count.items() if n >= 3))}
     size = np.array([len(s) for s in chosen])
     first = np.cumsum(size) - size
     words = [w for s in chosen for w in s]
-    ids = {w: np.array([number[f] for f in features(w) if f in number], np.int64) for w in set(words)}
-    owner = np.repeat(np.arange(len(words)), [len(ids[w]) for w in words])
-    feature = np.concatenate([ids[w] for w in words])
+    count: Counter = Counter()
+    for w, n in Counter(words).items():
+        for f in known[w]:
+            count[f] += n
+    number = {f: i for i, f in enumerate(sorted(f for f, n in count.items() if n >= 3))}
+    place = {w: i for i, w in enumerate(dict.fromkeys(words))}
+    word = np.fromiter(map(place.__getitem__, words), np.int64, len(words))
+    held = [[number[f] for f in known[w] if f in number] for w in place]
+    owner, feature = np.repeat(np.arange(len(held)), list(map(len, held))), np.array([i for x in held for i in x], np.int64)
     tags = np.concatenate(labels).astype(float)
-    weigh = np.array(weigh)
+    weigh = np.array(weigh, float)
     of_word = np.repeat(weigh, size)
-    pairs_seen = np.zeros((2, 2))
-    for row, w in zip(labels, weigh, strict=True):
-        np.add.at(pairs_seen, (row[:-1], row[1:]), w)
+    inner = np.ones(len(words), bool)
+    inner[first] = False
+    inner = np.flatnonzero(inner)  # tokens with one before them in their sequence
+    pairs_seen = np.bincount((2 * tags[inner - 1] + tags[inner]).astype(int), of_word[inner], 4).reshape(2, 2)
     theta = [np.zeros(len(number)), np.array([-4.0]), np.zeros((2, 2))]
     m, v = [np.zeros_like(x) for x in theta], [np.zeros_like(x) for x in theta]
     lots = buckets(size)
     for t in range(1, rounds + 1):
-        emission = theta[1] + np.bincount(owner, theta[0][feature], len(words))
+        emission = (theta[1] + np.bincount(owner, theta[0][feature], len(held)))[word]
         p, pairs = np.zeros(len(words)), np.zeros((2, 2))
         for rows, most in lots:
             at = first[rows][:, None] + np.minimum(np.arange(most), size[rows][:, None] - 1)
-            q, joint = forward_backward(np.stack([np.zeros(at.shape), emission[at]], axis=2), theta[2], size[rows], weigh[rows])
+            q, joint = forward_backward(emission[at], theta[2], size[rows], weigh[rows])
             inside = np.arange(most) < size[rows][:, None]
             p[at[inside]] = q[inside]
             pairs += joint
         scale, off = 1 / weigh.sum(), (p - tags) * of_word
-        grads = [np.bincount(feature, off[owner], len(number)) * scale + decay * theta[0], np.array([off.sum() * scale]), (pairs - pairs_seen) * scale + decay * theta[2]]
+        grads = [np.bincount(feature, np.bincount(word, off, len(held))[owner], len(number)) * scale + decay * theta[0], np.array([off.sum() * scale]), (pairs - pairs_seen) * scale + decay * theta[2]]
         for x, g, mm, vv in zip(theta, grads, m, v, strict=True):
             mm += 0.1 * (g - mm)
             vv += 0.001 * (g * g - vv)
