@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from handbill.functions.text import NOVALUE, strip
+from handbill.functions.text import NOVALUE, bound, strip
 
 # The patterns of a year and of a time of day, and the days that a date may be past and still this year's.
 YEAR = r"\b(19\d{2}|20\d{2})\b"
@@ -74,19 +74,29 @@ def clock(hour: Column, minute: Column, half: Column) -> Column:
 
 def normalize_time(c: Column) -> Column:
     """struct(start_time, end_time) of a time or a range of times; a side without am or pm takes the other's."""
-    raw = F.translate(F.lower(strip(F.coalesce(c, F.lit("")))), "–—", "--")
-    parts = F.filter(F.transform(F.split(raw, "-"), strip), lambda x: x != "")
 
-    def token(x: Column) -> tuple[Column, Column, Column]:
+    def token(x: Column) -> Column:
         hour, minute, half = (F.regexp_extract(x, TIME, k) for k in (1, 2, 3))
-        return hour.try_cast("int"), F.coalesce(minute.try_cast("int"), F.lit(0)), half
-
-    (hl, ml, al), (hr, mr, ar) = token(F.coalesce(F.get(parts, F.lit(0)), F.lit(""))), token(F.coalesce(F.get(parts, F.lit(1)), F.lit("")))
-    left = clock(hl, ml, F.when(al == "", ar).otherwise(al))
-    right = clock(hr, mr, F.when(ar == "", al).otherwise(ar))
-    ranged = raw.contains("-") & left.isNotNull() & right.isNotNull()
-    nothing = F.lit(NOVALUE)
-    return F.struct(
-        F.when(ranged, left).otherwise(F.coalesce(clock(*token(raw)), nothing)).alias("start_time"),
-        F.when(ranged, right).otherwise(nothing).alias("end_time"),
-    )
+        return F.struct(hour.try_cast("int").alias("h"), F.coalesce(minute.try_cast("int"), F.lit(0)).alias("m"), half.alias("half"))
+
+    def times(p: Column) -> Column:
+        whole, left, right = p["tokens"][0], p["tokens"][1], p["tokens"][2]
+        nothing = F.lit(NOVALUE)
+        first = clock(left["h"], left["m"], F.when(left["half"] == "", right["half"]).otherwise(left["half"]))
+        second = clock(right["h"], right["m"], F.when(right["half"] == "", left["half"]).otherwise(right["half"]))
+
+        def sides(s: Column) -> Column:
+            ranged = p["ranged"] & s[0].isNotNull() & s[1].isNotNull()
+            return F.struct(
+                F.when(ranged, s[0]).otherwise(F.coalesce(s[2], nothing)).alias("start_time"),
+                F.when(ranged, s[1]).otherwise(nothing).alias("end_time"),
+            )
+
+        return bound(F.array(first, second, clock(whole["h"], whole["m"], whole["half"])), sides)
+
+    def parsed(raw: Column) -> Column:
+        parts = F.filter(F.transform(F.split(raw, "-"), strip), lambda x: x != "")
+        three = bound(parts, lambda p: F.array(raw, F.coalesce(F.get(p, F.lit(0)), F.lit("")), F.coalesce(F.get(p, F.lit(1)), F.lit(""))))
+        return bound(F.struct(raw.contains("-").alias("ranged"), F.transform(three, token).alias("tokens")), times)
+
+    return bound(F.translate(F.lower(strip(F.coalesce(c, F.lit("")))), "–—", "--"), parsed)

@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from handbill.functions.text import bound, coerce
+
 
 def strict_json(c: Column) -> Column:
     """A text's JSON value as a variant; null unless the whole text is one value.
 
     Spark's parser reads over what follows a value; inside an array and inside an object it can't.
     """
-    alone = F.size(F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), c, F.lit("]"))), "$", "array<variant>")) == 1
+    listed = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), c, F.lit("]"))), "$", "array<variant>")
     member = F.try_parse_json(F.concat(F.lit('{"x":'), c, F.lit("}"))).isNotNull()
-    return F.when(F.coalesce(alone, F.lit(False)) & member, F.try_parse_json(c))
+    return bound(listed, lambda x: F.when((F.size(x) == 1) & member, F.get(x, F.lit(0))))
 
 
 def kind(v: Column) -> Column:
@@ -27,33 +31,39 @@ def between(c: Column, opening: str, closing: str) -> Column:
     return F.when((first > 0) & (F.instr(c, closing) > 0) & (last > first), F.substring(c, first, last - first + 1))
 
 
-def attempts(c: Column, order: str) -> list[Column]:
+def first_of(c: Column, order: str, wanted: Callable[[Column], Column]) -> Column:
+    """What `wanted` makes of the first attempt for which that isn't null: the whole text, then between brackets in that order.
+
+    Each attempt is parsed once, and only if those before it gave nothing.
+    """
     pairs = {"{": ("{", "}"), "[": ("[", "]")}
-    return [strict_json(c), *[strict_json(between(c, *pairs[x])) for x in order]]
+    return bound(c, lambda t: F.coalesce(*[bound(strict_json(x), wanted) for x in (t, *(between(t, *pairs[k]) for k in order))]))
 
 
 def extract_object(c: Column) -> Column:
     """The first attempt that gives an object: the whole text, from { to }, from [ to ]; else null."""
-    return F.coalesce(*[F.when(kind(v) == "object", v) for v in attempts(c, "{[")])
+    return first_of(c, "{[", lambda v: F.when(kind(v) == "object", v))
 
 
 def extract_any(c: Column) -> Column:
     """The first attempt that gives any value: the whole text, from [ to ], from { to }; else null."""
-    return F.coalesce(*attempts(c, "[{"))
+    return first_of(c, "[{", lambda v: v)
 
 
 def events_of(v: Column) -> Column:
     """A value's events: its own list, or the list under `events` of an object; else null."""
-    return F.when(kind(v) == "array", F.try_variant_get(v, "$", "array<variant>")).when(kind(F.try_variant_get(v, "$.events", "variant")) == "array", F.try_variant_get(v, "$.events", "array<variant>"))
+
+    def listed(x: Column) -> Column:
+        return F.when(kind(x) == "array", F.try_variant_get(x, "$", "array<variant>"))
+
+    return bound(v, lambda x: F.when(kind(x) == "object", bound(F.try_variant_get(x, "$.events", "variant"), listed)).otherwise(listed(x)))
 
 
 def extract_events(c: Column) -> Column:
     """Events of the first attempt that has any list of them: the whole text, from { to }, from [ to ]; else null."""
-    return F.coalesce(*[events_of(v) for v in attempts(c, "{[")])
+    return first_of(c, "{[", events_of)
 
 
 def text_field(v: Column, name: str) -> Column:
     """A member as stripped text, null if it is missing, null or blank."""
-    from handbill.functions.text import coerce
-
     return coerce(F.try_variant_get(v, f"$.{name}", "string"))

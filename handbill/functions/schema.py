@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from handbill.functions.jsons import kind
-from handbill.functions.text import NOVALUE, coerce, coerce_novalue
+from handbill.functions.text import NOVALUE, bound, coerce, coerce_novalue
 
 # The keys of a final record.
 TOP = ("type", "title", "address", "venue", "description", "links", "event")
@@ -15,22 +15,59 @@ EVENT = ("recurring_weekly", "recurring_weekday", "start_date", "start_time", "e
 TYPES = ("event", "attraction")
 
 
+def plain_text(v: Column) -> Column:
+    """A scalar as Python writes it (True, 5, 2.5), lists and objects as JSON; strings as they are; null for null."""
+    def written(x: Column) -> Column:
+        plain = F.try_variant_get(x, "$", "string")
+        return F.when(kind(x) == "void", F.lit(None).cast("string")).when(kind(x) == "boolean", F.initcap(plain)).otherwise(F.coalesce(plain, F.to_json(x)))
+
+    return bound(v, written)
+
+
 def text_at(v: Column, path: str) -> Column:
-    """A string member, null if it is anything else."""
-    member = F.try_variant_get(v, path, "variant")
-    return F.when(kind(member) == "string", F.try_variant_get(v, path, "string"))
+    """A member as text or NOVALUE: strings stripped, other values as plain_text() writes them."""
+    def novalue(x: Column) -> Column:
+        return F.when(kind(x) == "string", coerce_novalue(F.try_variant_get(x, "$", "string"))).otherwise(F.coalesce(plain_text(x), F.lit(NOVALUE)))
+
+    return bound(F.try_variant_get(v, path, "variant"), novalue)
+
+
+def extra(v: Column, path: str, known: tuple[str, ...]) -> Column:
+    """Members of an object that the schema doesn't name, as JSON texts by key; none where it is no object."""
+    members = F.try_variant_get(v, path, "map<string,variant>")
+    kept = F.map_filter(members, lambda k, x: ~k.isin(*known))
+    return F.coalesce(F.transform_values(kept, lambda k, x: F.to_json(x)), F.create_map().cast("map<string,string>"))
+
+
+def other_links(v: Column) -> Column:
+    """At most three distinct other links: strings only, stripped, none blank."""
+    listed = F.coalesce(F.try_variant_get(v, "$.links.other", "array<variant>"), F.array().cast("array<variant>"))
+    texts = F.transform(listed, lambda x: F.when(kind(x) == "string", coerce(F.try_variant_get(x, "$", "string"))))
+    return F.slice(F.array_distinct(F.array_compact(texts)), 1, 3)
 
 
 def ensure_schema(v: Column) -> Column:
-    """A record of the fixed schema from a variant; what is missing or no text is NOVALUE, at most three distinct other links."""
-    kind_ = F.when(text_at(v, "$.type").isin(*TYPES), text_at(v, "$.type")).otherwise(F.lit("event"))
-    other = F.transform(F.coalesce(F.try_variant_get(v, "$.links.other", "array<variant>"), F.array().cast("array<variant>")), lambda x: F.when(kind(x) == "string", coerce(F.try_variant_get(x, "$", "string"))))
-    return F.struct(
-        kind_.alias("type"),
-        *[coerce_novalue(text_at(v, f"$.{k}")).alias(k) for k in ("title", "address", "venue", "description")],
-        F.struct(*[coerce_novalue(text_at(v, f"$.links.{k}")).alias(k) for k in LINKS[:3]], F.slice(F.array_distinct(F.array_compact(other)), 1, 3).alias("other")).alias("links"),
-        F.struct(*[F.when(kind_ == "attraction", F.lit(NOVALUE)).otherwise(coerce_novalue(text_at(v, f"$.event.{k}"))).alias(k) for k in EVENT]).alias("event"),
-    )
+    """A record of the fixed schema from a variant, null or no object included.
+
+    What is missing, null or blank is NOVALUE, an unknown type is an event, attractions have no times; what the schema
+    doesn't name is kept under `extra`, at the top, in links and in event.
+    """
+    def record(x: Column) -> Column:
+        given = F.try_variant_get(x, "$.type", "variant")
+        kind_ = bound(F.when(kind(given) == "string", F.try_variant_get(given, "$", "string")), lambda t: F.when(t.isin(*TYPES), t).otherwise(F.lit(TYPES[0])))
+
+        def rest(type_: Column) -> Column:
+            return F.struct(
+                type_.alias("type"),
+                *[text_at(x, f"$.{k}").alias(k) for k in ("title", "address", "venue", "description")],
+                F.struct(*[text_at(x, f"$.links.{k}").alias(k) for k in LINKS[:3]], other_links(x).alias("other"), extra(x, "$.links", LINKS).alias("extra")).alias("links"),
+                F.struct(*[F.when(type_ == TYPES[1], F.lit(NOVALUE)).otherwise(text_at(x, f"$.event.{k}")).alias(k) for k in EVENT], extra(x, "$.event", EVENT).alias("extra")).alias("event"),
+                extra(x, "$", TOP).alias("extra"),
+            )
+
+        return bound(kind_, rest)
+
+    return bound(v, record)
 
 
 def missing_keys(v: Column, path: str, required: tuple[str, ...]) -> Column:
@@ -41,19 +78,27 @@ def missing_keys(v: Column, path: str, required: tuple[str, ...]) -> Column:
 
 def validate(v: Column) -> Column:
     """The first fault of a record, null if there is none."""
-    def lacks(what: str, path: str, keys: tuple[str, ...]) -> Column:
-        gone = missing_keys(v, path, keys)
-        return F.when(F.size(gone) > 0, F.concat(F.lit(f"missing {what}: "), F.array_join(gone, ", ")))
-
-    def is_object(path: str) -> Column:
-        return kind(F.try_variant_get(v, path, "variant")) == "object"
-
-    return F.coalesce(
-        F.when(~F.coalesce(kind(v) == "object", F.lit(False)), F.lit("not an object")),
-        lacks("keys", "$", TOP),
-        F.when(~F.coalesce(is_object("$.links"), F.lit(False)), F.lit("links is no object")),
-        lacks("link keys", "$.links", LINKS),
-        F.when(kind(F.try_variant_get(v, "$.links.other", "variant")) != "array", F.lit("links.other is no list")),
-        F.when(~F.coalesce(is_object("$.event"), F.lit(False)), F.lit("event is no object")),
-        lacks("event keys", "$.event", EVENT),
-    )
+    def lacks(x: Column, what: str, path: str, keys: tuple[str, ...]) -> Column:
+        return bound(missing_keys(x, path, keys), lambda gone: F.when(F.size(gone) > 0, F.concat(F.lit(f"missing {what}: "), F.array_join(gone, ", "))))
+
+    def is_no(x: Column, path: str, what: str, fault: str) -> Column:
+        return F.when(~F.coalesce(kind(F.try_variant_get(x, path, "variant")) == what, F.lit(False)), F.lit(fault))
+
+    return bound(v, lambda x: F.coalesce(
+        is_no(x, "$", "object", "not an object"),
+        lacks(x, "keys", "$", TOP),
+        is_no(x, "$.links", "object", "links is no object"),
+        lacks(x, "link keys", "$.links", LINKS),
+        is_no(x, "$.event", "object", "event is no object"),
+        lacks(x, "event keys", "$.event", EVENT),
+        is_no(x, "$.links.other", "array", "links.other is no list"),
+    ))
+
+
+def validate_list(v: Column) -> Column:
+    """The first fault of a list of records, with the item's number from 0; null if there is none."""
+    def items(x: Column) -> Column:
+        faults = F.transform(F.try_variant_get(x, "$", "array<variant>"), lambda item, i: F.concat(F.lit("item "), i.cast("string"), F.lit(": "), validate(item)))
+        return F.when(kind(x) == "array", F.get(F.filter(faults, lambda f: f.isNotNull()), F.lit(0))).otherwise(F.lit("not a list"))
+
+    return bound(v, lambda x: F.coalesce(items(x), F.when(x.isNull(), F.lit("not a list"))))

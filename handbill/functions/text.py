@@ -2,17 +2,25 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The white space that str.strip() removes, as a regular-expression class.
+# The white space that str.strip() removes, as characters and as a regular-expression class.
+BLANKS = " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 SPACE = r"[\s\x0b\x1c-\x1f\x85\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 #: What stands for a missing value in final records.
 NOVALUE = "NOVALUE"
 
 
+def bound(c: Column, f: Callable[[Column], Column]) -> Column:
+    """f(c) with c worked out once, however often f names it: the optimiser would write it out each time."""
+    return F.get(F.transform(F.array(c), f), F.lit(0))
+
+
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, f"^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(c, F.lit(BLANKS))
 
 
 def clean_text(c: Column) -> Column:
@@ -53,16 +61,24 @@ def sibling_paths(root: Column, idx: Column) -> Column:
 
 def distinct_nocase(items: Column) -> Column:
     """The first of each item but for case, in order."""
-    low = F.transform(items, lambda x: F.lower(x))
-    return F.filter(items, lambda x, i: F.array_position(low, F.lower(x)) == i + 1)
+
+    def first(pairs: Column) -> Column:
+        return F.filter(pairs[0], lambda x, i: F.array_position(pairs[1], F.get(pairs[1], i)) == i + 1)
+
+    return bound(bound(items, lambda x: F.array(x, F.transform(x, F.lower))), first)
 
 
 def build_queries(name: Column, venue: Column, date: Column, time: Column) -> Column:
     """Search queries of an event, at most six, distinct but for case; none without name and venue."""
-    n, v, d, t = (F.coalesce(strip(x), F.lit("")) for x in (name, venue, date, time))
-    some, both = (n != "") | (v != ""), (n != "") & (v != "")
-    base = F.when(both, F.concat(n, F.lit(" "), v)).otherwise(F.concat(n, v))
-    about = [F.when(both, F.concat(n, F.lit(f" {word} "), v)) for word in ("tickets", "reservation", "hours admission")]
-    made = F.array(base, *about, *[F.when(x != "", F.concat(base, F.lit(" "), x)) for x in (d, t)])
-    tidy = F.filter(F.transform(F.array_compact(made), lambda x: F.trim(F.regexp_replace(x, f"{SPACE}+", " "))), lambda x: x != "")
-    return F.when(some, distinct_nocase(tidy)).otherwise(F.array().cast("array<string>"))
+
+    def made(p: Column) -> Column:
+        n, v, d, t = (p[k] for k in "nvdt")
+        both = (n != "") & (v != "")
+        base = F.when(both, F.concat(n, F.lit(" "), v)).otherwise(F.concat(n, v))
+        about = [F.when(both, F.concat(n, F.lit(f" {word} "), v)) for word in ("tickets", "reservation", "hours admission")]
+        each = F.array(base, *about, *[F.when(x != "", F.concat(base, F.lit(" "), x)) for x in (d, t)])
+        return F.when((n != "") | (v != ""), each).otherwise(F.array().cast("array<string>"))
+
+    parts = F.struct(*[F.coalesce(strip(x), F.lit("")).alias(k) for k, x in zip("nvdt", (name, venue, date, time), strict=True)])
+    tidy = F.transform(F.array_compact(bound(parts, made)), lambda x: F.trim(F.regexp_replace(x, f"{SPACE}+", " ")))
+    return distinct_nocase(F.filter(tidy, lambda x: x != ""))

@@ -38,8 +38,10 @@ def similar_names(names: DataFrame, least: float) -> DataFrame:
     left = banded.select("run_id", F.col("name").alias("later"), F.explode(F.array(*[F.col("band") + k for k in (-1, 0, 1)])).alias("band"))
     pairs = left.join(banded.withColumnRenamed("name", "earlier"), ["run_id", "band"])
     near = F.least(F.length("later"), F.length("earlier")) >= ratio * F.greatest(F.length("later"), F.length("earlier"))
-    once = pairs.where(near).select("later", "earlier").distinct().withColumn("sim", similarity("later", "earlier"))
-    return once.where(F.col("sim") >= least)
+    near_pairs = pairs.where(near).select("run_id", "later", "earlier").distinct()
+    # not deterministic, so that the filter on it stays above the aggregate and the ratio is computed once for each pair
+    once = near_pairs.select("later", "earlier").distinct().withColumn("sim", similarity.asNondeterministic()("later", "earlier"))
+    return near_pairs.join(once.where(F.col("sim") >= least), ["later", "earlier"])
 
 
 def match_edges(events: DataFrame, strong: float = STRONG, weak: float = WEAK) -> DataFrame:
@@ -51,34 +53,39 @@ def match_edges(events: DataFrame, strong: float = STRONG, weak: float = WEAK) -
     alike = similar_names(rows.select("run_id", "name"), min(strong, weak))
     later = rows.select("run_id", F.col("ordinal").alias("a"), F.col("name").alias("later"), F.col("date").alias("later_date"))
     earlier = rows.select("run_id", F.col("ordinal").alias("b"), F.col("name").alias("earlier"), F.col("date").alias("earlier_date"))
-    joined = later.join(alike, "later").join(earlier, ["run_id", "earlier"]).where("b < a")
+    joined = later.join(alike, ["run_id", "later"]).join(earlier, ["run_id", "earlier"]).where("b < a")
     return joined.where((F.col("sim") >= strong) | ((F.col("later_date") == F.col("earlier_date")) & (F.col("sim") >= weak))).select("run_id", "a", "b")
 
 
 def settled(df: DataFrame) -> DataFrame:
-    """df written to the session's checkpoint folder; a local one only where the session names none."""
+    """df written to the checkpoint folder that spark.checkpoint.dir names; a local one serves a local master only."""
     context = df.sparkSession.sparkContext
-    if not context._jsc.sc().getCheckpointDir().isDefined():
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="handbill-"))
+    if not context.getCheckpointDir():
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not folder and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="handbill-"))
     return df.checkpoint()
 
 
 def roots(events: DataFrame, edges: DataFrame) -> DataFrame:
     """(run_id, ordinal, root): the cluster each event falls into when, in order, it joins the first cluster with a match.
 
-    That cluster's first event is the least that can be reached along edges to earlier events. Minima are
-    passed along edges until none changes.
+    That cluster's first event is the least that can be reached along edges to earlier events. Only events that have edges
+    take part. Each round passes minima along edges, then every event takes over what its own root has reached, so
+    chains shorten by more than a link a round; rounds end when none changes.
     """
-    found = events.select("run_id", "ordinal", F.col("ordinal").alias("root"))
-    found = settled(found)
     edges = settled(edges)
+    ends = edges.select("run_id", F.col("a").alias("ordinal")).union(edges.select("run_id", F.col("b").alias("ordinal"))).distinct()
+    found = settled(ends.withColumn("root", F.col("ordinal")))
     while True:
-        passed = edges.join(found.select("run_id", F.col("ordinal").alias("b"), "root"), ["run_id", "b"]).groupBy("run_id", F.col("a").alias("ordinal")).agg(F.min("root").alias("reached"))
-        moved = found.join(passed, ["run_id", "ordinal"], "left")
-        moved = settled(moved.select("run_id", "ordinal", F.least("root", "reached").alias("root"), (F.col("reached") < F.col("root")).alias("changed")))
+        reached = edges.join(found.select("run_id", F.col("ordinal").alias("b"), "root"), ["run_id", "b"]).groupBy("run_id", F.col("a").alias("ordinal")).agg(F.min("root").alias("reached"))
+        passed = settled(found.join(reached, ["run_id", "ordinal"], "left").select("run_id", "ordinal", F.col("root").alias("before"), F.least("root", "reached").alias("root")))
+        ahead = passed.select("run_id", F.col("ordinal").alias("root"), F.col("root").alias("ahead"))
+        moved = settled(passed.join(ahead, ["run_id", "root"]).select("run_id", "ordinal", F.col("ahead").alias("root"), (F.col("ahead") < F.col("before")).alias("changed")))
         found = moved.drop("changed")
         if moved.where("changed").isEmpty():
-            return found
+            return events.select("run_id", "ordinal").join(found, ["run_id", "ordinal"], "left").withColumn("root", F.coalesce("root", "ordinal"))
 
 
 def merge_clusters(events: DataFrame, key: list[str]) -> DataFrame:

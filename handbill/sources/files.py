@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from handbill.functions.geometry import box_of, png_size
 from handbill.functions.jsons import kind, strict_json
-from handbill.functions.text import coerce, numeric_suffix
+from handbill.functions.schema import plain_text
+from handbill.functions.text import bound, coerce, numeric_suffix
 
 FIELDS = ("event_name", "venue", "date", "time", "recurring")
 STEM = r"\.[^.]*$"
@@ -38,10 +39,11 @@ def predictions(spark: SparkSession, folder: str, glob: str = "prediction*.json"
 
 
 def loose_text(v: Column) -> Column:
-    """A scalar as stripped text, null where it is missing, null or blank; booleans as True and False, the rest as JSON."""
-    plain = F.try_variant_get(v, "$", "string")
-    flag = F.initcap(plain)
-    return F.when(kind(v) == "void", F.lit(None).cast("string")).when(kind(v) == "boolean", flag).otherwise(coerce(F.coalesce(plain, F.to_json(v))))
+    """A scalar as text, null where it is missing or null: strings stripped (null if blank), other values as plain_text() has them."""
+    def text(x: Column) -> Column:
+        return F.when(kind(x) == "string", coerce(F.try_variant_get(x, "$", "string"))).otherwise(plain_text(x))
+
+    return bound(v, text)
 
 
 def prediction_events(files: DataFrame) -> DataFrame:
