@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -11,8 +13,10 @@ from pyspark.sql import functions as F
 from handbill.llm.common import arrow_map, fresh, materialise, prepare, utf8
 from handbill.llm.graph import components
 
-#: Fingerprints, at about that many, from which the driver lays out the top of the tree.
-SAMPLE = 20_000
+#: Fingerprints for each shard, about, from which the driver lays out the top of the tree (300 bytes a shard).
+SAMPLE = 32
+#: Fingerprints in a shard, about: LEAST while those make few tasks (up to TASKS), at most MOST.
+LEAST, MOST, TASKS = 2_000, 262_144, 64
 #: Points and queries that are compared at once, and links that are merged at once.
 CELLS, LINKS = 1 << 21, 1 << 20
 
@@ -55,35 +59,74 @@ def far(x: np.ndarray, point: np.uint64) -> np.ndarray:
     return np.bitwise_count(x ^ point)
 
 
-def layout(sample: np.ndarray, depth: int, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
-    """Vantage points and radii of a complete tree of that depth, node i's children at 2i + 1 (inside) and 2i + 2."""
+@dataclass
+class Tree:
+    """The top of a vantage-point tree: of each node its point, its radius and its children inside and outside.
+
+    A child below zero is a leaf: leaf k is -1 - k.
+    """
+
+    points: np.ndarray
+    radii: np.ndarray
+    children: np.ndarray  # nodes x 2
+    leaves: int
+
+
+def layout(sample: np.ndarray, most: int = SAMPLE, seed: int = 7) -> Tree:
+    """Splits the sample until each part holds at most `most`, however deep that goes where fingerprints crowd.
+
+    Of a few candidates the vantage point is the one from which distances differ most; its radius is their median.
+    """
     rng = np.random.default_rng(seed)
-    points, radii = np.zeros(2**depth - 1, np.uint64), np.full(2**depth - 1, 64, np.int64)
-    held = {0: sample}
-    for i in range(2**depth - 1):
-        own = held.pop(i)
-        if len(own):
-            points[i] = own[rng.integers(len(own))]
-            d = far(own, points[i])
-            radii[i] = int(np.median(d))
-            held[2 * i + 1], held[2 * i + 2] = own[d <= radii[i]], own[d > radii[i]]
-        else:
-            held[2 * i + 1] = held[2 * i + 2] = own
-    return points, radii
-
-
-def route(fp: np.ndarray, points: np.ndarray, radii: np.ndarray, depth: int, within: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(index into fp, leaf, whether it lives there) for each leaf that a ball of radius `within` around it can reach."""
-    index, node, home = np.arange(len(fp)), np.zeros(len(fp), np.int64), np.ones(len(fp), bool)
-    for _ in range(depth):
-        d = far(fp[index], points[node]).astype(np.int64) - radii[node]
-        inside, outside = d <= within, d > -within
-        index, node, home = (
+    points, radii, children, leaves = [], [], [], 0
+    todo = [(sample, -1, 0)]
+    while todo:
+        own, parent, side = todo.pop()
+        split = None
+        if len(own) > most:
+            d = far(own[None, :], own[rng.integers(len(own), size=8)][:, None]).astype(np.int64)
+            best = int(d.std(axis=1).argmax())
+            r = int(np.median(d[best]))
+            r -= int((d[best] <= r).all())  # a median that is the greatest distance would leave the outside empty
+            if (d[best] <= r).any():
+                split = (own[np.flatnonzero(d[best] == 0)[0]], r, d[best] <= r)
+        number = len(points) if split else -1 - leaves
+        if parent >= 0:
+            children[parent][side] = number
+        if not split:
+            leaves += 1
+            continue
+        points.append(split[0])
+        radii.append(split[1])
+        children.append([0, 0])
+        todo += [(own[~split[2]], number, 1), (own[split[2]], number, 0)]
+    return Tree(np.array(points, np.uint64), np.array(radii, np.int64), np.array(children, np.int64).reshape(-1, 2), leaves)
+
+
+def route(fp: np.ndarray, tree: Tree, within: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(index into fp, leaf, whether it is a point there) of each leaf that a ball around a fingerprint can reach.
+
+    Two fingerprints of a distance of at most `within` have one between them, half way, that falls into a single leaf. So
+    it is enough that each is a point in all leaves within half that distance of it, rounded down, and is asked in all
+    within half of it, rounded up: rows grow by 1.4 a level instead of the 1.55 of a single home asked in a whole ball.
+    """
+    short, wide = within // 2, within - within // 2
+    index, node, point = np.arange(len(fp)), np.zeros(len(fp), np.int64), np.ones(len(fp), bool)
+    if not len(tree.points):
+        return index, node, point
+    done = []
+    while len(index):
+        d = far(fp[index], tree.points[node]).astype(np.int64) - tree.radii[node]
+        inside, outside = d <= wide, d > -wide
+        index, node, point = (
             np.concatenate([index[inside], index[outside]]),
-            np.concatenate([2 * node[inside] + 1, 2 * node[outside] + 2]),
-            np.concatenate([home[inside] & (d[inside] <= 0), home[outside] & (d[outside] > 0)]),
+            np.concatenate([tree.children[node[inside], 0], tree.children[node[outside], 1]]),
+            np.concatenate([point[inside] & (d[inside] <= short), point[outside] & (d[outside] > -short)]),
         )
-    return index, node - (2**depth - 1), home
+        ends = node < 0
+        done.append((index[ends], -1 - node[ends], point[ends]))
+        index, node, point = index[~ends], node[~ends], point[~ends]
+    return tuple(np.concatenate(x) for x in zip(*done, strict=True))
 
 
 class Forest:
@@ -147,40 +190,33 @@ def shard_links(group: pd.DataFrame, within: int) -> pd.DataFrame:
     """A spanning forest, as (a, b), of the links between a shard's points and its queries: at most a row a query."""
     fp, where = np.unique(group["fp"].to_numpy().view(np.uint64), return_inverse=True)
     forest = Forest(len(fp))
-    search(fp, where[group["home"].to_numpy()], where, within, forest, np.random.default_rng(11))
+    search(fp, np.unique(where[group["point"].to_numpy()]), np.unique(where), within, forest, np.random.default_rng(11))
     root = forest.merge()
     linked = np.flatnonzero(root != np.arange(len(fp)))
     return pd.DataFrame({"a": fp[linked].view(np.int64), "b": fp[root[linked]].view(np.int64)})
 
 
-def depth_for(n: int) -> int:
-    """Shards of 2,000 fingerprints up to 64 of them, larger ones beyond: each level of the tree copies more queries."""
-    shards = max(n / 65_536, min(n / 2_000, 64), 8)
-    return int(np.ceil(np.log2(shards)))
-
-
-def links(distinct: DataFrame, n: int, within: int = 3) -> DataFrame:
+def links(distinct: DataFrame, n: int, within: int = 3, least: int = LEAST, most: int = MOST) -> DataFrame:
     """(a, b): spanning forests that link all pairs of distinct(fp), of which there are n, within the distance.
 
-    The top of a vantage-point tree, laid out on a bounded sample, deals fingerprints to shards: each lives in
-    one and is asked in all whose region its ball meets. Every pair within the distance so meets in the
-    shard of either end. Each shard has a tree of its own.
+    The top of a vantage-point tree, laid out on a sample of SAMPLE for each shard, deals fingerprints to shards; every pair
+    within the distance meets in one of them. Where fingerprints crowd the tree is deeper, so shards are about
+    as large as each other: at most about `most`, or `least` while that makes few of them. Each shard has a tree of its own.
     """
-    share = min(1.0, SAMPLE / max(1, n))
+    shards = max(-(-n // most), min(TASKS, -(-n // least)), 1)
     h = F.pmod(F.shiftright(F.xxhash64(F.lit(3), "fp"), 11), F.lit(2**53)) / F.lit(float(2**53))
-    sample = np.array([r["fp"] for r in distinct.where(h < share).select("fp").collect()], np.int64).view(np.uint64)
-    depth = depth_for(n)
-    points, radii = layout(sample, depth)
+    chosen = distinct.where(h < min(1.0, shards * SAMPLE / max(1, n))).select("fp").toArrow()["fp"].to_numpy()
+    tree = layout(np.sort(chosen).view(np.uint64))
 
     def make():
         def deal(batch: pa.RecordBatch) -> pa.RecordBatch:
             fp = batch.column(0).to_numpy()
-            index, leaf, home = route(fp.view(np.uint64), points, radii, depth, within)
-            return pa.record_batch([pa.array(leaf.astype(np.int32)), pa.array(fp[index]), pa.array(home)], ["leaf", "fp", "home"])
+            index, leaf, point = route(fp.view(np.uint64), tree, within)
+            return pa.record_batch([pa.array(leaf.astype(np.int32)), pa.array(fp[index]), pa.array(point)], ["leaf", "fp", "point"])
 
         return deal
 
-    dealt = arrow_map(distinct.select("fp"), "leaf int, fp bigint, home boolean", make)
+    dealt = arrow_map(distinct.select("fp"), "leaf int, fp bigint, point boolean", make)
     return dealt.groupBy("leaf").applyInPandas(lambda group: shard_links(group, within), "a bigint, b bigint")
 
 

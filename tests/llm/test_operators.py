@@ -51,15 +51,41 @@ def test_simhash(docs):
     assert kept.columns == docs.columns and kept.count() == len(set(label))
 
 
-def test_simhash_large_tree():
+def test_simhash_deep_tree(spark):
+    """Crowds, chains and lone fingerprints over a tree of depth 10 and more: components as of all pairs."""
     r = np.random.default_rng(1)
-    fp = r.integers(0, 2**63, 3000, dtype=np.uint64)
-    fp[1000:1100] = fp[:100] ^ np.uint64(7)
-    points, radii = simhash.layout(fp[:500], 4)
-    index, leaf, home = simhash.route(fp, points, radii, 4, 3)
-    assert home.sum() == len(fp)
-    at = {i: set(leaf[index == i]) for i in range(1100)}
-    assert all(leaf[(index == i) & home][0] in at[1000 + i] for i in range(100))
+    lone = r.integers(0, 2**64, 6000, dtype=np.uint64)
+    flips = np.uint64(1) << r.integers(0, 64, (3, 3000)).astype(np.uint64)
+    near = lone[r.integers(0, 6000, 3000)] ^ np.where(r.random((3, 3000)) < 0.6, flips, np.uint64(0))[0] ^ flips[1] ^ np.where(r.random(3000) < 0.5, flips[2], np.uint64(0))
+    crowd = lone[0] ^ np.bitwise_or.reduce(np.uint64(1) << r.integers(0, 64, (4, 1500)).astype(np.uint64), axis=0)
+    fp = np.unique(np.concatenate([lone, near, crowd]))
+    tree = simhash.layout(r.permutation(fp)[:5000], 4)
+    index, leaf, point = simhash.route(fp, tree, 3)
+    depth = np.zeros(len(tree.points), int)
+    for i, own in enumerate(tree.children):
+        depth[own[own >= 0]] = depth[i] + 1
+    assert depth.max() >= 10 and tree.leaves > 1000 and set(index.tolist()) == set(range(len(fp)))
+    label = np.arange(len(fp))
+    for i in range(len(fp)):
+        alike = np.flatnonzero(np.bitwise_count(fp ^ fp[i]) <= 3)
+        old = np.unique(label[alike])
+        label[np.isin(label, old)] = old[0]
+    nodes = spark.createDataFrame([(int(x),) for x in fp.view(np.int64)], "fp bigint")
+    found = simhash.links(nodes, len(fp), 3, least=100, most=16).collect()
+    parent = {int(x): int(x) for x in fp.view(np.int64)}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for e in found:
+        a, b = root(e["a"]), root(e["b"])
+        parent[max(a, b)] = min(a, b)
+    groups = {}
+    for x, k in zip(fp.view(np.int64).tolist(), label.tolist(), strict=True):
+        groups.setdefault(k, set()).add(root(x))
+    assert all(len(g) == 1 for g in groups.values()) and len({next(iter(g)) for g in groups.values()}) == len(groups)
 
 
 def test_substring(docs):
