@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -15,9 +17,9 @@ from handbill.llm.common import arrow_map, materialise, others, prepare, text_or
 ANCHOR = 6
 #: Bytes of text in a home, the group of documents that is read together again, and in a block of texts hashed at once.
 HOME_BYTES, BLOCK_BYTES = 4 << 20, 1 << 18
-#: Occurrences of an anchor beyond which its distinct segments are taken apart into windows: up to that many still
-#: fit one shard's index beside others.
-HOT = 10_000
+#: Distinct segments that share an anchor and an index. More of them are dealt by further anchors: by the ORDERS least runs
+#: of a window instead of the least one, and at last by the whole window.
+CROWD, ORDERS = 2_000, (2, 4, 8, None)
 #: Odd multipliers for hashes over bytes and words, and constants of the SplitMix64 finaliser.
 BASE_BYTE, BASE_WORD = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 MIX = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
@@ -72,8 +74,29 @@ class Words:
         """Hashes of the runs of words [start, end)."""
         return mixed((self.total[end] - self.total[start]) * self.down[start] + (end - start).astype(U64))
 
-    def joined(self, start: int, end: int) -> bytes:
-        return b" ".join(self.text[self.begin[start] : self.end[end - 1]].split())
+    def windows(self, window: int) -> np.ndarray:
+        """First words of the windows that lie in one text."""
+        count = max(0, self.n - window + 1)
+        return np.flatnonzero(self.of[:count] == self.of[self.n - count :]) if count else np.zeros(0, np.int64)
+
+    def keys(self, at: np.ndarray, window: int, order: int | None) -> np.ndarray:
+        """Of windows that begin at `at`: a hash of their `order` least runs of ANCHOR words; of all words for None.
+
+        Equal windows have equal keys, whatever stands around them.
+        """
+        anchor = min(ANCHOR, window)
+        span = window - anchor + 1
+        if order is None or order >= span:
+            return self.runs(at, at + window)
+        first = np.arange(self.n - anchor + 1)
+        h = np.lib.stride_tricks.sliding_window_view(self.runs(first, first + anchor), span)
+        out = np.empty(len(at), U64)
+        for a in range(0, len(at), 1 << 14):
+            least = np.sort(np.partition(h[at[a : a + (1 << 14)]], order - 1, axis=1)[:, :order], axis=1)
+            out[a : a + (1 << 14)] = 0
+            for k in range(order):
+                out[a : a + (1 << 14)] = mixed((out[a : a + (1 << 14)] + least[:, k]) * U64(BASE_WORD))
+        return out
 
     def segments(self, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(first window, number of windows, anchor's hash) of each run of windows with one anchor.
@@ -276,8 +299,10 @@ def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
     document. Windows meet by anchors, runs of words chosen by their content. Anchors that occur once are left out
     after a count. Of the others, segments (runs of windows of one anchor) that are equal are brought together by
     sums; where an anchor has several distinct ones, these go to shards by anchor, each with one FM-index, in
-    which all their windows are searched. Anchors of over HOT occurrences may have as many distinct segments, such as a passage in ever
-    other surroundings: their distinct segments are taken apart, and equal windows brought together by sums.
+    which all their windows are searched. A passage in ever other surroundings gives an anchor ever more distinct segments.
+    Where they are over CROWD, they are cut where their second anchors change, equal pieces are brought together by their
+    words, and the rest is dealt to indexes by both anchors; where that still leaves a crowd, by more anchors. Equal
+    windows meet at every step, and no index grows with the crowd.
 
     Null texts have no words. Documents without doc_id come after all others; documents of one doc_id are ordered by a
     hash of their texts, and rows that repeat in both are one document. Texts shorter than a window lose
@@ -314,16 +339,15 @@ def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
 
     seen = materialise(arrow_map(homed.select("_home", "text"), "home int, anchor bigint, n bigint", anchors), "anchors")
     often = seen.groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1")
-    shared = materialise(seen.drop("n").join(often, "anchor").select("home", "anchor", (F.col("n") > HOT).alias("hot")), "shared")
+    shared = materialise(seen.drop("n").join(often, "anchor").select("home", "anchor"), "shared")
 
     def segments_of(own: pa.Table, anchor: pa.Table) -> pa.Table:
         """Every segment of a home's documents whose anchor is shared."""
-        wanted, at = np.unique(anchor["anchor"].to_numpy(), return_index=True)
-        hot = anchor["hot"].to_numpy()[at]
+        wanted = np.unique(anchor["anchor"].to_numpy())
         own = once(own)
         row, start, count, place, segment = shared_segments(utf8(own["text"].combine_chunks()), wanted, window)
         ids = own.select(["doc_id", "_tie"]).take(pa.array(row))
-        return pa.table([ids["doc_id"], ids["_tie"], pa.array(start), pa.array(count), pa.array(wanted[place]), pa.array(hot[place]), pa.array(segment)], SEGMENT)
+        return pa.table([ids["doc_id"], ids["_tie"], pa.array(start), pa.array(count), pa.array(wanted[place]), pa.array(segment)], SEGMENT)
 
     def words_of(own: pa.Table, part: pa.Table) -> pa.Table:
         """part with the words of its segments."""
@@ -337,38 +361,58 @@ def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
                 split = text.split()
                 rows += of[key].tolist()
                 words += [b" ".join(split[start[i] : start[i] + windows_[i] + window - 1]) for i in of[key]]
-        return part.select(["anchor", "hot", "doc_id", "tie", "start"]).take(pa.array(rows, pa.int64())).append_column("words", pa.array(words, pa.binary()))
+        return part.select(["anchor", "crowded", "doc_id", "tie", "start"]).take(pa.array(rows, pa.int64())).append_column("words", pa.array(words, pa.binary()))
 
-    segment_schema = f"doc_id {kind}, tie bigint, start bigint, windows bigint, anchor bigint, hot boolean, segment bigint"
+    segment_schema = f"doc_id {kind}, tie bigint, start bigint, windows bigint, anchor bigint, segment bigint"
     occurrences = homed.groupBy("_home").cogroup(shared.groupBy("home")).applyInArrow(segments_of, segment_schema)
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "tie", "start")
-    first = occurrences.groupBy("anchor", "segment", "hot").agg(F.min(F.struct(place.alias("at"), "windows")).alias("x"))
-    parts = materialise(first.select("anchor", "hot", "x.at.doc_id", "x.at.tie", "x.at.start", "x.windows"), "parts")
-
-    # only an anchor with several distinct segments can have windows that some of them share
-    several = parts.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
-    distinct = parts.join(several, "anchor").withColumn("home", home("tie"))
-    worded = homed.groupBy("_home").cogroup(distinct.groupBy("home")).applyInArrow(words_of, f"anchor bigint, hot boolean, doc_id {kind}, tie bigint, start bigint, words binary")
-    worded = materialise(worded, "words")
+    first = occurrences.groupBy("anchor", "segment").agg(F.min(F.struct(place.alias("at"), "windows")).alias("x"))
+    parts = materialise(first.select("anchor", "x.at.doc_id", "x.at.tie", "x.at.start", "x.windows"), "parts")
+
+    def several(rows: DataFrame) -> DataFrame:
+        """rows whose anchor has others, with `crowded`: only windows of those can be shared by distinct ones."""
+        counts = rows.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        return rows.join(counts.select("anchor", (F.col("n") > CROWD).alias("crowded")), "anchor")
+
+    distinct = several(parts).withColumn("home", home("tie"))
+    word_schema = f"anchor bigint, crowded boolean, doc_id {kind}, tie bigint, start bigint, words binary"
+    worded = materialise(homed.groupBy("_home").cogroup(distinct.groupBy("home")).applyInArrow(words_of, word_schema), "words")
+
+    def pieces_of(order: int | None):
+        """Segments cut where the key of that order changes."""
+
+        def make():
+            def of_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
+                w = Words(batch.column(3).to_pylist())
+                at = w.windows(window)
+                key, of = w.keys(at, window, order), w.of[at]
+                new = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (of[1:] != of[:-1])])[: len(at)])
+                first, last = at[new], at[np.append(new[1:], len(at)) - 1] + window - 1
+                text = [w.text[a:b] for a, b in zip(w.begin[first].tolist(), w.end[last].tolist(), strict=True)]
+                row = pa.array(w.of[first])
+                start = batch.column(2).to_numpy()[w.of[first]] + first - w.first[w.of[first]]
+                return pa.record_batch([pa.array(key[new].view(np.int64)), *(batch.column(k).take(row) for k in (0, 1)), pa.array(start), pa.array(text, pa.binary())], ["anchor", "doc_id", "tie", "start", "words"])
+
+            return of_batch
+
+        return make
+
+    cold, split = [worded.where("NOT crowded")], []
+    crowd, orders = worded.where("crowded"), iter(ORDERS)
+    while not crowd.isEmpty():
+        pieces = arrow_map(crowd.select("doc_id", "tie", "start", "words"), f"anchor bigint, doc_id {kind}, tie bigint, start bigint, words binary", pieces_of(next(orders)))
+        pieces = materialise(pieces, "pieces")
+        earliest = materialise(pieces.groupBy("anchor", "words").agg(F.min(place).alias("at")), "earliest")
+        again = pieces.join(earliest, ["anchor", "words"]).where(place != F.col("at"))
+        split.append(again.select("doc_id", "tie", "start", (F.col("start") + F.size(F.split(F.col("words").cast("string"), " "))).cast("bigint").alias("end")))
+        left = materialise(several(earliest.select("anchor", "at.doc_id", "at.tie", "at.start", "words")), "left")
+        cold.append(left.where("NOT crowded").select(worded.columns))
+        crowd = left.where("crowded")
 
     shards = max(8, homes // 2)
-    cold = worded.where("NOT hot").select(F.pmod(F.xxhash64("anchor"), F.lit(shards)).cast("int").alias("shard"), "doc_id", "tie", "start", "words")
+    indexed = reduce(DataFrame.unionByName, cold).select(F.pmod(F.xxhash64("anchor"), F.lit(shards)).cast("int").alias("shard"), "doc_id", "tie", "start", "words")
     span_schema = f"doc_id {kind}, tie bigint, start bigint, end bigint"
-    partly = cold.groupBy("shard").applyInArrow(lambda x: repeated_windows(x, window), span_schema)
-
-    def windows():
-        def of_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
-            w = Words(batch.column(4).to_pylist())
-            at = np.flatnonzero(w.of[: max(0, w.n - window + 1)] == w.of[window - 1 :]) if w.n >= window else np.zeros(0, np.int64)
-            row = pa.array(w.of[at])
-            start = batch.column(3).to_numpy()[w.of[at]] + at - w.first[w.of[at]]
-            return pa.record_batch([*(batch.column(k).take(row) for k in (0, 1, 2)), pa.array(start), pa.array(w.runs(at, at + window).view(np.int64))], ["anchor", "doc_id", "tie", "start", "window"])
-
-        return of_batch
-
-    apart = arrow_map(worded.where("hot").select("anchor", "doc_id", "tie", "start", "words"), f"anchor bigint, doc_id {kind}, tie bigint, start bigint, window bigint", windows)
-    earliest = apart.groupBy("anchor", "window").agg(F.min(place).alias("at"))
-    split = apart.join(earliest, ["anchor", "window"]).where(place != F.col("at")).select("doc_id", "tie", "start", (F.col("start") + window).alias("end"))
+    spans = reduce(DataFrame.unionByName, split, indexed.groupBy("shard").applyInArrow(lambda x: repeated_windows(x, window), span_schema))
 
     # what the last look at a home's documents needs: its shared anchors, the first places of segments, other spans
     def facts(df: DataFrame, what: int, **has: Column) -> DataFrame:
@@ -377,7 +421,6 @@ def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
         return df.select((has["home"] if "home" in has else home("tie")).alias("home"), F.lit(what).cast("tinyint").alias("what"), *own)
 
     at_place = {c: F.col(c) for c in ("doc_id", "tie", "start")}
-    spans = partly.unionByName(split)
     known = facts(shared, 0, home=F.col("home"), anchor=F.col("anchor")).unionByName(facts(parts, 1, **at_place)).unionByName(facts(spans, 2, end=F.col("end"), **at_place))
 
     def cut(own: pa.Table, right: pa.Table) -> pa.Table:
@@ -408,4 +451,4 @@ def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
     return done.toDF(*kept_columns, "n_words", "n_removed", "kept")
 
 
-SEGMENT = ["doc_id", "tie", "start", "windows", "anchor", "hot", "segment"]
+SEGMENT = ["doc_id", "tie", "start", "windows", "anchor", "segment"]

@@ -99,10 +99,10 @@ def test_substring(docs):
             gone[i : i + 20] |= key in seen
             seen.add(key)
         expected[d, t] = (len(w), int(gone.sum()), b" ".join(x for x, g in zip(w, gone, strict=True) if not g).decode())
-    for hot in (substring.HOT, 1):
-        was, substring.HOT = substring.HOT, hot
+    for crowd in (substring.CROWD, 1):
+        was, substring.CROWD = substring.CROWD, crowd
         found = substring.remove_repeats(docs).collect()
-        substring.HOT = was
+        substring.CROWD = was
         assert len(found) == len(rows())
         for r in found:
             assert (r["n_words"], r["n_removed"], r["kept"]) == expected[r["doc_id"], r["text"] or ""], r["doc_id"]
