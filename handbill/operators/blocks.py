@@ -9,13 +9,15 @@ from handbill.functions.geometry import to_thousand
 from handbill.functions.text import clean_text
 
 
-def build_blocks(items: DataFrame, dense: bool = True) -> DataFrame:
+def build_blocks(items: DataFrame, dense: bool = True, drop_labels: tuple[str, ...] = ()) -> DataFrame:
     """(image, id, text, box, order) of items(image, pos, text, x1, y1, x2, y2, order, width, height), in reading order.
 
     Items without text or with a box that isn't whole are left out. Ids count the items that are left
     (dense), or are their places among all. Blocks without an order come last, but where a column order_missing
-    says that none was given the id is the order.
+    says that none was given the id is the order. Items whose label is one of drop_labels are left out first.
     """
+    if drop_labels:
+        items = items.where(~F.coalesce(F.col("label").isin(*drop_labels), F.lit(False)))
     box = F.array(*[to_thousand(F.col(c), F.col(s)) for c, s in (("x1", "width"), ("y1", "height"), ("x2", "width"), ("y2", "height"))])
     kept = items.withColumn("text", clean_text(F.col("text"))).withColumn("box", box)
     kept = kept.where((F.col("text") != "") & F.forall("box", lambda x: x.isNotNull()))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 
@@ -12,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from handbill.functions.text import coerce, norm_name
+from handbill.sources.storage import settled
 
 FIELDS = ("event_name", "venue", "date", "time", "recurring")
 # How alike names must be, and how alike if the dates are equal.
@@ -57,17 +57,6 @@ def match_edges(events: DataFrame, strong: float = STRONG, weak: float = WEAK) -
     return joined.where((F.col("sim") >= strong) | ((F.col("later_date") == F.col("earlier_date")) & (F.col("sim") >= weak))).select("run_id", "a", "b")
 
 
-def settled(df: DataFrame) -> DataFrame:
-    """df written to the checkpoint folder that spark.checkpoint.dir names; a local one serves a local master only."""
-    context = df.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not folder and not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="handbill-"))
-    return df.checkpoint()
-
-
 def roots(events: DataFrame, edges: DataFrame) -> DataFrame:
     """(run_id, ordinal, root): the cluster each event falls into when, in order, it joins the first cluster with a match.
 

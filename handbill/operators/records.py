@@ -13,10 +13,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from handbill.functions import datetimes
+from handbill.functions.geometry import data_url
 from handbill.functions.jsons import events_of, extract_any, kind
 from handbill.functions.schema import ensure_schema
 from handbill.functions.text import NOVALUE
-from handbill.operators.events import settled
+from handbill.sources.storage import settled
 
 #: Stands for the blocks in a prompt.
 SLOT = "{blocks}"
@@ -115,3 +116,31 @@ def training_samples(images: DataFrame, canvases: DataFrame, prompts: DataFrame,
     user = F.array(part("image", "image", None), part("image", "canvas", None), part("text", None, fill_prompt(F.col("prompt"), template)))
     turns = F.array(F.struct(F.lit("user").alias("role"), user.alias("content")), F.struct(F.lit("assistant").alias("role"), F.array(part("text", None, F.col("target"))).alias("content")))
     return sides.select("idx", F.when(F.size(missing) == 0, turns).alias("messages"), missing.alias("missing"))
+
+
+def vision_messages(images: DataFrame, canvases: DataFrame, prompts: DataFrame, template: str = PROMPT) -> DataFrame:
+    """(idx, messages) of images(idx, content), canvases(idx, content) and prompts(idx, prompt) that have all three.
+
+    One user turn: both images as data URLs in high detail, then the filled prompt.
+    """
+    nothing = F.lit(None).cast("struct<url: string, detail: string>")
+
+    def image(content: str):
+        url = F.struct(data_url(F.col(content)).alias("url"), F.lit("high").alias("detail"))
+        return F.struct(F.lit("image_url").alias("type"), url.alias("image_url"), F.lit(None).cast("string").alias("text"))
+
+    rows = images.select("idx", F.col("content").alias("image")).join(canvases.select("idx", F.col("content").alias("canvas")), "idx").join(prompts.select("idx", "prompt"), "idx")
+    text = F.struct(F.lit("text").alias("type"), nothing.alias("image_url"), fill_prompt(F.col("prompt"), template).alias("text"))
+    return rows.select("idx", F.array(F.struct(F.lit("user").alias("role"), F.array(image("image"), image("canvas"), text).alias("content"))).alias("messages"))
+
+
+def page_targets(pages: DataFrame, provider: Callable[[str], str]) -> DataFrame:
+    """(idx, target, error) of pages(idx, n_blocks, prompt): what the provider answers, as JSON text {"events": [...]}.
+
+    A page without blocks has no events and isn't asked about; an answer without a list of events has none either.
+    """
+    empty = F.lit('{"events":[]}')
+    bare = pages.where(F.coalesce("n_blocks", F.lit(0)) == 0).select("idx", empty.alias("target"), F.lit(None).cast("string").alias("error"))
+    asked = ask(pages.where("n_blocks > 0").select("idx", "prompt"), "prompt", "answer", provider)
+    found = F.coalesce(normalize_target(extract_any(F.col("answer"))), F.when(F.col("error").isNull(), empty))
+    return asked.select("idx", found.alias("target"), "error").unionByName(bare)

@@ -5,6 +5,7 @@ Inputs are event records, pages and search results that Spark derives from the d
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from datetime import date
 
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from handbill.functions import datetimes, geometry, jsons, schema, text
 from handbill.operators import blocks, events, layout, records
 from handbill.sources import files, search, sinks
+from handbill.sources.storage import fresh_folder, settled
 
 TODAY = date(2026, 3, 15)
 TIMES = ["7 pm", "5 - 8:30 pm", "19:00", "noon", "7:30 pm – 9 pm", "12 am", "doors 7pm", "25 - 7 pm"]
@@ -144,7 +146,10 @@ def nearest_upcoming(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", datetimes.nearest_upcoming(F.month(d), F.dayofmonth(d), TODAY).cast("string").alias("upcoming"))
 
 
-@query()
+@query("""WITH {raw}, d AS (SELECT ordinal, ordinal % 4 AS k, date, CAST(date AS DATE) AS day FROM raw WHERE date IS NOT NULL),
+  this AS (SELECT *, try_cast('2026-' || strftime(day, '%m-%d') AS DATE) AS y FROM d)
+SELECT ordinal, CASE k WHEN 0 THEN strftime(day, '%b %d') WHEN 1 THEN date WHEN 2 THEN strftime(day, '%d %B %Y') ELSE 'tbd' END AS free,
+  CASE WHEN k IN (1, 2) THEN date WHEN k = 3 OR y IS NULL THEN 'NOVALUE' WHEN y - DATE '2026-03-15' >= -30 THEN y::VARCHAR ELSE '2027' || substr(y::VARCHAR, 5) END AS start_date FROM this""")
 def normalize_date(spark, sf_dir):
     """Dates as free text; ISO ones never reach the parser, of the others each distinct text and hint is parsed once."""
     k = F.col("ordinal") % 4
@@ -176,13 +181,41 @@ def query_explode(spark, sf_dir):
     return rows.withColumn("query_no", (F.col("query_no") + 1).cast("bigint"))
 
 
-@query("""WITH {raw}, k AS (SELECT DISTINCT sha256(lower(trim(event_name)) || '|' || venue) AS cache_key, lower(trim(event_name)) || '|' || venue AS q FROM raw WHERE event_name IS NOT NULL),
-  c AS (SELECT DISTINCT sha256(lower(trim(event_name)) || '|' || venue) AS cache_key FROM raw WHERE event_name IS NOT NULL AND ordinal % 2 = 0)
-SELECT k.cache_key, k.q, c.cache_key IS NOT NULL AS hit FROM k LEFT JOIN c USING (cache_key)""")
+ENDPOINT = "https://search.test/v1"
+KEYED = """asked AS (SELECT DISTINCT lower(trim(event_name)) || '|' || venue AS search, min(ordinal) AS first FROM raw WHERE event_name IS NOT NULL GROUP BY ALL),
+  keyed AS (SELECT *, sha256('{"endpoint": "ENDPOINT", "payload": {"num": 10, "q": "' || search || '"}}') AS cache_key FROM asked)""".replace("ENDPOINT", ENDPOINT)
+
+
+def asked_searches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each distinct search of the events' names and venues, with its request and key; `first` is the event that asks first."""
+    named = raw_events(spark, sf_dir).where("event_name IS NOT NULL").withColumn("search", F.concat_ws("|", F.lower(F.trim("event_name")), "venue"))
+    return search.requests(named.groupBy("search").agg(F.min("ordinal").alias("first")), ENDPOINT)
+
+
+def recorded_search(payload: str) -> str:
+    """A provider that answers from the request alone: three results, the last one without a link."""
+    q = json.loads(payload)["q"]
+    found = [{"title": q, "snippet": f"about {q}", "link": f"https://site{k}.test/{len(q)}" if k < 2 else ""} for k in range(3)]
+    return json.dumps({"organic": found})
+
+
+@query(f"WITH {{raw}}, {KEYED} SELECT cache_key, search, first % 2 = 0 AS hit FROM keyed")
 def cache_lookup(spark, sf_dir):
-    named = raw_events(spark, sf_dir).where("event_name IS NOT NULL").withColumn("q", F.concat_ws("|", F.lower(F.trim("event_name")), "venue")).withColumn("cache_key", F.sha2("q", 256))
-    cached = named.where("ordinal % 2 = 0").select("cache_key").distinct().withColumn("hit", F.lit(True))
-    return named.select("cache_key", "q").distinct().join(cached, "cache_key", "left").withColumn("hit", F.coalesce("hit", F.lit(False)))
+    """Searches and whether the cache, which every second one has filled, knows them; nothing is fetched."""
+    asked = asked_searches(spark, sf_dir)
+    path = fresh_folder(spark, "cache")
+    search.fetch(asked.where("first % 2 = 0"), recorded_search).write.parquet(path)
+    return search.read_through(asked, path).select("cache_key", "search", F.col("raw").isNotNull().alias("hit"))
+
+
+@query(f"WITH {{raw}}, {KEYED} SELECT cache_key, search AS first_title, 3::BIGINT AS n_results FROM keyed")
+def cache_misses(spark, sf_dir):
+    """Answers to all searches: half from the cache, the others fetched once and appended to it."""
+    asked = asked_searches(spark, sf_dir)
+    path = fresh_folder(spark, "cache")
+    search.fetch(asked.where("first % 2 = 0"), recorded_search).write.parquet(path)
+    found = F.try_variant_get(F.parse_json("raw"), "$.organic", "array<struct<title: string>>")
+    return search.read_through(asked, path, recorded_search).select("cache_key", found[0]["title"].alias("first_title"), F.size(found).cast("bigint").alias("n_results"))
 
 
 @query("""WITH r AS (SELECT user_id, event_id % 3 AS query_no, event_id AS place, CASE WHEN event_id % 11 = 0 THEN '' ELSE 'u' || (event_id % 17) END AS url FROM events),
@@ -236,21 +269,42 @@ def ensure_schema(spark, sf_dir):
 FROM documents d LEFT JOIN (SELECT DISTINCT vec_id FROM embeddings) e ON e.vec_id = d.doc_id LEFT JOIN (SELECT DISTINCT doc_id FROM labels) l USING (doc_id)""")
 def missing_report(spark, sf_dir):
     """What keeps an image from being a training sample."""
-    has_a = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("doc_id")).distinct().withColumn("a", F.lit("annotation"))
-    has_t = table(spark, sf_dir, "labels").select("doc_id").distinct().withColumn("t", F.lit("target"))
-    rows = table(spark, sf_dir, "documents").select("doc_id").join(has_a, "doc_id", "left").join(has_t, "doc_id", "left")
-    return rows.select("doc_id", F.array_join(F.array_compact(F.array(F.when(F.col("a").isNull(), F.lit("annotation")), F.when(F.col("t").isNull(), F.lit("target")))), ",").alias("missing"))
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("idx"), F.lit("path").alias("path"))
+    prompts = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("idx"), F.lit("[]").alias("prompt")).distinct()
+    targets = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("idx"), F.parse_json(F.lit("[]")).alias("v")).dropDuplicates(["idx"])
+    made = records.training_samples(docs, docs, prompts, targets)
+    return made.select(F.col("idx").alias("doc_id"), F.array_join("missing", ",").alias("missing"))
 
 
 @query("SELECT d.doc_id, d.n_chars FROM documents d ANTI JOIN labels l USING (doc_id)")
 def skip_existing(spark, sf_dir):
-    return table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left_anti").select("doc_id", "n_chars")
+    return files.without_existing(table(spark, sf_dir, "documents").select("doc_id", "n_chars"), table(spark, sf_dir, "labels"), "doc_id")
 
 
 @query("SELECT user_id, floor(epoch(ts) / 3600)::BIGINT AS bucket, arg_min(event_id, ts)::BIGINT AS first_event, count(*)::BIGINT AS n FROM (SELECT * FROM events ORDER BY event_id) GROUP BY ALL")
 def stride_sample(spark, sf_dir):
-    rows = table(spark, sf_dir, "events").withColumn("bucket", F.floor(F.unix_timestamp(F.col("ts").cast("timestamp")) / 3600).cast("bigint"))
-    return rows.groupBy("user_id", "bucket").agg(F.min_by("event_id", F.struct("ts", "event_id")).alias("first_event"), F.count(F.lit(1)).alias("n"))
+    found = files.first_in_stride(table(spark, sf_dir, "events"), ["user_id"], F.col("ts").cast("timestamp"), "event_id", 3600)
+    return found.withColumnRenamed("first", "first_event")
+
+
+@query("SELECT p_partkey, (p_size * 40)::BIGINT AS width, (p_partkey % 2000 + 1)::BIGINT AS height FROM part")
+def png_dims(spark, sf_dir):
+    """Widths and heights from the first bytes of PNG files, whose headers are made from parts."""
+    sides = [F.lpad(F.hex(c), 8, "0") for c in (F.col("p_size") * 40, F.col("p_partkey") % 2000 + 1)]
+    content = F.unhex(F.concat(F.lit("89504E470D0A1A0A0000000D49484452"), *sides, F.lit("0802000000")))
+    found = table(spark, sf_dir, "part").select("p_partkey", geometry.png_size(content).alias("size"))
+    return found.select("p_partkey", *[F.col(f"size.{k}").cast("bigint").alias(k) for k in ("width", "height")])
+
+
+@query("""WITH c AS (SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS i FROM conversations),
+  r AS (SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS i FROM conversations WHERE turn % 3 <> 1)
+SELECT conv_id, i::BIGINT AS place, c.turn::BIGINT AS t, r.turn::BIGINT AS b FROM c JOIN r USING (conv_id, i)""")
+def zip_positional(spark, sf_dir):
+    """Turns side by side with every turn but some, as far as both go."""
+    own = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list("turn")).alias("all"))
+    pairs = files.zip_positional(F.col("all"), F.filter("all", lambda x: x % 3 != 1), ("t", "b"))
+    rows = own.select("conv_id", F.posexplode(pairs).alias("place", "p"))
+    return rows.select("conv_id", (F.col("place") + 1).cast("bigint").alias("place"), *[F.col(f"p.{k}").cast("bigint").alias(k) for k in "tb"])
 
 
 @query("WITH v AS (SELECT p_partkey, (p_size * 100)::BIGINT AS total FROM part) SELECT p_partkey, sec::BIGINT AS sec, greatest(0, least(total - 1, round_even(sec * 29.97, 0)))::BIGINT AS frame FROM v, LATERAL (SELECT unnest(range(0, floor(total / 29.97)::BIGINT + 1, 2)) AS sec)")
@@ -289,7 +343,10 @@ def block_build_raw(spark, sf_dir):
     return blocks.build_blocks(page_items(spark, sf_dir), dense=False).select("image", "place", "id", F.array_join("box", ",").alias("box"))
 
 
-@query()
+@query("WITH b AS (" + "WITH " + BLOCKS.format("id") + """), t AS (SELECT conv_id AS image, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS id, text, CASE WHEN turn % 3 <> 0 THEN -turn END AS ord
+  FROM conversations WHERE turn % 4 <> 1 AND trim(text) <> '')
+SELECT image, count(*)::BIGINT AS n_blocks, '[' || string_agg('{"id":"B' || id || '","text":' || to_json(list_aggregate(list_filter(list_transform(string_split(replace(replace(text, chr(160), ' '), chr(13), chr(10)), chr(10)), lambda x: trim(x, ' ' || chr(9))), lambda x: x <> ''), 'string_agg', chr(10)))
+  || coalesce(',"order":' || ord, '') || ',"bbox_1000":[' || box || ']}', ',' ORDER BY place) || ']' AS prompt FROM b JOIN t USING (image, id) GROUP BY image""")
 def prompt_blocks(spark, sf_dir):
     return blocks.prompt_blocks(blocks.build_blocks(page_items(spark, sf_dir)))
 
@@ -328,10 +385,14 @@ def result_files(spark, sf_dir):
     return kept.select("file_name", F.array_join("items", "|").alias("titles"))
 
 
-@query()
+@query("""WITH {raw}, t AS (SELECT 'prediction' || run_id || '.json' AS source, row_number() OVER (PARTITION BY run_id ORDER BY ordinal) AS pos, ordinal,
+  nullif(trim(event_name), '') AS event_name, venue, date, time, recurring, coalesce(date, 'NOVALUE') AS start_date, coalesce(date, 'NOVALUE') AS end_date FROM raw)
+SELECT * EXCLUDE (ordinal), CASE ordinal % 8 WHEN 1 THEN '17:00' WHEN 3 THEN 'NOVALUE' WHEN 4 THEN '19:30' WHEN 5 THEN '00:00' WHEN 7 THEN 'NOVALUE' ELSE '19:00' END AS start_time,
+  CASE ordinal % 8 WHEN 1 THEN '20:30' WHEN 4 THEN '21:00' ELSE 'NOVALUE' END AS end_time FROM t""")
 def normalize_when(spark, sf_dir):
     """Dates and times of all events; a file's first year stands in for a missing one."""
-    return records.normalize_when(files.prediction_events(prediction_files(spark, sf_dir)).drop("ordinal"), TODAY)
+    found = records.normalize_when(files.prediction_events(prediction_files(spark, sf_dir)).drop("ordinal"), TODAY)
+    return found.withColumn("pos", F.col("pos").cast("bigint"))
 
 
 def annotation_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -393,3 +454,56 @@ def training_samples(spark, sf_dir):
     paths = text.sibling_paths(F.lit("root"), F.col("idx"))
     made = records.training_samples(docs.withColumn("path", paths["image"]), docs.withColumn("path", paths["canvas"]), docs.withColumn("prompt", F.lit("[]")), targets)
     return made.select("idx", F.array_join("missing", ",").alias("missing"), F.get("messages", F.lit(1))["content"][0]["text"].alias("target"))
+
+
+def recorded_merge(prompt: str) -> str:
+    """A provider of final records that answers from the prompt alone: some in brackets no parser takes, which it mends when asked."""
+    if prompt.startswith(records.REPAIR):
+        return prompt[len(records.REPAIR) :].translate(str.maketrans("<>()", "{}[]"))
+    event = json.loads(prompt)
+    name = event["event_name"]
+    if name.endswith("!"):
+        raise RuntimeError("the model is gone")
+    link = event["evidence"][0]["url"] if event.get("evidence") else None
+    times = {k: event.get(k) for k in ("start_date", "start_time", "end_date", "end_time")}
+    answer = json.dumps([{"type": "event", "title": name, "venue": event.get("venue"), "links": {"website": link}, "event": times, "score": 1}])
+    return answer.translate(str.maketrans("{}[]", "<>()")) if name.startswith("the ") else answer
+
+
+@query("""WITH {raw} SELECT ordinal, CASE WHEN event_name LIKE '%!' THEN NULL ELSE trim(event_name) END AS title, CASE WHEN event_name LIKE '%!' THEN NULL ELSE coalesce(date, 'NOVALUE') END AS start_date,
+  CASE WHEN event_name LIKE '%!' THEN 'RuntimeError: the model is gone' END AS error FROM raw WHERE event_name IS NOT NULL""")
+def replay_merge(spark, sf_dir):
+    """Final records from a recorded model: answers that are no JSON are sent back once, failures stay with their row."""
+    named = raw_events(spark, sf_dir).where("event_name IS NOT NULL")
+    prompt = F.to_json(F.struct("event_name", "venue", F.col("date").alias("start_date")))
+    made = records.merge_records(named.select("ordinal", prompt.alias("prompt")), recorded_merge)
+    return made.select("ordinal", "record.title", "record.event.start_date", "error")
+
+
+@query("""WITH v AS (SELECT p_partkey, p_partkey % 4 AS k FROM part) SELECT p_partkey, CASE k WHEN 0 THEN 'item 1: missing keys: address, description, links, type, venue' WHEN 1 THEN 'item 0: not an object'
+  WHEN 2 THEN 'not a list' ELSE 'item 0: event is no object' END AS fault FROM v""")
+def validate_array(spark, sf_dir):
+    """The first fault of lists of records, by the item's number; of two faults in an item the one that counts first."""
+    good = '{"type":"event","title":"%","address":1,"venue":null,"description":"","links":{"website":"","tickets":"","reservation":"","other":[]},"event":{"recurring_weekly":"","recurring_weekday":"","start_date":"","start_time":"","end_date":"","end_time":""}}'
+    two_faults = good.replace('"other":[]', '"other":5')
+    two_faults = two_faults[: two_faults.index('"event":{')] + '"event":"%"}'
+    lists = [f'[{good},{{"title":"%","event":1}}]', '["%"]', good, f"[{two_faults}]"]
+    body = F.replace(F.element_at(F.array(*map(F.lit, lists)), (F.col("p_partkey") % 4 + 1).cast("int")), F.lit("%"), F.col("p_name"))
+    return table(spark, sf_dir, "part").select("p_partkey", schema.validate_list(jsons.strict_json(body)).alias("fault"))
+
+
+@query()
+def event_pipeline(spark, sf_dir):
+    """Predictions to final records: events of each run merged, dated, searched for through a cache, and put to a recorded model."""
+    found = files.prediction_events(prediction_files(spark, sf_dir))
+    run = F.regexp_extract("source", r"(\d+)", 1).cast("bigint")
+    merged = events.dedupe(files.numbered(found, run)).withColumnsRenamed({"run_id": "source", "root": "pos"})
+    dated = settled(records.normalize_when(merged, TODAY))
+    key = F.struct("source", "pos")
+    asked = dated.select(key.alias("event"), F.posexplode(text.build_queries(*map(F.col, ("event_name", "venue", "date", "time")))).alias("query_no", "search"))
+    answers = search.read_through(search.requests(asked, ENDPOINT), fresh_folder(spark, "cache"), recorded_search)
+    evidence = search.event_evidence(answers, "event")
+    prompts = dated.withColumn("event", key).join(evidence, "event", "left")
+    prompt = F.to_json(F.struct("event_name", "venue", "start_date", "start_time", "end_date", "end_time", "evidence"))
+    made = records.merge_records(prompts.select("source", "pos", prompt.alias("prompt")), recorded_merge)
+    return made.select(F.col("source").alias("run_id"), F.col("pos").alias("root"), "record.title", "record.venue", F.col("record.links.website").alias("website"), "record.event.start_date", "record.event.start_time", "error")

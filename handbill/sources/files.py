@@ -21,10 +21,45 @@ def stem(name: Column) -> Column:
     return F.regexp_replace(name, STEM, "")
 
 
-def images(spark: SparkSession, folder: str, glob: str = "out*.png") -> DataFrame:
-    """(idx, path, content) of image files; idx is null where a name ends in no number. Unread columns are not loaded."""
+def images(spark: SparkSession, folder: str, glob: str = "out*.png", only: int | None = None) -> DataFrame:
+    """(idx, path, content) of image files, or of the one of a number; idx is null where a name ends in no number.
+
+    Unread columns are not loaded.
+    """
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder)
-    return files.select(numeric_suffix(stem(F.element_at(F.split("path", "/"), -1))).alias("idx"), "path", "content")
+    found = files.select(numeric_suffix(stem(F.element_at(F.split("path", "/"), -1))).alias("idx"), "path", "content")
+    return found if only is None else found.where(F.col("idx") == only)
+
+
+def in_order(rows: DataFrame, missing_last: bool = False) -> DataFrame:
+    """rows(idx, path, ...) by number, then path; those without a number first, or last."""
+    return rows.orderBy(F.col("idx").asc_nulls_last() if missing_last else F.col("idx").asc_nulls_first(), "path")
+
+
+def required(rows: DataFrame, what: str) -> DataFrame:
+    """rows, of which there has to be one: FileNotFoundError where there is none."""
+    if rows.isEmpty():
+        raise FileNotFoundError(f"no {what}")
+    return rows
+
+
+def without_existing(rows: DataFrame, done: DataFrame, key: str) -> DataFrame:
+    """rows whose key no row of done has: what a run that skips existing results still has to do."""
+    return rows.join(done.select(key), key, "left_anti")
+
+
+def first_in_stride(rows: DataFrame, by: list[str], time: Column, number: str, seconds: int) -> DataFrame:
+    """(by, bucket, first, n): of each stretch of `seconds` the number of the earliest row (ties: the least), and how many rows."""
+    bucket = F.floor(F.unix_timestamp(time) / seconds).cast("bigint")
+    own = rows.withColumn("bucket", bucket).groupBy(*by, "bucket")
+    return own.agg(F.min(F.struct(time.alias("time"), F.col(number).alias("number")))["number"].alias("first"), F.count(F.lit(1)).alias("n"))
+
+
+def zip_positional(a: Column, b: Column, names: tuple[str, str]) -> Column:
+    """Two arrays side by side as structs, as many as both have; null where one is null."""
+    both = F.least(F.size(a), F.size(b))
+    zipped = F.arrays_zip(F.slice(a, 1, both).alias(names[0]), F.slice(b, 1, both).alias(names[1]))
+    return F.when(a.isNotNull() & b.isNotNull(), zipped)
 
 
 def json_files(spark: SparkSession, folder: str, glob: str = "*.json") -> DataFrame:
@@ -105,10 +140,8 @@ def annotation_items(annotations: DataFrame, sizes: DataFrame | None = None) ->
 
     listed = F.try_variant_get("v", "$.parsing_res_list", "array<variant>")
     texts, boxes = (F.try_variant_get("v", f"$.{k}", "array<variant>") for k in ("rec_texts", "rec_boxes"))
-    both = F.least(F.size(texts), F.size(boxes))
-    side = F.arrays_zip(F.slice(texts, 1, both).alias("t"), F.slice(boxes, 1, both).alias("b"))
     structured = kind(F.try_variant_get("v", "$.parsing_res_list", "variant")) == "array"
-    items = F.when(structured, F.transform(listed, own)).otherwise(F.when(texts.isNotNull() & boxes.isNotNull(), F.transform(side, flat)))
+    items = F.when(structured, F.transform(listed, own)).otherwise(F.transform(zip_positional(texts, boxes, ("t", "b")), flat))
     width, height = (F.try_variant_get("v", f"$.{k}", "double") for k in ("width", "height"))
     pages = annotations.select("idx", width.alias("width"), height.alias("height"), items.alias("items"))
     if sizes is not None:

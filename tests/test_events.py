@@ -48,3 +48,12 @@ def test_evidence(spark):
     rows = spark.createDataFrame([(1, 0, 0, "u1"), (1, 0, 1, "u2"), (1, 1, 0, "u2"), (1, 1, 1, ""), (1, 1, 2, "u3")], "k int, query_no int, place int, url string")
     assert [r["url"] for r in events.top_evidence(rows, "k", 3).orderBy("rank").collect()] == ["u1", "u2", "u3"]
     assert [r["url"] for r in events.top_evidence(rows, "k", 0).collect()] == ["u1"]
+
+
+def test_long_chains_and_the_graph_example(spark):
+    """Chains of many links settle in few rounds; 3 joins {1}, 4 joins {2}, though 3 also matches 2."""
+    edges = [(0, k, k - 1) for k in range(1, 200)] + [(1, 3, 1), (1, 3, 2), (1, 4, 2)]
+    rows = [(0, k) for k in range(201)] + [(1, k) for k in range(1, 6)]
+    found = events.roots(spark.createDataFrame(rows, "run_id long, ordinal long"), spark.createDataFrame(edges, "run_id long, a long, b long"))
+    got = {(r["run_id"], r["ordinal"]): r["root"] for r in found.collect()}
+    assert got == {**{(0, k): 0 for k in range(200)}, (0, 200): 200, (1, 1): 1, (1, 2): 2, (1, 3): 1, (1, 4): 2, (1, 5): 5}

@@ -67,3 +67,33 @@ def test_schema(spark):
     assert found[0]["type"] == "event" and found[0]["links"]["other"] == [] and found[0]["title"] == "NOVALUE"
     assert found[1]["event"]["start_date"] == "NOVALUE"
     assert found[2]["links"]["other"] == ["a", "b", "c"]
+
+
+def test_schema_values_and_extra_members(spark):
+    """Numbers, booleans, nulls and members that the schema doesn't name."""
+    body = '{"type":"attraction","title":5,"address":true,"venue":null,"description":"  x ","note":[1,2],"links":{"website":2.5,"tickets":" ","other":["a"," a ",3,"","b","c","d"],"map":"m"},"event":{"start_date":"2026-01-01","room":7}}'
+    rows = spark.createDataFrame([(1, body), (2, "{}"), (3, "[]"), (4, None), (5, '{"event":{"start_time":19,"end_time":" 20:00 "},"type":"concert"}')], "k int, t string")
+    found = {r["k"]: r["r"] for r in rows.select("k", schema.ensure_schema(jsons.strict_json(F.col("t"))).alias("r")).collect()}
+    first = found[1]
+    assert (first["title"], first["address"], first["venue"], first["description"]) == ("5", "True", "NOVALUE", "x")
+    assert (first["links"]["website"], first["links"]["tickets"], first["links"]["other"]) == ("2.5", "NOVALUE", ["a", "b", "c"])
+    assert first["extra"] == {"note": "[1,2]"} and first["links"]["extra"] == {"map": '"m"'} and first["event"]["extra"] == {"room": "7"}
+    assert first["event"]["start_date"] == "NOVALUE"
+    assert all(found[k]["type"] == "event" and found[k]["title"] == found[k]["event"]["end_time"] == "NOVALUE" and found[k]["links"]["other"] == [] for k in (2, 3, 4))
+    assert (found[5]["type"], found[5]["event"]["start_time"], found[5]["event"]["end_time"]) == ("event", "19", "20:00")
+
+
+def test_faults_in_order(spark):
+    whole = '"type":"","title":"","address":"","venue":"","description":""'
+    links, event = '{"website":"","tickets":"","reservation":"","other":1}', "{}"
+    cases = {f"{{{whole},\"links\":{links},\"event\":{event}}}": "missing event keys: end_date, end_time, recurring_weekday, recurring_weekly, start_date, start_time", f"{{{whole},\"links\":{links},\"event\":3}}": "event is no object", "7": "not an object"}
+    rows = spark.createDataFrame([(t,) for t in cases], "t string").withColumn("v", jsons.strict_json(F.col("t")))
+    assert {r["t"]: r["fault"] for r in rows.select("t", schema.validate(F.col("v")).alias("fault")).collect()} == cases
+    listed = spark.createDataFrame([("[]",), ("[{},3]",), ("{}",), ("no",)], "t string").select("t", schema.validate_list(jsons.strict_json(F.col("t"))).alias("f")).collect()
+    assert [r["f"] for r in listed] == [None, "item 0: missing keys: address, description, event, links, title, type, venue", "not a list", "not a list"]
+
+
+def test_bound_and_distinct(spark):
+    row = spark.createDataFrame([(" Jazz ", "Blue Note", None, " 8 PM"), (None, " ", "d", "t"), ("A", "a", "", "")], "n string, v string, d string, t string")
+    found = [r[0] for r in row.select(text.build_queries(*map(F.col, "nvdt"))).collect()]
+    assert found == [["Jazz Blue Note", "Jazz tickets Blue Note", "Jazz reservation Blue Note", "Jazz hours admission Blue Note", "Jazz Blue Note 8 PM"], [], ["A a", "A tickets a", "A reservation a", "A hours admission a"]]

@@ -5,6 +5,7 @@ import random
 import struct
 from datetime import date
 
+import pytest
 from pyspark.sql import functions as F
 
 from handbill.operators import blocks, layout, records
@@ -169,3 +170,39 @@ def test_training_samples(spark):
     one, two = made.orderBy("idx").collect()
     assert one.missing == [] and [c.text for c in one.messages[0].content] == [None, None, "say [B]!"] and one.messages[1].content[0].text == '{"events":[{"x":1}]}'
     assert two.messages is None and two.missing == ["canvas", "target"]
+
+
+def test_order_choice_and_empty(spark, tmp_path):
+    for name in ("out10.png", "out2.png", "outside.png"):
+        (tmp_path / name).write_bytes(b"x")
+    found = files.images(spark, str(tmp_path))
+    assert [r["idx"] for r in files.in_order(found).collect()] == [None, 2, 10]
+    assert [r["idx"] for r in files.in_order(found, missing_last=True).collect()] == [2, 10, None]
+    assert [r["idx"] for r in files.required(files.images(spark, str(tmp_path), only=2), "image").collect()] == [2]
+    with pytest.raises(FileNotFoundError):
+        files.required(found.where("idx = 3"), "image 3")
+
+
+def test_messages_and_page_targets(spark):
+    side = spark.createDataFrame([(1, bytearray(b"\x89PNG")), (2, bytearray(b"two"))], "idx int, content binary")
+    made = records.vision_messages(side, side, spark.createDataFrame([(1, "[]"), (3, "[]")], "idx int, prompt string"), "see {blocks}").collect()
+    assert len(made) == 1 and made[0]["messages"][0]["role"] == "user"
+    parts = made[0]["messages"][0]["content"]
+    assert [p["type"] for p in parts] == ["image_url", "image_url", "text"] and parts[0]["image_url"]["url"] == "data:image/png;base64,iVBORw==" and parts[2]["text"] == "see []"
+
+    def provider(prompt):
+        if prompt == "fail":
+            raise RuntimeError("gone")
+        assert prompt != "none"
+        return prompt
+
+    pages = spark.createDataFrame([(1, 0, "none"), (2, None, "none"), (3, 1, 'so: [{"event_name":"a"}]'), (4, 2, "nothing"), (5, 1, "fail")], "idx int, n_blocks int, prompt string")
+    found = {r["idx"]: (r["target"], r["error"]) for r in records.page_targets(pages, provider).collect()}
+    assert found == {1: ('{"events":[]}', None), 2: ('{"events":[]}', None), 3: ('{"events":[{"event_name":"a"}]}', None), 4: ('{"events":[]}', None), 5: (None, "RuntimeError: gone")}
+
+
+def test_labels_are_left_out(spark):
+    items = spark.createDataFrame([(1, 0, "a", "text"), (1, 1, "b", "footer"), (1, 2, "c", None)], "image int, pos int, text string, label string")
+    items = items.select("*", *[F.lit(float(v)).alias(c) for c, v in (("x1", 0), ("y1", 0), ("x2", 5), ("y2", 5), ("width", 10), ("height", 10))], F.lit(None).cast("int").alias("order"))
+    assert [r["text"] for r in blocks.build_blocks(items, drop_labels=("footer",)).orderBy("place").collect()] == ["a", "c"]
+    assert blocks.build_blocks(items).count() == 3
