@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import chain
 
@@ -27,8 +27,11 @@ CHAINED = re.compile(r"[ \n]\S(?:.*\S)?", re.DOTALL)
 CHAIN_CHARS = 1 << 16
 #: Characters (with 100 for the overhead of each part) whose ids an encoder keeps before it forgets all.
 KEPT_CHARS = 60_000_000
-#: Characters of text that are encoded together.
-GROUP_CHARS = 1 << 20
+#: Where over that share of a group's characters stood in parts not met before, parts don't pay: so many groups after it go to
+#: the library as whole texts.
+FRESH, DIRECT = 0.4, 15
+#: Bytes of text that are encoded together.
+GROUP_BYTES = 1 << 20
 
 
 def byte_bpe_path() -> str:
@@ -57,7 +60,7 @@ class Encoder:
             self.n_bytes[i] = len(token)
         self.plain: dict[str, bytes] = {}  # of a part as it stands
         self.spaced: dict[str, bytes] = {}  # of a part without the space that opens it
-        self.held = 0
+        self.held = self.fresh = self.direct = 0
 
     def learn(self, parts: set[str], known: dict[str, bytes], opening: Callable[[str], str]) -> None:
         fresh = parts - known.keys()
@@ -66,6 +69,7 @@ class Encoder:
             self.spaced.clear()
             self.held, fresh = 0, parts
         self.held += more
+        self.fresh += more - 100 * len(fresh)
         chained, alone = [], []
         for x in sorted(fresh):
             (chained if CHAINED.fullmatch(y := opening(x)) else alone).append((x, y))
@@ -87,21 +91,39 @@ class Encoder:
         raw, cuts = ids.tobytes(), (4 * (at + 1)).tolist()
         return [raw[a:b] for a, b in zip([0, *cuts], cuts, strict=False)]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        return list(chain.from_iterable(map(self.group, by_size(texts))))
-
-    def group(self, texts: list[str]) -> list[bytes]:
+    def encode(self, texts: list[str], sizes: list[int] | None = None) -> list[bytes]:
+        """Ids of each text; texts go together up to GROUP_BYTES by their sizes (their characters where none are given)."""
+        return [b"".join(own) for own in self.parts(texts, sizes)]
+
+    def counts(self, texts: list[str], sizes: list[int] | None = None) -> list[int]:
+        """How many ids each text has; the ids of whole texts are not put together."""
+        return [sum(map(len, own)) // 4 for own in self.parts(texts, sizes)]
+
+    def parts(self, texts: list[str], sizes: list[int] | None) -> Iterator[list[bytes]]:
+        sizes = list(map(len, texts)) if sizes is None else sizes
+        for group in by_size(list(zip(texts, sizes, strict=True)), size=lambda x: x[1]):
+            own = [x for x, _ in group]
+            if self.direct:
+                self.direct -= 1
+                yield from ([x] for x in self.one_by_one(own))
+                continue
+            self.fresh = 0
+            yield from self.group(own)
+            if self.fresh > FRESH * sum(map(len, own)):
+                self.direct = DIRECT
+
+    def group(self, texts: list[str]) -> list[list[bytes]]:
+        """The ids of each text's parts, in order."""
         odd = {i: CUT.split(x) for i, x in enumerate(texts) if RUNS.search(x)}
         even = {i: x.replace("\n", " \n").replace(",", " ,").replace(".", " .").split(" ") for i, x in enumerate(texts) if i not in odd}
-        out = [b""] * len(texts)
+        out: list[list[bytes]] = [[]] * len(texts)
         self.learn({*chain.from_iterable(odd.values()), *(x[0] for x in even.values())}, self.plain, lambda x: x)
         for i, x in odd.items():
-            out[i] = b"".join(map(self.plain.__getitem__, x))
-        for i, x in even.items():
-            out[i] = self.plain[x[0]]
+            out[i] = list(map(self.plain.__getitem__, x))
+        first = {i: self.plain[x[0]] for i, x in even.items()}
         self.learn(set(chain.from_iterable(x[1:] for x in even.values())), self.spaced, lambda x: x if x[:1] in OPENING else f" {x}")
         for i, x in even.items():
-            out[i] += b"".join(map(self.spaced.__getitem__, x[1:]))
+            out[i] = [first[i], *map(self.spaced.__getitem__, x[1:])]
         return out
 
 
@@ -111,8 +133,8 @@ def encoder_of(path: str) -> Encoder:
     return Encoder(path)
 
 
-def by_size(texts: list, most: int = GROUP_CHARS, size: Callable[..., int] = len) -> list[list]:
-    """texts in runs that hold about as many characters each: under `most`, or a single text."""
+def by_size(texts: list, most: int = GROUP_BYTES, size: Callable[..., int] = len) -> list[list]:
+    """texts in runs of about the same size: under `most`, or a single text."""
     out: list[list] = []
     held = most
     for x in texts:
@@ -128,7 +150,7 @@ def token_counts(docs: DataFrame, path: str | None = None, limit: int = 1024) ->
     """doc_id, n_bytes, n_tokens, over_limit for every whole text.
 
     Counts are the library's for the file at `path`, without added tokens, special strings in texts as
-    its default has them, nothing cut or padded. Batches hold about as many characters each; long texts are
+    its default has them, nothing cut or padded. Batches hold about as many bytes each; long texts are
     cut at safe boundaries only. Null texts count as empty: 0 bytes, 0 tokens. Rows that repeat give rows that
     repeat; other columns of docs are not read; an empty table gives an empty table.
     """
@@ -139,7 +161,7 @@ def token_counts(docs: DataFrame, path: str | None = None, limit: int = 1024) ->
         encoder = encoder_of(path)
 
         def counts(batch: pa.RecordBatch) -> pa.RecordBatch:
-            lengths = [len(x) // 4 for x in encoder.encode(batch.column(1).to_pylist())]
+            lengths = encoder.counts(batch.column(1).to_pylist(), batch.column(2).to_pylist())
             return pa.record_batch([batch.column(0), batch.column(2), pa.array(lengths, pa.int64()), pa.array([x > limit for x in lengths])], ["doc_id", "n_bytes", "n_tokens", "over_limit"])
 
         return counts
