@@ -19,7 +19,7 @@ ANCHOR = 6
 HOME_BYTES, BLOCK_BYTES = 4 << 20, 1 << 18
 #: Distinct segments that share an anchor and an index. More of them are dealt by further anchors: by the ORDERS least runs
 #: of a window instead of the least one, and at last by the whole window.
-CROWD, ORDERS = 2_000, (2, 4, 8, None)
+CROWD, ORDERS, SALTS = 2_000, (2, 4, 8, None), 32
 #: Odd multipliers for hashes over bytes and words, and constants of the SplitMix64 finaliser.
 BASE_BYTE, BASE_WORD = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 MIX = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
@@ -402,14 +402,17 @@ def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
     while not crowd.isEmpty():
         pieces = arrow_map(crowd.select("doc_id", "tie", "start", "words"), f"anchor bigint, doc_id {kind}, tie bigint, start bigint, words binary", pieces_of(next(orders)))
         pieces = materialise(pieces, "pieces")
-        earliest = materialise(pieces.groupBy("anchor", "words").agg(F.min(place).alias("at")), "earliest")
-        again = pieces.join(earliest, ["anchor", "words"]).where(place != F.col("at"))
+        earliest = materialise(pieces.groupBy("anchor", "words").agg(F.min(place).alias("at"), F.count(F.lit(1)).alias("n")), "earliest")
+        # a piece of ever so many occurrences meets its first one in SALTS tasks
+        salted = earliest.where("n > 1").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        salt = F.pmod(F.xxhash64("doc_id", "tie", "start"), F.lit(SALTS)).cast("int")
+        again = pieces.withColumn("salt", salt).join(salted, ["anchor", "words", "salt"]).where(place != F.col("at"))
         split.append(again.select("doc_id", "tie", "start", (F.col("start") + F.size(F.split(F.col("words").cast("string"), " "))).cast("bigint").alias("end")))
         left = materialise(several(earliest.select("anchor", "at.doc_id", "at.tie", "at.start", "words")), "left")
         cold.append(left.where("NOT crowded").select(worded.columns))
         crowd = left.where("crowded")
 
-    shards = max(8, homes // 2)
+    shards = homes
     indexed = reduce(DataFrame.unionByName, cold).select(F.pmod(F.xxhash64("anchor"), F.lit(shards)).cast("int").alias("shard"), "doc_id", "tie", "start", "words")
     span_schema = f"doc_id {kind}, tie bigint, start bigint, end bigint"
     spans = reduce(DataFrame.unionByName, split, indexed.groupBy("shard").applyInArrow(lambda x: repeated_windows(x, window), span_schema))
