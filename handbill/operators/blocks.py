@@ -34,3 +34,9 @@ def prompt_blocks(blocks: DataFrame) -> DataFrame:
     item = F.struct("place", F.struct(F.concat(F.lit("B"), F.col("id").cast("string")).alias("id"), "text", "order", F.col("box").alias("bbox_1000")).alias("block"))
     own = blocks.groupBy("image").agg(F.array_sort(F.collect_list(item)).alias("items"))
     return own.select("image", F.size("items").cast("bigint").alias("n_blocks"), F.to_json(F.transform("items", lambda x: x["block"])).alias("prompt"))
+
+
+def order_faults(blocks: DataFrame) -> DataFrame:
+    """(image, error) of pages that a strict sort by order refuses: some block has none, and it isn't the only one."""
+    own = blocks.groupBy("image").agg(F.count(F.lit(1)).alias("n"), F.count("order").alias("placed"))
+    return own.where("n > 1 AND placed < n").select("image", F.lit("a block has no order to sort by").alias("error"))

@@ -144,3 +144,25 @@ def page_targets(pages: DataFrame, provider: Callable[[str], str]) -> DataFrame:
     asked = ask(pages.where("n_blocks > 0").select("idx", "prompt"), "prompt", "answer", provider)
     found = F.coalesce(normalize_target(extract_any(F.col("answer"))), F.when(F.col("error").isNull(), empty))
     return asked.select("idx", found.alias("target"), "error").unionByName(bare)
+
+
+def prediction_records(images: DataFrame, canvases: DataFrame, annotations: DataFrame, targets: DataFrame, faults: DataFrame, provider: Callable[[str], str]) -> DataFrame:
+    """(idx, error, record) of images(idx, path): the record, as JSON text, that a run leaves for each image.
+
+    canvases(idx, path) and annotations(idx, path, n_blocks, prompt) are required, targets(idx, v) are taken along where there
+    are any. A missing side, a page that faults(idx, error) names or a failing provider gives an error record in the prediction's
+    place; only complete pages are asked about.
+    """
+    sides = images.where("idx IS NOT NULL").select("idx", F.col("path").alias("image"))
+    sides = sides.join(canvases.select("idx", F.col("path").alias("canvas")), "idx", "left")
+    sides = sides.join(annotations.select("idx", F.col("path").alias("annotation"), "n_blocks", "prompt"), "idx", "left")
+    sides = sides.join(faults.select("idx", F.col("error").alias("fault")), "idx", "left").join(targets.select("idx", F.to_json("v").alias("target")), "idx", "left")
+    gone = F.array_join(F.array(F.when(F.col("canvas").isNull(), F.lit("canvas")), F.when(F.col("annotation").isNull(), F.lit("annotation"))), ", ")
+    sides = sides.withColumn("fault", F.coalesce(F.when(gone != "", F.concat(F.lit("missing files: "), gone)), "fault"))
+    nothing = F.lit(None).cast("string")
+    whole = ask(sides.where("fault IS NULL").drop("fault"), "prompt", "raw_output", provider)
+    both = whole.unionByName(sides.where("fault IS NOT NULL").withColumn("raw_output", nothing).withColumnRenamed("fault", "error"))
+    where = [F.col("idx").alias("index"), "image", "canvas", "annotation"]
+    found = F.struct(*where, F.col("n_blocks").alias("num_blocks"), extract_any(F.col("raw_output")).alias("prediction"), "raw_output", F.try_parse_json("target").alias("target"))
+    failed = F.struct(*where, "error")
+    return both.select("idx", "error", F.when(F.col("error").isNull(), F.to_json(found)).otherwise(F.to_json(failed)).alias("record"))

@@ -507,3 +507,25 @@ def event_pipeline(spark, sf_dir):
     prompt = F.to_json(F.struct("event_name", "venue", "start_date", "start_time", "end_date", "end_time", "evidence"))
     made = records.merge_records(prompts.select("source", "pos", prompt.alias("prompt")), recorded_merge)
     return made.select(F.col("source").alias("run_id"), F.col("pos").alias("root"), "record.title", "record.venue", F.col("record.links.website").alias("website"), "record.event.start_date", "record.event.start_time", "error")
+
+
+def recorded_reading(prompt: str) -> str:
+    """A provider of page events that answers from the prompt alone: the number of its blocks, with words around it."""
+    n = prompt.count('"id":"B')
+    if n % 5 == 4:
+        raise ValueError(f"{n} blocks are too many")
+    return f'Here you are: {{"events":[{{"event_name":"{n} blocks"}}]}} Done.'
+
+
+@query("""WITH n AS (SELECT conv_id AS idx, count(*) FILTER (turn % 4 <> 1 AND trim(text) <> '')::BIGINT AS n FROM conversations GROUP BY conv_id)
+SELECT idx, CASE WHEN n = 0 THEN 'missing files: annotation' WHEN idx % 7 = 3 THEN 'missing files: canvas' WHEN n % 5 = 4 THEN 'ValueError: ' || n || ' blocks are too many' END AS error,
+  CASE WHEN n > 0 AND idx % 7 <> 3 AND n % 5 <> 4 THEN n || ' blocks' END AS first_event, CASE WHEN n > 0 AND idx % 7 <> 3 AND n % 5 <> 4 AND idx % 2 = 0 THEN '{"events":[]}' END AS target FROM n""")
+def prediction_records(spark, sf_dir):
+    """Records of pages put to a recorded model: predictions, and errors in their places."""
+    pages = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("idx")).distinct().withColumn("path", F.lit("p"))
+    prompts = blocks.prompt_blocks(blocks.build_blocks(page_items(spark, sf_dir))).withColumnRenamed("image", "idx").withColumn("path", F.lit("a"))
+    targets = pages.where("idx % 2 = 0").select("idx", F.parse_json(F.lit('{"events":[]}')).alias("v"))
+    none = pages.where("false").select("idx", F.col("path").alias("error"))
+    made = records.prediction_records(pages, pages.where("idx % 7 <> 3"), prompts, targets, none, recorded_reading)
+    first = F.get_json_object("record", "$.prediction[0].event_name")
+    return made.select("idx", "error", first.alias("first_event"), F.get_json_object("record", "$.target").alias("target"))

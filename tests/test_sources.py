@@ -206,3 +206,21 @@ def test_labels_are_left_out(spark):
     items = items.select("*", *[F.lit(float(v)).alias(c) for c, v in (("x1", 0), ("y1", 0), ("x2", 5), ("y2", 5), ("width", 10), ("height", 10))], F.lit(None).cast("int").alias("order"))
     assert [r["text"] for r in blocks.build_blocks(items, drop_labels=("footer",)).orderBy("place").collect()] == ["a", "c"]
     assert blocks.build_blocks(items).count() == 3
+
+
+def test_prediction_records(spark):
+    paths = spark.createDataFrame([(i, f"p{i}") for i in range(1, 7)] + [(None, "stray")], "idx int, path string")
+    pages = spark.createDataFrame([(i, f"a{i}", i, f"prompt {i}") for i in (1, 2, 3, 5, 6)], "idx int, path string, n_blocks int, prompt string")
+    targets = spark.createDataFrame([(1, '{"events":[]}')], "idx int, t string").select("idx", F.parse_json("t").alias("v"))
+    laid = spark.createDataFrame([(5, 0), (5, None), (6, None)], "image int, order int")
+    faults = blocks.order_faults(laid).withColumnRenamed("image", "idx")
+
+    def provider(prompt):
+        if prompt == "prompt 3":
+            raise RuntimeError("gone")
+        return '[{"event_name":"x"}]' if prompt == "prompt 1" else "no json"
+
+    found = {r["idx"]: (r["error"], json.loads(r["record"])) for r in records.prediction_records(paths, paths.where("idx <> 2"), pages, targets, faults, provider).collect()}
+    assert {k: v[0] for k, v in found.items()} == {1: None, 2: "missing files: canvas", 3: "RuntimeError: gone", 4: "missing files: annotation", 5: "a block has no order to sort by", 6: None}
+    assert found[1][1] == {"index": 1, "image": "p1", "canvas": "p1", "annotation": "a1", "num_blocks": 1, "prediction": [{"event_name": "x"}], "raw_output": '[{"event_name":"x"}]', "target": {"events": []}}
+    assert found[6][1]["raw_output"] == "no json" and found[2][1] == {"index": 2, "image": "p2", "annotation": "a2", "error": "missing files: canvas"}
