@@ -105,7 +105,9 @@ class Encoder:
             own = [x for x, _ in group]
             if self.direct:
                 self.direct -= 1
-                yield from ([x] for x in self.one_by_one(own))
+                cut = [long_parts(x) for x in own]
+                ids = iter(self.one_by_one(list(chain.from_iterable(cut))))
+                yield from ([next(ids) for _ in x] for x in cut)
                 continue
             self.fresh = 0
             yield from self.group(own)
@@ -127,6 +129,15 @@ class Encoder:
         return out
 
 
+def long_parts(text: str) -> list[str]:
+    """A text in parts of CHAIN_CHARS characters or somewhat more, cut at safe boundaries only."""
+    out, a = [], 0
+    while len(text) - a > CHAIN_CHARS and (found := CUT.search(text, a + CHAIN_CHARS)):
+        out.append(text[a : found.start()])
+        a = found.start()
+    return [*out, text[a:]]
+
+
 @lru_cache(maxsize=1)
 def encoder_of(path: str) -> Encoder:
     """A worker process's encoder, which later tasks find filled."""

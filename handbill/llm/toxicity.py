@@ -332,7 +332,11 @@ def tag(docs: DataFrame, labels: DataFrame, most: int = SAMPLE, least: float = 0
 
 
 def filter_toxic(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> DataFrame:
-    """docs without those whose score is 0.5 or more; all columns stay, rows that repeat stay or go together."""
+    """docs without those whose score is 0.5 or more; all columns stay, rows that repeat stay or go together.
+
+    Null and empty texts have the score of a document without toxic ones, and stay unless nearly all labelled documents
+    are toxic. Null doc_ids stay by their texts like any other. An empty table gives an empty table.
+    """
     prepare(docs.sparkSession)
     tagger = fit(*sample(docs, labels, "toxic", crc_mod(5) != 0, most))
 
