@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from handbill.llm import ann, media, mixing, packing, quality, sharding, simhash, substring, tokens, toxicity
+from handbill.llm import ann, media, merkle, mixing, packing, quality, runs, secrets, sharding, simhash, substring, tokens, toxicity
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,6 +58,20 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(documents(spark, sf_dir))
 
 
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", runs.planted(F.col("doc_id"), F.col("text")).alias("text"))
+    return runs.digest(runs.collapse_runs(docs))
+
+
+def op12_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(secrets.find_secrets(documents(spark, sf_dir).select("doc_id", "text")))
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = merkle.manifest(documents(spark, sf_dir), merkle.without_line_ends())
+    return found.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("left"), F.col("right")).alias("proof_sha256"), "folded_root", "verified")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_toxicity": op2_toxicity,
@@ -69,7 +83,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_mixing": op9_mixing,
     "op10_token_counts": op10_token_counts,
+    "op11_runs": op11_runs,
+    "op12_secrets": op12_secrets,
+    "op13_merkle": op13_merkle,
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLE_SQL: dict[str, str] = {"op9_mixing": mixing.SQL}
+ORACLE_SQL: dict[str, str] = {"op9_mixing": mixing.SQL, "op13_merkle": merkle.SQL}
