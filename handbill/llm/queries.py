@@ -59,8 +59,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir).select("doc_id", runs.planted(F.col("doc_id"), F.col("text")).alias("text"))
-    return runs.digest(runs.collapse_runs(docs))
+    return runs.digest(runs.collapse_runs(runs.planted(documents(spark, sf_dir))))
 
 
 def op12_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

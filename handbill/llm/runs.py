@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -192,17 +192,16 @@ def digest(found: DataFrame, text: str = "text") -> DataFrame:
     return rows.select("doc_id", "n_runs", start.alias("start"), length.alias("length"), period.alias("period"), F.expr("1000 * best.length div -best.period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
 
 
-def planted(doc_id: Column, text: Column) -> Column:
-    """The text, or of every tenth row, by the CRC-32 of its doc_id, its words with a stretch repeated from one of them on."""
-    h = F.crc32(doc_id.cast("string").cast("binary"))
+def planted(docs: DataFrame) -> DataFrame:
+    """doc_id and text of docs; every tenth text, by the CRC-32 of its doc_id, has a stretch of its words repeated from one of them on.
 
-    def repeated(words: Column) -> Column:
-        n = F.size(words)
-        g = F.floor(h / 10)
-        a = g % n
-        p = F.lit(1) + F.floor((n - a) / (F.lit(3) + g % 8))
-        places = F.transform(F.sequence(F.lit(0).cast("bigint"), n.cast("bigint") - 1), lambda i: F.when(i < a, i).otherwise(a + (i - a) % p))
-        return F.array_join(F.transform(places, lambda i: F.get(words, i.cast("int"))), " ")
-
-    words = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
-    return F.when((h % 10 == 0) & text.rlike(WORD), repeated(words)).otherwise(text)
+    One step after the other, so that words are taken apart once.
+    """
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    rows = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(WORD), F.lit(0))).alias("words"))
+    rows = rows.select("doc_id", "text", "g", "words", F.size("words").cast("bigint").alias("n"))
+    rows = rows.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    rows = rows.withColumn("p", F.lit(1) + F.floor((F.col("n") - F.col("a")) / (F.lit(3) + F.col("g") % 8)))
+    places = F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1), lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p")))
+    repeated = F.array_join(F.transform(places, lambda i: F.get("words", i.cast("int"))), " ")
+    return rows.select("doc_id", F.when(F.col("n") > 0, repeated).otherwise(F.col("text")).alias("text"))
