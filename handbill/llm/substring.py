@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -48,9 +49,14 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 class Words:
-    """The words of a block of texts: where they are, and hashes of runs of them, from prefix sums."""
+    """The words of a block of texts: where they are, and hashes of runs of them, from prefix sums.
 
-    def __init__(self, texts: list[bytes]):
+    Hashes say which windows are looked at together, never that words are equal: some texts have equal sums, whatever the base.
+    `bits` are those that a hash keeps; with few of them more windows meet.
+    """
+
+    def __init__(self, texts: list[bytes], bits: int = 64):
+        self.short = U64(64 - bits)
         self.text = b"\n".join(texts)
         b = np.frombuffer(self.text, np.uint8)
         solid = np.zeros(len(b) + 2, bool)
@@ -72,7 +78,12 @@ class Words:
 
     def runs(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Hashes of the runs of words [start, end)."""
-        return mixed((self.total[end] - self.total[start]) * self.down[start] + (end - start).astype(U64))
+        return mixed((self.total[end] - self.total[start]) * self.down[start] + (end - start).astype(U64)) >> self.short
+
+    def digests(self, start: np.ndarray, end: np.ndarray) -> list[bytes]:
+        """Digests of the words of runs [start, end): equal for equal words, and for no others."""
+        spans = zip(self.begin[start].tolist(), self.end[end - 1].tolist(), strict=True)
+        return [blake2b(b" ".join(self.text[a:b].split()), digest_size=16).digest() for a, b in spans]
 
     def windows(self, window: int) -> np.ndarray:
         """First words of the windows that lie in one text."""
@@ -269,20 +280,22 @@ def by_document(table: pa.Table) -> dict[tuple, np.ndarray]:
     return {k: np.array(v) for k, v in rows.items()}
 
 
-def shared_segments(texts: list[bytes], wanted: np.ndarray, window: int) -> tuple[np.ndarray, ...]:
-    """Segments of texts whose anchor is in the sorted `wanted`: (text, first word, windows, place in wanted, hash)."""
-    out: list[list[np.ndarray]] = [[np.zeros(0, np.int64)] for _ in range(5)]
+def shared_segments(texts: list[bytes], wanted: np.ndarray, window: int, bits: int, named: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+    """Segments of texts whose anchor is in the sorted `wanted`: (text, first word, windows, place in wanted, digest if named)."""
+    out: list[list[np.ndarray]] = [[np.zeros(0, np.int64)] for _ in range(4)]
+    digests: list[bytes] = []
     for a, b in blocks(texts) if len(wanted) else []:
-        w = Words(texts[a:b])
+        w = Words(texts[a:b], bits)
         first, count, h = w.segments(window)
         h = h.view(np.int64)
         place = np.minimum(np.searchsorted(wanted, h), len(wanted) - 1)
         hit = np.flatnonzero(wanted[place] == h)
         first, count = first[hit], count[hit]
-        segment = w.runs(first, first + count + window - 1).view(np.int64)
-        for x, y in zip(out, (a + w.of[first], first - w.first[w.of[first]], count, place[hit], segment), strict=True):
+        for x, y in zip(out, (a + w.of[first], first - w.first[w.of[first]], count, place[hit]), strict=True):
             x.append(y)
-    return tuple(np.concatenate(x) for x in out)
+        if named:
+            digests += w.digests(first, first + count + window - 1)
+    return (*(np.concatenate(x) for x in out), digests)
 
 
 def once(own: pa.Table) -> pa.Table:
@@ -292,17 +305,18 @@ def once(own: pa.Table) -> pa.Table:
     return own.take(pa.array([x[0] for x in first], pa.int64()))
 
 
-def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
+def remove_repeats(docs: DataFrame, window: int = 20, bits: int = 64) -> DataFrame:
     """docs with n_words, n_removed and kept: the words that no repeated window covers, joined by one space.
 
     A window of `window` words is a repeat if its words also start earlier: in a smaller doc_id or earlier in the same
     document. Windows meet by anchors, runs of words chosen by their content. Anchors that occur once are left out
     after a count. Of the others, segments (runs of windows of one anchor) that are equal are brought together by
-    sums; where an anchor has several distinct ones, these go to shards by anchor, each with one FM-index, in
+    BLAKE2 digests of their words; where an anchor has several distinct ones, these go to shards by anchor, each with one FM-index, in
     which all their windows are searched. A passage in ever other surroundings gives an anchor ever more distinct segments.
     Where they are over CROWD, they are cut where their second anchors change, equal pieces are brought together by their
     words, and the rest is dealt to indexes by both anchors; where that still leaves a crowd, by more anchors. Equal
-    windows meet at every step, and no index grows with the crowd.
+    windows meet at every step, and no index grows with the crowd. Anchors are hashes of `bits` bits; windows that only share a
+    hash meet, but aren't equal for that.
 
     Null texts have no words. Documents without doc_id come after all others; documents of one doc_id are ordered by a
     hash of their texts, and rows that repeat in both are one document. Texts shorter than a window lose
@@ -325,7 +339,7 @@ def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
         def of_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
             texts, home_of, found = utf8(batch.column(1)), batch.column(0).to_numpy(), []
             for a, b in blocks(texts):
-                w = Words(texts[a:b])
+                w = Words(texts[a:b], bits)
                 first, _, h = w.segments(window)
                 found.append(np.stack([home_of[a:b][w.of[first]].astype(np.int64), h.view(np.int64)]))
             # repetitive texts have one anchor very often: counted here, not after a shuffle
@@ -345,9 +359,9 @@ def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
         """Every segment of a home's documents whose anchor is shared."""
         wanted = np.unique(anchor["anchor"].to_numpy())
         own = once(own)
-        row, start, count, place, segment = shared_segments(utf8(own["text"].combine_chunks()), wanted, window)
+        row, start, count, place, segment = shared_segments(utf8(own["text"].combine_chunks()), wanted, window, bits, named=True)
         ids = own.select(["doc_id", "_tie"]).take(pa.array(row))
-        return pa.table([ids["doc_id"], ids["_tie"], pa.array(start), pa.array(count), pa.array(wanted[place]), pa.array(segment)], SEGMENT)
+        return pa.table([ids["doc_id"], ids["_tie"], pa.array(start), pa.array(count), pa.array(wanted[place]), pa.array(segment, pa.binary())], SEGMENT)
 
     def words_of(own: pa.Table, part: pa.Table) -> pa.Table:
         """part with the words of its segments."""
@@ -363,7 +377,7 @@ def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
                 words += [b" ".join(split[start[i] : start[i] + windows_[i] + window - 1]) for i in of[key]]
         return part.select(["anchor", "crowded", "doc_id", "tie", "start"]).take(pa.array(rows, pa.int64())).append_column("words", pa.array(words, pa.binary()))
 
-    segment_schema = f"doc_id {kind}, tie bigint, start bigint, windows bigint, anchor bigint, segment bigint"
+    segment_schema = f"doc_id {kind}, tie bigint, start bigint, windows bigint, anchor bigint, segment binary"
     occurrences = homed.groupBy("_home").cogroup(shared.groupBy("home")).applyInArrow(segments_of, segment_schema)
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "tie", "start")
     first = occurrences.groupBy("anchor", "segment").agg(F.min(F.struct(place.alias("at"), "windows")).alias("x"))
@@ -383,7 +397,7 @@ def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
 
         def make():
             def of_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
-                w = Words(batch.column(3).to_pylist())
+                w = Words(batch.column(3).to_pylist(), bits)
                 at = w.windows(window)
                 key, of = w.keys(at, window, order), w.of[at]
                 new = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (of[1:] != of[:-1])])[: len(at)])
@@ -432,7 +446,7 @@ def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
         single = once(own)
         keys = {k: i for i, k in enumerate(zip(single["doc_id"].to_pylist(), single["_tie"].to_pylist(), strict=True))}
         texts = utf8(single["text"].combine_chunks())
-        row, start, count, _, _ = shared_segments(texts, wanted, window)
+        row, start, count, _, _ = shared_segments(texts, wanted, window, bits)
 
         def place_of(table: pa.Table) -> np.ndarray:
             return np.array([keys[k] for k in zip(table["doc_id"].to_pylist(), table["tie"].to_pylist(), strict=True)], np.int64)

@@ -45,3 +45,26 @@ def test_keys_do_not_depend_on_surroundings():
         at = w.windows(20)
         keys = dict(zip(zip(w.of[at].tolist(), (at - w.first[w.of[at]]).tolist(), strict=True), w.keys(at, 20, order).tolist(), strict=True))
         assert all(keys[0, i] == keys[1, i - 4] for i in range(5, 26))
+
+
+def test_thue_morse_words_are_not_equal(spark):
+    """A word of 1,024 letters by the parity of bits, and its complement: sums of powers modulo 2 ** 64 can't tell them apart."""
+    odd = "".join("ab"[i.bit_count() % 2] for i in range(1024))
+    other = odd.translate(str.maketrans("ab", "ba"))
+    head = " ".join(f"w{i}" for i in range(19))
+    texts = [f"{head} {odd}", f"{head} {other}", " ".join(["x", "y"][i.bit_count() % 2] for i in range(2048)), " ".join(["y", "x"][i.bit_count() % 2] for i in range(2048)), f"{head} {odd}"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {x["doc_id"]: (x["n_words"], x["n_removed"], x["kept"]) for x in substring.remove_repeats(docs).collect()}
+    assert found == dict(enumerate(brute(texts)))
+    assert found[1][1] == 0 and found[4][1] == 20
+
+
+@pytest.mark.parametrize("bits", [2, 5, 10])
+def test_weak_hashes_change_nothing(spark, bits):
+    r = random.Random(bits)
+    vocabulary = [f"w{i}" for i in range(12)]
+    passages = [r.choices(vocabulary, k=r.randint(22, 60)) for _ in range(4)]
+    texts = [" ".join(r.choices(vocabulary, k=r.randint(0, 40)) + (r.choice(passages) if i % 2 else []) + r.choices(vocabulary, k=r.randint(0, 40))) for i in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    found = {x["doc_id"]: (x["n_words"], x["n_removed"], x["kept"]) for x in substring.remove_repeats(docs, bits=bits).collect()}
+    assert found == dict(enumerate(brute(texts)))
