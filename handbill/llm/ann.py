@@ -19,6 +19,8 @@ BLOCK, TOGETHER = 32_768, 256
 LINKS, CANDIDATES, BEAM = 16, 64, 128
 #: Nodes that are inserted together.
 BATCH = 512
+#: Powers of two that a class of sizes spans: squares of the smallest differences in it are still normal numbers.
+CLASS = 400
 #: Components whose squares neither overflow nor vanish in double precision lie between these.
 SMALL, LARGE = 1e-140, 1e140
 
@@ -33,16 +35,29 @@ def squares(x: np.ndarray, axis: str = "abc,abc->ab") -> np.ndarray:
     return np.einsum(axis, x, x)
 
 
-def scaled(vectors: np.ndarray, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Both times one power of two, where squares of their components would overflow or vanish; else as they are.
+def size_class(v: str) -> Column:
+    """Which CLASS powers of two the largest component lies in. Vectors of one class are indexed together.
 
-    Components over 10^140 times smaller than the largest may then count as zero.
+    Beside a much larger vector the squares of all others would vanish.
     """
-    top = max(np.abs(vectors).max(initial=0), np.abs(queries).max(initial=0))
-    if SMALL < top < LARGE:
-        return vectors, queries
-    exponent = -int(np.frexp(top)[1])
-    return np.ldexp(vectors, exponent), np.ldexp(queries, exponent)
+    return F.floor((F.log2(F.array_max(F.transform(v, F.abs))) + CLASS / 2) / CLASS).cast("int")
+
+
+def exponent(vectors: np.ndarray) -> int:
+    """The power of two by which vectors of one class are divided, so that squares neither overflow nor vanish: none for ordinary ones."""
+    top = int(np.frexp(np.abs(vectors).max(initial=0))[1])
+    return 0 if abs(top) <= CLASS // 2 else top
+
+
+def scaled(x: np.ndarray, by: int) -> np.ndarray:
+    """Rows divided by 2 ** by, and further where a row is still beyond a class.
+
+    Such a row is a query so large that all distances of the class are its own length, in double precision.
+    """
+    if by:
+        x = np.ldexp(x, -by)
+    top = np.frexp(np.abs(x).max(1, initial=0))[1]
+    return x if top.max(initial=0) <= CLASS else np.ldexp(x, -np.maximum(top - CLASS, 0)[:, None])
 
 
 def distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -256,7 +271,7 @@ def index_shard(rows: pa.Table) -> pa.Table:
     vectors = unique[shuffled]
     pairs = np.unique(np.stack([node, ids], axis=1), axis=0)
     begins = np.searchsorted(pairs[:, 0], np.arange(len(vectors) + 1))
-    layers = build(scaled(vectors, vectors[:0])[0])
+    layers = build(scaled(vectors, exponent(vectors)))
     return pa.table(
         [
             pa.array([rows["shard"][0].as_py()], pa.int32()),
@@ -271,22 +286,16 @@ def index_shard(rows: pa.Table) -> pa.Table:
     )
 
 
-def search_shard(index: pa.Table, queries: pa.Table, k: int) -> pa.Table:
-    """A block's queries in one shard: up to k neighbours of each, scored in double precision."""
-    empty = pa.table([pa.array([], pa.int64()), pa.array([], pa.int64()), pa.array([], pa.float64())], ["query_id", "vec_id", "score"])
-    if not index.num_rows or not queries.num_rows:
-        return empty
-    dim = index["dim"][0].as_py()
-    ids, begins = (np.frombuffer(index[c][0].as_py(), np.int64) for c in ("ids", "rows"))
-    vectors = np.frombuffer(index["vectors"][0].as_py(), np.float64).reshape(-1, dim)
-    own = queries["vec_id"].to_numpy()
-    q = queries["v"].combine_chunks().flatten().to_numpy().reshape(len(own), dim)
-    v_scaled, q_scaled = scaled(vectors, q)
-    layers = []
-    for x, y in zip(index["nodes"][0].as_py(), index["links"][0].as_py(), strict=True):
+def search_index(index: dict, own: np.ndarray, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query's row, vec_id, score) of up to k neighbours of each query, or a few more, in one index."""
+    ids, begins = (np.frombuffer(index[c], np.int64) for c in ("ids", "rows"))
+    vectors = np.frombuffer(index["vectors"], np.float64).reshape(-1, index["dim"])
+    by = exponent(vectors)
+    v_scaled, layers = scaled(vectors, by), []
+    for x, y in zip(index["nodes"], index["links"], strict=True):
         nodes = np.frombuffer(x, np.int32).astype(np.int64)
         layers.append(Layer(v_scaled, nodes, np.frombuffer(y, np.int32).reshape(len(nodes), -1)))
-    found = search(layers, q_scaled, k + 1)
+    found = search(layers, scaled(q, by), k + 1)
     # of equal vectors only the k smallest ids can be among the k nearest, or one more if the query is one of them
     row = np.repeat(np.arange(len(own)), found.shape[1])
     node = found.ravel()
@@ -295,7 +304,17 @@ def search_shard(index: pa.Table, queries: pa.Table, k: int) -> pa.Table:
     at = np.repeat(begins[node] - np.cumsum(many) + many, many) + np.arange(many.sum())
     row, vec, score = np.repeat(row, many), ids[at], np.repeat(score, many)
     other = vec != own[row]
-    row, vec, score = row[other], vec[other], score[other]
+    return row[other], vec[other], score[other]
+
+
+def search_shard(indexes: pa.Table, queries: pa.Table, k: int) -> pa.Table:
+    """A block's queries in one shard, whose classes of sizes have an index each: up to k neighbours, scored in double precision."""
+    if not indexes.num_rows or not queries.num_rows:
+        return pa.table([pa.array([], pa.int64()), pa.array([], pa.int64()), pa.array([], pa.float64())], ["query_id", "vec_id", "score"])
+    own = queries["vec_id"].to_numpy()
+    q = queries["v"].combine_chunks().flatten().to_numpy().reshape(len(own), -1)
+    each = [search_index(indexes.slice(i, 1).to_pylist()[0], own, q, k) for i in range(indexes.num_rows)]
+    row, vec, score = (np.concatenate(x) for x in zip(*each, strict=True))
     order = np.lexsort((vec, score, row))
     row, vec, score = row[order], vec[order], score[order]
     best = np.arange(len(row)) - np.searchsorted(row, row) < k
@@ -308,8 +327,9 @@ def neighbours(vectors: DataFrame, is_query: Column, k: int = 10, embedding: str
     Vectors are dealt to shards by a hash of vec_id and vector: about `least` in each while those make few tasks, beyond
     that more, up to `most`. A shard's graph is stored as flat arrays in one row of a table. Queries go through every
     shard in blocks about as large as an index, and the shards' results are merged: nearest first, ties to the
-    smaller vec_id. Distances are differences in double precision, in the graph too, so vectors far from zero or of
-    extreme size are found like any other.
+    smaller vec_id. Distances are differences in double precision, in the graph too, so vectors far from zero are found like any
+    other. Vectors of a size that most others don't have (2 ** 200 or 2 ** -200, and every 2 ** 400 from there) have a graph of
+    their own in each shard.
 
     Vectors that are null, empty or zero or hold null or non-finite components take no part, nor do rows without vec_id.
     Only vectors of one length are compared. Rows that repeat in vec_id and vector are one; other vectors of one
@@ -325,7 +345,7 @@ def neighbours(vectors: DataFrame, is_query: Column, k: int = 10, embedding: str
     most = max(1, min(most, SHARD_BYTES // (8 * dim)))
     shards, blocks = max(-(-n // most), min(TASKS, -(-n // least)), 1), max(-(-asked // block), 1)
     shard = F.pmod(F.xxhash64("vec_id", "v"), F.lit(shards)).cast("int")
-    index = materialise(rows.select("vec_id", "v", "dim", shard.alias("shard")).groupBy("shard", "dim").applyInArrow(index_shard, INDEX), "index")
+    index = materialise(rows.select("vec_id", "v", "dim", shard.alias("shard"), size_class("v").alias("size")).groupBy("shard", "dim", "size").applyInArrow(index_shard, INDEX), "index")
     index = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     queries = rows.where("is_query").select("vec_id", "v", "dim", F.pmod(F.xxhash64(F.lit(1), "vec_id"), F.lit(blocks)).cast("int").alias("block"))
     queries = queries.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))

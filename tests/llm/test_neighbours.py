@@ -16,6 +16,8 @@ INPUTS = {
     "offset": 100 + 0.01 * PLAIN,
     "clusters": PLAIN[R.integers(0, 12, 1500)] + 0.01 * PLAIN,
     "one far off": np.concatenate([PLAIN[:-1], PLAIN[-1:] * 1e20]),
+    "one at 1e200 among ordinary": np.concatenate([PLAIN[:-1], PLAIN[-1:] * 1e200]),
+    "all sizes": PLAIN * 10.0 ** R.integers(-300, 300, (1500, 1)),
     "mostly equal": np.where(np.arange(1500)[:, None] % 3 == 0, PLAIN[:1], PLAIN),
 }
 
@@ -49,6 +51,13 @@ def test_large_shard():
     assert sum(len({i for i in found[q].tolist() if i != q} & set(exact(v, q, 10)[0])) for q in range(60)) >= 0.95 * 600
 
 
+def test_shard_of_64_dimensions_above_least():
+    """More than LEAST vectors in one shard, as many dimensions as embeddings have."""
+    v = R.standard_normal((ann.LEAST + 900, 64))
+    found = ann.search(ann.build(v), v[:40], 11)
+    assert sum(len({i for i in found[q].tolist() if i != q} & set(exact(v, q, 10)[0])) for q in range(40)) >= 0.9 * 400
+
+
 def test_fewer_than_asked_and_repeats(spark):
     rows = [(i, [float(i), 1.0]) for i in range(1, 5)] + [(1, [1.0, 1.0])] * 3 + [(2, [9.0, 9.0]), (7, [1.0])]
     found = ann.neighbours(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), F.col("vec_id") == 1)
