@@ -3,58 +3,72 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from difflib import SequenceMatcher
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from handbill.functions.text import coerce, norm_name
+from handbill.operators.matching import FirstFit, ratios
 from handbill.sources.storage import settled
 
 FIELDS = ("event_name", "venue", "date", "time", "recurring")
 # How alike names must be, and how alike if the dates are equal.
 STRONG, WEAK = 0.84, 0.72
+#: Events of a run that one task clusters; larger runs are matched by joins and clustered by steps over all their events.
+TOGETHER = 5_000
 
 
-@F.pandas_udf(T.DoubleType())
-def similarity(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-    """Ratcliff-Obershelp ratio of two names, the later first."""
-    for later, earlier in pairs:
-        yield pd.Series([SequenceMatcher(None, a, b).ratio() if a and b else 0.0 for a, b in zip(later, earlier, strict=True)], dtype=float)
+def similarity(least: float):
+    """An Arrow function of two names, the later first: their ratio, or 0 where bounds keep it below `least`."""
 
+    @F.pandas_udf(T.DoubleType())
+    def similar(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for later, earlier in pairs:
+            yield pd.Series(ratios(later.tolist(), earlier.tolist(), least), dtype=float)
 
-def similar_names(names: DataFrame, least: float) -> DataFrame:
-    """(later, earlier, sim) of ordered pairs of names(run_id, name) of one run with a ratio of at least that.
+    return similar.asNondeterministic()  # so that a filter on it stays above what makes the pairs distinct
+
+
+def similar_names(names: DataFrame, by: list[str], least: float) -> DataFrame:
+    """(by, later, earlier, sim) of ordered pairs of names(by, name) that are equal in `by` and have a ratio of at least that.
 
     The ratio is at most 2 * min / (min + max) of the lengths, so only names of near lengths are joined: names fall
-    into bands of lengths, and each is looked up in its own and the next on both sides. The ratio depends on the order of
-    the pair, so both orders are kept.
+    into bands of lengths, and each is looked up in its own and the next on both sides. Of what is left, bounds by characters
+    and by common subsequences leave few pairs whose ratio is worked out, once for each. The ratio depends on the order of the pair, so
+    both orders are kept.
     """
     ratio = F.lit(least / (2 - least))
     band = F.floor(F.log(F.length("name")) / F.log(1 / ratio)).cast("int") if least < 1 else F.length("name")
     banded = names.where("name <> ''").distinct().withColumn("band", band)
-    left = banded.select("run_id", F.col("name").alias("later"), F.explode(F.array(*[F.col("band") + k for k in (-1, 0, 1)])).alias("band"))
-    pairs = left.join(banded.withColumnRenamed("name", "earlier"), ["run_id", "band"])
+    left = banded.select(*by, F.col("name").alias("later"), F.explode(F.array(*[F.col("band") + k for k in (-1, 0, 1)])).alias("band"))
+    pairs = left.join(banded.withColumnRenamed("name", "earlier"), [*by, "band"])
     near = F.least(F.length("later"), F.length("earlier")) >= ratio * F.greatest(F.length("later"), F.length("earlier"))
-    near_pairs = pairs.where(near).select("run_id", "later", "earlier").distinct()
-    # not deterministic, so that the filter on it stays above the aggregate and the ratio is computed once for each pair
-    once = near_pairs.select("later", "earlier").distinct().withColumn("sim", similarity.asNondeterministic()("later", "earlier"))
+    near_pairs = pairs.where(near).select(*by, "later", "earlier").distinct()
+    once = near_pairs.select("later", "earlier").distinct().withColumn("sim", similarity(least)("later", "earlier"))
     return near_pairs.join(once.where(F.col("sim") >= least), ["later", "earlier"])
 
 
 def match_edges(events: DataFrame, strong: float = STRONG, weak: float = WEAK) -> DataFrame:
     """(run_id, a, b): ordinals of each event and each earlier one of its run that it matches.
 
-    Two match if their names are as alike as `strong`, or as `weak` with equal dates.
+    Two match if their names are as alike as `strong`, or as `weak` with equal dates: two joins, of which the second only
+    holds names of one date against each other.
     """
     rows = events.select("run_id", "ordinal", norm_name(F.col("event_name")).alias("name"), coerce(F.col("date")).alias("date"))
-    alike = similar_names(rows.select("run_id", "name"), min(strong, weak))
-    later = rows.select("run_id", F.col("ordinal").alias("a"), F.col("name").alias("later"), F.col("date").alias("later_date"))
-    earlier = rows.select("run_id", F.col("ordinal").alias("b"), F.col("name").alias("earlier"), F.col("date").alias("earlier_date"))
-    joined = later.join(alike, ["run_id", "later"]).join(earlier, ["run_id", "earlier"]).where("b < a")
-    return joined.where((F.col("sim") >= strong) | ((F.col("later_date") == F.col("earlier_date")) & (F.col("sim") >= weak))).select("run_id", "a", "b")
+
+    def joined(by: list[str], least: float, below: float | None = None) -> DataFrame:
+        own = rows.where(" AND ".join(f"{c} IS NOT NULL" for c in by))
+        alike = similar_names(own.select(*by, "name"), by, least)
+        alike = alike if below is None else alike.where(F.col("sim") < below)
+        later = own.select(*by, F.col("ordinal").alias("a"), F.col("name").alias("later"))
+        earlier = own.select(*by, F.col("ordinal").alias("b"), F.col("name").alias("earlier"))
+        return later.join(alike, [*by, "later"]).join(earlier, [*by, "earlier"]).where("b < a").select("run_id", "a", "b")
+
+    edges = joined(["run_id"], strong)
+    return edges.unionByName(joined(["run_id", "date"], weak, strong)) if weak < strong else edges
 
 
 def roots(events: DataFrame, edges: DataFrame) -> DataFrame:
@@ -77,6 +91,51 @@ def roots(events: DataFrame, edges: DataFrame) -> DataFrame:
             return events.select("run_id", "ordinal").join(found, ["run_id", "ordinal"], "left").withColumn("root", F.coalesce("root", "ordinal"))
 
 
+def normal(events: DataFrame) -> DataFrame:
+    """events with compared_name and compared_date as they are compared: normal, blank where there is none."""
+    return events.withColumn("compared_name", norm_name(F.col("event_name"))).withColumn("compared_date", F.coalesce(coerce(F.col("date")), F.lit("")))
+
+
+def fitted(run: pa.Table, clusters: FirstFit, ranks: list[int]) -> list[int]:
+    """Row numbers of the roots of a run's events, which `ranks` puts in order."""
+    names, dates = (run[c].to_pylist() for c in ("compared_name", "compared_date"))
+    found = clusters.add(list(range(len(ranks))), [names[i] for i in ranks], [dates[i] for i in ranks])
+    return [ranks[k] for k in found]
+
+
+def cluster(events: DataFrame, strong: float = STRONG, weak: float = WEAK, together: int = TOGETHER) -> DataFrame:
+    """events with root: the ordinal of the first event of the cluster that each falls into, in order of ordinals.
+
+    Runs of up to `together` events are clustered in one task each, all by one shuffle; matches of larger ones
+    are found by joins, and their clusters by roots(). Both give the same clusters.
+    """
+    ordinal = events.schema["ordinal"].dataType
+    schema = T.StructType([*events.schema.fields, T.StructField("root", ordinal)])
+
+    def first_fit(run: pa.Table) -> pa.Table:
+        known: dict[tuple[str, str], float] = RATIOS.setdefault("known", {})
+        if len(known) > 1 << 20:
+            known.clear()
+        places = run["ordinal"].to_pylist()
+        ranks = sorted(range(run.num_rows), key=(lambda i: tuple(places[i].values())) if isinstance(places[0], dict) else places.__getitem__)
+        at = [0] * run.num_rows
+        for i, root in zip(ranks, fitted(run, FirstFit(strong, weak, known=known), ranks), strict=True):
+            at[i] = root
+        return run.drop_columns(["compared_name", "compared_date"]).append_column("root", run["ordinal"].take(pa.array(at)))
+
+    sizes = events.groupBy("run_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > together).select("run_id")
+    large = settled(sizes)
+    if large.isEmpty():
+        return normal(events).groupBy("run_id").applyInArrow(first_fit, schema)
+    small, rest = events.join(large, "run_id", "left_anti"), events.join(large, "run_id", "left_semi")
+    found = roots(rest, match_edges(rest, strong, weak))
+    return normal(small).groupBy("run_id").applyInArrow(first_fit, schema).unionByName(rest.join(found, ["run_id", "ordinal"]).select(*schema.names))
+
+
+#: Ratios that a worker has worked out, by pair of names.
+RATIOS: dict[str, dict[tuple[str, str], float]] = {}
+
+
 def merge_clusters(events: DataFrame, key: list[str]) -> DataFrame:
     """One record for each key: of each field the value that occurs most often, then the longest, then the first."""
     values = events.select(*key, "ordinal", F.explode(F.create_map(*[x for f in FIELDS for x in (F.lit(f), F.col(f))])).alias("field", "value")).where("value <> ''")
@@ -89,8 +148,7 @@ def merge_clusters(events: DataFrame, key: list[str]) -> DataFrame:
 def dedupe(events: DataFrame, strong: float = STRONG, weak: float = WEAK) -> DataFrame:
     """run_id, root, the five fields and n_events of each merged cluster that has a name."""
     named = events.where(coerce(F.col("event_name")).isNotNull())  # nameless ones match nothing, and merge to nothing
-    clustered = named.join(roots(named, match_edges(named, strong, weak)), ["run_id", "ordinal"])
-    return merge_clusters(clustered, ["run_id", "root"]).where("event_name IS NOT NULL")
+    return merge_clusters(cluster(named, strong, weak), ["run_id", "root"]).where("event_name IS NOT NULL")
 
 
 def top_evidence(results: DataFrame, key: str, k: int) -> DataFrame:

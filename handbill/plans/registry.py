@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from handbill.functions import datetimes, geometry, jsons, schema, text
 from handbill.operators import blocks, events, layout, records
 from handbill.sources import files, search, sinks
-from handbill.sources.storage import fresh_folder, settled
+from handbill.sources.storage import fresh_folder, settings, settled
+from handbill.streaming import clusters
 
 TODAY = date(2026, 3, 15)
 TIMES = ["7 pm", "5 - 8:30 pm", "19:00", "noon", "7:30 pm – 9 pm", "12 am", "doors 7pm", "25 - 7 pm"]
@@ -236,12 +237,29 @@ def mode_tiebreak(spark, sf_dir):
     return events.merge_clusters(raw_events(spark, sf_dir), ["run_id"])
 
 
-@query(f"WITH {{raw}}, n AS (SELECT *, {NORM.format('event_name')} AS norm FROM raw WHERE nullif(trim(event_name), '') IS NOT NULL) SELECT run_id, min(ordinal) AS root, count(*)::BIGINT AS n_events FROM n GROUP BY run_id, norm")
+EXACT = f"WITH {{raw}}, n AS (SELECT *, {NORM.format('event_name')} AS norm FROM raw WHERE nullif(trim(event_name), '') IS NOT NULL) SELECT run_id, min(ordinal) AS root, count(*)::BIGINT AS n_events FROM n GROUP BY run_id, norm"
+
+
+@query(EXACT)
 def exact_dedupe(spark, sf_dir):
     """Thresholds of one: clusters are equal normal names, so SQL can say what they are."""
     return events.dedupe(raw_events(spark, sf_dir), 1.0, 1.0).select("run_id", "root", "n_events")
 
 
+@query(EXACT)
+def stream_dedupe(spark, sf_dir):
+    """Events that arrive in three batches, the query started anew from its checkpoint for each: clusters as exact_dedupe has them."""
+    base = fresh_folder(spark, "events")
+    found = raw_events(spark, sf_dir).where(text.coerce(F.col("event_name")).isNotNull())
+    with settings(spark, spark__sql__streaming__stateStore__providerClass=clusters.STORE):
+        for third in range(3):
+            found.where(F.floor(F.col("ordinal") % 40 * 3 / 40) == third).write.mode("append").parquet(f"{base}/in")
+            arriving = spark.readStream.schema(found.schema).parquet(f"{base}/in")
+            made = clusters.cluster_stream(arriving, 1.0, 1.0).writeStream.option("checkpointLocation", f"{base}/checkpoint")
+            made.format("parquet").option("path", f"{base}/out").trigger(availableNow=True).start().awaitTermination()
+    return events.merge_clusters(spark.read.parquet(f"{base}/out"), ["run_id", "root"]).select("run_id", "root", "n_events")
+
+
 @query()
 def fuzzy_pairs(spark, sf_dir):
     return events.match_edges(raw_events(spark, sf_dir))

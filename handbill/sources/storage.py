@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,3 +32,19 @@ def settled(df: DataFrame) -> DataFrame:
     if not context.getCheckpointDir():
         context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
+
+
+@contextmanager
+def settings(spark: SparkSession, **values: str) -> Iterator[None]:
+    """Session settings (dots as two underscores) that hold inside the block only."""
+    before = {k.replace("__", "."): spark.conf.get(k.replace("__", "."), None) for k in values}
+    try:
+        for k, v in values.items():
+            spark.conf.set(k.replace("__", "."), v)
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
