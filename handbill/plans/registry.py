@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from handbill.functions import datetimes, geometry, jsons, schema, text
 from handbill.operators import blocks, events, layout, records
-from handbill.sources import files, search, sinks
+from handbill.sources import files, named, search, sinks
 from handbill.sources.storage import fresh_folder, settings, settled
 from handbill.streaming import clusters
 
@@ -219,6 +219,18 @@ def cache_misses(spark, sf_dir):
     return search.read_through(asked, path, recorded_search).select("cache_key", found[0]["title"].alias("first_title"), F.size(found).cast("bigint").alias("n_results"))
 
 
+@query(f"WITH {{raw}}, {KEYED} SELECT cache_key, search AS first_title, 3::BIGINT AS n_results FROM keyed WHERE first % 5 = 0")
+def cache_folder(spark, sf_dir):
+    """Answers from a cache of one JSON file a key: half were there, the others are fetched once and kept as files."""
+    asked = asked_searches(spark, sf_dir).where("first % 5 = 0")
+    folder = fresh_folder(spark, "cache")
+    before = search.fetch(asked.where("first % 2 = 0"), recorded_search)
+    named.write_named(before.select(F.concat("cache_key", F.lit(".json")).alias("name"), F.col("raw").alias("body")), folder)
+    found = F.try_variant_get(F.parse_json("raw"), "$.organic", "array<struct<title: string>>")
+    answers = named.read_through_files(asked, folder, recorded_search)
+    return answers.select("cache_key", found[0]["title"].alias("first_title"), F.size(found).cast("bigint").alias("n_results"))
+
+
 @query("""WITH r AS (SELECT user_id, event_id % 3 AS query_no, event_id AS place, CASE WHEN event_id % 11 = 0 THEN '' ELSE 'u' || (event_id % 17) END AS url FROM events),
   f AS (SELECT user_id, url, min(struct_pack(q := query_no, p := place)) AS seen FROM r WHERE url <> '' GROUP BY ALL)
 SELECT user_id, rank, url FROM (SELECT user_id, url, row_number() OVER (PARTITION BY user_id ORDER BY seen, url) AS rank FROM f) WHERE rank <= 3""")
@@ -403,6 +415,17 @@ def result_files(spark, sf_dir):
     return kept.select("file_name", F.array_join("items", "|").alias("titles"))
 
 
+@query("""WITH {raw} SELECT 'enriched_' || run_id || '.json' AS file_name, count(*)::BIGINT AS n_items, arg_min(coalesce(trim(event_name), '-'), ordinal) AS first_title FROM raw GROUP BY run_id""")
+def named_files(spark, sf_dir):
+    """Result files written under their names, and what is read back from them."""
+    made = prediction_files(spark, sf_dir)
+    kept = sinks.per_file(files.prediction_events(made), made, "enriched_", F.struct(F.coalesce("event_name", F.lit("-")).alias("title"), "venue"))
+    folder = fresh_folder(spark, "results")
+    sinks.write_json(kept, folder, F.col("file_name"), F.col("items"))
+    found = files.json_files(spark, folder, "enriched_*.json").withColumn("items", F.try_variant_get("v", "$", "array<struct<title: string>>"))
+    return found.select("file_name", F.size("items").cast("bigint").alias("n_items"), F.col("items")[0]["title"].alias("first_title"))
+
+
 @query("""WITH {raw}, t AS (SELECT 'prediction' || run_id || '.json' AS source, row_number() OVER (PARTITION BY run_id ORDER BY ordinal) AS pos, ordinal,
   nullif(trim(event_name), '') AS event_name, venue, date, time, recurring, coalesce(date, 'NOVALUE') AS start_date, coalesce(date, 'NOVALUE') AS end_date FROM raw)
 SELECT * EXCLUDE (ordinal), CASE ordinal % 8 WHEN 1 THEN '17:00' WHEN 3 THEN 'NOVALUE' WHEN 4 THEN '19:30' WHEN 5 THEN '00:00' WHEN 7 THEN 'NOVALUE' ELSE '19:00' END AS start_time,

@@ -64,7 +64,7 @@ def zip_positional(a: Column, b: Column, names: tuple[str, str]) -> Column:
 
 def json_files(spark: SparkSession, folder: str, glob: str = "*.json") -> DataFrame:
     """(file_name, idx, body, v) of JSON files; v is null where the text is not one JSON value."""
-    files = spark.read.option("wholetext", True).option("pathGlobFilter", glob).text(folder)
+    files = spark.read.option("pathGlobFilter", glob).text(folder, wholetext=True)
     name = F.col("_metadata.file_name")
     return files.select(name.alias("file_name"), numeric_suffix(stem(name)).alias("idx"), F.col("value").alias("body"), strict_json(F.col("value")).alias("v"))
 

@@ -1,20 +1,21 @@
-"""Results as files: pretty JSON a key, in folders that Spark's own writer commits."""
+"""Results as files of pretty JSON, each under its own name."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from handbill.sources.named import write_named
+
 
 def pretty(value: Column) -> Column:
     """Indented JSON; characters beyond ASCII stay as they are."""
     return F.to_json(value, {"pretty": "true"})
 
 
-def write_json(df: DataFrame, folder: str, key: str, value: Column) -> None:
-    """One folder a key with one text file of pretty JSON; folders of other keys are left alone."""
-    rows = df.select(key, pretty(value).alias("value")).repartition(key)
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).text(folder)
+def write_json(df: DataFrame, folder: str, name: Column, value: Column) -> None:
+    """One file of pretty JSON for each row, under its name; files of other names are left alone. See named.write_named."""
+    write_named(df.select(name.alias("name"), pretty(value).alias("body")), folder)
 
 
 def result_name(source: Column, prefix: str) -> Column:

@@ -107,14 +107,6 @@ def test_stream_takes_each_file_once(spark, tmp_path):
     assert len(run("c")) == 3
 
 
-def test_json_sink(spark, tmp_path):
-    rows = spark.createDataFrame([("a", "é"), ("b", "y")], "k string, t string")
-    sinks.write_json(rows, str(tmp_path / "j"), "k", F.struct("t"))
-    sinks.write_json(rows.where("k = 'a'"), str(tmp_path / "j"), "k", F.struct(F.lit("new").alias("t")))
-    texts = {p.parent.name: p.read_text(encoding="utf-8") for p in (tmp_path / "j").rglob("part-*.txt")}
-    assert {k: json.loads(v) for k, v in texts.items()} == {"k=a": {"t": "new"}, "k=b": {"t": "y"}} and "\n" in texts["k=a"]
-
-
 def test_badges_against_plain_loop(spark):
     r = random.Random(3)
     made = []
