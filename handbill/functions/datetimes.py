@@ -6,10 +6,10 @@ from collections.abc import Iterator
 from datetime import date, datetime
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from handbill.functions.text import NOVALUE, bound, strip
+from handbill.functions.text import NOVALUE, SPACE, spare, strip
 
 # The patterns of a year and of a time of day, and the days that a date may be past and still this year's.
 YEAR = r"\b(19\d{2}|20\d{2})\b"
@@ -19,7 +19,7 @@ GRACE_DAYS = 30
 
 def year_hint(c: Column) -> Column:
     """The first year named in a text, or null."""
-    return F.regexp_extract(F.coalesce(c, F.lit("")), YEAR, 1).try_cast("int")
+    return F.nullif(F.regexp_extract(F.coalesce(c, F.lit("")), YEAR, 1), F.lit("")).cast("int")
 
 
 def nearest_upcoming(month: Column, day: Column, today: date) -> Column:
@@ -72,31 +72,38 @@ def clock(hour: Column, minute: Column, half: Column) -> Column:
     return F.when(fits, F.concat(F.lpad(h.cast("string"), 2, "0"), F.lit(":"), F.lpad(minute.cast("string"), 2, "0")))
 
 
-def normalize_time(c: Column) -> Column:
-    """struct(start_time, end_time) of a time or a range of times; a side without am or pm takes the other's."""
-
-    def token(x: Column) -> Column:
-        hour, minute, half = (F.regexp_extract(x, TIME, k) for k in (1, 2, 3))
-        return F.struct(hour.try_cast("int").alias("h"), F.coalesce(minute.try_cast("int"), F.lit(0)).alias("m"), half.alias("half"))
-
-    def times(p: Column) -> Column:
-        whole, left, right = p["tokens"][0], p["tokens"][1], p["tokens"][2]
-        nothing = F.lit(NOVALUE)
-        first = clock(left["h"], left["m"], F.when(left["half"] == "", right["half"]).otherwise(left["half"]))
-        second = clock(right["h"], right["m"], F.when(right["half"] == "", left["half"]).otherwise(right["half"]))
-
-        def sides(s: Column) -> Column:
-            ranged = p["ranged"] & s[0].isNotNull() & s[1].isNotNull()
-            return F.struct(
-                F.when(ranged, s[0]).otherwise(F.coalesce(s[2], nothing)).alias("start_time"),
-                F.when(ranged, s[1]).otherwise(nothing).alias("end_time"),
-            )
-
-        return bound(F.array(first, second, clock(whole["h"], whole["m"], whole["half"])), sides)
-
-    def parsed(raw: Column) -> Column:
-        parts = F.filter(F.transform(F.split(raw, "-"), strip), lambda x: x != "")
-        three = bound(parts, lambda p: F.array(raw, F.coalesce(F.get(p, F.lit(0)), F.lit("")), F.coalesce(F.get(p, F.lit(1)), F.lit(""))))
-        return bound(F.struct(raw.contains("-").alias("ranged"), F.transform(three, token).alias("tokens")), times)
-
-    return bound(F.translate(F.lower(strip(F.coalesce(c, F.lit("")))), "–—", "--"), parsed)
+def with_times(events: DataFrame, time: str = "time") -> DataFrame:
+    """events with start_time and end_time of a time or a range of times; a side without am or pm takes the other's.
+
+    Built in steps, as text.with_queries is: no expression is worked out twice, and all are compiled.
+    """
+    sides = ("whole", "left", "right")
+    raw, ranged_, tidy, *names = spare(events, "t_raw", "t_ranged", "t_tidy", *(f"t_{s}{k}" for s in sides for k in ("", "_h", "_m", "_half")), "t_first", "t_second", "t_single")
+    (whole, *w), (left, *a), (right, *b) = (names[4 * k : 4 * k + 4] for k in range(3))
+    first, second, single = names[12:]
+    dash, match = F.col(ranged_), r"(?s)^.*?" + TIME + ".*$"
+    rows = events.withColumn(raw, F.translate(F.lower(strip(F.coalesce(F.col(time), F.lit("")))), "–—", "--"))
+    rows = rows.withColumn(ranged_, F.col(raw).contains("-"))
+    # parts between dashes that aren't blank, one dash apart
+    rows = rows.withColumn(tidy, F.when(dash, F.btrim(F.regexp_replace(raw, f"{SPACE}*-(?:{SPACE}|-)*", "-"), F.lit("-"))).otherwise(F.col(raw)))
+    rows = rows.withColumns({left: F.split_part(tidy, F.lit("-"), F.lit(1)), right: F.when(dash, F.split_part(tidy, F.lit("-"), F.lit(2))), whole: F.when(dash, F.col(raw))})
+    # one look for hour, minute and half of each: what has no time stays as it is, and is no number
+    rows = rows.withColumns({x: F.regexp_replace(x, match, "$1|$2|$3") for x in (left, right, whole)})
+    rows = rows.withColumn(whole, F.coalesce(whole, left))
+    parts = {}
+    for text, (h, m, half) in ((whole, w), (left, a), (right, b)):
+        h_, m_, half_ = (F.split_part(text, F.lit("|"), F.lit(k)) for k in (1, 2, 3))
+        timed = F.col(text).rlike(r"^\d{1,2}\|")  # a cast that fails is slow, as it is an exception underneath
+        parts |= {h: F.when(timed, h_.cast("int")), m: F.when(timed & (m_ != ""), m_.cast("int")).otherwise(F.lit(0)), half: F.when(timed, half_).otherwise(F.lit(""))}
+    rows = rows.withColumns(parts)
+
+    def other(own: str, beside: str) -> Column:
+        return F.when(F.col(own) == "", F.col(beside)).otherwise(F.col(own))
+
+    rows = rows.withColumns({
+        first: clock(F.col(a[0]), F.col(a[1]), other(a[2], b[2])), second: clock(F.col(b[0]), F.col(b[1]), other(b[2], a[2])), single: clock(*map(F.col, w)),
+    })
+    ranged = dash & F.col(first).isNotNull() & F.col(second).isNotNull()
+    start = F.when(ranged, F.col(first)).otherwise(F.coalesce(single, F.lit(NOVALUE)))
+    kept = [c for c in events.columns if c.lower() not in ("start_time", "end_time")]
+    return rows.select(*kept, start.alias("start_time"), F.when(ranged, F.col(second)).otherwise(F.lit(NOVALUE)).alias("end_time"))

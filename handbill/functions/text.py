@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The white space that str.strip() removes, as characters and as a regular-expression class.
@@ -45,12 +45,12 @@ def coerce_novalue(c: Column) -> Column:
 
 def numeric_suffix(stem: Column) -> Column:
     """The number that ends a file's stem, or null."""
-    return F.regexp_extract(stem, r"(\d+)$", 1).try_cast("int")
+    return F.nullif(F.regexp_extract(stem, r"(\d+)$", 1), F.lit("")).try_cast("int")
 
 
 def digits(stem: Column) -> Column:
     """All digits of a stem as one number, or null."""
-    return F.regexp_replace(stem, r"\D", "").try_cast("bigint")
+    return F.nullif(F.regexp_replace(stem, r"\D", ""), F.lit("")).try_cast("bigint")
 
 
 def sibling_paths(root: Column, idx: Column) -> Column:
@@ -59,26 +59,33 @@ def sibling_paths(root: Column, idx: Column) -> Column:
     return F.struct(*[F.concat(root, F.lit(f"/{stem}"), idx.cast("string"), F.lit(f".{kind}")).alias(name) for name, stem, kind in parts])
 
 
-def distinct_nocase(items: Column) -> Column:
-    """The first of each item but for case, in order."""
-
-    def first(pairs: Column) -> Column:
-        return F.filter(pairs[0], lambda x, i: F.array_position(pairs[1], F.get(pairs[1], i)) == i + 1)
-
-    return bound(bound(items, lambda x: F.array(x, F.transform(x, F.lower))), first)
-
-
-def build_queries(name: Column, venue: Column, date: Column, time: Column) -> Column:
-    """Search queries of an event, at most six, distinct but for case; none without name and venue."""
-
-    def made(p: Column) -> Column:
-        n, v, d, t = (p[k] for k in "nvdt")
-        both = (n != "") & (v != "")
-        base = F.when(both, F.concat(n, F.lit(" "), v)).otherwise(F.concat(n, v))
-        about = [F.when(both, F.concat(n, F.lit(f" {word} "), v)) for word in ("tickets", "reservation", "hours admission")]
-        each = F.array(base, *about, *[F.when(x != "", F.concat(base, F.lit(" "), x)) for x in (d, t)])
-        return F.when((n != "") | (v != ""), each).otherwise(F.array().cast("array<string>"))
-
-    parts = F.struct(*[F.coalesce(strip(x), F.lit("")).alias(k) for k, x in zip("nvdt", (name, venue, date, time), strict=True)])
-    tidy = F.transform(F.array_compact(bound(parts, made)), lambda x: F.trim(F.regexp_replace(x, f"{SPACE}+", " ")))
-    return distinct_nocase(F.filter(tidy, lambda x: x != ""))
+def spare(df: DataFrame, *names: str) -> list[str]:
+    """Names like these that df has no columns of, whatever the case of their letters."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def with_queries(events: DataFrame, name: str, venue: str, date: str, time: str, out: str = "queries") -> DataFrame:
+    """events with an array of search queries of each, at most six, distinct but for case; none without name and venue.
+
+    Built in steps, each a projection of its own: the optimiser leaves those apart whose columns the next names more than
+    once, so nothing is worked out twice and all of it is compiled.
+    """
+    n, v, d, t, base, *made = spare(events, "q_name", "q_venue", "q_date", "q_time", "q_base", *(f"q_{k}" for k in range(6)), *(f"q_{k}_low" for k in range(6)))
+    each, low = made[:6], made[6:]
+    parts = dict(zip((n, v, d, t), (name, venue, date, time), strict=True))
+    rows = events.withColumns({k: F.trim(F.translate(F.coalesce(F.col(c), F.lit("")), BLANKS, " " * len(BLANKS))) for k, c in parts.items()})
+    rows = rows.withColumns({k: F.when(F.col(k).contains("  "), F.regexp_replace(k, " {2,}", " ")).otherwise(F.col(k)) for k in parts})
+    both = (F.col(n) != "") & (F.col(v) != "")
+    rows = rows.withColumn(base, F.when(both, F.concat(n, F.lit(" "), v)).otherwise(F.concat(n, v)))
+    raw = [F.col(base), *[F.when(both, F.concat(n, F.lit(f" {word} "), v)) for word in ("tickets", "reservation", "hours admission")]]
+    raw += [F.when(F.col(x) != "", F.concat(base, F.lit(" "), x)) for x in (d, t)]
+    rows = rows.withColumns({k: F.when(F.col(base) != "", x) for k, x in zip(each, raw, strict=True)})
+    rows = rows.withColumns({b: F.lower(a) for a, b in zip(each, low, strict=True)})
+    first = [F.when(~F.coalesce(F.col(low[k]).isin(*map(F.col, low[:k])), F.lit(False)), F.col(each[k])) if k else F.col(each[0]) for k in range(6)]
+    return rows.withColumn(out, F.array_compact(F.array(*first))).drop(n, v, d, t, base, *each, *low)

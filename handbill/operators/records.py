@@ -45,8 +45,9 @@ def normalize_when(events: DataFrame, today: date) -> DataFrame:
     texts = rows.where("iso IS NULL AND date IS NOT NULL").select(F.col("date").alias("d"), F.col("hint").alias("h")).distinct()
     parsed = texts.withColumn("parsed", datetimes.free_date(today)("d", "h"))
     found = rows.join(parsed, (F.col("date") == F.col("d")) & F.col("hint").eqNullSafe(F.col("h")), "left")
-    start, clock = F.coalesce("iso", "parsed", F.lit(NOVALUE)), datetimes.normalize_time(F.col("time"))
-    return found.select(*events.columns, start.alias("start_date"), clock["start_time"].alias("start_time"), start.alias("end_date"), clock["end_time"].alias("end_time"))
+    start = F.coalesce("iso", "parsed", F.lit(NOVALUE))
+    dated = datetimes.with_times(found.select(*events.columns, start.alias("start_date")))
+    return dated.select(*events.columns, "start_date", "start_time", F.col("start_date").alias("end_date"), "end_time")
 
 
 def ask(rows: DataFrame, prompt: str, answer: str, provider: Callable[[str], str]) -> DataFrame:

@@ -116,9 +116,8 @@ NOISY = """noisy AS (SELECT event_id, CASE event_id % 6 WHEN 0 THEN props WHEN 1
 
 @query(f"WITH {NOISY} SELECT event_id, json_valid(t) AS strict, CASE event_id % 6 WHEN 2 THEN 1 WHEN 3 THEN 2 END::BIGINT AS n_events, event_id % 6 IN (0, 1, 2, 4) AS is_object, CASE event_id % 6 WHEN 2 THEN 'object' WHEN 3 THEN 'array' WHEN 5 THEN NULL ELSE 'object' END AS any_kind FROM noisy")
 def dirty_json(spark, sf_dir):
-    rows = table(spark, sf_dir, "events").withColumn("t", noisy_json())
-    t = F.col("t")
-    return rows.select("event_id", jsons.strict_json(t).isNotNull().alias("strict"), F.nullif(F.size(jsons.extract_events(t)).cast("bigint"), F.lit(-1)).alias("n_events"), jsons.extract_object(t).isNotNull().alias("is_object"), jsons.kind(jsons.extract_any(t)).alias("any_kind"))
+    rows = jsons.with_attempts(table(spark, sf_dir, "events").select("event_id", noisy_json().alias("t")), "t")
+    return rows.select("event_id", F.col("whole").isNotNull().alias("strict"), F.size(jsons.events_in()).cast("bigint").alias("n_events"), jsons.object_of().isNotNull().alias("is_object"), jsons.kind(jsons.any_of()).alias("any_kind"))
 
 
 @query("SELECT o_orderkey, coalesce(nullif(trim(CASE WHEN o_orderkey % 3 = 0 THEN '  ' ELSE ' ' || o_orderpriority || ' ' END), ''), 'NOVALUE') AS value FROM orders")
@@ -136,7 +135,7 @@ def first_year_hint(spark, sf_dir):
 @query("""WITH {raw} SELECT ordinal, CASE ordinal % 8 WHEN 0 THEN '19:00' WHEN 1 THEN '17:00' WHEN 2 THEN '19:00' WHEN 3 THEN 'NOVALUE' WHEN 4 THEN '19:30' WHEN 5 THEN '00:00' WHEN 6 THEN '19:00' ELSE 'NOVALUE' END AS start_time,
   CASE ordinal % 8 WHEN 1 THEN '20:30' WHEN 4 THEN '21:00' ELSE 'NOVALUE' END AS end_time FROM raw""")
 def normalize_time(spark, sf_dir):
-    return raw_events(spark, sf_dir).withColumn("t", datetimes.normalize_time(F.col("time"))).select("ordinal", "t.*")
+    return datetimes.with_times(raw_events(spark, sf_dir).select("ordinal", "time")).drop("time")
 
 
 @query("""WITH d AS (SELECT o_orderkey, month(o_orderdate) AS m, day(o_orderdate) AS d FROM orders),
@@ -168,8 +167,8 @@ def normalize_date(spark, sf_dir):
     CASE WHEN n <> '' THEN n || ' hours admission ' || v END, CASE WHEN d <> '' THEN CASE WHEN n <> '' THEN n || ' ' || v ELSE v END || ' ' || d END, CASE WHEN n <> '' THEN n || ' ' || v ELSE v END || ' ' || t], lambda x: x IS NOT NULL) AS l FROM e)
 SELECT ordinal, len(l)::BIGINT AS n_queries, array_to_string(list_transform(l, lambda x: regexp_replace(x, '\s+', ' ', 'g')), '|') AS queries FROM q""")
 def build_queries(spark, sf_dir):
-    made = text.build_queries(*map(F.col, ("event_name", "venue", "date", "time")))
-    return raw_events(spark, sf_dir).withColumn("q", made).select("ordinal", F.size("q").cast("bigint").alias("n_queries"), F.array_join("q", "|").alias("queries"))
+    made = text.with_queries(raw_events(spark, sf_dir), "event_name", "venue", "date", "time")
+    return made.select("ordinal", F.size("queries").cast("bigint").alias("n_queries"), F.array_join("queries", "|").alias("queries"))
 
 
 @query(r"""WITH {raw}, b AS (SELECT ordinal, trim(coalesce(event_name, '') || ' ' || venue) AS base, coalesce(event_name, '') <> '' AS named, event_name AS n, venue AS v, date AS d, time AS t FROM raw),
@@ -177,8 +176,8 @@ def build_queries(spark, sf_dir):
 SELECT ordinal, i::BIGINT AS query_no, trim(regexp_replace(l[i], '\s+', ' ', 'g')) AS search FROM q, LATERAL (SELECT unnest(range(1, len(l) + 1)) AS i)""")
 def query_explode(spark, sf_dir):
     """A row for each search query of each event, numbered from 1."""
-    made = text.build_queries(*map(F.col, ("event_name", "venue", "date", "time")))
-    rows = raw_events(spark, sf_dir).select("ordinal", F.posexplode(made).alias("query_no", "search"))
+    made = text.with_queries(raw_events(spark, sf_dir), "event_name", "venue", "date", "time")
+    rows = made.select("ordinal", F.posexplode_outer("queries").alias("query_no", "search")).where("query_no IS NOT NULL")  # a filter on empty lists would be pushed through all steps
     return rows.withColumn("query_no", (F.col("query_no") + 1).cast("bigint"))
 
 
@@ -541,7 +540,7 @@ def event_pipeline(spark, sf_dir):
     merged = events.dedupe(files.numbered(found, run)).withColumnsRenamed({"run_id": "source", "root": "pos"})
     dated = settled(records.normalize_when(merged, TODAY))
     key = F.struct("source", "pos")
-    asked = dated.select(key.alias("event"), F.posexplode(text.build_queries(*map(F.col, ("event_name", "venue", "date", "time")))).alias("query_no", "search"))
+    asked = text.with_queries(dated, "event_name", "venue", "date", "time").select(key.alias("event"), F.posexplode_outer("queries").alias("query_no", "search")).where("query_no IS NOT NULL")
     answers = search.read_through(search.requests(asked, ENDPOINT), fresh_folder(spark, "cache"), recorded_search)
     evidence = search.event_evidence(answers, "event")
     prompts = dated.withColumn("event", key).join(evidence, "event", "left")

@@ -30,7 +30,10 @@ def test_times(spark):
         "7:30 pm": ("19:30", "NOVALUE"), "11 - 1 pm": ("23:00", "13:00"), "19:00-21:00": ("19:00", "21:00"), "24:00": ("NOVALUE", "NOVALUE"), "13 pm": ("NOVALUE", "NOVALUE"),
         "12 am": ("00:00", "NOVALUE"), "2026-04-04": ("20:00", "04:00"), "6pm-late": ("18:00", "NOVALUE"), "25 - 7 pm": ("NOVALUE", "NOVALUE"), "": ("NOVALUE", "NOVALUE"),
     }
-    assert [tuple(x) for x in values(spark, list(golden), datetimes.normalize_time)] == list(golden.values())
+    golden |= {"- - 7pm": ("19:00", "NOVALUE"), "5 - - 6 pm -": ("17:00", "18:00"), " 5\u00a0-\t6 pm - 9": ("17:00", "18:00")}
+    rows = spark.createDataFrame([(x,) for x in golden], "time string").withColumn("t_raw", F.lit(1)).withColumn("START_TIME", F.lit("x"))
+    found = {r["time"]: (r["start_time"], r["end_time"]) for r in datetimes.with_times(rows).collect()}
+    assert found == golden and datetimes.with_times(rows).columns == ["time", "t_raw", "start_time", "end_time"]
 
 
 @pytest.mark.parametrize("given, hint, expected", [
@@ -42,14 +45,21 @@ def test_free_dates(given, hint, expected):
 
 def test_json_parsers(spark):
     texts = ['{"events":[{"a":1}]}', '[{"a":1}]', '[{"a":1},{"b":2}]', '```json {"events":[]} ```', "nonsense", "[1] x", '{"a":1}, {"b":2}']
-    assert values(spark, texts, lambda x: F.size(jsons.extract_events(x))) == [1, 1, 2, 0, None, 1, None]
-    assert values(spark, texts, lambda x: jsons.kind(jsons.extract_any(x)))[:6] == ["object", "array", "array", "array", None, "array"]
-    assert values(spark, texts, lambda x: jsons.extract_object(x).isNotNull()) == [True, True, False, True, False, False, False]
+    rows = jsons.with_attempts(spark.createDataFrame(list(enumerate(texts)), "j_0 int, t string"), "t")
+    assert rows.columns == ["j_0", "t", "whole", "braces", "brackets"]
+    found = rows.select("j_0", F.size(jsons.events_in()), jsons.kind(jsons.any_of()), jsons.object_of().isNotNull(), jsons.kind(jsons.extract_any(F.col("t")))).orderBy("j_0").collect()
+    assert [r[1] for r in found] == [1, 1, 2, 0, None, 1, None]
+    assert [r[2] for r in found] == [r[4] for r in found] and [r[2] for r in found][:6] == ["object", "array", "array", "array", None, "array"]
+    assert [r[3] for r in found] == [True, True, False, True, False, False, False]
+
+
+def test_kinds(spark):
+    assert values(spark, ["{}", "[]", '"{"', "true", "false", "null", "1", "-2.5", "1e99", None], lambda x: jsons.kind(F.try_parse_json(x))) == ["object", "array", "string", "boolean", "boolean", "void", "number", "number", "number", None]
 
 
 def test_queries(spark):
     rows = spark.createDataFrame([("Jazz  Night", "Blue Note", "Apr 4", "8 PM"), (None, None, "x", "y"), (None, "Blue Note", None, None)], "n string, v string, d string, t string")
-    found = [r["q"] for r in rows.select(text.build_queries(*map(F.col, "nvdt")).alias("q")).collect()]
+    found = [r["queries"] for r in text.with_queries(rows, *"nvdt").collect()]
     assert found[0] == [f"Jazz Night{x}" for x in (" Blue Note", " tickets Blue Note", " reservation Blue Note", " hours admission Blue Note", " Blue Note Apr 4", " Blue Note 8 PM")]
     assert found[1:] == [[], ["Blue Note"]]
 
@@ -93,7 +103,7 @@ def test_faults_in_order(spark):
     assert [r["f"] for r in listed] == [None, "item 0: missing keys: address, description, event, links, title, type, venue", "not a list", "not a list"]
 
 
-def test_bound_and_distinct(spark):
+def test_distinct_queries(spark):
     row = spark.createDataFrame([(" Jazz ", "Blue Note", None, " 8 PM"), (None, " ", "d", "t"), ("A", "a", "", "")], "n string, v string, d string, t string")
-    found = [r[0] for r in row.select(text.build_queries(*map(F.col, "nvdt"))).collect()]
+    found = [r["queries"] for r in text.with_queries(row.withColumn("Q_NAME", F.lit(1)), *"nvdt").collect()]
     assert found == [["Jazz Blue Note", "Jazz tickets Blue Note", "Jazz reservation Blue Note", "Jazz hours admission Blue Note", "Jazz Blue Note 8 PM"], [], ["A a", "A tickets a", "A reservation a", "A hours admission a"]]
