@@ -16,7 +16,7 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of edges(a, b) that isn't its component's smallest, the root.
 
     Each step links nodes to the smallest of their neighbours: minima are summed up before the shuffle, and what
-    is joined to them is a plain equi-join, so that a hub's edges need not meet in one task. Steps repeat
+    is joined to them is a plain equi-join, in which a hub's edges meet unless adaptive execution splits its partition. Steps repeat
     until no edge changes; each is written to the shared folder.
     """
     edges = materialise(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")

@@ -9,6 +9,8 @@ from handbill.llm.common import WORD, fresh, materialise, others
 
 #: Of the sources in code-point order, repeating.
 WEIGHTS = (3, 1, 2)
+#: Copies of a row that are listed at once.
+CHUNK = 4_096
 
 
 def coin(seed: str, *parts: Column) -> Column:
@@ -81,7 +83,7 @@ def mix(docs: DataFrame, seed: str = "mix", **options) -> DataFrame:
     A row is emitted floor(rate) times, plus once more if its coin is under the rate's fraction. doc_id, source, the
     text's MD5 and a rank among equal rows decide a coin, so a source meets its target whatever its ids are, and reruns
     agree. Null texts have no words; null sources form one source, the last. An empty table gives an empty
-    table; other columns pass through, but for those named like a new one; maps can't be compared and aren't taken.
+    table; other columns pass through, but for those named like a new one.
     """
     kept = others(docs, "size", "source_size", "target", "rate", "copies")
     equal = fresh(docs, "equal_rows")
@@ -95,8 +97,15 @@ def mix(docs: DataFrame, seed: str = "mix", **options) -> DataFrame:
 
 
 def emit(mixed: DataFrame, columns: list[str]) -> DataFrame:
-    """Each row of mix() as many times as its copies say, in those columns; null or no copies: not at all."""
-    return mixed.select(F.explode(F.array_repeat(F.struct(*columns), F.coalesce("copies", F.lit(0)).cast("int"))).alias("row")).select("row.*")
+    """Each row of mix() as many times as its copies say, in those columns; null or no copies: not at all.
+
+    Rows that repeat are so many copies of one row. Only numbers are listed to be exploded, CHUNK at a time, so no cell holds
+    all copies of a text.
+    """
+    number = fresh(mixed, "copy_number")
+    chunks = mixed.where("copies > 0").withColumn(number, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("copies").cast("bigint") - 1, F.lit(CHUNK).cast("bigint"))))
+    each = F.sequence(F.col(number), F.least(F.col(number) + CHUNK, F.col("copies").cast("bigint")) - 1)
+    return chunks.withColumn(number, F.explode(each)).select(*columns)
 
 
 def words_taken(docs: DataFrame, seed: str = "mix", **options) -> DataFrame:
