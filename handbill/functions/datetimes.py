@@ -29,6 +29,40 @@ def nearest_upcoming(month: Column, day: Column, today: date) -> Column:
     return F.when(given & this.isNotNull(), F.when(F.datediff(this, F.lit(today)) >= -GRACE_DAYS, this).otherwise(following))
 
 
+# Names of months and days of the week, in order.
+MONTHS = ("january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december")
+DAYS = ("monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday")
+
+
+def named(words: tuple[str, ...]) -> str:
+    """A pattern of whole names, or their first three letters."""
+    return "|".join(f"{w[:3]}(?:{w[3:]})?" if w[3:] else w for w in words)
+
+
+WEEKDAY = rf"(?:(?:{named(DAYS)}),? +)?"
+DAY = r"(0?[1-9]|[12]\d|3[01])(?:st|nd|rd|th)?"
+#: Month and day, or day and month, perhaps after a day of the week, perhaps with a year: [month, day, day, month, year].
+PLAIN_DATE = rf"^{WEEKDAY}(?:({named(MONTHS)}) +{DAY}|{DAY} +({named(MONTHS)}))(?:,? +(19\d\d|20\d\d))?$"
+
+
+def plain_date(text: Column, hint: Column, today: date) -> Column:
+    """ISO date or NOVALUE of texts that name month and day plainly, as the parser reads them; null for all others, which are the parser's.
+
+    One look by a pattern, then numbers: a date of the text's year, else of the hint's, else the nearest upcoming one.
+    """
+    parts = F.regexp_replace(F.lower(F.btrim(text)), PLAIN_DATE, "$1$4|$2$3|$5")
+
+    def part(k: int) -> Column:
+        return F.nullif(F.split_part(parts, F.lit("|"), F.lit(k)), F.lit(""))
+
+    found = parts.rlike(r"^[a-z]+\|\d+\|\d*$") & ~text.contains("|")
+    month = F.when(found, ((F.instr(F.lit("".join(m[:3] for m in MONTHS)), F.substring(part(1), 1, 3)) + 2) / 3).cast("int"))
+    day, year = F.when(found, part(2).cast("int")), F.when(found, part(3).cast("int"))
+    dated = F.try_to_date(F.format_string("%04d-%02d-%02d", F.coalesce(year, hint), month, day), "yyyy-MM-dd")
+    when = F.when(hint.isNotNull(), F.coalesce(dated, F.when(year.isNull(), nearest_upcoming(month, day, today)))).otherwise(nearest_upcoming(month, day, today))
+    return F.when(found & (hint.isNotNull() | year.isNull()), F.coalesce(when.cast("string"), F.lit(NOVALUE)))
+
+
 def parse_free(text: str, hint: int | None, today: date) -> str:
     from dateutil import parser
 

@@ -34,14 +34,15 @@ def fill_prompt(blocks_json: Column, template: str = PROMPT) -> Column:
 def normalize_when(events: DataFrame, today: date) -> DataFrame:
     """events(source, pos, date, time, event_name, venue, ...) with start_date, start_time, end_date, end_time.
 
-    A date without a year takes the first year named in its file, in order of events, then date, name and venue. ISO
-    dates never reach the parser; each other distinct text and hint is parsed once. An end date is the start date.
+    A date without a year takes the first year named in its file, in order of events, then date, name and venue. ISO dates and
+    plain ones (month, day, year) never reach the parser; each other distinct text and hint is parsed once. An end date is the start date.
     """
     years = F.array(*[F.struct(datetimes.year_hint(F.col(c)).alias("year")) for c in ("date", "event_name", "venue")])
     named = events.select("source", "pos", F.posexplode(years).alias("k", "y")).where("y.year IS NOT NULL")
     hints = named.groupBy("source").agg(F.min_by("y.year", F.struct("pos", "k")).alias("file_year"))
     own = datetimes.year_hint(F.col("date"))
-    rows = events.join(hints, "source", "left").withColumn("hint", F.coalesce(own, "file_year")).withColumn("iso", datetimes.iso_date(F.col("date")))
+    rows = events.join(hints, "source", "left").withColumn("hint", F.coalesce(own, "file_year"))
+    rows = rows.withColumn("iso", F.coalesce(datetimes.iso_date(F.col("date")), datetimes.plain_date(F.col("date"), F.col("hint"), today)))
     texts = rows.where("iso IS NULL AND date IS NOT NULL").select(F.col("date").alias("d"), F.col("hint").alias("h")).distinct()
     parsed = texts.withColumn("parsed", datetimes.free_date(today)("d", "h"))
     found = rows.join(parsed, (F.col("date") == F.col("d")) & F.col("hint").eqNullSafe(F.col("h")), "left")

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from handbill.functions import datetimes, geometry, jsons, schema, text
-from handbill.operators import blocks, events, layout, records
+from handbill.operators import blocks, counts, events, layout, records, steps
 from handbill.sources import files, named, search, sinks
 from handbill.sources.storage import fresh_folder, settings, settled
 from handbill.streaming import clusters
@@ -151,15 +151,12 @@ def nearest_upcoming(spark, sf_dir):
 SELECT ordinal, CASE k WHEN 0 THEN strftime(day, '%b %d') WHEN 1 THEN date WHEN 2 THEN strftime(day, '%d %B %Y') ELSE 'tbd' END AS free,
   CASE WHEN k IN (1, 2) THEN date WHEN k = 3 OR y IS NULL THEN 'NOVALUE' WHEN y - DATE '2026-03-15' >= -30 THEN y::VARCHAR ELSE '2027' || substr(y::VARCHAR, 5) END AS start_date FROM this""")
 def normalize_date(spark, sf_dir):
-    """Dates as free text; ISO ones never reach the parser, of the others each distinct text and hint is parsed once."""
+    """Dates as free text, each with its own year at most: ISO and plain ones never reach the parser."""
     k = F.col("ordinal") % 4
     day = F.to_date("date")
     free = F.when(k == 0, F.date_format(day, "MMM dd")).when(k == 1, F.col("date")).when(k == 2, F.date_format(day, "dd MMMM yyyy")).otherwise(F.lit("tbd"))
-    rows = raw_events(spark, sf_dir).where("date IS NOT NULL").withColumn("free", free).withColumn("hint", datetimes.year_hint(F.col("free")))
-    iso = rows.withColumn("iso", datetimes.iso_date(F.col("free")))
-    parsed = iso.where("iso IS NULL").select("free", "hint").distinct().withColumn("parsed", datetimes.free_date(TODAY)("free", "hint"))
-    found = iso.join(parsed.withColumnsRenamed({"free": "f", "hint": "h"}), F.col("free").eqNullSafe(F.col("f")) & F.col("hint").eqNullSafe(F.col("h")), "left")
-    return found.select("ordinal", "free", F.coalesce("iso", "parsed").alias("start_date"))
+    rows = raw_events(spark, sf_dir).where("date IS NOT NULL").select(F.col("ordinal").alias("source"), F.lit(0).alias("pos"), free.alias("date"), "time", F.lit(None).cast("string").alias("event_name"), F.lit(None).cast("string").alias("venue"))
+    return records.normalize_when(rows, TODAY).select(F.col("source").alias("ordinal"), F.col("date").alias("free"), "start_date")
 
 
 @query(r"""WITH {raw}, e AS (SELECT ordinal, trim(coalesce(event_name, '')) AS n, trim(venue) AS v, coalesce(date, '') AS d, time AS t FROM raw),
@@ -305,6 +302,45 @@ def missing_report(spark, sf_dir):
     return made.select(F.col("idx").alias("doc_id"), F.array_join("missing", ",").alias("missing"))
 
 
+def listings(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Images, annotations, canvases and targets by number: pages, some of them without one or the other, and some that have no image."""
+    pages = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("idx")).distinct()
+    return pages.where("idx % 11 <> 0").withColumn("path", F.concat(F.lit("out"), F.col("idx").cast("string"))), pages.where("idx % 3 <> 0"), pages.where("idx % 4 <> 1"), pages.where("idx % 5 <> 2")
+
+
+STEPS = """pages AS (SELECT DISTINCT conv_id AS idx FROM conversations),
+  sides AS (SELECT idx, i.idx IS NOT NULL AS image, a.idx IS NOT NULL AS annotation, c.idx IS NOT NULL AS canvas, t.idx IS NOT NULL AS target FROM (SELECT idx FROM pages WHERE idx % 11 <> 0) i
+    FULL JOIN (SELECT idx FROM pages WHERE idx % 3 <> 0) a USING (idx) FULL JOIN (SELECT idx FROM pages WHERE idx % 4 <> 1) c USING (idx) FULL JOIN (SELECT idx FROM pages WHERE idx % 5 <> 2) t USING (idx)),
+  steps AS (SELECT idx, CASE WHEN NOT image THEN 'orphan' WHEN NOT annotation THEN 'all' WHEN NOT canvas THEN 'render' WHEN NOT target THEN 'target' ELSE 'nothing' END AS step,
+    image AND NOT annotation AS "read", image AND (NOT annotation OR NOT canvas) AS render, image AND NOT target AS aim FROM sides)"""
+
+
+@query(f"WITH {STEPS} SELECT * FROM steps")
+def image_steps(spark, sf_dir):
+    """What each image still needs: to be read, to be drawn, a target."""
+    return steps.image_steps(*listings(spark, sf_dir))
+
+
+def recorded_layout(path: str) -> str:
+    """A provider of a page's layout that answers from its path alone: one block; some pages can't be read."""
+    number = int(path.removeprefix("out"))
+    if number % 13 == 6:
+        raise OSError("no such page")
+    return json.dumps({"width": 100, "height": 50, "parsing_res_list": [{"block_content": f"page {number}", "block_bbox": [10, 10, 90, 40], "block_order": 1}]})
+
+
+@query(f"""WITH {STEPS}, n AS (SELECT conv_id AS idx, count(*) FILTER (turn % 4 <> 1 AND trim(text) <> '')::BIGINT AS n FROM conversations GROUP BY conv_id),
+  w AS (SELECT s.*, "read" AND idx % 13 = 6 AS lost, CASE WHEN "read" THEN 1 ELSE n END AS n FROM steps s JOIN n USING (idx) WHERE step <> 'orphan')
+SELECT idx, step, "read" AND NOT lost AS has_annotation, render AND NOT lost AND n > 0 AS has_canvas,
+  CASE WHEN aim AND NOT lost AND n = 0 THEN '{{"events":[]}}' WHEN aim AND NOT lost AND n % 5 <> 4 THEN '{{"events":[{{"event_name":"' || n || ' blocks"}}]}}' END AS target,
+  CASE WHEN lost THEN 'OSError: no such page' WHEN aim AND n % 5 = 4 THEN 'ValueError: ' || n || ' blocks are too many' END AS error FROM w""")
+def image_work(spark, sf_dir):
+    """The steps taken, each on its share, with recorded providers."""
+    images, annotations, canvases, targets = listings(spark, sf_dir)
+    found = steps.take_steps(steps.image_steps(images, annotations, canvases, targets), images, annotation_files(spark, sf_dir).join(annotations, "idx"), recorded_layout, recorded_reading)
+    return found.select("idx", "step", F.col("annotation").isNotNull().alias("has_annotation"), F.col("canvas").isNotNull().alias("has_canvas"), "target", "error")
+
+
 @query("SELECT d.doc_id, d.n_chars FROM documents d ANTI JOIN labels l USING (doc_id)")
 def skip_existing(spark, sf_dir):
     return files.without_existing(table(spark, sf_dir, "documents").select("doc_id", "n_chars"), table(spark, sf_dir, "labels"), "doc_id")
@@ -425,6 +461,20 @@ def named_files(spark, sf_dir):
     return found.select("file_name", F.size("items").cast("bigint").alias("n_items"), F.col("items")[0]["title"].alias("first_title"))
 
 
+@query(f"""WITH {{raw}}, n AS (SELECT *, nullif(trim(event_name), '') AS name, {NORM.format('event_name')} AS norm FROM raw), m AS (SELECT run_id, norm FROM n WHERE name IS NOT NULL GROUP BY ALL)
+SELECT 'files' AS place, 'rows' AS what, count(DISTINCT run_id)::BIGINT AS n FROM n UNION ALL SELECT 'files', 'failed', 0 UNION ALL SELECT 'events', 'rows', count(*) FROM n UNION ALL SELECT 'events', 'nameless', count(*) FROM n WHERE name IS NULL
+UNION ALL SELECT 'merged', 'rows', count(*) FROM m""")
+def run_counts(spark, sf_dir):
+    """Files, events and merged records of a run, counted by the run that writes the records."""
+    seen = counts.Counts()
+    made = seen.at("files", prediction_files(spark, sf_dir), failed=F.col("v").isNull())
+    found = seen.at("events", files.prediction_events(made), nameless=F.col("event_name").isNull())
+    run = F.regexp_extract("source", r"(\d+)", 1).cast("bigint")
+    merged = seen.at("merged", events.dedupe(settled(files.numbered(found, run)), 1.0, 1.0))
+    merged.write.parquet(fresh_folder(spark, "merged"))
+    return seen.table(merged)
+
+
 @query("""WITH {raw}, t AS (SELECT 'prediction' || run_id || '.json' AS source, row_number() OVER (PARTITION BY run_id ORDER BY ordinal) AS pos, ordinal,
   nullif(trim(event_name), '') AS event_name, venue, date, time, recurring, coalesce(date, 'NOVALUE') AS start_date, coalesce(date, 'NOVALUE') AS end_date FROM raw)
 SELECT * EXCLUDE (ordinal), CASE ordinal % 8 WHEN 1 THEN '17:00' WHEN 3 THEN 'NOVALUE' WHEN 4 THEN '19:30' WHEN 5 THEN '00:00' WHEN 7 THEN 'NOVALUE' ELSE '19:00' END AS start_time,

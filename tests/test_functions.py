@@ -1,5 +1,6 @@
 """Golden rows of the scalar functions."""
 
+import random
 from datetime import date
 
 import pytest
@@ -107,3 +108,21 @@ def test_distinct_queries(spark):
     row = spark.createDataFrame([(" Jazz ", "Blue Note", None, " 8 PM"), (None, " ", "d", "t"), ("A", "a", "", "")], "n string, v string, d string, t string")
     found = [r["queries"] for r in text.with_queries(row.withColumn("Q_NAME", F.lit(1)), *"nvdt").collect()]
     assert found == [["Jazz Blue Note", "Jazz tickets Blue Note", "Jazz reservation Blue Note", "Jazz hours admission Blue Note", "Jazz Blue Note 8 PM"], [], ["A a", "A tickets a", "A reservation a", "A hours admission a"]]
+
+
+def test_plain_dates_are_read_as_the_parser_reads_them(spark):
+    """Golden texts and fuzz: whatever the grammar takes, the parser says the same; what it refuses is null."""
+    r = random.Random(6)
+    names = [m for x in datetimes.MONTHS for m in (x, x[:3], x.upper(), x[:3].title())]
+    texts = ["Apr 4", "4 April", "Friday, April 4", "Fri April 4th", "april 4, 2025", "4th April 2025", "Feb 29", "Feb 30", "29 Feb 2024", "31 June", " May 1 ", "may", "Sept 4", "Apr. 4", "Apr 4 - 6", "4/5", "04 Apr 26", "Apr 2026", "tonight", "", "|", "a|1|"]
+    for _ in range(300):
+        m, d = r.choice(names), f"{r.randint(0, 33)}{r.choice(['', '', 'st', 'th'])}"
+        body = r.choice([f"{m} {d}", f"{d} {m}", f"{m}  {d}"])
+        texts.append(r.choice(["", "", "Monday ", "sat, ", "on "]) + body + r.choice(["", "", " 2025", ", 2027", ",  1999", " 26", " 7 pm"]))
+    for today in (TODAY, date(2028, 1, 10)):
+        rows = spark.createDataFrame([(t, h) for t in texts for h in (None, 2025, 2028)], "t string, h int")
+        found = rows.withColumn("d", datetimes.plain_date(F.col("t"), F.col("h"), today)).collect()
+        taken = [(x["t"], x["h"], x["d"]) for x in found if x["d"] is not None]
+        assert len(taken) > 300
+        for t, h, d in taken:
+            assert d == datetimes.parse_free(t, h, today), (t, h)
