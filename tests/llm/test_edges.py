@@ -4,10 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from handbill.llm import media, mixing, packing, quality, sharding, similar, simhash, substring, tokens, toxicity
+from handbill.llm import media, merkle, mixing, packing, quality, runs, secrets, sharding, similar, simhash, substring, tokens, toxicity
 
 #: Names that operators use inside or add.
-NAMES = ["kept_id", "kept_hash", "own_hash", "text_hash", "target", "source_size", "mix_source", "size", "equal_rows", "_home", "_tie", "home", "tie", "anchor", "start", "fp", "component_id", "mid", "rank", "rate", "copies", "d", "n", "kept", "N_WORDS", "score", "spans", "held_out", "y", "media", "error"]
+NAMES = ["kept_id", "kept_hash", "own_hash", "text_hash", "target", "source_size", "mix_source", "size", "equal_rows", "_home", "_tie", "home", "tie", "anchor", "start", "fp", "component_id", "mid", "rank", "rate", "copies", "d", "n", "kept", "N_WORDS", "score", "spans", "held_out", "y", "media", "error", "runs", "secrets", "whole_text", "tree", "pos", "block", "digest"]
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 LONG = "word after word " * 3000
 
@@ -43,6 +43,10 @@ PER_ROW = {
     "tokens": lambda d, l: tokens.token_counts(d),
     "pack": lambda d, l: packing.pack(d).where("piece = 0"),
     "repeats": lambda d, l: substring.remove_repeats(d),
+    "runs": lambda d, l: runs.collapse_runs(d),
+    "planted": lambda d, l: runs.planted(d),
+    "secrets": lambda d, l: secrets.find_secrets(d),
+    "manifest": lambda d, l: merkle.manifest(d, merkle.without_line_ends()),
 }
 
 
@@ -60,6 +64,8 @@ PASSING = {
     "repeats": (lambda d, l: substring.remove_repeats(d), {"kept", "N_WORDS"}),
     "toxic": (toxicity.filter_toxic, set()),
     "mix": (lambda d, l: mixing.mix(d), {"target", "source_size", "size", "rate", "copies"}),
+    "runs": (lambda d, l: runs.collapse_runs(d), {"runs", "collapsed"}),
+    "secrets": (lambda d, l: secrets.find_secrets(d), {"secrets"}),
     "stored": (lambda d, l: media.described(d.withColumn("media", F.lit(None).cast("binary"))), {"media", "error"}),
 }
 
@@ -83,6 +89,15 @@ def test_what_is_kept(docs, labels):
     assert all(r["taken"] in (0, r["size"], 2 * r["size"]) for r in mixing.words_taken(docs).collect())
 
 
+def test_copies_are_not_gathered(spark):
+    """Many equal rows are one row of many copies, which come out one by one."""
+    rows = spark.range(9_000).select(F.lit(1).alias("doc_id"), F.lit("same words").alias("text"), F.lit("a").alias("source"), F.lit(0).alias("copy_number"))
+    mixed = mixing.mix(rows)
+    copies = mixed.first()["copies"]
+    found = mixing.emit(mixed, ["doc_id", "text", "copy_number"])
+    assert mixed.count() == 1 and copies > mixing.CHUNK and found.count() == copies and found.distinct().count() == 1
+
+
 def test_repeats_do_not_reach_the_driver(docs, labels):
     many = docs.select("doc_id", "text").where("doc_id = 4").withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(300)))).drop("k")
     texts, y = quality.sample(many, labels, "quality", F.lit(True), 100)
