@@ -95,13 +95,20 @@ def escaped(text: Column) -> Column:
     return F.replace(F.replace(F.replace(text, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
 
 
-def canvas(blocks: DataFrame) -> DataFrame:
-    """(image, svg) of blocks(image, place, id, text, x1, y1, x2, y2, width, height): outlines, texts as far as they fit, badges on top."""
+def laid_out(blocks: DataFrame) -> DataFrame:
+    """blocks(image, place, id, text, x1, y1, x2, y2, width, height) on the page: size and `shown`, the lines that fit, and badge."""
     boxes = badge_size(clamp_boxes(blocks)).withColumn("fit", fit(F.col("text"), F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")))
-    both = boxes.join(place_badges(boxes), ["image", "id"])
-    size = F.col("fit.size")
+    both = boxes.join(place_badges(boxes), ["image", "id"]).withColumn("size", F.col("fit.size"))
+    step = F.col("size") * LINE + GAP
+    return both.withColumn("shown", F.filter("fit.lines", lambda line, i: F.col("y1") + PAD + i * step + F.col("size") * LINE <= F.col("y2") - 4)).drop("fit")
+
+
+def canvas(blocks: DataFrame) -> DataFrame:
+    """(image, svg) of blocks as laid_out() takes them: outlines, texts as far as they fit, badges on top."""
+    both = laid_out(blocks)
+    size = F.col("size")
     step = size * LINE + GAP
-    shown = F.filter("fit.lines", lambda line, i: F.col("y1") + PAD + i * step + size * LINE <= F.col("y2") - 4)
+    shown = F.col("shown")
     lines = F.transform(shown, lambda line, i: F.format_string('<text x="%d" y="%d" font-size="%d">%s</text>', F.col("x1") + PAD, (F.col("y1") + PAD + (i + 1) * step - GAP).cast("int"), size, escaped(line)))
     outline = F.format_string('<rect x="%d" y="%d" width="%d" height="%d" fill="none" stroke="black" stroke-width="3"/>', "x1", "y1", F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1"))
     badge = F.format_string('<rect x="%d" y="%d" width="%d" height="%d"/><text x="%d" y="%d" fill="white">B%d</text>', F.get("badge", F.lit(0)), F.get("badge", F.lit(1)), "badge_w", "badge_h", F.get("badge", F.lit(0)) + 4, F.get("badge", F.lit(3)) - 3, "id")

@@ -22,6 +22,12 @@ from handbill.sources.storage import settled
 #: Stands for the blocks in a prompt.
 SLOT = "{blocks}"
 PROMPT = "List the events on this page as a JSON array of objects. Copy texts as they stand. Blocks, in reading order:\n{blocks}"
+#: Templates by what a model is asked for: texts as they stand, what is printed before what is known, and that with dates in ISO form.
+PROMPTS = {
+    "copied": PROMPT,
+    "printed": "The page is the only source: where it contradicts what you know, it is right.\n" + PROMPT,
+    "dated": "The page is the only source: where it contradicts what you know, it is right. Write dates as YYYY-MM-DD; a date without a year is the next to come.\n" + PROMPT,
+}
 REPAIR = "Write this again as a valid JSON array and nothing else:\n"
 
 

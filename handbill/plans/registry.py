@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from handbill.functions import datetimes, geometry, jsons, schema, text
-from handbill.operators import blocks, counts, events, layout, records, steps
+from handbill.operators import blocks, counts, events, layout, pictures, records, steps
 from handbill.sources import files, named, search, sinks
 from handbill.sources.storage import fresh_folder, settings, settled
 from handbill.streaming import clusters
@@ -521,6 +521,13 @@ def canvas_svg(spark, sf_dir):
     return layout.canvas(page_boxes(spark, sf_dir))
 
 
+@query("SELECT conv_id AS image, 1920::BIGINT AS width, 1080::BIGINT AS height FROM (SELECT DISTINCT conv_id FROM conversations)")
+def canvas_png(spark, sf_dir):
+    """Pages drawn as pictures; their sizes are read back from the files' first chunks."""
+    found = pictures.pictures(page_boxes(spark, sf_dir)).withColumn("s", geometry.png_size(F.col("png")))
+    return found.select("image", *[F.col(f"s.{k}").cast("bigint").alias(k) for k in ("width", "height")])
+
+
 @query("""WITH {raw}, n AS (SELECT ordinal, row_number() OVER () AS i, event_name, venue FROM raw)
 SELECT ordinal, CASE WHEN ordinal % 5 = 0 THEN 0 WHEN ordinal % 3 = 0 THEN 1 ELSE 2 END::BIGINT AS n_results, CASE WHEN ordinal % 5 <> 0 THEN venue END AS first_title FROM n""")
 def search_evidence(spark, sf_dir):
