@@ -1,6 +1,6 @@
 """Layout of a page's blocks: clamped rectangles, wrapped and fitted text, badges, and an SVG canvas.
 
-Text is measured by a fixed width a character (CHAR of the font size): images and fonts are not read here. A page's
+Text is measured by the widths of a font file where one is named, else by a fixed width a character (CHAR of the font size). A page's
 blocks are collected; a page is small by nature.
 """
 
@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from handbill.functions.fonts import fit_font
 from handbill.functions.geometry import overlap
 
 # Font sizes, margins and gaps in pixels.
@@ -95,17 +96,25 @@ def escaped(text: Column) -> Column:
     return F.replace(F.replace(F.replace(text, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
 
 
-def laid_out(blocks: DataFrame) -> DataFrame:
-    """blocks(image, place, id, text, x1, y1, x2, y2, width, height) on the page: size and `shown`, the lines that fit, and badge."""
-    boxes = badge_size(clamp_boxes(blocks)).withColumn("fit", fit(F.col("text"), F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")))
+def laid_out(blocks: DataFrame, font: str | None = None) -> DataFrame:
+    """blocks(image, place, id, text, x1, y1, x2, y2, width, height) on the page: size and `shown`, the lines that fit, and badge.
+
+    font: path of a font file by whose widths texts are wrapped and fitted.
+    """
+    wide, high = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
+    if font is None:
+        fit_ = fit(F.col("text"), wide, high)
+    else:
+        fit_ = fit_font(font, (SMALLEST, LARGEST), LINE, GAP)("text", *[F.greatest(F.lit(8), x - 2 * PAD).cast("double") for x in (wide, high)])
+    boxes = badge_size(clamp_boxes(blocks)).withColumn("fit", fit_)
     both = boxes.join(place_badges(boxes), ["image", "id"]).withColumn("size", F.col("fit.size"))
     step = F.col("size") * LINE + GAP
     return both.withColumn("shown", F.filter("fit.lines", lambda line, i: F.col("y1") + PAD + i * step + F.col("size") * LINE <= F.col("y2") - 4)).drop("fit")
 
 
-def canvas(blocks: DataFrame) -> DataFrame:
+def canvas(blocks: DataFrame, font: str | None = None) -> DataFrame:
     """(image, svg) of blocks as laid_out() takes them: outlines, texts as far as they fit, badges on top."""
-    both = laid_out(blocks)
+    both = laid_out(blocks, font)
     size = F.col("size")
     step = size * LINE + GAP
     shown = F.col("shown")

@@ -96,12 +96,12 @@ def draw(page: pd.DataFrame) -> np.ndarray:
     return pixels
 
 
-def pictures(blocks: DataFrame) -> DataFrame:
+def pictures(blocks: DataFrame, font: str | None = None) -> DataFrame:
     """(image, png) of blocks(image, place, id, text, x1, y1, x2, y2, width, height), one task's work a page at a time.
 
     The layout is that of layout.canvas(), worked out in columns; pixels are drawn in the tasks. Pages whose blocks all lack an area give no
     picture, as there.
     """
     image = blocks.schema["image"].dataType.simpleString()
-    rows = laid_out(blocks).select("image", "place", "id", "x1", "y1", "x2", "y2", "width", "height", "size", "shown", "badge")
+    rows = laid_out(blocks, font).select("image", "place", "id", "x1", "y1", "x2", "y2", "width", "height", "size", "shown", "badge")
     return rows.groupBy("image").applyInPandas(lambda page: pd.DataFrame({"image": page["image"][:1], "png": [encode_png(draw(page))]}), f"image {image}, png binary")
