@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -158,11 +159,15 @@ class Forest:
         return p
 
 
-def search(fp: np.ndarray, points: np.ndarray, queries: np.ndarray, within: int, forest: Forest, rng: np.random.Generator, leaf: int = 192) -> None:
+def search(
+    fp: np.ndarray, points: np.ndarray, queries: np.ndarray, within: int, forest: Forest, rng: np.random.Generator, leaf: int = 192,
+    joined: np.ndarray | None = None, alike: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None,
+) -> None:
     """Link every query to every point within the distance: a vantage-point tree, built as the queries go down it.
 
     points and queries index fp. A branch is left out if the triangle bound shows that no query
-    can reach it.
+    can reach it. Where many are within the distance, those that `joined` has in one group already are passed over; of the others
+    `alike`, where given, says which are linked.
     """
     todo = [(points, queries)]
     while todo:
@@ -181,9 +186,16 @@ def search(fp: np.ndarray, points: np.ndarray, queries: np.ndarray, within: int,
         step = max(1, CELLS // len(points))
         for a in range(0, len(queries), step):
             q = queries[a : a + step]
-            i, j = np.nonzero(np.bitwise_count(fp[q][:, None] ^ fp[points][None, :]) <= within)
-            different = q[i] != points[j]
-            forest.add(q[i][different], points[j][different])
+            near = np.bitwise_count(fp[q][:, None] ^ fp[points][None, :]) <= within
+            if joined is not None and np.count_nonzero(near) > near.size >> 6:
+                near &= joined[q][:, None] != joined[points][None, :]
+            i, j = np.nonzero(near)
+            a, b = q[i], points[j]
+            linked = a != b
+            if alike is not None:
+                a, b = a[linked], b[linked]
+                linked = alike(a, b)
+            forest.add(a[linked], b[linked])
 
 
 def shard_links(group: pd.DataFrame, within: int) -> pd.DataFrame:

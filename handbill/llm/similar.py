@@ -1,25 +1,67 @@
-"""Near duplicates by the similarity of their shingle sets: candidates from bands of minima, then an exact check."""
+"""Near duplicates by the similarity of their shingle sets: candidates from vantage-point trees over SimHash fingerprints, then an exact check."""
 
 from __future__ import annotations
 
+from math import acos, ceil, comb, log, pi
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from handbill.llm.common import arrow_map, materialise, prepare, utf8
-from handbill.llm.simhash import Forest, grouped, keep_least
-
-#: A pair of similarity s shares a bucket with probability 1 - (1 - s ** ROWS) ** BANDS: at 0.8 all but 5 in 10^8.
-BANDS, ROWS = 32, 4
-#: Shingles whose minima are taken at once.
-CHUNK = 4096
+from handbill.llm.graph import components
+from handbill.llm.simhash import SAMPLE, Forest, Tree, grouped, keep_least, layout, route, search
+
+#: Bits of a fingerprint, and how many of them may differ for two sets to meet in its tree.
+BITS, WITHIN = 24, 2
+#: Numbers of 64 bits, of other fingerprints, that are compared where two sets meet.
+BESIDE = 3
+#: Probability at most, about, that a pair of the least similarity meets in none of the trees, or is told apart by the numbers beside.
+LOSS = 2e-8
+#: Sets of fewer shingles than SMALL have VOTES hashes of each shingle in the sum, as so few alone would leave ties.
+SMALL, VOTES = 20, 16
+#: Sets in a shard of one tree, about, at most.
+MOST = 1 << 19
+#: Sets of a shard that all are compared with before its tree is gone through.
+PEEL = 16
+#: Shingles whose bits are summed at once.
+CHUNK = 255
 #: Sets that are compared with a bucket before its largest component is chosen.
 HUBS = 4
 #: Sets of a bucket, and their shingles, that are compared in one task; more of them go in blocks.
 CROWD, CROWD_SHINGLES = 4_000, 1 << 22
 
 
+def odds(n: int, p: float, k: int) -> float:
+    """The probability that at most k of n bits differ where each does with probability p."""
+    return sum(comb(n, i) * p**i * (1 - p) ** (n - i) for i in range(k + 1))
+
+
+def trees_for(percent: int) -> tuple[int, int]:
+    """How many fingerprints sets of this similarity need, and how many of the bits beside may differ.
+
+    Vectors of two sets whose Jaccard similarity is s have a cosine of 2 s / (1 + s) or more, so each bit of a fingerprint differs
+    with a probability of acos of that / pi at most, give or take 0.007 for what small sets deviate. Fingerprints are independent: 64
+    of them at 0.8, of which a pair then meets in 15. A multiple of 8, as 8 of them are 3 numbers.
+    """
+    s = percent / 100
+    p = acos(2 * s / (1 + s)) / pi + 0.007
+    trees = ceil(log(LOSS) / log(1 - odds(BITS, p, WITHIN)) / 8) * 8
+    return trees, next(k for k in range(64 * BESIDE + 1) if 1 - odds(64 * BESIDE, p, k) < LOSS / 20)
+
+
+def classes_of(size: int, percent: int) -> list[int]:
+    """The classes of sizes that a set is in: its own, and the next one if a set there could be alike.
+
+    Class k ends before SMALL times its k-th power of two (a higher base for a low percent), so any two sets that are alike have one in common.
+    """
+    k, end, base = 0, SMALL, max(2, 100 / percent)
+    while size >= end:
+        k, end = k + 1, end * base
+    return [k, k + 1] if 100 * size >= percent * end else [k]
+
+
 def shingles(text: bytes, words: int = 5) -> np.ndarray:
     """The sorted distinct XXH64 of the shingles; a text of fewer words is one shingle, no words: none."""
     from xxhash import xxh64_intdigest
@@ -31,41 +73,118 @@ def shingles(text: bytes, words: int = 5) -> np.ndarray:
     return np.unique(np.array([xxh64_intdigest(g, 42) for g in grams], np.uint64))
 
 
-def buckets_of(held: np.ndarray, mix: np.ndarray, times: np.ndarray) -> list[int]:
-    """A bucket for each band: a hash of the band's number and its minima."""
-    from xxhash import xxh64_intdigest
-
-    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max)
+def fingerprints(held: np.ndarray, trees: int) -> bytes:
+    """As many fingerprints of BITS bits, one after another: each bit set if it is in over half of what the shingles hash to for it."""
+    step = np.arange(1, trees * BITS // 64 + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    counts = np.zeros(trees * BITS, np.int64)
     for a in range(0, len(held), CHUNK):
-        least = np.minimum(least, ((held[a : a + CHUNK] ^ mix) * times).min(1))
-    return [xxh64_intdigest(x.tobytes(), i) for i, x in enumerate(least.reshape(BANDS, ROWS))]
+        h = held[a : a + CHUNK, None] + step  # finished as in SplitMix64
+        h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        h ^= h >> np.uint64(31)
+        counts += np.unpackbits(h.view(np.uint8), axis=1).sum(0, dtype=np.uint8)
+    return np.packbits(2 * counts > len(held)).tobytes()
 
 
-def sketches(docs: DataFrame, words: int) -> DataFrame:
-    """docs' doc_id with text_hash, `fp`, a hash of the shingle set (0 if it has none), how many shingles, and its buckets."""
+def sketches(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """docs' doc_id with text_hash, `fp`, a hash of the shingle set (0 if it has none), how many shingles, and its classes.
+
+    `bits` has the fingerprints of the set, `small` those for the class of small sets; each is null where no class takes it.
+    """
     prepare(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
+    trees, _ = trees_for(percent)
 
     def make():
         from xxhash import xxh64_intdigest
 
-        rng = np.random.default_rng(5)
-        mix, times = (rng.integers(0, 2**63, (BANDS * ROWS, 1), np.uint64) * np.uint64(2) + np.uint64(1) for _ in range(2))
+        votes = np.arange(VOTES, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03)
 
         def sketch(batch: pa.RecordBatch) -> pa.RecordBatch:
-            fp, size, buckets = [], [], []
+            fp, size, classes, bits, small = [], [], [], [], []
             for text in utf8(batch.column(1)):
                 held = shingles(text, words)
+                own = classes_of(len(held), percent) if len(held) else []
                 size.append(len(held))
                 fp.append(xxh64_intdigest(held.tobytes()) if len(held) else 0)
-                buckets.append(np.array(buckets_of(held, mix, times) if len(held) else [], np.uint64).view(np.int64))
+                classes.append(own)
+                bits.append(fingerprints(held, trees) if own and own[-1] else None)
+                small.append(fingerprints((held[:, None] + votes).ravel(), trees) if own and not own[0] else None)
             fp = np.array(fp, np.uint64).view(np.int64)
-            return pa.record_batch([batch.column(0), batch.column(2), pa.array(fp), pa.array(size, pa.int64()), pa.array(buckets, pa.list_(pa.int64()))], ["doc_id", "text_hash", "fp", "size", "buckets"])
+            return pa.record_batch(
+                [batch.column(0), batch.column(2), pa.array(fp), pa.array(size, pa.int64()), pa.array(classes, pa.list_(pa.int32())), pa.array(bits, pa.binary()), pa.array(small, pa.binary())],
+                ["doc_id", "text_hash", "fp", "size", "classes", "bits", "small"],
+            )
 
         return sketch
 
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
-    return arrow_map(rows, f"doc_id {kind}, text_hash bigint, fp bigint, size bigint, buckets array<bigint>", make)
+    return arrow_map(rows, f"doc_id {kind}, text_hash bigint, fp bigint, size bigint, classes array<int>, bits binary, small binary", make)
+
+
+def codes(bits: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Sets x trees, each fingerprint a number; the same bits as sets x numbers of 64 bits."""
+    raw = np.frombuffer(b"".join(bits), np.uint8).reshape(len(bits), -1)
+    three = raw.reshape(len(raw), -1, BITS // 8).astype(np.uint32)
+    return three[:, :, 0] | three[:, :, 1] << 8 | three[:, :, 2] << 16, raw.view(np.uint64)
+
+
+def shard_pairs(shard: pa.Table, apart: int) -> pa.Table:
+    """A spanning forest, as (a, b), of the pairs of a shard (fp, code, n0, n1, n2) within the distance that the numbers beside bear out."""
+    shard = shard.sort_by("fp")
+    fp, code = shard["fp"].to_numpy(), shard["code"].to_numpy().astype(np.uint32)
+    beside = np.stack([shard[f"n{k}"].to_numpy() for k in range(BESIDE)], 1).view(np.uint64)
+    forest, rng, all_ = Forest(len(fp)), np.random.default_rng(11), np.arange(len(fp))
+
+    def alike(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return np.bitwise_count(beside[a] ^ beside[b]).sum(1, dtype=np.int64) <= apart
+
+    for hub in rng.integers(len(fp), size=PEEL):  # crowds of near copies are one group before they are looked at in pairs
+        near = np.flatnonzero(alike(all_, hub))
+        forest.add(np.full(len(near), hub), near)
+    search(code, all_, all_, WITHIN, forest, rng, 96, forest.merge().copy(), alike)
+    root = forest.merge()
+    linked = np.flatnonzero(root != all_)
+    return pa.table({"a": fp[linked], "b": fp[root[linked]]})
+
+
+def candidates(nodes: DataFrame, percent: int) -> DataFrame:
+    """(a, b): spanning forests of the pairs of nodes(fp, classes, bits, small) that may be alike.
+
+    Each fingerprint has a vantage-point tree for each class of sizes. Where a class has over MOST sets, the tops of its trees, laid out on
+    one sample of SAMPLE sets for each shard, deal them to shards: two fingerprints within WITHIN meet half way, as in op1.
+    """
+    trees, apart = trees_for(percent)
+    dealt = nodes.select("fp", F.explode("classes").alias("class"), F.when(F.col("class") == 0, F.col("small")).otherwise(F.col("bits")).alias("bits"))
+    tops: dict[int, list[Tree]] = {}
+    for r in dealt.groupBy("class").agg(F.count(F.lit(1)).alias("n")).collect():  # one for each power of two
+        if (shards := -(-r["n"] // MOST)) > 1:
+            h = F.pmod(F.shiftright(F.xxhash64(F.lit(3), "fp"), 11), F.lit(2**53)) / F.lit(float(2**53))
+            chosen = dealt.where((F.col("class") == r["class"]) & (h < min(1.0, shards * SAMPLE / r["n"]))).select("bits").toArrow()["bits"].to_pylist()
+            if chosen:
+                tops[r["class"]] = [layout(x.astype(np.uint64)) for x in np.sort(codes(sorted(chosen))[0].T)]
+
+    def make():
+        def deal(batch: pa.RecordBatch) -> pa.RecordBatch:
+            fp, own = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            code, numbers = codes(batch.column(2).to_pylist())
+            out = []
+            for k in np.unique(own).tolist():
+                rows = np.flatnonzero(own == k)
+                for t in range(trees):
+                    index, leaf = np.arange(len(rows)), np.zeros(len(rows), np.int64)
+                    if k in tops:
+                        index, leaf, point = route(code[rows, t].astype(np.uint64), tops[k][t], WITHIN)
+                        assert point.all()  # of an even distance either half is the same
+                    at, last = rows[index], (BITS // 8 * t + BITS // 8 - 1) // 8
+                    beside = (last + 1 + np.arange(BESIDE)) % numbers.shape[1]
+                    out.append((leaf * (trees * 64) + k * trees + t, fp[at], code[at, t].astype(np.int32), *numbers[at][:, beside].view(np.int64).T))
+            return pa.record_batch([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], ["shard", "fp", "code", "n0", "n1", "n2"])
+
+        return deal
+
+    points = arrow_map(dealt, "shard bigint, fp bigint, code int, n0 bigint, n1 bigint, n2 bigint", make)
+    return points.groupBy("shard").applyInArrow(lambda shard: shard_pairs(shard, apart), "a bigint, b bigint")
 
 
 def sets(texts: DataFrame, words: int) -> DataFrame:
@@ -223,16 +342,18 @@ def crowd_links(crowd: DataFrame, percent: int) -> DataFrame:
 
 
 def links(docs: DataFrame, rows: DataFrame, words: int, percent: int) -> DataFrame:
-    """(a, b): spanning forests of the buckets' pairs that are alike.
+    """(a, b): spanning forests of the pairs that are alike.
 
-    Buckets with the same members count once. Sets are made only for texts that share a bucket, one for each. Buckets of
-    over CROWD sets or CROWD_SHINGLES shingles go in blocks.
+    What candidates link is a bucket, in which sets are compared exactly. They are made only for texts in a bucket, one for
+    each. Buckets of over CROWD sets or CROWD_SHINGLES shingles go in blocks.
     """
-    members = rows.select("fp", "size", "buckets").distinct().select("fp", "size", F.explode("buckets").alias("bucket"))
-    summed = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("total"), F.min("fp").alias("least"), F.bit_xor(F.xxhash64("fp")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "fp")).alias("y"))
-    once = summed.where("n > 1").groupBy("n", "total", "least", "x", "y").agg(F.min("bucket").alias("bucket"))
-    chosen = materialise(members.drop("size").join(once.select("bucket", "n", "total"), "bucket"), "buckets")
-    wanted = rows.groupBy("fp").agg(F.min("text_hash").alias("text_hash")).join(chosen.select("fp").distinct(), "fp")
+    nodes = materialise(rows.where("size > 0").select("fp", "size", "classes", "bits", "small").dropDuplicates(["fp"]), "nodes")
+    found = components(candidates(nodes.drop("size"), percent))
+    roots = found.select(F.col("root").alias("fp"), F.col("root").alias("bucket")).distinct()
+    members = found.select(F.col("node").alias("fp"), F.col("root").alias("bucket")).unionByName(roots).join(nodes.select("fp", "size"), "fp")
+    summed = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("total"))
+    chosen = materialise(members.drop("size").join(summed, "bucket"), "buckets")
+    wanted = rows.groupBy("fp").agg(F.min("text_hash").alias("text_hash")).join(chosen.select("fp"), "fp")
     texts = docs.select("text", F.xxhash64("text").alias("text_hash")).join(wanted, "text_hash").dropDuplicates(["fp"])
 
     def verify(bucket: pa.Table) -> pa.Table:
@@ -243,24 +364,24 @@ def links(docs: DataFrame, rows: DataFrame, words: int, percent: int) -> DataFra
     many = (F.col("n") > CROWD) | (F.col("total") > CROWD_SHINGLES)
     crowded = not chosen.where(many).isEmpty()
     whole = materialise(whole, "whole") if crowded else whole
-    found = whole.where(~many).groupBy("bucket").applyInArrow(verify, "a bigint, b bigint")
+    close = whole.where(~many).groupBy("bucket").applyInArrow(verify, "a bigint, b bigint")
     if not crowded:
-        return found
-    return found.unionByName(crowd_links(whole.where(many), percent))
+        return close
+    return close.unionByName(crowd_links(whole.where(many), percent))
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, text_hash, fp, component_id for every document; component_id is the smallest doc_id reachable by links.
 
     Documents are linked if the Jaccard similarity of their sets of shingles of that many words is percent / 100 or
-    more. Equal sets are one node; texts without words (null, empty, blank) are one too, and are linked to no other; a
+    more (a pair is missed with a probability of about LOSS at most). Equal sets are one node; texts without words (null, empty, blank) are one too, and are linked to no other; a
     text of fewer words than a shingle is one shingle. Null doc_ids count for component_id only if a component has
     no other, which is then null. Rows that repeat give rows that repeat. An empty table gives an empty table; other
     columns are not read.
     """
-    rows = materialise(sketches(docs, words), "sketches")
+    rows = materialise(sketches(docs, words, percent), "sketches")
     nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    return grouped(rows.drop("buckets", "size"), nodes, links(docs, rows, words, percent))
+    return grouped(rows.drop("size", "classes", "bits", "small"), nodes, links(docs, rows, words, percent))
 
 
 def deduplicate(docs: DataFrame, **options) -> DataFrame:
