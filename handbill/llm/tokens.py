@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 
 from handbill.llm.common import arrow_map, prepare
 
-#: Two white-space characters in a row, or a comma or full stop after anything but a letter or digit.
-RUNS = re.compile(r"\s\s|[\W_][,.]")
+#: Two white-space characters in a row, or a comma or full stop after anything but a letter or digit: looked for from white space,
+#: commas and full stops, to which the search skips.
+RUNS = re.compile(r"[\s,.](?:(?<=\s)\s|(?<=[\W_][,.]))")
 #: Safe boundaries: before a single space or line feed between two other characters.
 CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
 #: What opens a part without a space before it.
@@ -70,12 +71,16 @@ class Encoder:
             self.held, fresh = 0, parts
         self.held += more
         self.fresh += more - 100 * len(fresh)
-        chained, alone = [], []
-        for x in sorted(fresh):
-            (chained if CHAINED.fullmatch(y := opening(x)) else alone).append((x, y))
-        for own, together in ((chained, self.together), (alone, self.one_by_one)):
-            for group in by_size(own, CHAIN_CHARS, lambda x: len(x[1])):
-                known.update(zip([x for x, _ in group], together([y for _, y in group]), strict=True))
+        new = list(fresh)
+        opened = list(map(opening, new))
+        fits = list(map(CHAINED.fullmatch, opened))
+        for chained, together in ((True, self.together), (False, self.one_by_one)):
+            own, parts = ([x for x, fit in zip(of, fits, strict=True) if (fit is not None) is chained] for of in (new, opened))
+            ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts))) // CHAIN_CHARS
+            edges = [0, *(np.flatnonzero(np.diff(ends)) + 1).tolist(), len(parts)]
+            for a, b in zip(edges, edges[1:], strict=False):
+                if a < b:
+                    known.update(zip(own[a:b], together(parts[a:b]), strict=True))
 
     def one_by_one(self, parts: list[str]) -> list[bytes]:
         return [np.asarray(x.ids, dtype="<u4").tobytes() for x in self.library.encode_batch_fast(parts, add_special_tokens=False)]
