@@ -112,21 +112,36 @@ def ranks(rows: DataFrame, key: str) -> DataFrame:
     )
 
 
-def arrow_map(df: DataFrame, schema: str | StructType, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | None]]) -> DataFrame:
-    """mapInArrow with a function made once for each task, which turns one batch into one batch."""
+def arrow_map(df: DataFrame, schema: str | StructType, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | None]], least_bytes: int = 0) -> DataFrame:
+    """mapInArrow with a function made once for each task, which turns one batch into one batch.
+
+    Batches of fewer than least_bytes go to it together with the next ones.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         each = None
-        for batch in batches:
-            if batch.num_rows:
-                each = each or make()
-                out = each(batch)
-                if out is not None and out.num_rows:
-                    yield out
+        for batch in gathered(batches, least_bytes):
+            each = each or make()
+            out = each(batch)
+            if out is not None and out.num_rows:
+                yield out
 
     return df.mapInArrow(run, schema)
 
 
+def gathered(batches: Iterator[pa.RecordBatch], least_bytes: int) -> Iterator[pa.RecordBatch]:
+    """The rows of batches in batches of least_bytes or more, but for the last; none is empty."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            if sum(x.nbytes for x in held) >= least_bytes:
+                yield held[0] if len(held) == 1 else pa.concat_batches(held)
+                held = []
+    if held:
+        yield held[0] if len(held) == 1 else pa.concat_batches(held)
+
+
 def utf8(column: pa.Array) -> list[bytes]:
     """The UTF-8 bytes of a string column, null as empty."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]

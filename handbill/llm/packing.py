@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from handbill.llm.common import arrow_map, numbered, prepare, ranks
-from handbill.llm.tokens import byte_bpe_path, encoder_of
+from handbill.llm.tokens import GROUP_BYTES, byte_bpe_path, encoder_of
 
 #: Share of the pieces that the program's patterns place, at least; best-fit has the rest.
 PLACED = 0.9
@@ -213,7 +213,7 @@ def pieces(docs: DataFrame, path: str, capacity: int, end: int) -> DataFrame:
         return cut
 
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return arrow_map(rows, f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint", make)
+    return arrow_map(rows, f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint", make, GROUP_BYTES // 2)
 
 
 def pack(docs: DataFrame, path: str | None = None, capacity: int = 1024, end: int = 2) -> DataFrame:
