@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from array import array
 from collections import Counter
 from dataclasses import dataclass
 from itertools import chain as chain_lists
@@ -24,6 +25,8 @@ PLAIN_TEXT = bytes(10 if i in STOPS else i if i >= 128 or chr(i).isalpha() else
 BLOCK = 64
 #: The most labelled documents that are fitted, about.
 SAMPLE = 2_500
+#: Tokens of a lot that is worked on at once.
+CELLS = 1 << 17
 #: Distinct tokens whose features a worker keeps.
 KEPT = 300_000
 
@@ -42,39 +45,59 @@ def features(token: bytes) -> list[bytes]:
     return out
 
 
-class Known(dict):
-    """Features by token, worked out when a token is first seen."""
-
-    def __missing__(self, token: bytes) -> list[bytes]:
-        out = self[token] = features(token)
-        return out
+class Coded:
+    """Texts as numbers: their distinct words in lower case, the words of each text, the lengths of its sentences.
 
+    Words are held once and named by 4 bytes wherever they stand, their features likewise.
+    """
 
-def suspicious(docs: list[list[bytes]], toxic: np.ndarray, known: Known, least: int = 6, purity: float = 0.93) -> set[bytes]:
-    """Features that mark a token of a toxic document as toxic.
+    def __init__(self, texts: list[bytes]):
+        place: dict[bytes, int] = {}
+        self.docs: list[np.ndarray] = []
+        self.sizes: list[np.ndarray] = []
+        for text in texts:
+            found = sequences_of(text.decode("utf-8", "replace"))
+            self.docs.append(np.fromiter((place.setdefault(lowered(w), len(place)) for s in found for w in s), np.int32, sum(map(len, found))))
+            self.sizes.append(np.array([len(s) for s in found], np.int32))
+        names: dict[bytes, int] = {}
+        feature, count = array("i"), array("i")
+        for w in place:
+            own = features(w)
+            feature.extend(names.setdefault(f, len(names)) for f in own)
+            count.append(len(own))
+        self.n_words, self.names = len(place), list(names)
+        #: the features of all words, those of one after those of another, and where each word's begin
+        self.feature, self.count = np.array(feature, np.int32), np.array(count, np.int64)
+        self.first = np.cumsum(self.count) - self.count
+
+    def features_of(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The features of words, one word's after another's, and how many each has."""
+        n = self.count[words]
+        return self.feature[np.repeat(self.first[words] - np.cumsum(n) + n, n) + np.arange(n.sum())], n
+
+
+def suspicious(coded: Coded, toxic: np.ndarray, least: int = 6, purity: float = 0.93) -> np.ndarray:
+    """Which features mark a token of a toxic document as toxic.
 
     Labels are given for documents; this is how tokens get theirs. A feature marks if `purity` of its documents are
     toxic, and if it follows `least` different words there: copies of one toxic document repeat its words
     after the same ones.
     """
-    bad, after = Counter(), set()
-    for tokens, y in zip(docs, toxic, strict=True):
-        if y:
-            bad.update({f for t in set(tokens) for f in known[t]})
-            after.update((before, f) for before, t in set(zip([b"", *tokens], tokens, strict=False)) for f in known[t])
-    varied = Counter(f for _, f in after)
-    likely = {f for f, n in varied.items() if n >= least}
-    of_token: dict[bytes, list[bytes]] = {}
-    good = Counter()
-    for tokens, y in zip(docs, toxic, strict=True):
-        if not y:
-            own: set[bytes] = set()
-            for t in set(tokens):
-                if (fs := of_token.get(t)) is None:
-                    fs = of_token[t] = [f for f in known[t] if f in likely]
-                own.update(fs)
-            good.update(own)
-    return {f for f in likely if bad[f] >= purity * (bad[f] + good[f])}
+    with_it = np.zeros((2, len(coded.names)), np.int64)
+    varied = np.zeros(len(coded.names), np.int64)
+    pairs = [np.zeros(0, np.int64)]  # each word of a toxic document with the one before it, from 1, or 0
+    for words, y in zip(coded.docs, toxic.tolist(), strict=True):
+        with_it[y, np.unique(coded.features_of(np.unique(words))[0])] += 1
+        if y and len(words):
+            pairs.append(np.unique(np.append(0, words[:-1].astype(np.int64) + 1) * coded.n_words + words))
+    pair, a = np.unique(np.concatenate(pairs)), 0
+    while a < len(pair):  # all pairs of one word before are in one lot
+        last = pair[min(a + CELLS, len(pair)) - 1] // coded.n_words
+        lot = pair[a : (a := int(np.searchsorted(pair, (last + 1) * coded.n_words)))]
+        found, n = coded.features_of(lot % coded.n_words)
+        varied += np.bincount(np.unique(np.repeat(lot // coded.n_words, n) * len(varied) + found) % len(varied), minlength=len(varied))
+    good, bad = with_it
+    return (varied >= least) & (bad >= purity * (bad + good))
 
 
 def forward_backward(emission: np.ndarray, step: np.ndarray, length: np.ndarray, weigh: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -128,7 +151,12 @@ class Tagger:
         size = np.array([len(s) for d in docs for s in d], np.int64)
         total = int(size.sum())
         flat = np.fromiter(map(emissions.__getitem__, chain_lists.from_iterable(chain_lists.from_iterable(docs))), float, total)
-        first, out = np.cumsum(size) - size, np.zeros(total)
+        ends = np.concatenate([[0], np.cumsum(size)])
+        return self.chains(flat, size), ends[np.cumsum([0, *map(len, docs)])]
+
+    def chains(self, flat: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """P(tag 1) of every token from the emissions of sequences that stand one after the other."""
+        first, out = np.cumsum(size) - size, np.zeros(len(flat))
         for own, most in buckets(size):
             inside = np.arange(most) < size[own][:, None]
             at = first[own][:, None] + np.minimum(np.arange(most), size[own][:, None] - 1)
@@ -136,8 +164,7 @@ class Tagger:
         if len(own := np.flatnonzero(size > BLOCK)):
             at = np.repeat(first[own] - np.cumsum(size[own]) + size[own], size[own]) + np.arange(size[own].sum())
             out[at] = long_chains(flat[at], self.step, size[own])
-        ends = np.concatenate([[0], np.cumsum(size)])
-        return out, ends[np.cumsum([0, *map(len, docs)])]
+        return out
 
     def scores(self, p: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         """The score of each document from the marginals of all its tokens: calibrated evidence."""
@@ -145,12 +172,12 @@ class Tagger:
         return 1 / (1 + np.exp(-np.clip(a + b * evidence(p, bounds), -30, 30)))
 
 
-def buckets(size: np.ndarray, most: int = 16_384) -> list[tuple[np.ndarray, int]]:
+def buckets(size: np.ndarray) -> list[tuple[np.ndarray, int]]:
     """Sequences of up to BLOCK tokens, of like length, the longest of each lot, in lots that bound the memory."""
     out = []
     for lo, hi in ((0, 4), (4, 8), (8, 12), (12, 16), (16, 24), (24, 32), (32, BLOCK)):
         own = np.flatnonzero((size > lo) & (size <= hi))
-        out += [(x := own[a : a + most], int(size[x].max())) for a in range(0, len(own), most)]
+        out += [(x := own[a : a + CELLS // hi], int(size[x].max())) for a in range(0, len(own), CELLS // hi)]
     return out
 
 
@@ -213,64 +240,68 @@ def fit(texts: list[bytes], toxic: np.ndarray, rounds: int = 40, decay: float =
 
     Without labels of both kinds there is nothing to tag: every score is then 0.5 (no labels) or near the only one.
     """
-    docs = [[[lowered(w) for w in s] for s in sequences_of(t.decode("utf-8", "replace"))] for t in texts]
-    flat = [[w for s in d for w in s] for d in docs]
-    known = Known()
-    marks = suspicious(flat, toxic, known)
-    # every sequence, equal ones once and weighed
-    marked: dict[bytes, int] = {w: int(not marks.isdisjoint(known[w])) for d, y in zip(flat, toxic, strict=True) if y for w in set(d)}
+    coded = Coded(texts)
+    marks = suspicious(coded, toxic)
+    own = np.repeat(np.arange(coded.n_words), coded.count)
+    marked = np.bincount(own, marks[coded.feature], coded.n_words) > 0
+    # every sequence, equal ones once and weighed: 4 bytes for each word, then one for each tag
     tagged: Counter = Counter()
-    for d, y in zip(docs, toxic, strict=True):
-        for s in d:
-            for a in range(0, len(s), BLOCK):
-                piece = tuple(s[a : a + BLOCK])
-                tagged[piece, tuple(marked[w] for w in piece) if y else (0,) * len(piece)] += 1
-    chosen, labels, weigh = [s for s, _ in tagged], [t for _, t in tagged], list(tagged.values())
+    for words, sizes, y in zip(coded.docs, coded.sizes, toxic, strict=True):
+        tags, end = marked[words] & bool(y), 0
+        for n in sizes.tolist():
+            start, end = end, end + n
+            for a in range(start, end, BLOCK):
+                b = min(a + BLOCK, end)
+                tagged[words[a:b].tobytes() + tags[a:b].tobytes()] += 1
     tagger = Tagger({}, -6.0, np.zeros((2, 2)))
     n_toxic = int(toxic.sum())
-    if not len(toxic) or n_toxic in (0, len(toxic)) or not chosen:
+    if not len(toxic) or n_toxic in (0, len(toxic)) or not tagged:
         tagger.calibration = (0.0 if not len(toxic) else 4.0 if n_toxic else -4.0, 0.0)
         return tagger
-    size = np.array([len(s) for s in chosen])
+    size, weigh = np.array([len(x) // 5 for x in tagged]), np.array(list(tagged.values()), float)
     first = np.cumsum(size) - size
-    words = [w for s in chosen for w in s]
-    count: Counter = Counter()
-    for w, n in Counter(words).items():
-        for f in known[w]:
-            count[f] += n
-    number = {f: i for i, f in enumerate(sorted(f for f, n in count.items() if n >= 3))}
-    place = {w: i for i, w in enumerate(dict.fromkeys(words))}
-    word = np.fromiter(map(place.__getitem__, words), np.int64, len(words))
-    held = [[number[f] for f in known[w] if f in number] for w in place]
-    owner, feature = np.repeat(np.arange(len(held)), list(map(len, held))), np.array([i for x in held for i in x], np.int64)
-    tags = np.concatenate(labels).astype(float)
-    weigh = np.array(weigh, float)
-    of_word = np.repeat(weigh, size)
-    inner = np.ones(len(words), bool)
-    inner[first] = False
-    inner = np.flatnonzero(inner)  # tokens with one before them in their sequence
-    pairs_seen = np.bincount((2 * tags[inner - 1] + tags[inner]).astype(int), of_word[inner], 4).reshape(2, 2)
-    theta = [np.zeros(len(number)), np.array([-4.0]), np.zeros((2, 2))]
-    m, v = [np.zeros_like(x) for x in theta], [np.zeros_like(x) for x in theta]
+    word = np.frombuffer(b"".join(x[: len(x) // 5 * 4] for x in tagged), np.int32)
+    tags = np.frombuffer(b"".join(x[len(x) // 5 * 4 :] for x in tagged), np.int8)
+    del tagged
+    count = np.bincount(coded.feature, np.bincount(word, minlength=coded.n_words)[own], len(coded.names))
+    frequent = sorted(np.flatnonzero(count >= 3).tolist(), key=coded.names.__getitem__)
+    number = np.full(len(coded.names), -1)
+    number[frequent] = np.arange(len(frequent))
+    held = number[coded.feature] >= 0
+    owner, feature = own[held], number[coded.feature[held]]
     lots = buckets(size)
+
+    def padded(rows: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+        """Where the tokens of a lot are, and which of these are no padding."""
+        return first[rows][:, None] + np.minimum(np.arange(most), size[rows][:, None] - 1), np.arange(most) < size[rows][:, None]
+
+    pairs_seen = np.zeros(4)
+    for rows, most in lots:
+        at, inside = padded(rows, most)
+        pairs_seen += np.bincount((2 * tags[at[:, :-1]] + tags[at[:, 1:]])[inside[:, 1:]], np.repeat(weigh[rows], size[rows] - 1), 4)
+    pairs_seen = pairs_seen.reshape(2, 2)
+    theta = [np.zeros(len(frequent)), np.array([-4.0]), np.zeros((2, 2))]
+    m, v = [np.zeros_like(x) for x in theta], [np.zeros_like(x) for x in theta]
+    scale = 1 / weigh.sum()
     for t in range(1, rounds + 1):
-        emission = (theta[1] + np.bincount(owner, theta[0][feature], len(held)))[word]
-        p, pairs = np.zeros(len(words)), np.zeros((2, 2))
+        emission = theta[1] + np.bincount(owner, theta[0][feature], coded.n_words)
+        off, pairs = np.zeros(coded.n_words), np.zeros((2, 2))
         for rows, most in lots:
-            at = first[rows][:, None] + np.minimum(np.arange(most), size[rows][:, None] - 1)
-            q, joint = forward_backward(emission[at], theta[2], size[rows], weigh[rows])
-            inside = np.arange(most) < size[rows][:, None]
-            p[at[inside]] = q[inside]
+            at, inside = padded(rows, most)
+            q, joint = forward_backward(emission[word[at]], theta[2], size[rows], weigh[rows])
+            off += np.bincount(word[at[inside]], ((q - tags[at]) * weigh[rows][:, None])[inside], coded.n_words)
             pairs += joint
-        scale, off = 1 / weigh.sum(), (p - tags) * of_word
-        grads = [np.bincount(feature, np.bincount(word, off, len(held))[owner], len(number)) * scale + decay * theta[0], np.array([off.sum() * scale]), (pairs - pairs_seen) * scale + decay * theta[2]]
+        grads = [np.bincount(feature, off[owner], len(frequent)) * scale + decay * theta[0], np.array([off.sum() * scale]), (pairs - pairs_seen) * scale + decay * theta[2]]
         for x, g, mm, vv in zip(theta, grads, m, v, strict=True):
             mm += 0.1 * (g - mm)
             vv += 0.001 * (g * g - vv)
             x -= 0.25 * (mm / (1 - 0.9**t)) / (np.sqrt(vv / (1 - 0.999**t)) + 1e-8)
-    tagger.weights = {f: float(theta[0][i]) for f, i in number.items() if abs(theta[0][i]) > 1e-3}
+    theta[0][np.abs(theta[0]) <= 1e-3] = 0
+    tagger.weights = {coded.names[f]: float(x) for f, x in zip(frequent, theta[0].tolist(), strict=True) if x}
     tagger.bias, tagger.step = float(theta[1][0]), theta[2]
-    tagger.calibration = logistic(evidence(*tagger.marginals(docs, Emissions(tagger.weights, tagger.bias))), toxic)
+    emission = tagger.bias + np.bincount(owner, theta[0][feature], coded.n_words)
+    found = [evidence(tagger.chains(emission[x], n), np.array([0, len(x)])) for x, n in zip(coded.docs, coded.sizes, strict=True)]
+    tagger.calibration = logistic(np.concatenate(found), toxic)
     return tagger
 
 
