@@ -28,7 +28,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that pairs of similarity 0.8 or more, by shingles of five words, link.
 
-    Candidates come from vantage-point trees over SimHash fingerprints, as many as that similarity needs; the check is exact.
+    Candidates come from SimHash fingerprints, as many as that similarity needs, dealt by vantage-point trees; the check is exact.
     """
     return similar.deduplicate(docs).select(*COLUMNS)
 

@@ -1,7 +1,9 @@
-"""Near duplicates by the similarity of their shingle sets: candidates from vantage-point trees over SimHash fingerprints, then an exact check."""
+"""Near duplicates by the similarity of their shingle sets: candidates from SimHash fingerprints that meet half way, dealt by vantage-point trees, then an exact check."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from itertools import chain
 from math import acos, ceil, comb, log, pi
 
 import numpy as np
@@ -11,7 +13,7 @@ from pyspark.sql import functions as F
 
 from handbill.llm.common import arrow_map, materialise, prepare, utf8
 from handbill.llm.graph import components
-from handbill.llm.simhash import SAMPLE, Forest, Tree, grouped, keep_least, layout, route, search
+from handbill.llm.simhash import SAMPLE, Forest, Tree, grouped, keep_least, layout, route
 
 #: Bits of a fingerprint, and how many of them may differ for two sets to meet in its tree.
 BITS, WITHIN = 24, 2
@@ -19,12 +21,16 @@ BITS, WITHIN = 24, 2
 BESIDE = 3
 #: Probability at most, about, that a pair of the least similarity meets in none of the trees, or is told apart by the numbers beside.
 LOSS = 2e-8
+#: Least shingles of a set that are looked for in other sets, before it gets fingerprints.
+LEAST = 24
 #: Sets of fewer shingles than SMALL have VOTES hashes of each shingle in the sum, as so few alone would leave ties.
 SMALL, VOTES = 20, 16
 #: Sets in a shard of one tree, about, at most.
 MOST = 1 << 19
-#: Sets of a shard that all are compared with before its tree is gone through.
+#: Sets of a shard that all are compared with before its fingerprints are.
 PEEL = 16
+#: Fingerprints that meet half way at once, about; more of them go in parts by their first bits.
+MEET = 1 << 17
 #: Shingles whose bits are summed at once.
 CHUNK = 255
 #: Sets that are compared with a bucket before its largest component is chosen.
@@ -51,6 +57,16 @@ def trees_for(percent: int) -> tuple[int, int]:
     return trees, next(k for k in range(64 * BESIDE + 1) if 1 - odds(64 * BESIDE, p, k) < LOSS / 20)
 
 
+def shared_least(percent: int) -> int:
+    """How many of its LEAST least shingles a set of that many or more has in common with one that it is alike, at least.
+
+    Of the least shingles of both together, those that both have are among the least of either; their number is
+    hypergeometric, so below this one with a probability of LOSS / 20 at most.
+    """
+    s = percent / 100
+    return next(k for k in range(LEAST, -1, -1) if k == 0 or 1 - odds(LEAST, 1 - s, LEAST - k) < LOSS / 20)
+
+
 def classes_of(size: int, percent: int) -> list[int]:
     """The classes of sizes that a set is in: its own, and the next one if a set there could be alike.
 
@@ -86,40 +102,67 @@ def fingerprints(held: np.ndarray, trees: int) -> bytes:
     return np.packbits(2 * counts > len(held)).tobytes()
 
 
-def sketches(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """docs' doc_id with text_hash, `fp`, a hash of the shingle set (0 if it has none), how many shingles, and its classes.
-
-    `bits` has the fingerprints of the set, `small` those for the class of small sets; each is null where no class takes it.
-    """
+def sketches(docs: DataFrame, words: int) -> DataFrame:
+    """docs' doc_id with text_hash, `fp`, a hash of the shingle set (0 if it has none), how many shingles, and the LEAST least of them."""
     prepare(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    trees, _ = trees_for(percent)
 
     def make():
         from xxhash import xxh64_intdigest
 
-        votes = np.arange(VOTES, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03)
-
         def sketch(batch: pa.RecordBatch) -> pa.RecordBatch:
-            fp, size, classes, bits, small = [], [], [], [], []
+            fp, size, least = [], [], []
             for text in utf8(batch.column(1)):
                 held = shingles(text, words)
-                own = classes_of(len(held), percent) if len(held) else []
                 size.append(len(held))
                 fp.append(xxh64_intdigest(held.tobytes()) if len(held) else 0)
-                classes.append(own)
-                bits.append(fingerprints(held, trees) if own and own[-1] else None)
-                small.append(fingerprints((held[:, None] + votes).ravel(), trees) if own and not own[0] else None)
+                least.append(held[:LEAST].view(np.int64))
             fp = np.array(fp, np.uint64).view(np.int64)
-            return pa.record_batch(
-                [batch.column(0), batch.column(2), pa.array(fp), pa.array(size, pa.int64()), pa.array(classes, pa.list_(pa.int32())), pa.array(bits, pa.binary()), pa.array(small, pa.binary())],
-                ["doc_id", "text_hash", "fp", "size", "classes", "bits", "small"],
-            )
+            return pa.record_batch([batch.column(0), batch.column(2), pa.array(fp), pa.array(size, pa.int64()), pa.array(least, pa.list_(pa.int64()))], ["doc_id", "text_hash", "fp", "size", "least"])
 
         return sketch
 
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
-    return arrow_map(rows, f"doc_id {kind}, text_hash bigint, fp bigint, size bigint, classes array<int>, bits binary, small binary", make)
+    return arrow_map(rows, f"doc_id {kind}, text_hash bigint, fp bigint, size bigint, least array<bigint>", make)
+
+
+def suspects(nodes: DataFrame, percent: int) -> DataFrame:
+    """fp, text_hash and size of nodes(fp, text_hash, size, least) that may be alike another: enough of their least shingles are in other sets too.
+
+    Two alike sets of up to LEAST shingles have all that they share among these; of larger ones shared_least() says how many.
+    """
+    enough, rest = shared_least(percent), nodes.drop("least")
+    if not enough:
+        return rest
+    parts = nodes.select("fp", F.explode("least").alias("shingle"))
+    shared = parts.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("shingle")
+    found = parts.join(shared, "shingle").groupBy("fp").agg(F.count(F.lit(1)).alias("shared"))
+    return rest.join(found, "fp").where(F.col("shared") >= F.least(F.ceil(F.col("size") * percent / 100), F.lit(enough))).drop("shared")
+
+
+def marks(texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """fp of texts(fp, text) with its classes and fingerprints.
+
+    `bits` has the fingerprints of the set, `small` those for the class of small sets; each is null where no class takes it.
+    """
+    trees, _ = trees_for(percent)
+
+    def make():
+        votes = np.arange(VOTES, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03)
+
+        def mark(batch: pa.RecordBatch) -> pa.RecordBatch:
+            classes, bits, small = [], [], []
+            for text in utf8(batch.column(1)):
+                held = shingles(text, words)
+                own = classes_of(len(held), percent)
+                classes.append(own)
+                bits.append(fingerprints(held, trees) if own[-1] else None)
+                small.append(fingerprints((held[:, None] + votes).ravel(), trees) if not own[0] else None)
+            return pa.record_batch([batch.column(0), pa.array(classes, pa.list_(pa.int32())), pa.array(bits, pa.binary()), pa.array(small, pa.binary())], ["fp", "classes", "bits", "small"])
+
+        return mark
+
+    return arrow_map(texts.select("fp", "text"), "fp bigint, classes array<int>, bits binary, small binary", make)
 
 
 def codes(bits: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -129,6 +172,59 @@ def codes(bits: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return three[:, :, 0] | three[:, :, 1] << 8 | three[:, :, 2] << 16, raw.view(np.uint64)
 
 
+def expand(start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The numbers of ranges of n from each start, one range after another."""
+    return np.repeat(start - np.cumsum(n) + n, n) + np.arange(n.sum())
+
+
+def crossed(a: np.ndarray, na: np.ndarray, b: np.ndarray, nb: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All of a range of na from each a with all of the range of nb from its b, some at once."""
+    for lo, hi in spans(na):
+        left, right, n = expand(a[lo:hi], na[lo:hi]), np.repeat(b[lo:hi], na[lo:hi]), np.repeat(nb[lo:hi], na[lo:hi])
+        for i, j in spans(n):
+            yield np.repeat(left[i:j], n[i:j]), expand(right[i:j], n[i:j])
+
+
+def half_way(code: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Each pair of distinct codes within WITHIN (2) once: two such codes are both within 1 of a code, so they meet there.
+
+    Every code goes to BITS + 1 others, which are sorted; work grows with codes times BITS and with the pairs, not with codes compared.
+    """
+    flips, shift = np.concatenate([[0], 1 << np.arange(BITS)]).astype(np.uint32), BITS - 3
+    whole = len(code) <= MEET
+    for top in range(1 if whole else 8):
+        own = np.arange(len(code)) if whole else np.flatnonzero(np.bitwise_count(code >> shift ^ np.uint32(top)) <= 1)
+        key = (code[own] ^ flips[:, None]).astype(np.uint64) << np.uint64(32) | own.astype(np.uint64)
+        key = key.ravel() if whole else key[key >> np.uint64(32 + shift) == top]
+        key.sort()
+        middle, index = (key >> np.uint64(32)).astype(np.uint32), (key & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        at, lag = np.arange(len(key)), 0
+        while len(at):  # at most BITS + 1 codes are at one middle
+            lag += 1
+            at = at[at + lag < len(key)]
+            at = at[middle[at + lag] == middle[at]]
+            a, b = index[at], index[at + lag]
+            once = middle[at] < (code[a] ^ code[b] ^ middle[at])  # the other middle of the pair
+            yield a[once], b[once]
+
+
+def meetings(code: np.ndarray, group: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The pairs (i, j), some at once, whose codes are within WITHIN of each other and whose groups differ."""
+    order = np.lexsort((group, code))
+    code, group = code[order], group[order]
+    fresh_code = np.concatenate([[True], code[1:] != code[:-1]])
+    unit = np.flatnonzero(fresh_code | np.concatenate([[True], group[1:] != group[:-1]]))  # sets of one code and group
+    n = np.diff(unit, append=len(code))
+    first = np.flatnonzero(fresh_code[unit])
+    units = np.diff(first, append=len(unit))
+    mixed = np.flatnonzero(units > 1)
+    for a, b in chain([(mixed, mixed)], half_way(code[unit[first]])):
+        for u, v in crossed(first[a], units[a], first[b], units[b]):
+            apart = (group[unit[u]] != group[unit[v]]) & ((u < v) | (code[unit[u]] != code[unit[v]]))
+            for i, j in crossed(unit[u[apart]], n[u[apart]], unit[v[apart]], n[v[apart]]):
+                yield order[i], order[j]
+
+
 def shard_pairs(shard: pa.Table, apart: int) -> pa.Table:
     """A spanning forest, as (a, b), of the pairs of a shard (fp, code, n0, n1, n2) within the distance that the numbers beside bear out."""
     shard = shard.sort_by("fp")
@@ -142,7 +238,9 @@ def shard_pairs(shard: pa.Table, apart: int) -> pa.Table:
     for hub in rng.integers(len(fp), size=PEEL):  # crowds of near copies are one group before they are looked at in pairs
         near = np.flatnonzero(alike(all_, hub))
         forest.add(np.full(len(near), hub), near)
-    search(code, all_, all_, WITHIN, forest, rng, 96, forest.merge().copy(), alike)
+    for a, b in meetings(code, forest.merge().copy()):
+        linked = alike(a, b)
+        forest.add(a[linked], b[linked])
     root = forest.merge()
     linked = np.flatnonzero(root != all_)
     return pa.table({"a": fp[linked], "b": fp[root[linked]]})
@@ -151,8 +249,8 @@ def shard_pairs(shard: pa.Table, apart: int) -> pa.Table:
 def candidates(nodes: DataFrame, percent: int) -> DataFrame:
     """(a, b): spanning forests of the pairs of nodes(fp, classes, bits, small) that may be alike.
 
-    Each fingerprint has a vantage-point tree for each class of sizes. Where a class has over MOST sets, the tops of its trees, laid out on
-    one sample of SAMPLE sets for each shard, deal them to shards: two fingerprints within WITHIN meet half way, as in op1.
+    Sets of a class are held against each other by each fingerprint. Where a class has over MOST sets, the tops of vantage-point trees, laid out
+    on one sample of SAMPLE sets for each shard, deal them to shards: two fingerprints within WITHIN meet half way, as in op1. So they do in a shard.
     """
     trees, apart = trees_for(percent)
     dealt = nodes.select("fp", F.explode("classes").alias("class"), F.when(F.col("class") == 0, F.col("small")).otherwise(F.col("bits")).alias("bits"))
@@ -344,23 +442,24 @@ def crowd_links(crowd: DataFrame, percent: int) -> DataFrame:
 def links(docs: DataFrame, rows: DataFrame, words: int, percent: int) -> DataFrame:
     """(a, b): spanning forests of the pairs that are alike.
 
-    What candidates link is a bucket, in which sets are compared exactly. They are made only for texts in a bucket, one for
-    each. Buckets of over CROWD sets or CROWD_SHINGLES shingles go in blocks.
+    Only suspects get fingerprints. What candidates link is a bucket, in which sets are compared exactly. They are made only for texts
+    in a bucket, one for each. Buckets of over CROWD sets or CROWD_SHINGLES shingles go in blocks.
     """
-    nodes = materialise(rows.where("size > 0").select("fp", "size", "classes", "bits", "small").dropDuplicates(["fp"]), "nodes")
-    found = components(candidates(nodes.drop("size"), percent))
+    own = rows.where("size > 0").groupBy("fp").agg(F.min("text_hash").alias("text_hash"), F.first("size").alias("size"), F.first("least").alias("least"))
+    wanted = suspects(materialise(own, "nodes"), percent)
+    texts = docs.select("text", F.xxhash64("text").alias("text_hash")).join(wanted, "text_hash").dropDuplicates(["fp"])
+    texts = materialise(texts.select("fp", "size", "text"), "texts")
+    found = components(candidates(materialise(marks(texts, words, percent), "marks"), percent))
     roots = found.select(F.col("root").alias("fp"), F.col("root").alias("bucket")).distinct()
-    members = found.select(F.col("node").alias("fp"), F.col("root").alias("bucket")).unionByName(roots).join(nodes.select("fp", "size"), "fp")
+    members = found.select(F.col("node").alias("fp"), F.col("root").alias("bucket")).unionByName(roots).join(texts.select("fp", "size"), "fp")
     summed = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("total"))
     chosen = materialise(members.drop("size").join(summed, "bucket"), "buckets")
-    wanted = rows.groupBy("fp").agg(F.min("text_hash").alias("text_hash")).join(chosen.select("fp"), "fp")
-    texts = docs.select("text", F.xxhash64("text").alias("text_hash")).join(wanted, "text_hash").dropDuplicates(["fp"])
 
     def verify(bucket: pa.Table) -> pa.Table:
         fp, root = table_links(bucket, percent=percent)
         return pa.table({"a": fp[fp != root], "b": root[fp != root]})
 
-    whole = chosen.join(sets(texts, words), "fp")
+    whole = chosen.join(sets(texts.join(chosen.select("fp"), "fp"), words), "fp")
     many = (F.col("n") > CROWD) | (F.col("total") > CROWD_SHINGLES)
     crowded = not chosen.where(many).isEmpty()
     whole = materialise(whole, "whole") if crowded else whole
@@ -379,9 +478,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     no other, which is then null. Rows that repeat give rows that repeat. An empty table gives an empty table; other
     columns are not read.
     """
-    rows = materialise(sketches(docs, words, percent), "sketches")
+    rows = materialise(sketches(docs, words), "sketches")
     nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    return grouped(rows.drop("size", "classes", "bits", "small"), nodes, links(docs, rows, words, percent))
+    return grouped(rows.drop("size", "least"), nodes, links(docs, rows, words, percent))
 
 
 def deduplicate(docs: DataFrame, **options) -> DataFrame:
