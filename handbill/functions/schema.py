@@ -27,7 +27,8 @@ def plain_text(v: Column) -> Column:
 def text_at(v: Column, path: str) -> Column:
     """A member as text or NOVALUE: strings stripped, other values as plain_text() writes them."""
     def novalue(x: Column) -> Column:
-        return F.when(kind(x) == "string", coerce_novalue(F.try_variant_get(x, "$", "string"))).otherwise(F.coalesce(plain_text(x), F.lit(NOVALUE)))
+        string = F.startswith(F.to_json(x), F.lit('"'))  # kind(x) == "string", without its names
+        return F.when(x.isNull(), F.lit(NOVALUE)).when(string, coerce_novalue(F.try_variant_get(x, "$", "string"))).otherwise(F.coalesce(plain_text(x), F.lit(NOVALUE)))
 
     return bound(F.try_variant_get(v, path, "variant"), novalue)
 

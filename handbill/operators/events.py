@@ -96,9 +96,8 @@ def normal(events: DataFrame) -> DataFrame:
     return events.withColumn("compared_name", norm_name(F.col("event_name"))).withColumn("compared_date", F.coalesce(coerce(F.col("date")), F.lit("")))
 
 
-def fitted(run: pa.Table, clusters: FirstFit, ranks: list[int]) -> list[int]:
-    """Row numbers of the roots of a run's events, which `ranks` puts in order."""
-    names, dates = (run[c].to_pylist() for c in ("compared_name", "compared_date"))
+def fitted(names: list[str], dates: list[str], clusters: FirstFit, ranks: list[int]) -> list[int]:
+    """Row numbers of the roots of a run's events, which `ranks` names in order."""
     found = clusters.add(list(range(len(ranks))), [names[i] for i in ranks], [dates[i] for i in ranks])
     return [ranks[k] for k in found]
 
@@ -106,30 +105,36 @@ def fitted(run: pa.Table, clusters: FirstFit, ranks: list[int]) -> list[int]:
 def cluster(events: DataFrame, strong: float = STRONG, weak: float = WEAK, together: int = TOGETHER) -> DataFrame:
     """events with root: the ordinal of the first event of the cluster that each falls into, in order of ordinals.
 
-    Runs of up to `together` events are clustered in one task each, all by one shuffle; matches of larger ones
-    are found by joins, and their clusters by roots(). Both give the same clusters.
+    Runs of up to `together` events are clustered in Arrow groups of about as many events, several runs each, all by one shuffle; matches of
+    larger ones are found by joins, and their clusters by roots(). Both give the same clusters.
     """
     ordinal = events.schema["ordinal"].dataType
     schema = T.StructType([*events.schema.fields, T.StructField("root", ordinal)])
 
-    def first_fit(run: pa.Table) -> pa.Table:
+    def first_fit(runs: pa.Table) -> pa.Table:
         known: dict[tuple[str, str], float] = RATIOS.setdefault("known", {})
         if len(known) > 1 << 20:
             known.clear()
-        places = run["ordinal"].to_pylist()
-        ranks = sorted(range(run.num_rows), key=(lambda i: tuple(places[i].values())) if isinstance(places[0], dict) else places.__getitem__)
-        at = [0] * run.num_rows
-        for i, root in zip(ranks, fitted(run, FirstFit(strong, weak, known=known), ranks), strict=True):
-            at[i] = root
-        return run.drop_columns(["compared_name", "compared_date"]).append_column("root", run["ordinal"].take(pa.array(at)))
-
-    sizes = events.groupBy("run_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > together).select("run_id")
-    large = settled(sizes)
+        places, names, dates = (runs[c].to_pylist() for c in ("ordinal", "compared_name", "compared_date"))
+        own: dict[str, list[int]] = {}
+        for i, run in enumerate(runs["run_id"].to_pylist()):
+            own.setdefault(repr(run), []).append(i)
+        at = [0] * runs.num_rows
+        for run in own.values():
+            ranks = sorted(run, key=(lambda i: tuple(places[i].values())) if isinstance(places[0], dict) else places.__getitem__)
+            for i, root in zip(ranks, fitted(names, dates, FirstFit(strong, weak, known=known), ranks), strict=True):
+                at[i] = root
+        return runs.drop_columns(["compared_name", "compared_date"]).append_column("root", runs["ordinal"].take(pa.array(at)))
+
+    sizes = settled(events.groupBy("run_id").agg(F.count(F.lit(1)).alias("n")))
+    small_events = sizes.where(F.col("n") <= together).agg(F.sum("n")).first()[0] or 0
+    group = F.pmod(F.xxhash64("run_id"), F.lit(small_events // max(together, 1) + 1))
+    large = sizes.where(F.col("n") > together).select("run_id")
     if large.isEmpty():
-        return normal(events).groupBy("run_id").applyInArrow(first_fit, schema)
+        return normal(events).groupBy(group).applyInArrow(first_fit, schema)
     small, rest = events.join(large, "run_id", "left_anti"), events.join(large, "run_id", "left_semi")
     found = roots(rest, match_edges(rest, strong, weak))
-    return normal(small).groupBy("run_id").applyInArrow(first_fit, schema).unionByName(rest.join(found, ["run_id", "ordinal"]).select(*schema.names))
+    return normal(small).groupBy(group).applyInArrow(first_fit, schema).unionByName(rest.join(found, ["run_id", "ordinal"]).select(*schema.names))
 
 
 #: Ratios that a worker has worked out, by pair of names.
@@ -138,11 +143,12 @@ RATIOS: dict[str, dict[tuple[str, str], float]] = {}
 
 def merge_clusters(events: DataFrame, key: list[str]) -> DataFrame:
     """One record for each key: of each field the value that occurs most often, then the longest, then the first."""
-    values = events.select(*key, "ordinal", F.explode(F.create_map(*[x for f in FIELDS for x in (F.lit(f), F.col(f))])).alias("field", "value")).where("value <> ''")
+    parts = [F.struct(F.lit(f).alias("field"), F.col(f).alias("value")) for f in FIELDS]
+    event = F.struct(F.lit("").alias("field"), F.lit("").alias("value"))  # so that events are read once
+    values = events.select(*key, "ordinal", F.inline(F.array(*parts, event))).where("value <> '' OR field = ''")
     counts = values.groupBy(*key, "field", "value").agg(F.count(F.lit(1)).alias("n"), F.min("ordinal").alias("first"))
-    best = counts.groupBy(*key).agg(*[F.max(F.when(F.col("field") == f, F.struct("n", F.length("value").alias("size"), (-F.col("first")).alias("early"), "value")))["value"].alias(f) for f in FIELDS])
-    sizes = events.groupBy(*key).agg(F.count(F.lit(1)).alias("n_events"))
-    return sizes.join(best, key, "left")
+    n_events = F.sum(F.when(F.col("field") == "", F.col("n"))).alias("n_events")
+    return counts.groupBy(*key).agg(n_events, *[F.max(F.when(F.col("field") == f, F.struct("n", F.length("value").alias("size"), (-F.col("first")).alias("early"), "value")))["value"].alias(f) for f in FIELDS])
 
 
 def dedupe(events: DataFrame, strong: float = STRONG, weak: float = WEAK) -> DataFrame:

@@ -99,14 +99,16 @@ class FirstFit:
         names = Names(every)
         place = {x: k for k, x in enumerate(every)}
         own = np.array([place[x] for x in later], np.int64)
-        on_date = [np.array([place[x] for x in group], np.int64) for group in dated.values()] if self.weak < self.strong else []
+        on_date = [np.array([place[x] for x in group], np.int64) for group in dated.values() if len(group) > 1] if self.weak < self.strong else []
         out: dict[str, list[tuple[str, bool]]] = {x: [] for x in later}
         step = max(1, TOGETHER // max(len(every), 1))
         for k in range(0, len(own), step):
             part = own[k : k + step]
-            least = np.full((len(part), len(every)), self.strong)
+            least, row = np.full((len(part), len(every)), self.strong), np.full(len(every), -1)
+            row[part] = np.arange(len(part))
             for group in on_date:
-                least[np.ix_(np.flatnonzero(np.isin(part, group)), group)] = self.weak
+                rows = row[group]
+                least[rows[rows >= 0, None], group] = self.weak
             a, b, least = np.repeat(part, len(every)), np.tile(np.arange(len(every)), len(part)), least.ravel()
             for at in names.likely(a, b, least).tolist():
                 pair = (every[a[at]], every[b[at]])

@@ -16,7 +16,7 @@ from handbill.functions import datetimes
 from handbill.functions.geometry import data_url
 from handbill.functions.jsons import events_of, extract_any, kind
 from handbill.functions.schema import ensure_schema
-from handbill.functions.text import NOVALUE
+from handbill.functions.text import NOVALUE, bound
 from handbill.sources.storage import settled
 
 #: Stands for the blocks in a prompt.
@@ -77,27 +77,30 @@ def ask(rows: DataFrame, prompt: str, answer: str, provider: Callable[[str], str
     return rows.mapInPandas(answered, schema)
 
 
-def first_record(answer: Column) -> Column:
-    """The fixed record of the first object in an answer's list; an empty one where the list is empty; null without a list."""
-    found = extract_any(answer)
-    first = F.try_element_at(F.try_variant_get(found, "$", "array<variant>"), F.lit(1))
-    whole = F.when(kind(first) == "object", first).otherwise(F.parse_json(F.lit("{}")))
-    return F.when(kind(found) == "array", ensure_schema(whole))
+def first_record(found: Column) -> Column:
+    """The fixed record of the first object in a list that an answer holds; an empty one where the list is empty; null where there is no list."""
+    def whole(listed: Column) -> Column:
+        return bound(F.get(listed, F.lit(0)), lambda x: F.when(kind(x) == "object", x).otherwise(F.parse_json(F.lit("{}"))))
+
+    return bound(F.try_variant_get(found, "$", "array<variant>"), lambda x: F.when(x.isNotNull(), ensure_schema(whole(x))))
 
 
 def merge_records(asked: DataFrame, provider: Callable[[str], str]) -> DataFrame:
     """asked(key columns..., prompt) with record and error: answers without JSON are sent back once to be mended.
 
-    Answers are written before they are read twice, so no prompt is sent again for that.
+    Answers are written, parsed, before they are read twice, so no prompt is sent again for that and none is parsed again.
     """
     keys = [c for c in asked.columns if c != "prompt"]
-    answers = settled(ask(asked, "prompt", "answer", provider))
-    read = F.coalesce(kind(extract_any(F.col("answer"))).isNotNull(), F.lit(False))
-    good = answers.where(read | F.col("error").isNotNull())
-    mended = answers.where(~read & F.col("error").isNull()).select(*keys, F.concat(F.lit(REPAIR), "answer").alias("prompt"))
-    both = good.select(*keys, "answer", "error").unionByName(ask(mended, "prompt", "answer", provider).select(*keys, "answer", "error"))
-    record = first_record(F.col("answer"))
-    return both.select(*keys, record.alias("record"), F.coalesce("error", F.when(record.isNull(), F.lit("no JSON array"))).alias("error"))
+
+    def parsed(answered: DataFrame) -> DataFrame:
+        return answered.select(*keys, "answer", "error", extract_any(F.col("answer")).alias("found"))
+
+    answers = settled(parsed(ask(asked, "prompt", "answer", provider)))
+    done = F.col("found").isNotNull() | F.col("error").isNotNull()
+    mended = answers.where(~done).select(*keys, F.concat(F.lit(REPAIR), "answer").alias("prompt"))
+    both = answers.where(done).unionByName(parsed(ask(mended, "prompt", "answer", provider)))
+    made = both.select(*keys, "error", first_record(F.col("found")).alias("record"))
+    return made.select(*keys, "record", F.coalesce("error", F.when(F.col("record").isNull(), F.lit("no JSON array"))).alias("error"))
 
 
 def normalize_target(v: Column) -> Column:

@@ -594,12 +594,12 @@ def event_pipeline(spark, sf_dir):
     """Predictions to final records: events of each run merged, dated, searched for through a cache, and put to a recorded model."""
     found = files.prediction_events(prediction_files(spark, sf_dir))
     run = F.regexp_extract("source", r"(\d+)", 1).cast("bigint")
-    merged = events.dedupe(files.numbered(found, run)).withColumnsRenamed({"run_id": "source", "root": "pos"})
+    merged = settled(events.dedupe(settled(files.numbered(found, run)))).withColumnsRenamed({"run_id": "source", "root": "pos"})
     dated = settled(records.normalize_when(merged, TODAY))
     key = F.struct("source", "pos")
     asked = text.with_queries(dated, "event_name", "venue", "date", "time").select(key.alias("event"), F.posexplode_outer("queries").alias("query_no", "search")).where("query_no IS NOT NULL")
-    answers = search.read_through(search.requests(asked, ENDPOINT), fresh_folder(spark, "cache"), recorded_search)
-    evidence = search.event_evidence(answers, "event")
+    answers = search.answers(asked, ENDPOINT, fresh_folder(spark, "cache"), recorded_search)
+    evidence = search.first_urls(asked.join(answers, "search"), "event")
     prompts = dated.withColumn("event", key).join(evidence, "event", "left")
     prompt = F.to_json(F.struct("event_name", "venue", "start_date", "start_time", "end_date", "end_time", "evidence"))
     made = records.merge_records(prompts.select("source", "pos", prompt.alias("prompt")), recorded_merge)

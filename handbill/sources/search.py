@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from handbill.functions.jsons import kind, strict_json
 from handbill.functions.text import strip
+from handbill.sources.storage import settled
 
 FETCHED = "cache_key string, raw string"
 
@@ -50,7 +51,7 @@ def cached(spark: SparkSession, path: str) -> DataFrame:
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], FETCHED)
+        return spark.range(0).selectExpr("CAST(NULL AS string) AS cache_key", "CAST(NULL AS string) AS raw")  # no task starts for it
 
 
 def read_through(asked: DataFrame, path: str, provider: Callable[[str], str] | None = None) -> DataFrame:
@@ -79,11 +80,23 @@ def evidence(raw: Column, k: int = 10) -> Column:
 
 
 def event_evidence(results: DataFrame, key: str, k: int = 7) -> DataFrame:
-    """(key, evidence): of results(key, query_no, raw) the first k urls over all queries, none twice, in order.
+    """(key, evidence): of results(key, query_no, raw) the first k urls over all queries, none twice, in order."""
+    return first_urls(results.select(key, "query_no", evidence(F.col("raw"), k).alias("found")), key, k)
+
+
+def first_urls(results: DataFrame, key: str, k: int = 7) -> DataFrame:
+    """(key, evidence) of results(key, query_no, found), as event_evidence() has it; found is what evidence() reads from an answer.
 
     An event has at most six queries of k results each, so its list is short.
     """
-    flat = results.select(key, "query_no", F.posexplode(evidence(F.col("raw"), k)).alias("place", "e"))
-    first = flat.groupBy(key, F.col("e.url").alias("url")).agg(F.min(F.struct("query_no", "place", "e")).alias("at"))
-    own = first.groupBy(key).agg(F.array_sort(F.collect_list("at")).alias("all"))
-    return own.select(key, F.slice(F.transform("all", lambda x: x["e"]), 1, max(k, 1)).alias("evidence"))
+    placed = F.transform("found", lambda e, i: F.struct(F.col("query_no").alias("query_no"), i.alias("place"), e.alias("e")))
+    own = results.where(F.size("found") > 0).groupBy(key).agg(F.array_sort(F.flatten(F.collect_list(placed))).alias("all"))
+    listed = own.select(key, F.transform("all", lambda x: x["e"]).alias("all")).withColumn("urls", F.transform("all", lambda e: e["url"]))
+    first = F.filter("all", lambda e, i: F.array_position("urls", e["url"]) == i + 1)
+    return listed.select(key, F.slice(first, 1, max(k, 1)).alias("evidence"))
+
+
+def answers(searches: DataFrame, endpoint: str, path: str, provider: Callable[[str], str] | None = None, k: int = 7) -> DataFrame:
+    """(search, found) of each distinct text of searches(search): the first k results of its answer, which is asked for, and read, once."""
+    asked = settled(requests(searches.select("search").distinct(), endpoint))
+    return read_through(asked, path, provider).select("search", evidence(F.col("raw"), k).alias("found"))
