@@ -6,8 +6,13 @@ blocks are collected; a page is small by nature.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from handbill.functions.fonts import fit_font
 from handbill.functions.geometry import overlap
@@ -18,6 +23,8 @@ BADGE_FONT, BADGE_PAD_X, BADGE_PAD_Y, BADGE_GAP = 14, 8, 4, 2
 # Width of a character and height of a line, as shares of the font size.
 CHAR, LINE = 0.6, 1.0
 NO_TEXT = "array<string>"
+#: White space between words.
+SPLIT = re.compile(r"[ \t\n\x0b\f\r]+")
 
 
 def text_width(text: Column, size: Column) -> Column:
@@ -51,6 +58,48 @@ def fit(text: Column, width: Column, height: Column) -> Column:
     return F.coalesce(F.get(fits, F.lit(0)), F.element_at(tried, -1))
 
 
+def wrapped(words: list[list[str]], most: int) -> list[list[str]]:
+    """Lines, as words, of paragraphs of words, broken greedily where a line would have over `most` characters; a word too long stands alone."""
+    lines = []
+    for paragraph in words:
+        line, used = [], -1
+        for word in paragraph:
+            if line and used + 1 + len(word) > most:
+                lines.append(line)
+                line, used = [], -1
+            line.append(word)
+            used += 1 + len(word)
+        lines.append(line)
+    return lines
+
+
+def fitted(text: str | None, width: float, height: float) -> tuple[int, list[str] | None]:
+    """Size and lines in the largest font whose lines fit, else in the smallest. A larger font never needs fewer lines, so what fits is found by halving."""
+    if text is None:
+        return SMALLEST, None
+    words = [[x for x in SPLIT.split(p) if x] for p in text.split("\n")]
+    low, high, best = SMALLEST, LARGEST, None
+    while low <= high:
+        size = (low + high + 1) // 2
+        most = int(width / (size * CHAR)) + 2
+        while most and most * size * CHAR > width:
+            most -= 1
+        lines = wrapped(words, most)
+        if len(lines) * (size * LINE + GAP) - GAP <= height:
+            best, low = (size, lines), size + 1
+        else:
+            best, high = best or ((size, lines) if size == SMALLEST else None), size - 1
+    return best[0], [" ".join(x) for x in best[1]]
+
+
+@F.pandas_udf(T.StructType().add("size", T.IntegerType()).add("lines", T.ArrayType(T.StringType())))
+def fit_plain(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+    """fit() of a text and the insides of a box, for whole batches: columns break a text anew for each size, word by word."""
+    for batch in batches:
+        rows = [fitted(*row) for row in zip(*batch, strict=True)]
+        yield pd.DataFrame({"size": [r[0] for r in rows], "lines": [r[1] for r in rows]})
+
+
 def clamp_boxes(blocks: DataFrame) -> DataFrame:
     """blocks(x1, y1, x2, y2, width, height, ...) in whole pixels on the page; boxes without an area are left out."""
 
@@ -102,10 +151,8 @@ def laid_out(blocks: DataFrame, font: str | None = None) -> DataFrame:
     font: path of a font file by whose widths texts are wrapped and fitted.
     """
     wide, high = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
-    if font is None:
-        fit_ = fit(F.col("text"), wide, high)
-    else:
-        fit_ = fit_font(font, (SMALLEST, LARGEST), LINE, GAP)("text", *[F.greatest(F.lit(8), x - 2 * PAD).cast("double") for x in (wide, high)])
+    fitting = fit_plain if font is None else fit_font(font, (SMALLEST, LARGEST), LINE, GAP)
+    fit_ = fitting("text", *[F.greatest(F.lit(8), x - 2 * PAD).cast("double") for x in (wide, high)])
     boxes = badge_size(clamp_boxes(blocks)).withColumn("fit", fit_)
     both = boxes.join(place_badges(boxes), ["image", "id"]).withColumn("size", F.col("fit.size"))
     step = F.col("size") * LINE + GAP
